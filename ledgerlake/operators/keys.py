@@ -22,16 +22,14 @@ from pyspark.sql import functions as F
 _PID = "__ll_pid"
 
 
-def dense_keys(df: DataFrame, key_cols: Sequence[str], id_col: str, start: int | None = 1,
-               num_partitions: int | None = None, start_col=None) -> DataFrame:
-    """Distinct ``key_cols`` numbered densely ``start..start+n-1`` in key order
-    (NULLs last)."""
-    key_cols = list(key_cols)
+def global_row_number(df: DataFrame, order: Sequence, name: str, start: int | None = 1,
+                      num_partitions: int | None = None, start_col=None) -> DataFrame:
+    """``row_number() over (order by ...)`` computed in parallel (``order`` must be a total
+    order, so ties never straddle two range partitions)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    order = [F.col(c).asc_nulls_last() for c in key_cols]
-    ranged = (df.select(*key_cols).distinct()
-              .repartitionByRange(n, *order)
+    order = list(order)
+    ranged = (df.repartitionByRange(n, *order)
               .sortWithinPartitions(*order)
               .withColumn(_PID, F.spark_partition_id()))
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__ll_cnt"))
@@ -43,8 +41,19 @@ def dense_keys(df: DataFrame, key_cols: Sequence[str], id_col: str, start: int |
     base = F.lit(start if start is not None else 0) if start_col is None else start_col
     within = Window.partitionBy(_PID).orderBy(*order)
     numbered = (ranged.join(F.broadcast(offsets), _PID, "inner")
-                .withColumn(id_col, (base + F.coalesce(F.col("__ll_off"), F.lit(0))
-                                     + F.row_number().over(within) - 1).cast("long")))
+                .withColumn(name, (base + F.coalesce(F.col("__ll_off"), F.lit(0))
+                                   + F.row_number().over(within) - 1).cast("long")))
+    return numbered.drop(_PID, "__ll_off")
+
+
+def dense_keys(df: DataFrame, key_cols: Sequence[str], id_col: str, start: int | None = 1,
+               num_partitions: int | None = None, start_col=None) -> DataFrame:
+    """Distinct ``key_cols`` numbered densely ``start..start+n-1`` in key order
+    (NULLs last)."""
+    key_cols = list(key_cols)
+    order = [F.col(c).asc_nulls_last() for c in key_cols]
+    numbered = global_row_number(df.select(*key_cols).distinct(), order, id_col, start,
+                                 num_partitions, start_col)
     return numbered.select(id_col, *key_cols)
 
 
