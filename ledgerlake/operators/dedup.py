@@ -65,10 +65,9 @@ def drop_duplicates(df: DataFrame, subset, keep: str | bool = "first",
     subset = _cols(subset)
     cur = df.dropna(how="all", subset=subset)
     if keep is False:
-        counts = cur.groupBy(*subset).agg(F.count(F.lit(1)).alias("__ll_n"))
-        cond = [cur[c].eqNullSafe(counts[c]) for c in subset]
-        return (cur.join(counts, cond, "inner").where(F.col("__ll_n") == 1)
-                .select(*[cur[c] for c in cur.columns]))
+        from ledgerlake.operators.joins import join_back_aggregate
+        counted = join_back_aggregate(cur, subset, [F.count(F.lit(1)).alias("__ll_n")])
+        return counted.where(F.col("__ll_n") == 1).drop("__ll_n")
     if not row_order:
         raise ValueError("keep='first'/'last' needs row_order (DataFrames are unordered)")
     if keep == "first":
