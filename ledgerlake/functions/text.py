@@ -111,10 +111,12 @@ def clean_special(c) -> Column:
                             CONTROL_CHARS_PATTERN, "")
 
 
-def normalize_text(c, length: int = 255) -> Column:
-    """Cut to ``length`` first, strip, transliterate, upper, keep ``[A-Z0-9 ]``,
-    collapse blanks; an empty result becomes NULL."""
-    cut = F.substring(to_col(c).cast("string"), 1, length)
+def normalize_text(c, length: int | None = 255) -> Column:
+    """Cut to ``length`` first (``None``: whole text), strip, transliterate, upper, keep
+    ``[A-Z0-9 ]``, collapse blanks; an empty result becomes NULL."""
+    cut = to_col(c).cast("string")
+    if length is not None:
+        cut = F.substring(cut, 1, length)
     s = strip_whitespace(cut)
     s = F.upper(transliterate(s))
     s = F.regexp_replace(s, NORMALIZED_KEEP_PATTERN, "")

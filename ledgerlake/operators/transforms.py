@@ -104,7 +104,7 @@ def clean_special_columns(df: DataFrame, cols) -> DataFrame:
     return df.withColumns({c: text.clean_special(c) for c in _as_list(cols) if c in df.columns})
 
 
-def normalize_text_columns(df: DataFrame, cols, length: int = 255) -> DataFrame:
+def normalize_text_columns(df: DataFrame, cols, length: int | None = 255) -> DataFrame:
     """Full text normalisation (O-79)."""
     return df.withColumns({c: text.normalize_text(c, length)
                            for c in _as_list(cols) if c in df.columns})
