@@ -149,12 +149,14 @@ WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS INTEGE
                   CAST(l_extendedprice AS DECIMAL(18, 2)) AS precio,
                   CAST(round(l_discount * 100) AS INTEGER) AS desct,
                   CAST(round(l_tax * 100) AS INTEGER) AS iva FROM lineitem),
-a AS (SELECT *, CAST(cantidad * precio * (100 - desct) * 0.01 AS DECIMAL(38, 4)) AS subtotal_articulo,
-             CAST(cantidad * precio * desct * 0.01 AS DECIMAL(38, 4)) AS descuento_articulo FROM l)
+a AS (SELECT *, CAST(cantidad * precio * (100 - desct) * 0.01 AS DECIMAL(18, 4)) AS subtotal_articulo,
+             CAST(cantidad * precio * desct * 0.01 AS DECIMAL(18, 4)) AS descuento_articulo FROM l)
 """
 
 
 def line_amounts_frame(t):
+    """Line money as ``decimal(18,4)``: narrow on purpose, so that later products stay
+    within 38 digits and Spark never trims their scale (which would round twice)."""
     li = t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("int").alias("cantidad"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("precio"),
@@ -163,8 +165,8 @@ def line_amounts_frame(t):
     cent = F.lit(CENT)
     return li.select(
         "*", (F.col("cantidad") * F.col("precio") * (100 - F.col("desct")) * cent)
-        .cast("decimal(38,4)").alias("subtotal_articulo"),
-        (F.col("cantidad") * F.col("precio") * F.col("desct") * cent).cast("decimal(38,4)")
+        .cast("decimal(18,4)").alias("subtotal_articulo"),
+        (F.col("cantidad") * F.col("precio") * F.col("desct") * cent).cast("decimal(18,4)")
         .alias("descuento_articulo"))
 
 
@@ -177,8 +179,8 @@ def line_amounts(spark, sf_dir):
 
 @query("round_half_up", "O-81", sql=_AMOUNTS_CTE + """
 SELECT l_orderkey, l_linenumber, l_partkey,
-       CAST(round(CAST(subtotal_articulo AS DECIMAL(18, 4)) * iva * 0.01, 2) AS DECIMAL(38, 2)) AS total_iva,
-       CAST(round(-CAST(descuento_articulo AS DECIMAL(18, 4)) * 0.001, 2) AS DECIMAL(38, 2)) AS neg_rounded,
+       CAST(round(subtotal_articulo * iva * 0.01, 2) AS DECIMAL(38, 2)) AS total_iva,
+       CAST(round(-descuento_articulo * 0.001, 2) AS DECIMAL(38, 2)) AS neg_rounded,
        CAST(round(subtotal_articulo, 0) AS DECIMAL(38, 0)) AS whole
 FROM a
 """)
