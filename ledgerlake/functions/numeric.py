@@ -29,14 +29,17 @@ def ratio_or_null(x, s) -> Column:
 
 
 def div_round_half_up(n, d) -> Column:
-    """Integer quotient n/d rounded half away from zero; NULL when d = 0."""
+    """Integer quotient n/d rounded half away from zero; NULL when d = 0.
+
+    Works on integral and ``decimal(p,0)`` operands: ``div`` is an integral division
+    whose result is a long, so no double or capped-scale quotient is involved.
+    """
     n, d = to_col(n), to_col(d)
     an, ad = F.abs(n), F.abs(d)
-    q = (F.lit(2) * an + ad).cast("long")
-    # integral division stays in LongType: exact, unlike a double or capped-decimal quotient
-    mag = F.call_function("div", q, (F.lit(2) * ad).cast("long"))
-    sign = F.signum(n) * F.signum(d)
-    return F.when(d == 0, F.lit(None).cast("long")).otherwise((sign * mag).cast("long"))
+    mag = F.call_function("div", F.lit(2) * an + ad, F.lit(2) * ad)
+    negative = (n < 0) != (d < 0)
+    return F.when(d == 0, F.lit(None).cast("long")) \
+        .when(negative, -mag).otherwise(mag).cast("long")
 
 
 def to_cents(c) -> Column:
