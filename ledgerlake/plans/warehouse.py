@@ -17,14 +17,14 @@ from ledgerlake.session import cut_lineage
 
 
 def layer(fn):
-    """Build a layer once per warehouse; with ``cut=True`` its lineage is cut by a
-    reliable checkpoint (shared ``spark.checkpoint.dir``), so downstream plans start
-    from files and a lost executor recomputes one layer only."""
+    """Build a layer once per warehouse; with ``cut=True`` it is written as Parquet into
+    the shared ``spark.checkpoint.dir`` and read back, so downstream plans start from
+    files and a lost executor recomputes one layer only."""
     @functools.wraps(fn)
     def wrapper(self):
         if fn.__name__ not in self._memo:
             df = fn(self)
-            self._memo[fn.__name__] = cut_lineage(df) if self.cut else df
+            self._memo[fn.__name__] = cut_lineage(df, fn.__name__) if self.cut else df
         return self._memo[fn.__name__]
     return wrapper
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,10 +53,19 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return sc.getCheckpointDir() or target
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (never localCheckpoint): survives executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
+    """Cut the lineage by writing a Parquet table into the shared checkpoint directory
+    and reading it back (never localCheckpoint).
+
+    One pass over the data (``Dataset.checkpoint`` computes twice unless cached), and the
+    downstream plans scan files: column pruning, filter pushdown and real size statistics
+    for AQE's join choices.  Survives executor loss: the files are on shared storage.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/ledgerlake/{name or 'layer'}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:
