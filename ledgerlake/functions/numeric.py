@@ -32,7 +32,8 @@ def div_round_half_up(n, d) -> Column:
     """Integer quotient n/d rounded half away from zero; NULL when d = 0.
 
     Works on integral and ``decimal(p,0)`` operands: ``div`` is an integral division
-    whose result is a long, so no double or capped-scale quotient is involved.
+    whose result is a long, so no double or capped-scale quotient is involved.  The
+    operands may be wider than a long; the quotient must fit in one (cents do).
     """
     n, d = to_col(n), to_col(d)
     an, ad = F.abs(n), F.abs(d)
