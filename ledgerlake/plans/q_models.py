@@ -123,3 +123,23 @@ def mart_agreements_fact(spark, sf_dir):
 @query("mart_sales", "M-19 O-48e O-54 O-55 O-58b", sql=with_warehouse("SELECT * FROM m_sales"))
 def mart_sales(spark, sf_dir):
     return warehouse(spark, sf_dir).m_sales()
+
+
+@query("silver_customers", "M-03 O-38 O-69 O-71", sql=with_warehouse("SELECT * FROM s_customers"))
+def silver_customers(spark, sf_dir):
+    return warehouse(spark, sf_dir).s_customers()
+
+
+@query("silver_codes", "M-04 O-71", sql=with_warehouse("SELECT * FROM s_codes"))
+def silver_codes(spark, sf_dir):
+    return warehouse(spark, sf_dir).s_codes()
+
+
+@query("silver_lines", "M-06 O-69", sql=with_warehouse("SELECT * FROM s_lines"))
+def silver_lines(spark, sf_dir):
+    return warehouse(spark, sf_dir).s_lines()
+
+
+@query("silver_sellers", "M-07 O-69 O-71", sql=with_warehouse("SELECT * FROM s_sellers"))
+def silver_sellers(spark, sf_dir):
+    return warehouse(spark, sf_dir).s_sellers()
