@@ -42,3 +42,15 @@ def conditional_min_over(df: DataFrame, keys: Sequence[str], value: Column, cond
 def sum_over(df: DataFrame, keys: Sequence[str], value: Column, alias: str) -> DataFrame:
     """``SUM(value) OVER (PARTITION BY keys)`` re-attached to each row (O-60)."""
     return join_back_aggregate(df, keys, [F.sum(value).alias(alias)])
+
+
+def after_watermark(column: str, hwm, inclusive: bool = False) -> Column:
+    """Incremental extract predicate ``column > hwm`` (O-09/O-10).
+
+    A NULL mark (empty target, first run) selects everything — the reference compared
+    with NULL and loaded nothing (T-13); a NULL ``column`` is never selected once a mark
+    exists.
+    """
+    hwm_col = hwm if isinstance(hwm, Column) else F.lit(hwm)
+    c = F.col(column)
+    return hwm_col.isNull() | ((c >= hwm_col) if inclusive else (c > hwm_col))

@@ -7,7 +7,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import merge
+from ledgerlake.operators import aggregates, merge
 from ledgerlake.operators import transforms as tf
 from ledgerlake.plans.registry import query
 from ledgerlake.plans.tables import Tables
@@ -140,7 +140,12 @@ def incremental_refresh(spark, sf_dir):
     t = Tables(spark, sf_dir)
     cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice"]
     orders = t.orders.select(*cols)
-    first = orders.where(F.col("o_orderdate") <= F.lit(INITIAL_CUTOFF))
+    empty = orders.where(F.lit(False))
+    # run 1: empty target -> NULL mark -> everything up to the cutoff the extract holds
+    extract1 = orders.where(F.col("o_orderdate") <= F.lit(INITIAL_CUTOFF))
+    first = merge.persist(empty, extract1.where(aggregates.after_watermark(
+        "o_orderdate", empty.select(F.max("o_orderdate")).scalar())), "update", keys=["o_orderkey"])
+    # run 2: stored mark, boundary re-read (inclusive) so the merge sees conflicts
     hwm = first.select(F.max("o_orderdate")).scalar()
-    increment = orders.where(F.col("o_orderdate") >= hwm)
+    increment = orders.where(aggregates.after_watermark("o_orderdate", hwm, inclusive=True))
     return merge.persist(first, increment, "update", keys=["o_orderkey"])

@@ -208,3 +208,39 @@ def calendar_query(spark, sf_dir):
                  F.date_add(F.to_date(F.max("o_orderdate")), 1).alias("hi"))
     spine = calendar.date_spine_between(span, F.col("lo"), F.col("hi"))
     return calendar.dim_date(spine)
+
+
+@query("full_extract", "O-08 O-06 O-69", sql="""
+SELECT trim(CAST(c_custkey AS VARCHAR)) AS codcli, c_name AS nomcli, CAST(c_nationkey AS VARCHAR) AS cif,
+       c_mktsegment AS segmento
+FROM customer
+""")
+def full_extract(spark, sf_dir):
+    """Explicit projection of a source table (the extract's ORDER BY has no meaning
+    once loaded, so it is dropped)."""
+    c = Tables(spark, sf_dir).customer
+    return c.select(F.trim(F.col("c_custkey").cast("string")).alias("codcli"), F.col("c_name").alias("nomcli"),
+                    F.col("c_nationkey").cast("string").alias("cif"), F.col("c_mktsegment").alias("segmento"))
+
+
+@query("rejected_extract", "O-13 O-38 O-72 O-83", sql="""
+SELECT CAST(e.event_id AS VARCHAR) || '-' || strftime(e.ts, '%Y-%m-%d %H:%M:%S') || '-' || CAST(o.o_orderkey AS VARCHAR) AS id_sintetico,
+       e.event_id, e.event_type, o.o_orderstatus, 'NO APROBADO' AS estado
+FROM events e JOIN orders o ON o.o_orderkey = e.event_id
+WHERE e.event_type NOT IN ('purchase', 'signup')
+   OR (e.event_type IN ('purchase', 'signup') AND o.o_orderstatus = 'P')
+""")
+def rejected_extract(spark, sf_dir):
+    """Requests not approved: task not in the approved set, or approved task whose invoice
+    is inactive; the synthetic key is id + date + invoice (``||`` semantics)."""
+    t = Tables(spark, sf_dir)
+    e, o = t.events, t.orders
+    approved_tasks = ["purchase", "signup"]
+    j = e.join(o, o.o_orderkey == e.event_id)
+    cond = ~F.col("event_type").isin(*approved_tasks) | (
+        F.col("event_type").isin(*approved_tasks) & (F.col("o_orderstatus") == "P"))
+    return j.where(cond).select(
+        text.strict_concat(F.col("event_id").cast("string"), F.lit("-"),
+                           F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("-"),
+                           F.col("o_orderkey").cast("string")).alias("id_sintetico"),
+        "event_id", "event_type", "o_orderstatus", F.lit("NO APROBADO").alias("estado"))

@@ -214,3 +214,10 @@ def test_cut_lineage_reads_back_from_checkpoint_dir(spark):
     assert out.count() == 100
     assert "FileScan" in out._jdf.queryExecution().executedPlan().toString() or \
         "Scan parquet" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_after_watermark_null_mark_loads_all(spark):
+    df = spark.createDataFrame([(1,), (5,), (None,)], "v int")
+    assert df.where(aggregates.after_watermark("v", None)).count() == 3
+    assert rows(df.where(aggregates.after_watermark("v", 1)), "v") == [(5,)]
+    assert rows(df.where(aggregates.after_watermark("v", 1, inclusive=True)), "v") == [(1,), (5,)]
