@@ -159,6 +159,17 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] | None
     w.parquet(path)
 
 
+def write_bucketed_snapshot(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:
+    """Store a merge target bucketed and sorted by its conflict keys.
+
+    The next ``upsert`` joins the snapshot on those keys without shuffling it: only the
+    (small) increment is exchanged into the bucket layout.  Write each snapshot under a
+    new table name and swap, never overwrite the table the merge reads.
+    """
+    (df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+     .format("parquet").saveAsTable(table))
+
+
 def materialize_table(df: DataFrame, name: str) -> None:
     """``+materialized: table`` -> ``saveAsTable`` overwrite (O-25, O-28)."""
     df.write.mode("overwrite").saveAsTable(name)

@@ -16,17 +16,20 @@ from ledgerlake.plans.tables import Tables
 from ledgerlake.session import cut_lineage
 
 
-def layer(fn):
-    """Build a layer once per warehouse; with ``cut=True`` it is written as Parquet into
-    the shared ``spark.checkpoint.dir`` and read back, so downstream plans start from
-    files and a lost executor recomputes one layer only."""
-    @functools.wraps(fn)
-    def wrapper(self):
-        if fn.__name__ not in self._memo:
-            df = fn(self)
-            self._memo[fn.__name__] = cut_lineage(df, fn.__name__) if self.cut else df
-        return self._memo[fn.__name__]
-    return wrapper
+def layer(fn=None, *, cut: bool = True):
+    """Build a layer once per warehouse.  Layers with joins, windows or key numbering are
+    written as Parquet into the shared ``spark.checkpoint.dir`` and read back, so
+    downstream plans start from files and a lost executor recomputes one layer only;
+    single-scan projections (``cut=False``) are cheaper to recompute than to write."""
+    def deco(f):
+        @functools.wraps(f)
+        def wrapper(self):
+            if f.__name__ not in self._memo:
+                df = f(self)
+                self._memo[f.__name__] = cut_lineage(df, f.__name__) if (self.cut and cut) else df
+            return self._memo[f.__name__]
+        return wrapper
+    return deco(fn) if fn is not None else deco
 
 
 class Warehouse:
@@ -42,23 +45,23 @@ class Warehouse:
     def s_requests(self):
         return silver.requests(self.bronze["camunda_operatividad"])
 
-    @layer
+    @layer(cut=False)
     def s_articles(self):
         return silver.articles(self.bronze["fenix_articulos"], self.seeds["fenix_articulos_corregidos"])
 
-    @layer
+    @layer(cut=False)
     def s_customers(self):
         return silver.customers(self.bronze["fenix_clientes"], standins.CORPORATE_GROUP_CIFS)
 
-    @layer
+    @layer(cut=False)
     def s_codes(self):
         return silver.codes(self.bronze["fenix_codigos"])
 
-    @layer
+    @layer(cut=False)
     def s_lines(self):
         return silver.lines(self.bronze["fenix_tranfac"])
 
-    @layer
+    @layer(cut=False)
     def s_sellers(self):
         return silver.sellers(self.bronze["fenix_vendedores"])
 
@@ -80,7 +83,7 @@ class Warehouse:
     def d_sellers(self):
         return gold.dim_sellers(self.s_sellers())
 
-    @layer
+    @layer(cut=False)
     def d_codes(self):
         return gold.dim_codes(self.s_codes())
 

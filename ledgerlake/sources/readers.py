@@ -19,8 +19,10 @@ from pyspark.sql import types as T
 PANDAS_NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
                     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
                     "n/a", "nan", "null")
-# Above this many literals an IN-list becomes a semi join against a small frame.
+# Above this many literals an IN-list becomes a semi join against a small frame; up to
+# the second bound that frame is broadcast (its size is known: it comes from the list).
 IN_LIST_JOIN_THRESHOLD = 1000
+IN_LIST_BROADCAST_MAX = 1_000_000
 # --------------------------------------------------------------------------------------
 
 
@@ -70,6 +72,8 @@ def in_list_filter(df: DataFrame, column: str, values, negate: bool = False) ->
     spark = df.sparkSession
     dtype = df.schema[column].dataType
     vals = spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField("__ll_v", dtype)]))
+    if len(values) <= IN_LIST_BROADCAST_MAX:
+        vals = F.broadcast(vals)
     if negate:
         nn = df.where(F.col(column).isNotNull())
         return nn.join(vals, nn[column] == vals["__ll_v"], "left_anti")

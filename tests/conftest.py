@@ -12,7 +12,9 @@ SMALL_SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[4]", shuffle_partitions=4)
+    import tempfile
+    s = get_session("local[4]", shuffle_partitions=4,
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="ll-warehouse-")})
     yield s
     s.stop()
 

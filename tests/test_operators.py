@@ -221,3 +221,19 @@ def test_after_watermark_null_mark_loads_all(spark):
     assert df.where(aggregates.after_watermark("v", None)).count() == 3
     assert rows(df.where(aggregates.after_watermark("v", 1)), "v") == [(5,)]
     assert rows(df.where(aggregates.after_watermark("v", 1, inclusive=True)), "v") == [(1,), (5,)]
+
+
+def test_bucketed_target_merges_without_shuffling_the_target(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tgt = spark.range(0, 2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+        merge.write_bucketed_snapshot(tgt, "ll_bucketed_target", ["k"], 4)
+        snap = spark.table("ll_bucketed_target")
+        src = spark.range(1990, 2010).select(F.col("id").alias("k"), F.lit(-1).cast("long").alias("v"))
+        out = merge.upsert(snap, src, ["k"], ["v"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        # one exchange: the increment; the bucketed snapshot is read in place
+        assert plan.count("Exchange hashpartitioning") == 1
+        assert out.count() == 2010
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
