@@ -55,14 +55,27 @@ def failures(check: Check, models: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown check {check.kind}")
 
 
+def _report_row(ch: Check, failures_col):
+    return [F.lit(ch.kind).alias("check"), F.lit(ch.model).alias("model"), F.lit(ch.column).alias("column"),
+            F.lit(ch.severity).alias("severity"), failures_col.cast("long").alias("failures")]
+
+
 def run_checks(checks: Sequence[Check], models: dict[str, DataFrame]) -> DataFrame:
+    """One report row per check.  All not-null checks of a model share one scan (a
+    ``count_if`` per column); unique and relationship checks aggregate / anti-join."""
     frames = []
+    null_checks: dict[str, list[Check]] = {}
     for ch in checks:
+        if ch.kind == "not_null":
+            null_checks.setdefault(ch.model, []).append(ch)
+            continue
         f = failures(ch, models).agg(F.count(F.lit(1)).alias("failures"))
-        frames.append(f.select(F.lit(ch.kind).alias("check"), F.lit(ch.model).alias("model"),
-                               F.lit(ch.column).alias("column"),
-                               F.lit(ch.severity).alias("severity"),
-                               F.col("failures").cast("long").alias("failures")))
+        frames.append(f.select(*_report_row(ch, F.col("failures"))))
+    for model, chs in null_checks.items():
+        counts = models[model].agg(*[F.count_if(F.col(ch.column).isNull()).alias(f"__ll_n{i}")
+                                     for i, ch in enumerate(chs)])
+        rows = F.array(*[F.struct(*_report_row(ch, F.col(f"__ll_n{i}"))) for i, ch in enumerate(chs)])
+        frames.append(counts.select(F.inline(rows)))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

@@ -143,3 +143,13 @@ def silver_lines(spark, sf_dir):
 @query("silver_sellers", "M-07 O-69 O-71", sql=with_warehouse("SELECT * FROM s_sellers"))
 def silver_sellers(spark, sf_dir):
     return warehouse(spark, sf_dir).s_sellers()
+
+
+from ledgerlake.operators import quality as _dq  # noqa: E402
+from ledgerlake.plans import checks as _checks  # noqa: E402
+
+
+@query("dq_warehouse", "O-94 O-95 O-96 O-97 M-01..M-14", sql=with_warehouse(_checks.check_sql()))
+def dq_warehouse(spark, sf_dir):
+    """Every declared check on every layer, one report row per check."""
+    return _dq.run_checks(_checks.WAREHOUSE_CHECKS, _checks.models(warehouse(spark, sf_dir)))
