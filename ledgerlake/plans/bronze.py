@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgerlake.operators import aggregates, dedup, merge
 from ledgerlake.operators import transforms as tf

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlake.functions import dates, text
 from ledgerlake.operators import joins, keys
 from ledgerlake.operators import transforms as tf
 from ledgerlake.plans.registry import query
