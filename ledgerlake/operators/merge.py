@@ -50,6 +50,24 @@ def with_audit_columns(df: DataFrame, load_ts=None) -> DataFrame:
     return df.withColumns({CREATION_COL: ts, UPDATE_COL: ts})
 
 
+def _any_null(keys: Sequence[str]) -> Column:
+    cond = None
+    for k in keys:
+        cond = F.col(k).isNull() if cond is None else cond | F.col(k).isNull()
+    return cond
+
+
+def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose keys are all non-NULL, rows with a NULL key).
+
+    A NULL key never matches under ``=`` (T-12), so those rows bypass the merge join:
+    otherwise every one of them hashes to the same shuffle partition — one task holding
+    all of them, a skew that AQE cannot split in a full outer join.
+    """
+    nulls = _any_null(keys)
+    return df.where(~nulls), df.where(nulls)
+
+
 def append(target: DataFrame | None, source: DataFrame) -> DataFrame:
     if target is None:
         return source
@@ -59,8 +77,10 @@ def append(target: DataFrame | None, source: DataFrame) -> DataFrame:
 def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     keys = list(keys)
     require_columns(source, keys, "conflict columns")
-    fresh = source.join(target, [source[k] == target[k] for k in keys], "left_anti")
-    return target.unionByName(fresh, allowMissingColumns=True)
+    src, src_null = split_null_keys(source, keys)
+    tgt = target.where(~_any_null(keys))
+    fresh = src.join(tgt, [src[k] == tgt[k] for k in keys], "left_anti")
+    return target.unionByName(fresh, allowMissingColumns=True).unionByName(src_null, allowMissingColumns=True)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -74,6 +94,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         update_cols = [c for c in source.columns if c not in keys]
     update_cols = list(update_cols)
     ts = _lit_ts(load_ts)
+    target, target_null = split_null_keys(target, keys)
+    source, source_null = split_null_keys(source, keys)
     t = target.withColumn(_T, F.lit(True)).alias("t")
     s = source.withColumn(_S, F.lit(True)).alias("s")
     joined = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full")
@@ -95,7 +117,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         else:
             e = F.when(in_t, tc).otherwise(sc)
         sel.append(e.alias(c))
-    return joined.select(*sel)
+    merged = joined.select(*sel)
+    # NULL-key rows: stored ones stay, incoming ones are inserted (audited like inserts)
+    inserted_null = source_null
+    if audit and CREATION_COL in out_cols:
+        inserted_null = inserted_null.withColumns({CREATION_COL: ts, UPDATE_COL: ts})
+    return (merged.unionByName(target_null.select(*[c for c in target.columns]), allowMissingColumns=True)
+            .unionByName(inserted_null, allowMissingColumns=True).select(*out_cols))
 
 
 def update_only(target: DataFrame, source: DataFrame, key: str, set_cols: dict[str, str],
@@ -104,14 +132,16 @@ def update_only(target: DataFrame, source: DataFrame, key: str, set_cols: dict[s
 
     ``set_cols`` maps target column -> source column.  Keys must be unique in source.
     """
-    s = source.select(F.col(key).alias("__ll_key"), F.lit(True).alias(_S),
-                      *[F.col(v).alias(f"__ll_src_{k}") for k, v in set_cols.items()])
-    joined = target.join(s, target[key] == s["__ll_key"], "left")
+    tgt, tgt_null = split_null_keys(target, [key])
+    s = source.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("__ll_key"), F.lit(True).alias(_S),
+        *[F.col(v).alias(f"__ll_src_{k}") for k, v in set_cols.items()])
+    joined = tgt.join(s, tgt[key] == s["__ll_key"], "left")
     hit = F.col(_S).isNotNull()
     sets = {k: F.when(hit, F.col(f"__ll_src_{k}")).otherwise(F.col(k)) for k in set_cols}
     if update_date_col and update_date_col not in set_cols:
         sets[update_date_col] = F.when(hit, _lit_ts(load_ts)).otherwise(F.col(update_date_col))
-    return joined.withColumns(sets).select(*target.columns)
+    return joined.withColumns(sets).select(*target.columns).unionByName(tgt_null)
 
 
 def persist(target: DataFrame | None, source: DataFrame, mode: PersistMode | str,

@@ -237,3 +237,17 @@ def test_bucketed_target_merges_without_shuffling_the_target(spark):
         assert out.count() == 2010
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_null_keys_bypass_the_merge_join(spark):
+    tgt = spark.createDataFrame([(None, "t1"), (1, "a"), (None, "t2")], "k int, v string")
+    src = spark.createDataFrame([(None, "s1"), (1, "A"), (2, "B")], "k int, v string")
+    assert rows(merge.upsert(tgt, src, ["k"]), "k", "v") == [
+        (None, "s1"), (None, "t1"), (None, "t2"), (1, "A"), (2, "B")]
+    assert rows(merge.insert_ignore(tgt, src, ["k"]), "k", "v") == [
+        (None, "s1"), (None, "t1"), (None, "t2"), (1, "a"), (2, "B")]
+    assert rows(merge.update_only(tgt, src, "k", {"v": "v"}, update_date_col=None), "k", "v") == [
+        (None, "t1"), (None, "t2"), (1, "A")]
+    t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    audited = merge.upsert(merge.with_audit_columns(tgt, t0), src, ["k"], ["v"], load_ts=t1, audit=True)
+    assert rows(audited.where("k is null"), "v", "creation_date") == [("s1", t1), ("t1", t0), ("t2", t0)]
