@@ -25,12 +25,32 @@ DEFAULT_CONF = {
 }
 
 
+# Large-cluster profile (hundreds of executors, tens of TB per job).  Partition sizes are
+# set by bytes, not counts: AQE splits/coalesces shuffle partitions towards the advisory
+# size, and a partition that is several times the median is treated as skewed and split.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",                       # upper bound; AQE coalesces
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),  # runtime-checked size bound
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "ledgerlake", extra: dict | None = None) -> SparkSession:
+                app_name: str = "ledgerlake", extra: dict | None = None,
+                profile: str = "local") -> SparkSession:
+    """``profile='cluster'`` adds ``CLUSTER_CONF`` (for a real cluster, no master)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -95,3 +95,15 @@ def test_credit_note_inherits_invoice_group(spark):
     out = {(r["id_factura"], r["id_articulo"]): r["grupo_vendedor"]
            for r in gold.inherit_credit_note_group(_stg(spark, rows)).where(F.col("is_nc")).collect()}
     assert out == {(2, 10): "GRUPO B", (2, 99): "PROPIO"}
+
+
+def test_materialize_job_equals_lazy_fact(spark, tmp_dir):
+    from tests.conftest import SMALL_SF
+    from tools.check_queries import digest
+    from ledgerlake.plans.warehouse import Warehouse, materialize
+    paths = materialize(spark, SMALL_SF, tmp_dir, buckets=4)
+    written = spark.read.parquet(paths["gold_fact_facturacion"])
+    lazy = Warehouse(spark, SMALL_SF).fact()
+    assert digest(written.columns, [tuple(r) for r in written.collect()])[0] == \
+        digest(lazy.columns, [tuple(r) for r in lazy.collect()])[0]
+    assert spark.table("mart_fact_facturacion_ventas").count() > 0
