@@ -129,10 +129,18 @@ def agent_documents(inv, dven, seeds) -> DataFrame:
                    | F.col("__va_code").isNotNull()).select("codigo_documento").distinct()
 
 
-def fact_staging(inv, lns, dinv, dcli, dven, dart, dco, seeds) -> DataFrame:
-    """Wide line staging with the 11-rule seller group (first match wins)."""
-    fc = commercial_documents(inv, lns, dart, dcli, dven, seeds).select(F.col("codigo_documento").alias("fc_doc"))
-    fa = agent_documents(inv, dven, seeds).select(F.col("codigo_documento").alias("fa_doc"))
+def fact_staging(inv, lns, dinv, dcli, dven, dart, dco, seeds, commercial: DataFrame | None = None,
+                 agents: DataFrame | None = None) -> DataFrame:
+    """Wide line staging with the 11-rule seller group (first match wins).
+
+    ``commercial`` / ``agents`` are the precomputed document lists (a caller that
+    materialises them once passes them in)."""
+    if commercial is None:
+        commercial = commercial_documents(inv, lns, dart, dcli, dven, seeds)
+    if agents is None:
+        agents = agent_documents(inv, dven, seeds)
+    fc = commercial.select(F.col("codigo_documento").alias("fc_doc"))
+    fa = agents.select(F.col("codigo_documento").alias("fa_doc"))
     agreement_code = joins.lookup_default(dco, "codigo", standins.AGREEMENT_DEFAULT_CODE, "id_codigo")
     fcon = (dinv.where(F.col("codigo_descuento").like("%ALIANZA%"))
             .select(F.col("id_factura").alias("fcon_id"), agreement_code.alias("fcon_code"),

@@ -32,11 +32,38 @@ def layer(fn=None, *, cut: bool = True):
     return deco(fn) if fn is not None else deco
 
 
+class _Seeds(dict):
+    """Seeds, each written once on first use (they are derived by joins of the source
+    tables; written, their exact small size lets AQE broadcast them)."""
+
+    def __init__(self, lazy: dict, cut: bool):
+        super().__init__()
+        self._lazy, self._cut = lazy, cut
+
+    def __getitem__(self, name):
+        if not dict.__contains__(self, name):
+            df = self._lazy[name]
+            dict.__setitem__(self, name, cut_lineage(df, f"seed_{name}") if self._cut else df)
+        return dict.__getitem__(self, name)
+
+    def keys(self):
+        return self._lazy.keys()
+
+    def __iter__(self):
+        return iter(self._lazy)
+
+    def __contains__(self, name):
+        return name in self._lazy
+
+    def items(self):
+        return [(k, self[k]) for k in self._lazy]
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, cut: bool = True):
         self.t = Tables(spark, sf_dir)
         self.bronze = standins.bronze(self.t)
-        self.seeds = standins.seeds(self.t)
+        self.seeds = _Seeds(standins.seeds(self.t), cut)
         self.cut = cut
         self._memo: dict = {}
 
@@ -92,10 +119,20 @@ class Warehouse:
         return gold.dim_invoices(self.s_invoices(), self.s_requests(), self.d_codes(),
                                  self.seeds["facturas_excluidas"])
 
+    @layer
+    def commercial_docs(self):
+        return gold.commercial_documents(self.s_invoices(), self.s_lines(), self.d_articles(), self.d_customers(),
+                                         self.d_sellers(), self.seeds)
+
+    @layer
+    def agent_docs(self):
+        return gold.agent_documents(self.s_invoices(), self.d_sellers(), self.seeds)
+
     @layer
     def staging(self):
         return gold.fact_staging(self.s_invoices(), self.s_lines(), self.d_invoices(), self.d_customers(),
-                                 self.d_sellers(), self.d_articles(), self.d_codes(), self.seeds)
+                                 self.d_sellers(), self.d_articles(), self.d_codes(), self.seeds,
+                                 commercial=self.commercial_docs(), agents=self.agent_docs())
 
     @layer
     def fact(self):
