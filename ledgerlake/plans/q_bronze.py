@@ -23,7 +23,7 @@ def _extract(t, types, estado, with_control=True):
     k = F.get_json_object("props", "$.k")
     cols = [F.col("event_id").alias("id_tramite"),
             F.concat(F.lit("sf"), F.col("user_id").cast("string"), F.lit("-"),
-                     F.floor(k.cast("long") / 25).cast("string")).alias("serial_firma"),
+                     F.call_function("div", k.cast("long"), F.lit(25)).cast("string")).alias("serial_firma"),
             F.col("user_id").cast("string").alias("cedula"),
             F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("fecha_aprobacion"),
             F.col("event_id").cast("string").alias("factura"),

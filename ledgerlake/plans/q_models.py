@@ -16,7 +16,7 @@ def warehouse(spark, sf_dir) -> Warehouse:
     """One warehouse (layers built once, lineage cut) per session and input directory."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
-        _CACHE[key] = Warehouse(spark, sf_dir)
+        _CACHE[key] = Warehouse(spark, sf_dir).build()
     return _CACHE[key]
 
 

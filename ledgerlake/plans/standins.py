@@ -35,8 +35,9 @@ SPECIAL_GROUP_CUSTOMER = "13"
 _VAT_RATE = Decimal("0.12")
 
 
-def _key_str(c) -> Column:
-    return F.col(c).cast("string")
+def half_key(c) -> Column:
+    """Document number of an order: ``key div 2`` (integral, exact for any long)."""
+    return F.call_function("div", F.col(c) if isinstance(c, str) else c, F.lit(2))
 
 
 def invoice_number(orderkey: Column) -> Column:
@@ -59,7 +60,7 @@ def bronze_invoices(t: Tables):
         .otherwise(F.round(price * F.lit(_VAT_RATE), 2)).cast("decimal(18,2)")
     return j.select(
         invoice_number(k).alias("numfac"),
-        F.when((prio == "5-LOW") & (st == "P"), F.lit("")).otherwise(F.floor(k / 2).cast("string")).alias("numdoc"),
+        F.when((prio == "5-LOW") & (st == "P"), F.lit("")).otherwise(half_key(k).cast("string")).alias("numdoc"),
         F.col("o_custkey").cast("string").alias("cliente"),
         F.concat(F.lit("00"), nat).alias("numser"),
         F.lpad(k.cast("string"), 9, "0").alias("pedido"),
@@ -180,7 +181,8 @@ def bronze_requests(t: Tables):
         F.col("event_id").cast("int").alias("id_tramite"),
         F.lit("CAMUNDA").alias("origen"),
         F.when(et == "view", None).otherwise(
-            F.concat(F.lit("sf"), F.col("user_id").cast("string"), F.lit("-"), F.floor(k / 25).cast("string")))
+            F.concat(F.lit("sf"), F.col("user_id").cast("string"), F.lit("-"),
+                     F.call_function("div", k, F.lit(25)).cast("string")))
          .alias("serial_firma"),
         F.concat(F.lit(" "), F.col("user_id").cast("string")).alias("cedula"),
         F.when(et == "error", None).otherwise(F.col("ts")).alias("fecha_aprobacion"),
@@ -238,9 +240,9 @@ def seeds(t: Tables) -> dict:
             F.concat(F.lit("AGENTE "), F.col("s_name")).alias("agente"),
             F.col("s_suppkey").cast("string").alias("codigo_vendedor")),
         "reasignacion_comercial": o.where((prio == "1-URGENT") & (st == "F") & (F.col("o_totalprice") > 300000))
-        .select(F.floor(F.col("o_orderkey") / 2).cast("string").alias("codigo_documento")).distinct(),
+        .select(half_key("o_orderkey").cast("string").alias("codigo_documento")).distinct(),
         "reasignacion_grupo_vendedor": o.where(F.col("o_totalprice") > 450000).select(
-            F.floor(F.col("o_orderkey") / 2).cast("string").alias("codigo_documento"),
+            half_key("o_orderkey").cast("string").alias("codigo_documento"),
             F.lit("GRUPO ASIGNADO").alias("grupo_asignado")).distinct(),
         "reasignacion_distribuidores": auto.select(
             F.col("c_custkey").cast("string").alias("codigo_cliente"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -67,6 +68,27 @@ class Warehouse:
         self.cut = cut
         self._memo: dict = {}
 
+    # dependency waves: every layer of a wave only needs layers of earlier waves
+    WAVES = (("seeds", "s_requests", "d_customers", "d_sellers"),
+             ("s_invoices", "d_articles"),
+             ("d_invoices", "commercial_docs", "agent_docs"),
+             ("staging",),
+             ("fact",))
+
+    def build(self, workers: int = 4) -> "Warehouse":
+        """Write every layer once.  Layers of one wave are independent Spark jobs submitted
+        from a few driver threads, so small writes overlap instead of queueing."""
+        def run(name):
+            if name == "seeds":
+                for seed in self.seeds:
+                    self.seeds[seed]
+            else:
+                getattr(self, name)()
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            for wave in self.WAVES:
+                list(pool.map(run, wave))
+        return self
+
     # silver -------------------------------------------------------------------------
     @layer
     def s_requests(self):
