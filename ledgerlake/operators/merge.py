@@ -144,6 +144,26 @@ def update_only(target: DataFrame, source: DataFrame, key: str, set_cols: dict[s
     return joined.withColumns(sets).select(*target.columns).unionByName(tgt_null)
 
 
+def resolve_batches(source: DataFrame, keys: Sequence[str], order: Sequence[Column],
+                    batch_size: int = 10_000) -> DataFrame:
+    """Reproduce the batched loader in one plan (O-21): rows are cut into batches of
+    ``batch_size`` in extract ``order`` (a total order); a key repeated inside one batch
+    fails the load (the database rejected such a batch), across batches the later batch
+    wins.  Batch ids come from a parallel global row number, not a driver loop."""
+    from ledgerlake.operators.dedup import keep_first
+    from ledgerlake.operators.joins import join_back_aggregate
+    from ledgerlake.operators.keys import global_row_number
+    keys = list(keys)
+    numbered = global_row_number(source, order, "__ll_seq")
+    batched = numbered.withColumn("__ll_batch", F.call_function("div", F.col("__ll_seq") - 1, F.lit(batch_size)))
+    counted = join_back_aggregate(batched, keys + ["__ll_batch"], [F.count(F.lit(1)).alias("__ll_dup")])
+    checked = counted.withColumn("__ll_batch", F.when(
+        F.col("__ll_dup") > 1, F.raise_error(F.lit("duplicate conflict key inside one load batch")))
+        .otherwise(F.col("__ll_batch")))
+    last = keep_first(checked, keys, [F.col("__ll_batch").desc(), F.col("__ll_seq").desc()])
+    return last.drop("__ll_seq", "__ll_batch", "__ll_dup")
+
+
 def persist(target: DataFrame | None, source: DataFrame, mode: PersistMode | str,
             keys: Sequence[str] | None = None, update_cols: Sequence[str] | None = None,
             load_ts=None, audit: bool = False) -> DataFrame:

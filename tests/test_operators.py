@@ -251,3 +251,13 @@ def test_null_keys_bypass_the_merge_join(spark):
     t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
     audited = merge.upsert(merge.with_audit_columns(tgt, t0), src, ["k"], ["v"], load_ts=t1, audit=True)
     assert rows(audited.where("k is null"), "v", "creation_date") == [("s1", t1), ("t1", t0), ("t2", t0)]
+
+
+def test_resolve_batches_last_batch_wins_and_in_batch_duplicates_fail(spark):
+    src = spark.createDataFrame([(1, "k1", "a"), (2, "k2", "b"), (3, "k1", "c"), (4, "k3", "d")],
+                                "seq int, k string, v string")
+    out = merge.resolve_batches(src, ["k"], [F.col("seq").asc()], batch_size=2)
+    assert rows(out, "k", "v") == [("k1", "c"), ("k2", "b"), ("k3", "d")]
+    bad = merge.resolve_batches(src, ["k"], [F.col("seq").asc()], batch_size=4)
+    with pytest.raises(Exception, match="duplicate conflict key"):
+        bad.collect()
