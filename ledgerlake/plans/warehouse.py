@@ -77,8 +77,16 @@ class Warehouse:
 
     def build(self, workers: int = 4) -> "Warehouse":
         """Write every layer once.  Layers of one wave are independent Spark jobs submitted
-        from a few driver threads, so small writes overlap instead of queueing."""
+        from a few driver threads, so small writes overlap instead of queueing.  The
+        caller's job group / scheduler pool are carried into the worker threads."""
+        sc = self.t.spark.sparkContext
+        props = {k: sc.getLocalProperty(k) for k in ("spark.jobGroup.id", "spark.job.description",
+                                                      "spark.scheduler.pool")}
+
         def run(name):
+            for k, v in props.items():
+                if v is not None:
+                    sc.setLocalProperty(k, v)
             if name == "seeds":
                 for seed in self.seeds:
                     self.seeds[seed]
