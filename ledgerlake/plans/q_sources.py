@@ -169,11 +169,12 @@ WITH src AS (
          CASE WHEN c_acctbal < 0 THEN NULL ELSE CAST(c_custkey AS VARCHAR) END AS ruc,
          CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL
               ELSE CAST(DATE '2024-01-01' + c_nationkey AS TIMESTAMP) END AS fecha_aprob,
-         CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'FIRMA' ELSE 'SF' END AS producto
+         CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'FIRMA' ELSE 'SF' END AS producto,
+         CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE lower(c_mktsegment) END AS ap2
   FROM customer)
 SELECT c_custkey, COALESCE(ruc, left(c_name, 10)) AS id_cliente, fecha_aprob, producto
 FROM src
-WHERE fecha_aprob IS NOT NULL AND c_name NOT ILIKE 'customer#0000000%'
+WHERE fecha_aprob IS NOT NULL AND c_name NOT ILIKE 'customer#0000000%' AND ap2 NOT ILIKE '%prueb%'
 """)
 def fallback_extract(spark, sf_dir):
     c = Tables(spark, sf_dir).customer
@@ -184,9 +185,11 @@ def fallback_extract(spark, sf_dir):
          .otherwise(F.date_add(F.lit(dt.date(2024, 1, 1)), F.col("c_nationkey")).cast("timestamp_ntz"))
          .alias("fecha_aprob"),
         F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "FIRMA").otherwise("SF")
-         .alias("producto"))
+         .alias("producto"),
+        # second surname, NULL for some rows: NOT ILIKE on NULL drops the row (T-05)
+        F.when(F.col("c_mktsegment") == "AUTOMOBILE", None).otherwise(F.lower("c_mktsegment")).alias("ap2"))
     return (src.where(F.col("fecha_aprob").isNotNull()
-                      & ~F.col("c_name").ilike("customer#0000000%"))
+                      & ~F.col("c_name").ilike("customer#0000000%") & ~F.col("ap2").ilike("%prueb%"))
             .select("c_custkey", F.coalesce("ruc", text.left("c_name", 10)).alias("id_cliente"),
                     "fecha_aprob", "producto"))
 
@@ -194,7 +197,7 @@ def fallback_extract(spark, sf_dir):
 @query("calendar", "O-16 O-85 O-86 M-13", sql="""
 WITH span AS (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) + 1 AS hi FROM orders),
 days AS (SELECT CAST(unnest(generate_series(lo, hi - 1, INTERVAL 1 DAY)) AS DATE) AS date_day FROM span)
-SELECT date_day,
+SELECT date_day AS "date",
        CAST(year(date_day) AS INTEGER) AS year, CAST(month(date_day) AS INTEGER) AS month,
        CAST(day(date_day) AS INTEGER) AS day, CAST(quarter(date_day) AS INTEGER) AS quarter,
        rpad(strftime(date_day, '%B'), 9, ' ') AS month_name,

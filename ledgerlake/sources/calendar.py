@@ -32,7 +32,7 @@ def date_spine(spark: SparkSession, start: dt.date = CALENDAR_START,
 def dim_date(spine: DataFrame, day_col: str = "date_day") -> DataFrame:
     d = F.col(day_col)
     return spine.select(
-        d.alias("date_day"),
+        d.alias("date"),
         F.year(d).alias("year"),
         F.month(d).alias("month"),
         F.dayofmonth(d).alias("day"),

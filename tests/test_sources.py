@@ -69,5 +69,5 @@ def test_run_mode_registry_unions_by_name(spark):
 def test_calendar_reference_span(spark):
     cal = calendar.dim_date(calendar.date_spine(spark))
     assert cal.count() == 5843
-    last = cal.agg(F.max("date_day")).first()[0]
+    last = cal.agg(F.max("date")).first()[0]
     assert last == dt.date(2030, 12, 30)
