@@ -16,6 +16,18 @@ PG_NAME_WIDTH = 9
 # --------------------------------------------------------------------------------------
 
 
+def ntz_literal(value) -> Column:
+    """A TIMESTAMP_NTZ literal that does not depend on any time zone.
+
+    ``F.lit(datetime)`` builds a session-zone TIMESTAMP from the Python process' local
+    zone; compared with a TIMESTAMP_NTZ column it shifts when the two zones differ.
+    """
+    if isinstance(value, Column):
+        return value.cast("timestamp_ntz")
+    text = value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def month_shift(c, months: int = -1) -> Column:
     """``(d - INTERVAL 'n month')::date``: clamps to the month end (03-31 -> 02-28)."""
     return F.add_months(F.to_date(to_col(c)), months)

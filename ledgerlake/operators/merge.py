@@ -22,6 +22,7 @@ from enum import Enum
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.dates import ntz_literal
 from ledgerlake.operators.transforms import nan_to_null_columns, require_columns
 
 CREATION_COL = "creation_date"
@@ -41,7 +42,7 @@ def _lit_ts(load_ts) -> Column:
         return load_ts
     if load_ts is None:
         return F.localtimestamp()
-    return F.lit(load_ts).cast("timestamp_ntz")
+    return ntz_literal(load_ts)
 
 
 def with_audit_columns(df: DataFrame, load_ts=None) -> DataFrame:

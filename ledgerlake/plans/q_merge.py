@@ -7,6 +7,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.dates import ntz_literal
 from ledgerlake.operators import aggregates, merge
 from ledgerlake.operators import transforms as tf
 from ledgerlake.plans.registry import query
@@ -142,7 +143,7 @@ def incremental_refresh(spark, sf_dir):
     orders = t.orders.select(*cols)
     empty = orders.where(F.lit(False))
     # run 1: empty target -> NULL mark -> everything up to the cutoff the extract holds
-    extract1 = orders.where(F.col("o_orderdate") <= F.lit(INITIAL_CUTOFF))
+    extract1 = orders.where(F.col("o_orderdate") <= ntz_literal(INITIAL_CUTOFF))
     first = merge.persist(empty, extract1.where(aggregates.after_watermark(
         "o_orderdate", empty.select(F.max("o_orderdate")).scalar())), "update", keys=["o_orderkey"])
     # run 2: stored mark, boundary re-read (inclusive) so the merge sees conflicts

@@ -26,9 +26,10 @@ FROM orders WHERE o_orderdate > TIMESTAMP '1999-06-30 00:00:00'
 """)
 def scan_param_filter(spark, sf_dir):
     t = Tables(spark, sf_dir)
+    # the mark is bound as text and cast in SQL: a TIMESTAMP_NTZ needs no time zone
     q = ("SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM {src} "
-         "WHERE o_orderdate > :max_incremental_date")
-    return spark.sql(q, args={"max_incremental_date": HWM_TS}, src=t.orders)
+         "WHERE o_orderdate > CAST(:max_incremental_date AS TIMESTAMP_NTZ)")
+    return spark.sql(q, args={"max_incremental_date": HWM_TS.isoformat(sep=" ")}, src=t.orders)
 
 
 @query("scan_id_watermark", "O-10", sql="""
