@@ -87,14 +87,14 @@ class Warehouse:
             for k, v in props.items():
                 if v is not None:
                     sc.setLocalProperty(k, v)
-            if name == "seeds":
-                for seed in self.seeds:
-                    self.seeds[seed]
+            if name.startswith("seed:"):
+                self.seeds[name[5:]]
             else:
                 getattr(self, name)()
         with ThreadPoolExecutor(max_workers=workers) as pool:
             for wave in self.WAVES:
-                list(pool.map(run, wave))
+                tasks = [t for w in wave for t in ([f"seed:{s}" for s in self.seeds] if w == "seeds" else [w])]
+                list(pool.map(run, tasks))
         return self
 
     # silver -------------------------------------------------------------------------
