@@ -28,6 +28,9 @@ NO_DISCOUNT_CODE = "SIN CODIGO DE DESCUENTO"
 AGREEMENT_MARKERS = ("ALIANZA", "COLEGIOABOGADO", "ANAMER", "FEUE")
 EXTRA_VOUCHERS_PATTERN = "^ADICIONAL [0-9]+ COMPROBANTES$"
 EXTRA_VOUCHERS_CODE = "SF.CA.MANUAL"
+# Comment prefixes that mean "commercial" (the first one is a misspelling that occurs in
+# the source data and is matched on purpose).
+COMMERCIAL_COMMENT_PREFIXES = ("COEMRCIAL", "COMERCIAL")
 # -----------------------------------------------------------------------------------
 
 
@@ -167,8 +170,9 @@ def invoices(fac: DataFrame, req: DataFrame, cod: DataFrame, points: DataFrame,
     parsed = (cleaned.join(doc_group, "codigo_documento", "left")
               .withColumn("codigo_documento", F.when(F.col("codigo_documento") == "", F.col("codigo_factura"))
                           .otherwise(F.col("codigo_documento")))
-              .withColumn("comentario_3", F.when(c3.like("COEMRCIAL%") | c3.like("COMERCIAL%"), "COMERCIAL")
-                          .otherwise(c3))
+              .withColumn("comentario_3", F.when(
+                  c3.like(COMMERCIAL_COMMENT_PREFIXES[0] + "%") | c3.like(COMMERCIAL_COMMENT_PREFIXES[1] + "%"),
+                  "COMERCIAL").otherwise(c3))
               .withColumn("codigo_descuento", F.coalesce(
                   text.regex_extract_or_null("comentario_2", DISCOUNT_CODE_PATTERN), F.lit(NO_DISCOUNT_CODE))))
     agreement = None
