@@ -61,10 +61,23 @@ class _Seeds(dict):
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, cut: bool = True):
-        self.t = Tables(spark, sf_dir)
-        self.bronze = standins.bronze(self.t)
-        self.seeds = _Seeds(standins.seeds(self.t), cut)
+    """The layered models over one set of inputs.
+
+    With only ``sf_dir`` the bronze tables and seeds are stand-ins derived from the test
+    tables.  A real deployment passes its own ``bronze`` frames (keys as in
+    ``standins.bronze``: fenix_facturas, fenix_tranfac, ...) and ``seeds``
+    (``plans.seeds.read_seeds`` plus the ``puntos_emision`` and ``facturas_excluidas``
+    feature tables); anything not given falls back to the stand-ins.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, cut: bool = True,
+                 bronze: dict | None = None, seeds: dict | None = None):
+        self.spark = spark
+        self.t = Tables(spark, sf_dir) if sf_dir else None
+        derived_bronze = standins.bronze(self.t) if self.t is not None and not bronze else {}
+        derived_seeds = standins.seeds(self.t) if self.t is not None else {}
+        self.bronze = {**derived_bronze, **(bronze or {})}
+        self.seeds = _Seeds({**derived_seeds, **(seeds or {})}, cut)
         self.cut = cut
         self._memo: dict = {}
 
@@ -79,7 +92,7 @@ class Warehouse:
         """Write every layer once.  Layers of one wave are independent Spark jobs submitted
         from a few driver threads, so small writes overlap instead of queueing.  The
         caller's job group / scheduler pool are carried into the worker threads."""
-        sc = self.t.spark.sparkContext
+        sc = self.spark.sparkContext
         props = {k: sc.getLocalProperty(k) for k in ("spark.jobGroup.id", "spark.job.description",
                                                       "spark.scheduler.pool")}
 
@@ -185,8 +198,9 @@ class Warehouse:
         return marts.sales(self.fact(), self.d_codes(), self.d_invoices(), self.d_articles())
 
 
-def materialize(spark: SparkSession, sf_dir: str, out_dir: str, buckets: int = 64,
-                database: str = "ledgerlake") -> dict[str, str]:
+def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets: int = 64,
+                database: str = "ledgerlake", bronze: dict | None = None,
+                seeds: dict | None = None) -> dict[str, str]:
     """The production job: build every layer, writing each table once (full refresh) and
     reading it back so downstream layers start from files, not from the upstream lineage.
 
@@ -194,7 +208,7 @@ def materialize(spark: SparkSession, sf_dir: str, out_dir: str, buckets: int = 6
     bucket count, so the header x line joins of the fact read both sides in place
     (co-located, no shuffle of the largest table).  Marts stay views over the fact.
     """
-    w = Warehouse(spark, sf_dir, cut=False)
+    w = Warehouse(spark, sf_dir, cut=False, bronze=bronze, seeds=seeds)
     paths: dict[str, str] = {}
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 

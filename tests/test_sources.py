@@ -71,3 +71,18 @@ def test_calendar_reference_span(spark):
     assert cal.count() == 5843
     last = cal.agg(F.max("date")).first()[0]
     assert last == dt.date(2030, 12, 30)
+
+
+def test_read_seed_directory_and_warehouse_override(spark, tmp_dir):
+    from ledgerlake.plans.seeds import read_seeds
+    from ledgerlake.plans.warehouse import Warehouse
+    from tests.conftest import SMALL_SF
+    write(os.path.join(tmp_dir, "reasignacion_subtotal.csv"), "﻿numero_factura,motivo\n0010000000002,ajuste\n")
+    write(os.path.join(tmp_dir, "vendedores_comercial.csv"),
+          " codigo_vendedor,fecha_inicio,fecha_fin\n7,2020-01-01,2020-12-31\n")
+    seeds = read_seeds(spark, tmp_dir)
+    assert set(seeds) == {"reasignacion_subtotal", "vendedores_comercial"}
+    assert seeds["vendedores_comercial"].first()["fecha_fin"] == dt.date(2020, 12, 31)
+    w = Warehouse(spark, SMALL_SF, cut=False, seeds=seeds)
+    assert w.seeds["reasignacion_subtotal"].count() == 1            # the file, not the stand-in
+    assert w.seeds["articulos_comercial"].count() > 0               # others still derived
