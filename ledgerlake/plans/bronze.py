@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerlake.operators import aggregates, dedup, merge
 from ledgerlake.operators import transforms as tf
@@ -96,3 +97,17 @@ def requests_watermarks(target: DataFrame) -> DataFrame:
 
 def clean_special_for(table: str, df: DataFrame) -> DataFrame:
     return tf.clean_special_columns(df, CLEANED_COLUMNS.get(table, ()))
+
+
+def incremental_load(target: DataFrame, extract: DataFrame, spec: LoadSpec, mode: str = "INCREMENTAL",
+                     load_ts=None) -> DataFrame:
+    """One scheduled run of a single-source bronze load (O-93, §3.1):
+    high-water mark of the target (a scalar subquery, NULL when empty -> load all) ->
+    filtered extract -> special-character cleaning -> UPDATE merge.  ``mode='INICIAL'``
+    reads the whole extract."""
+    from ledgerlake.operators.aggregates import after_watermark
+    src = extract
+    if mode == "INCREMENTAL" and spec.watermark:
+        hwm = target.select(F.max(spec.watermark)).scalar()
+        src = src.where(after_watermark(spec.watermark, hwm))
+    return load(target, clean_special_for(spec.table, src), spec, load_ts)

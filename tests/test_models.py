@@ -107,3 +107,22 @@ def test_materialize_job_equals_lazy_fact(spark, tmp_dir):
     assert digest(written.columns, [tuple(r) for r in written.collect()])[0] == \
         digest(lazy.columns, [tuple(r) for r in lazy.collect()])[0]
     assert spark.table("mart_fact_facturacion_ventas").count() > 0
+
+
+def test_incremental_bronze_invoice_load_equals_full_load(spark):
+    from tests.conftest import SMALL_SF
+    from ledgerlake.operators import merge
+    from ledgerlake.plans import bronze, standins
+    from ledgerlake.plans.tables import Tables
+    t0, t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), dt.datetime(2024, 3, 1)
+    extract = standins.bronze_invoices(Tables(spark, SMALL_SF))
+    spec = bronze.LOAD_SPECS["fenix_facturas"]
+    empty = merge.with_audit_columns(extract.where(F.lit(False)), t0)
+    run1 = bronze.incremental_load(empty, extract.where(F.col("fecha_hora") < F.lit("1998-01-01").cast("timestamp_ntz")),
+                                   spec, load_ts=t1)          # empty target: NULL mark loads everything given
+    run2 = bronze.incremental_load(run1, extract, spec, load_ts=t2)   # only rows after the stored mark
+    cols = [c for c in extract.columns]
+    assert run2.count() == extract.count()
+    assert run2.select(*cols).exceptAll(extract).count() == 0
+    assert run2.where(F.col("creation_date") == t2).count() == \
+        extract.where(F.col("fecha_hora") > run1.agg(F.max("fecha_hora")).first()[0]).count()

@@ -77,7 +77,7 @@ IMPL = {
     "M-13": "sources.calendar.dim_date", "M-14": "plans.gold.fact_staging / inherit_credit_note_group / allocate_cents / fact_billing",
     "M-15": "plans.marts.agreements_customers", "M-16": "plans.marts.agreements_invoices",
     "M-17": "plans.marts.indirect_channel", "M-18": "plans.marts.agreements_fact", "M-19": "plans.marts.sales",
-    "M-20": "plans.bronze (LOAD_SPECS, clean_request_source, integrate_requests, load)",
+    "M-20": "plans.bronze (LOAD_SPECS, incremental_load, clean_request_source, integrate_requests, load)",
 }
 PYTEST_ONLY = {"O-03", "O-04", "O-05", "O-25", "O-26", "O-28", "O-87", "O-90", "O-91", "O-98"}
 
