@@ -60,12 +60,14 @@ def dim_codes(cod: DataFrame) -> DataFrame:
     return cod.withColumn("vigencia", F.replace(F.col("vigencia"), F.lit("VIGENCIA "), F.lit(""))).distinct()
 
 
-def dim_invoices(inv: DataFrame, req: DataFrame, dco: DataFrame, excluded: DataFrame) -> DataFrame:
+def dim_invoices(inv: DataFrame, req: DataFrame, dco: DataFrame, excluded: DataFrame,
+                 first_req: DataFrame | None = None) -> DataFrame:
     """M-11: exclusions removed; ANULADO when the document has a credit note; sale type
     from the first request of the document, else from the code catalogue."""
     stg = joins.anti_join(inv, excluded, [("codigo_factura", "codigo_factura")])
     nc_docs = inv.where(F.col("is_nc")).select(F.col("codigo_documento").alias("__nc_doc")).distinct()
-    first_req = first_request_per_invoice(req).select(F.col("numero_factura").alias("__rq_nf"), "tipo_venta")
+    first_req = (first_req if first_req is not None else first_request_per_invoice(req)).select(
+        F.col("numero_factura").alias("__rq_nf"), "tipo_venta")
     doc_type = (stg.where(~F.col("is_nc"))
                 .join(first_req, F.col("numero_factura") == F.col("__rq_nf"), "left")
                 .select(F.col("codigo_documento").alias("__dt_doc"), F.col("tipo_venta").alias("__dt_tipo"),

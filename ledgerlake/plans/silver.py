@@ -54,13 +54,13 @@ def requests(ops: DataFrame) -> DataFrame:
         _ut("grupo_vendedor").alias("grupo_vendedor"), "estado", "fecha_factura",
         "id_tramite", "origen")
     approved = F.col("estado") == "APROBADO"
-    cleaned = aggregates.conditional_min_over(cleaned, ["cedula", "producto"], F.col("fecha_aprobacion"),
-                                              approved, "__first_person")
-    cleaned = aggregates.conditional_min_over(cleaned, ["ruc_aux", "producto"], F.col("fecha_aprobacion"),
-                                              approved, "__first_company")
-    first = F.when(F.col("producto") == "FIRMA", F.col("__first_person")) \
-        .when(F.col("producto") == "SF", F.col("__first_company"))
-    cleaned = cleaned.withColumn("fecha_primer_aprobado", first).drop("__first_person", "__first_company")
+    # first approval per (cedula, product) for FIRMA and per (ruc_aux, product) for SF;
+    # one grouping key chosen by product gives the same partitions in a single pass
+    who = F.when(F.col("producto") == "FIRMA", F.col("cedula")).when(F.col("producto") == "SF", F.col("ruc_aux"))
+    cleaned = aggregates.conditional_min_over(cleaned.withColumn("__who", who), ["__who", "producto"],
+                                              F.col("fecha_aprobacion"), approved, "__first")
+    first = F.when(F.col("producto").isin("FIRMA", "SF"), F.col("__first"))
+    cleaned = cleaned.withColumn("fecha_primer_aprobado", first).drop("__first", "__who")
     fa, fp, ff, fi = (F.col(c) for c in ("fecha_aprobacion", "fecha_primer_aprobado", "fecha_factura",
                                          "fecha_inicio_tramite"))
     not_ok = F.col("estado") != "APROBADO"
@@ -147,9 +147,10 @@ def first_request_per_invoice(req: DataFrame) -> DataFrame:
 
 
 def invoices(fac: DataFrame, req: DataFrame, cod: DataFrame, points: DataFrame,
-             islands: DataFrame) -> DataFrame:
-    """M-05 silver.fenix_facturas."""
-    first_req = first_request_per_invoice(req).select("numero_factura", "grupo_vendedor")
+             islands: DataFrame, first_req: DataFrame | None = None) -> DataFrame:
+    """M-05 silver.fenix_facturas (``first_req``: precomputed first request per invoice)."""
+    first_req = (first_req if first_req is not None else first_request_per_invoice(req)) \
+        .select("numero_factura", "grupo_vendedor")
     codven = F.trim("codven")
     cleaned = fac.where(F.col("total_iva") != 0).select(
         F.trim("numfac").alias("codigo_factura"), F.trim("numdoc").alias("codigo_documento"),

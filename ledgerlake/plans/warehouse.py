@@ -83,7 +83,8 @@ class Warehouse:
 
     # dependency waves: every layer of a wave only needs layers of earlier waves
     WAVES = (("seeds", "s_requests", "d_customers", "d_sellers"),
-             ("s_invoices", "d_articles"),
+             ("s_first_requests", "d_articles"),
+             ("s_invoices",),
              ("d_invoices", "commercial_docs", "agent_docs"),
              ("staging",),
              ("fact",))
@@ -135,10 +136,15 @@ class Warehouse:
     def s_sellers(self):
         return silver.sellers(self.bronze["fenix_vendedores"])
 
+    @layer
+    def s_first_requests(self):
+        return silver.first_request_per_invoice(self.s_requests())
+
     @layer
     def s_invoices(self):
         return silver.invoices(self.bronze["fenix_facturas"], self.s_requests(), self.s_codes(),
-                               self.seeds["puntos_emision"], self.seeds["reasignacion_islas_temporales"])
+                               self.seeds["puntos_emision"], self.seeds["reasignacion_islas_temporales"],
+                               first_req=self.s_first_requests())
 
     # gold ---------------------------------------------------------------------------
     @layer
@@ -160,7 +166,7 @@ class Warehouse:
     @layer
     def d_invoices(self):
         return gold.dim_invoices(self.s_invoices(), self.s_requests(), self.d_codes(),
-                                 self.seeds["facturas_excluidas"])
+                                 self.seeds["facturas_excluidas"], first_req=self.s_first_requests())
 
     @layer
     def commercial_docs(self):
@@ -231,14 +237,15 @@ def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets:
     cod = put("silver_fenix_codigos", w.s_codes())
     lns = put_bucketed("silver_fenix_tranfac", w.s_lines(), "codigo_factura")
     ven = put("silver_fenix_vendedores", w.s_sellers())
+    freq = put("silver_first_requests", silver.first_request_per_invoice(req))
     inv = put_bucketed("silver_fenix_facturas", silver.invoices(
-        w.bronze["fenix_facturas"], req, cod, w.seeds["puntos_emision"], w.seeds["reasignacion_islas_temporales"]),
-        "codigo_factura")
+        w.bronze["fenix_facturas"], req, cod, w.seeds["puntos_emision"], w.seeds["reasignacion_islas_temporales"],
+        first_req=freq), "codigo_factura")
     dart = put("gold_dim_articulos", gold.dim_articles(art, w.seeds["articulos_comercial"], lns))
     dcli = put("gold_dim_clientes", gold.dim_customers(cli))
     dven = put("gold_dim_vendedores", gold.dim_sellers(ven))
     dco = put("gold_dim_codigos", gold.dim_codes(cod))
-    dinv = put("gold_dim_facturas", gold.dim_invoices(inv, req, dco, w.seeds["facturas_excluidas"]))
+    dinv = put("gold_dim_facturas", gold.dim_invoices(inv, req, dco, w.seeds["facturas_excluidas"], first_req=freq))
     fact = put("gold_fact_facturacion", gold.fact_billing(
         gold.fact_staging(inv, lns, dinv, dcli, dven, dart, dco, w.seeds)))
     for name, df in (("mart_dim_clientes_convenios", marts.agreements_customers(dinv, fact, dcli)),
