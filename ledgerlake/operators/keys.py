@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _PID = "__ll_pid"
+_POS = "__ll_pos"
 
 
 def global_row_number(df: DataFrame, order: Sequence, name: str, start: int | None = 1,
@@ -27,23 +28,33 @@ def global_row_number(df: DataFrame, order: Sequence, name: str, start: int | No
     """``row_number() over (order by ...)`` computed in parallel (``order`` must be a total
     order, so ties never straddle two range partitions)."""
     spark = df.sparkSession
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        # the counts and the numbered rows must see the same range partitions
+        raise ValueError("global_row_number needs spark.sql.exchange.reuse=true")
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     order = list(order)
-    ranged = (df.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .withColumn(_PID, F.spark_partition_id()))
-    counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__ll_cnt"))
+    # position inside the partition: monotonically_increasing_id() is (partition id << 33)
+    # + row index within the partition, taken right after the local sort, so the local row
+    # number needs no second shuffle (a window partitioned by partition id would add one)
+    parts = df.repartitionByRange(n, *order)
+    ranged = (parts.sortWithinPartitions(*order)
+              .withColumn(_PID, F.spark_partition_id())
+              .withColumn(_POS, F.monotonically_increasing_id()
+                          - F.shiftleft(F.col(_PID).cast("long"), 33)))
+    # both branches read the one range exchange (Spark reuses the identical exchange)
+    counts = (parts.select(F.spark_partition_id().alias(_PID))
+              .groupBy(_PID).agg(F.count(F.lit(1)).alias("__ll_cnt")))
     # running offsets over <= n rows: an unpartitioned window over a frame whose size we bound
     offsets = counts.select(
         _PID,
         (F.sum("__ll_cnt").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1))
          ).alias("__ll_off"))
     base = F.lit(start if start is not None else 0) if start_col is None else start_col
-    within = Window.partitionBy(_PID).orderBy(*order)
+    # broadcast hash join keeps the streamed side's partitions and local order
     numbered = (ranged.join(F.broadcast(offsets), _PID, "inner")
                 .withColumn(name, (base + F.coalesce(F.col("__ll_off"), F.lit(0))
-                                   + F.row_number().over(within) - 1).cast("long")))
-    return numbered.drop(_PID, "__ll_off")
+                                   + F.col(_POS)).cast("long")))
+    return numbered.drop(_PID, _POS, "__ll_off")
 
 
 def dense_keys(df: DataFrame, key_cols: Sequence[str], id_col: str, start: int | None = 1,

@@ -63,12 +63,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the session's checkpoint dir, setting a local one only if unset."""
+    """Return the session's checkpoint dir, setting a local one only if unset and the
+    session runs in local mode (tests); on a cluster the setting is required."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not (configured or fallback) and not sc.master.startswith("local"):
+        # a machine-local folder is not visible to the other executors
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     target = configured or fallback or tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
