@@ -79,6 +79,32 @@ IMPL = {
     "M-17": "plans.marts.indirect_channel", "M-18": "plans.marts.agreements_fact", "M-19": "plans.marts.sales",
     "M-20": "plans.bronze (LOAD_SPECS, incremental_load, clean_request_source, integrate_requests, load)",
 }
+# SURVEY §2.14 semantic traps -> decision taken -> where it lives / what checks it
+TRAPS = {
+    "T-01": ("PG NULL ordering written out", "`asc_nulls_last()` / `desc_nulls_first()` in every window and "
+             "sort (operators.dedup, keys, plans.silver/gold); `NULLS LAST/FIRST` in the oracles; every query vs oracle"),
+    "T-02": ("total tie-break", "operators.dedup.keep_first appends the natural key; sources in list order; "
+             "`test_keep_first_two_phase_equals_one_phase_with_hot_key`, `test_keep_first_equals_window`"),
+    "T-03": ("longest-first alternation", "functions.text.regex_extract_or_null; `test_regex_extract_longest_first_and_null`, `regex_extract`"),
+    "T-04": ("two concat helpers", "functions.text.pg_concat / strict_concat; `test_pg_concat_skips_null_strict_concat_nulls`, `concat_nulls`"),
+    "T-05": ("NOT LIKE / <> / NOT IN drop NULL rows (kept)", "plans.q_sources.fallback_extract, sources.readers.in_list_filter(negate); `fallback_extract`, `rejected_extract`"),
+    "T-06": ("blank document shares one group (reproduced)", "plans.silver.invoices (MAX per document before the blank fallback); `invoice_silver`"),
+    "T-07": ("fan-out reproduced, caught by unique checks", "plans.silver.invoices, plans.gold.fact_staging, joins.effective_join; plans.checks; `fact_billing`, `dq_warehouse`"),
+    "T-08": ("exact integer-cents allocation", "plans.gold.allocate_cents, functions.numeric.div_round_half_up; `cents_allocation`, `test_cents_residual_bounded`"),
+    "T-09": ("zero-sum invoice -> NULL subtotal (parity)", "plans.gold.allocate_cents; `test_allocate_cents_rules`, `cents_allocation`"),
+    "T-10": ("un-adjusted lines stay unrounded", "plans.gold.allocate_cents; `test_allocate_cents_rules`"),
+    "T-11": ("three-valued commercial rules", "plans.gold.commercial_documents; `three_valued_filter`, `multi_rule_filter`, `test_flags_three_valued`"),
+    "T-12": ("NULL conflict key re-inserted (parity)", "operators.merge.upsert routes NULL keys around the join; `test_upsert_null_key_is_inserted_again`, `test_null_keys_bypass_the_merge_join`"),
+    "T-13": ("NULL mark loads everything (deliberate)", "operators.aggregates.after_watermark; `test_after_watermark_null_mark_loads_all`, `incremental_refresh`"),
+    "T-14": ("watermark column is updated (deliberate)", "plans.bronze.LOAD_SPECS (fecha_hora in the update list); `test_incremental_bronze_invoice_load_equals_full_load`"),
+    "T-15": ("extract errors raise (deliberate)", "sources.readers.sql_extract / jdbc_extract / csv_strict; `test_csv_strict_errors`"),
+    "T-16": ("binary text order", "Spark and DuckDB both compare binary; values are upper-case ASCII; every query vs oracle"),
+    "T-17": ("seed timestamps read as DATE", "plans.seeds (typed seed schemas), plans.standins; `test_read_seed_directory_and_warehouse_override`"),
+    "T-18": ("oracle casts `date - INTERVAL` to DATE", "`month_shift` oracle SQL"),
+    "T-19": ("stable surrogate keys (deliberate)", "operators.keys.stable_keys / dense_keys; `test_stable_keys_keep_existing_ids`, `surrogate_keys`"),
+    "T-20": ("`ß` -> `ss` before upper-casing", "functions.text (fixed transliteration table); `normalize_text`, `test_normalize_text_rules`"),
+    "T-21": ("clean_special keeps case and deletes controls; normalize_text keeps only spaces", "functions.text.clean_special / normalize_text; `clean_special`, `test_clean_special_transliterates_and_drops_controls`"),
+}
 PYTEST_ONLY = {"O-03", "O-04", "O-05", "O-25", "O-26", "O-28", "O-87", "O-90", "O-91", "O-98"}
 
 
@@ -100,6 +126,8 @@ def main() -> None:
         qs = sorted(set(by_id.get(oid, [])))
         cell = ", ".join(f"`{q}`" for q in qs) if qs else ("*pytest*" if oid in PYTEST_ONLY else "—")
         lines.append(f"| {oid} | {IMPL[oid]} | {cell} |")
+    lines += ["", "## Semantic traps (SURVEY §2.14)", "", "| id | decision | where / checked by |", "| --- | --- | --- |"]
+    lines += [f"| {t} | {d} | {w} |" for t, (d, w) in TRAPS.items()]
     missing = [q for q in OPERATORS if q not in ORACLE_SQL]
     lines += ["", f"Registered queries: {len(OPERATORS)}; with oracle SQL: {len(OPERATORS) - len(missing)}."]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "COVERAGE.md"), "w") as f:
