@@ -1,14 +1,17 @@
 """Ordered deduplication that survives a hot key.
 
 ``keep_first`` keeps the first row per key under an explicit total order.  A plain
-``row_number() over (partition by key)`` sends every row of a key to one task; when one
-key holds a third of the data that task is the job.  We reduce in two exact phases:
-
-1. rank inside ``(key, salt)`` with ``salt = hash(row) mod n`` and keep the winner of each
-   salted slice — a hot key is spread over ``n`` tasks;
-2. rank the at most ``n`` survivors per key and keep the winner.
-
-The global winner is the winner of its own slice, so the result equals the one-phase plan.
+``row_number() over (partition by key)`` would send every row of a key to one task; when
+one key holds a third of the data that task is the job.  Two ways to avoid it:
+
+* Spark (3.5+) rewrites ``row_number() ... = 1`` into a *partial* ``WindowGroupLimit``
+  before the shuffle: every map task keeps only its best row per key, so a hot key
+  reaches its reducer as at most one row per map partition (a map-side combine).  This
+  is the default whenever ``spark.sql.optimizer.windowGroupLimitThreshold`` allows it.
+* Otherwise we reduce in two exact phases: rank inside ``(key, salt)`` with
+  ``salt = hash(row) mod n`` and keep each salted slice's winner (a hot key is spread
+  over ``n`` tasks), then rank the at most ``n`` survivors per key.  The global winner is
+  the winner of its own slice, so the result equals the one-phase plan.
 """
 
 from __future__ import annotations
@@ -29,6 +32,12 @@ def _cols(cols) -> list:
     return [cols] if isinstance(cols, (str, Column)) else list(cols)
 
 
+def _map_side_group_limit(df: DataFrame) -> bool:
+    """Does the optimizer reduce ``row_number() = 1`` map-side (partial WindowGroupLimit)?"""
+    conf = df.sparkSession.conf
+    return int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")) >= 1
+
+
 def keep_first(df: DataFrame, keys, order: Sequence[Column], salt_buckets: int | None = None,
                salt_cols: Sequence[str] | None = None) -> DataFrame:
     """First row per ``keys`` under ``order`` (which must be a total order).
@@ -37,7 +46,9 @@ def keep_first(df: DataFrame, keys, order: Sequence[Column], salt_buckets: int |
     """
     keys = _cols(keys)
     order = list(order)
-    n = DEFAULT_SALT_BUCKETS if salt_buckets is None else salt_buckets
+    if salt_buckets is None:
+        salt_buckets = 1 if _map_side_group_limit(df) else DEFAULT_SALT_BUCKETS
+    n = salt_buckets
     cur = df
     if n and n > 1:
         salt_src = [F.col(c) for c in (salt_cols or df.columns)]

@@ -30,6 +30,20 @@ def test_keep_first_two_phase_equals_one_phase_with_hot_key(spark):
     assert rows(got, "k", "score", "id") == rows(ref, "k", "score", "id")
 
 
+def test_keep_first_default_reduces_map_side(spark):
+    # default plan: Spark's partial WindowGroupLimit keeps one row per key per map task
+    # before the shuffle, so a hot key never reaches one reducer whole
+    data = [("hot" if i % 3 else "k%d" % (i % 4), i % 11, i) for i in range(2000)]
+    df = spark.createDataFrame(data, "k string, score int, id int").repartition(6)
+    order = [F.col("score").desc(), F.col("id").asc()]
+    got = dedup.keep_first(df, ["k"], order)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    ref = (df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
+           .where("rn = 1").drop("rn"))
+    assert rows(got, "k", "score", "id") == rows(ref, "k", "score", "id")
+
+
 def test_drop_duplicates_pandas_rules(spark):
     df = spark.createDataFrame([(None, None, 1), ("a", None, 2), ("a", None, 3), ("b", "x", 4)],
                                "a string, b string, seq int")
