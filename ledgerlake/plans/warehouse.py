@@ -82,7 +82,7 @@ class Warehouse:
         self._memo: dict = {}
 
     # dependency waves: every layer of a wave only needs layers of earlier waves
-    WAVES = (("seeds", "s_requests", "d_customers", "d_sellers"),
+    WAVES = (("seeds", "s_requests", "d_customers", "d_sellers", "d_codes"),
              ("s_first_requests", "d_articles"),
              ("s_invoices",),
              ("d_invoices", "commercial_docs", "agent_docs"),
@@ -159,7 +159,7 @@ class Warehouse:
     def d_sellers(self):
         return gold.dim_sellers(self.s_sellers())
 
-    @layer(cut=False)
+    @layer
     def d_codes(self):
         return gold.dim_codes(self.s_codes())
 
