@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ledgerlake.sources.readers import read_seed
+from ledgerlake.sources.readers import path_exists, read_seed
 
 
 def _s(*fields) -> T.StructType:
@@ -50,6 +50,6 @@ def read_seeds(spark: SparkSession, seed_dir: str, names=None) -> dict[str, Data
     out = {}
     for name in (names or SEED_SCHEMAS):
         path = os.path.join(seed_dir, f"{name}.csv")
-        if os.path.exists(path) or "://" in seed_dir:
+        if path_exists(spark, path):
             out[name] = read_seed(spark, path, SEED_SCHEMAS[name])
     return out

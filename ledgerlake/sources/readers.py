@@ -6,7 +6,6 @@ DataFrame so Catalyst pushes them into the scan (``PushedFilters`` / ``ReadSchem
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -84,10 +83,17 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence through the Hadoop FileSystem of the path (local disk, HDFS, object
+    stores alike)."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
+
+
 def csv_strict(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """All-string CSV with a header (O-03): missing file -> FileNotFoundError,
     no data rows -> ValueError."""
-    if not os.path.exists(path) and "://" not in path:
+    if not path_exists(spark, path):
         raise FileNotFoundError(path)
     df = (spark.read.option("header", True).option("encoding", "UTF-8")
           .schema(string_schema(columns)).csv(path))

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerlake.operators import merge
+from ledgerlake.sources.readers import path_exists
 
 
 def snapshot_path(target_dir: str, epoch: int) -> str:
@@ -52,9 +53,16 @@ def start_incremental_load(spark: SparkSession, source_dir: str, schema: T.Struc
 
 
 def latest_snapshot(spark: SparkSession, target_dir: str) -> DataFrame:
-    """The newest snapshot (highest epoch directory)."""
-    epochs = [int(d.split("=", 1)[1]) for d in os.listdir(target_dir) if d.startswith("epoch=")] \
-        if os.path.isdir(target_dir) else []
+    """The newest snapshot (highest epoch directory).  Listed through the Hadoop
+    FileSystem of the path, so it works on shared storage, not only on a local disk."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    epochs = []
+    if path_exists(spark, target_dir):
+        for st in fs.listStatus(path):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("epoch="):
+                epochs.append(int(name.split("=", 1)[1]))
     if not epochs:
         raise FileNotFoundError(f"no snapshot under {target_dir}")
     return spark.read.parquet(snapshot_path(target_dir, max(epochs)))
