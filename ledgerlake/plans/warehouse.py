@@ -210,9 +210,10 @@ def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets:
     """The production job: build every layer, writing each table once (full refresh) and
     reading it back so downstream layers start from files, not from the upstream lineage.
 
-    Silver invoice headers and lines are stored bucketed by the invoice key with the same
-    bucket count, so the header x line joins of the fact read both sides in place
-    (co-located, no shuffle of the largest table).  Marts stay views over the fact.
+    Silver invoice headers, lines and the invoice dimension are stored bucketed by the
+    invoice key with the same bucket count, so the header x line x invoice-dimension
+    joins of the fact read all three in place (co-located, no shuffle of the largest
+    table).  Marts stay views over the fact.
     """
     w = Warehouse(spark, sf_dir, cut=False, bronze=bronze, seeds=seeds)
     paths: dict[str, str] = {}
@@ -245,7 +246,8 @@ def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets:
     dcli = put("gold_dim_clientes", gold.dim_customers(cli))
     dven = put("gold_dim_vendedores", gold.dim_sellers(ven))
     dco = put("gold_dim_codigos", gold.dim_codes(cod))
-    dinv = put("gold_dim_facturas", gold.dim_invoices(inv, req, dco, w.seeds["facturas_excluidas"], first_req=freq))
+    dinv = put_bucketed("gold_dim_facturas", gold.dim_invoices(inv, req, dco, w.seeds["facturas_excluidas"],
+                                                                first_req=freq), "codigo_factura")
     fact = put("gold_fact_facturacion", gold.fact_billing(
         gold.fact_staging(inv, lns, dinv, dcli, dven, dart, dco, w.seeds)))
     for name, df in (("mart_dim_clientes_convenios", marts.agreements_customers(dinv, fact, dcli)),
