@@ -107,6 +107,25 @@ def test_materialize_job_equals_lazy_fact(spark, tmp_dir):
     assert digest(written.columns, [tuple(r) for r in written.collect()])[0] == \
         digest(lazy.columns, [tuple(r) for r in lazy.collect()])[0]
     assert spark.table("mart_fact_facturacion_ventas").count() > 0
+    # headers, lines and the invoice dimension are bucketed alike: with broadcasts off, the
+    # three-way join on the invoice key reads all sides in place
+    from pyspark.sql import functions as F
+    inv, lns = spark.table("ledgerlake.silver_fenix_facturas"), spark.table("ledgerlake.silver_fenix_tranfac")
+    dinv = spark.table("ledgerlake.gold_dim_facturas").select(F.col("codigo_factura").alias("df_cf"), "id_factura")
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                            "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in saved:
+            spark.conf.set(k, "-1")
+        j = inv.join(lns, "codigo_factura").join(dinv, F.col("codigo_factura") == F.col("df_cf"))
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def test_incremental_bronze_invoice_load_equals_full_load(spark):

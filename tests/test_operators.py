@@ -72,6 +72,19 @@ def test_global_row_number_is_total_and_dense(spark):
     assert [x[1] for x in r] == sorted([x[1] for x in r], reverse=True)
 
 
+def test_global_row_number_shuffles_the_data_once(spark):
+    # one range exchange, read again by the counts branch (reused), no second exchange
+    df = spark.range(0, 5000).select((F.col("id") * 7 % 5000).alias("v"))
+    got = keys.global_row_number(df, [F.col("v").asc()], "rn", num_partitions=6)
+    assert sorted(r["rn"] for r in got.collect()) == list(range(1, 5001))
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange rangepartitioning") == 2      # the stage and its reuse
+    assert plan.count("ReusedExchange") == 1
+    # the only exchanges by partition id are in the one-row-per-partition counts branch
+    assert plan.count("hashpartitioning(__ll_pid") == 1
+    assert got.where(F.col("rn") != F.col("v") + 1).count() == 0
+
+
 def test_stable_keys_keep_existing_ids(spark):
     old = spark.createDataFrame([(1, "b"), (2, "d")], "id long, k string")
     new = spark.createDataFrame([("a",), ("b",), ("e",)], "k string")
