@@ -23,6 +23,28 @@ _PID = "__ll_pid"
 _POS = "__ll_pos"
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def _bytes(text: str) -> int:
+    """Spark byte-size setting ('67108864', '64m', '256MB') -> bytes."""
+    t = text.strip().lower()
+    digits = len(t) - len(t.lstrip("0123456789"))
+    return int(t[:digits]) * _UNITS[t[digits:].strip()]
+
+
+def _range_partitions(df: DataFrame) -> int:
+    """Partitions for the range exchange: the optimizer's size estimate of the input over
+    the advisory partition size, at most ``spark.sql.shuffle.partitions`` (an exchange by
+    number is not coalesced by AQE, so a small dimension must not get thousands of tasks)."""
+    conf = df.sparkSession.conf
+    cap = int(conf.get("spark.sql.shuffle.partitions", "200"))
+    advisory = _bytes(conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m") or "64m")
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, min(cap, -(-estimate // advisory)))
+
+
 def global_row_number(df: DataFrame, order: Sequence, name: str, start: int | None = 1,
                       num_partitions: int | None = None, start_col=None) -> DataFrame:
     """``row_number() over (order by ...)`` computed in parallel (``order`` must be a total
@@ -31,7 +53,7 @@ def global_row_number(df: DataFrame, order: Sequence, name: str, start: int | No
     if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
         # the counts and the numbered rows must see the same range partitions
         raise ValueError("global_row_number needs spark.sql.exchange.reuse=true")
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = num_partitions or _range_partitions(df)
     order = list(order)
     # position inside the partition: monotonically_increasing_id() is (partition id << 33)
     # + row index within the partition, taken right after the local sort, so the local row

@@ -210,14 +210,22 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] | None
     w.parquet(path)
 
 
-def write_bucketed_snapshot(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:
+def write_bucketed_snapshot(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
+                            in_bucket_layout: bool = False) -> None:
     """Store a merge target bucketed and sorted by its conflict keys.
 
     The next ``upsert`` joins the snapshot on those keys without shuffling it: only the
     (small) increment is exchanged into the bucket layout.  Write each snapshot under a
     new table name and swap, never overwrite the table the merge reads.
+
+    A frame in another layout is first hash-partitioned into ``buckets`` tasks, so each
+    task writes one bucket file (otherwise every upstream task writes a file into every
+    bucket).  The result of ``upsert`` against a bucketed snapshot is already in the
+    layout (each merge task holds one bucket; the few NULL-key rows add a few files):
+    pass ``in_bucket_layout=True`` to skip that shuffle of the whole target.
     """
-    (df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    out = df if in_bucket_layout else df.repartition(buckets, *keys)
+    (out.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
      .format("parquet").saveAsTable(table))
 
 

@@ -214,6 +214,9 @@ def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets:
     invoice key with the same bucket count, so the header x line x invoice-dimension
     joins of the fact read all three in place (co-located, no shuffle of the largest
     table).  Marts stay views over the fact.
+
+    ``buckets`` is the one bucket count of those three tables; size it so a bucket of the
+    line table is about 1 GB (e.g. 8192 for 8 TB of lines).  The default suits tests.
     """
     w = Warehouse(spark, sf_dir, cut=False, bronze=bronze, seeds=seeds)
     paths: dict[str, str] = {}
@@ -227,8 +230,9 @@ def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets:
 
     def put_bucketed(name, df, key):
         path = os.path.join(out_dir, name)
-        (df.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key)
-         .format("parquet").saveAsTable(f"{database}.{name}"))
+        # one writer task per bucket, so each bucket is one file
+        (df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+         .bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(f"{database}.{name}"))
         paths[name] = path
         return spark.table(f"{database}.{name}")
 

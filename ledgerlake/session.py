@@ -29,7 +29,11 @@ DEFAULT_CONF = {
 # set by bytes, not counts: AQE splits/coalesces shuffle partitions towards the advisory
 # size, and a partition that is several times the median is treated as skewed and split.
 CLUSTER_CONF = {
-    "spark.sql.shuffle.partitions": "8000",                       # upper bound; AQE coalesces
+    # initial shuffle width: a 16 TB shuffle still lands at ~256 MB per partition; AQE
+    # coalesces smaller shuffles down to the advisory size (not to the core count)
+    "spark.sql.shuffle.partitions": "16384",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "65536",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),

@@ -262,6 +262,11 @@ def test_bucketed_target_merges_without_shuffling_the_target(spark):
         # one exchange: the increment; the bucketed snapshot is read in place
         assert plan.count("Exchange hashpartitioning") == 1
         assert out.count() == 2010
+        # the next snapshot is written in place: one file per bucket, no reshuffle
+        merge.write_bucketed_snapshot(out, "ll_bucketed_target_2", ["k"], 4, in_bucket_layout=True)
+        nxt = spark.table("ll_bucketed_target_2")
+        assert len(nxt.inputFiles()) == 4
+        assert rows(nxt.where("k >= 1998"), "k", "v") == [(k, -1) for k in range(1998, 2010)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
