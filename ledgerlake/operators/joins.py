@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -27,19 +27,46 @@ def _equi(left: DataFrame, right: DataFrame, on) -> list[Column]:
     return [left[a] == right[b] for a, b in _pairs(on)]
 
 
+def expect_unique(df: DataFrame, keys: Sequence[str], what: str | None = None) -> DataFrame:
+    """``df`` unchanged, but the query fails (``raise_error``, inside the job, no extra
+    action) if a non-NULL key occurs more than once -- the opt-in "fail early" for the
+    fan-outs the source models reproduce (T-07).
+
+    A count over ``PARTITION BY key`` reads the input once (a self-join would copy its
+    whole lineage into the plan).  Rows with a NULL key cannot fan out; they get a row
+    hash as extra partition key, so many of them are not sent to one task.  A repeated
+    non-NULL key is exactly the failure case.
+    """
+    keys = list(keys)
+    present = None
+    for k in keys:
+        present = F.col(k).isNotNull() if present is None else present & F.col(k).isNotNull()
+    spread = F.when(~present, F.xxhash64(*[F.col(c) for c in df.columns]))
+    counted = df.withColumn("__ll_n", F.count(F.lit(1)).over(Window.partitionBy(*keys, spread)))
+    msg = f"expect_unique: duplicate key {keys} in {what or 'lookup side'}"
+    ok = F.when(present & (F.col("__ll_n") > 1), F.raise_error(F.lit(msg))).otherwise(F.lit(True))
+    return counted.where(ok).drop("__ll_n")
+
+
 def interval_join(left: DataFrame, right: DataFrame, on, point: str, start: str, end: str,
-                  how: str = "inner") -> DataFrame:
+                  how: str = "inner", expect_unique_keys: Sequence[str] | None = None) -> DataFrame:
     """Equi key + half-open interval ``start <= point < end`` (O-48f).
 
-    Overlapping intervals fan out, as in SQL.
+    Overlapping intervals fan out, as in SQL; ``expect_unique_keys`` (columns of
+    ``right``) makes the query fail instead when the right side repeats them.
     """
+    if expect_unique_keys:
+        right = expect_unique(right, expect_unique_keys, "interval side")
     cond = _equi(left, right, on) + [left[point] >= right[start], left[point] < right[end]]
     return left.join(right, cond, how)
 
 
 def effective_join(left: DataFrame, right: DataFrame, on, point: str, effective_from: str,
-                   how: str = "left") -> DataFrame:
-    """Equi key + ``point >= effective_from``; every effective row matches (O-48g)."""
+                   how: str = "left", expect_unique_keys: Sequence[str] | None = None) -> DataFrame:
+    """Equi key + ``point >= effective_from``; every effective row matches (O-48g), or
+    the query fails if ``right`` repeats ``expect_unique_keys``."""
+    if expect_unique_keys:
+        right = expect_unique(right, expect_unique_keys, "effective-date side")
     cond = _equi(left, right, on) + [left[point] >= right[effective_from]]
     return left.join(right, cond, how)
 

@@ -132,9 +132,13 @@ def agent_documents(inv, dven, seeds) -> DataFrame:
 
 
 def fact_staging(inv, lns, dinv, dcli, dven, dart, dco, seeds, commercial: DataFrame | None = None,
-                 agents: DataFrame | None = None) -> DataFrame:
+                 agents: DataFrame | None = None, expect_unique: bool = False) -> DataFrame:
     """Wide line staging with the 11-rule seller group (first match wins).
 
+    The agreement-code list (per document, with the invoice id inside the DISTINCT) and
+    the effective-dated distributor reassignments fan out on repeated keys, as in the
+    source model (T-07); ``expect_unique=True`` makes the query fail there instead.
+
     ``commercial`` / ``agents`` are the precomputed document lists (a caller that
     materialises them once passes them in)."""
     if commercial is None:
@@ -154,6 +158,9 @@ def fact_staging(inv, lns, dinv, dcli, dven, dart, dco, seeds, commercial: DataF
     rgv = seeds["reasignacion_grupo_vendedor"].select(F.col("codigo_documento").alias("rgv_doc"), "grupo_asignado")
     rd = seeds["reasignacion_distribuidores"].select(F.col("codigo_cliente").alias("rd_cli"),
                                                      "grupo_vendedor_reasignado", F.col("fecha_cambio").alias("rd_since"))
+    if expect_unique:
+        fcon = joins.expect_unique(fcon, ["fcon_doc"], "agreement codes per document")
+        rd = joins.expect_unique(rd, ["rd_cli"], "distributor reassignments")
     dco_j = dco.select(F.col("id_codigo").alias("dco_id"), F.col("codigo").alias("dco_code"),
                        F.col("atencion").alias("dco_atencion"))
     excluded = seeds["facturas_excluidas"]

@@ -147,8 +147,13 @@ def first_request_per_invoice(req: DataFrame) -> DataFrame:
 
 
 def invoices(fac: DataFrame, req: DataFrame, cod: DataFrame, points: DataFrame,
-             islands: DataFrame, first_req: DataFrame | None = None) -> DataFrame:
-    """M-05 silver.fenix_facturas (``first_req``: precomputed first request per invoice)."""
+             islands: DataFrame, first_req: DataFrame | None = None,
+             expect_unique: bool = False) -> DataFrame:
+    """M-05 silver.fenix_facturas (``first_req``: precomputed first request per invoice).
+
+    The branch and agreement document lists are joined without DISTINCT, as in the
+    source model, so a repeated document fans out (T-07); ``expect_unique=True`` makes
+    the query fail on such a document instead."""
     first_req = (first_req if first_req is not None else first_request_per_invoice(req)) \
         .select("numero_factura", "grupo_vendedor")
     codven = F.trim("codven")
@@ -191,6 +196,9 @@ def invoices(fac: DataFrame, req: DataFrame, cod: DataFrame, points: DataFrame,
                   .select(F.col("codigo_documento").alias("__fs_doc"),
                           F.coalesce("__isl_suc", "pe.id_sucursal").alias("__fs_suc"),
                           F.col("codigo_vendedor").alias("__fs_ven")))
+    if expect_unique:
+        doc_branch = joins.expect_unique(doc_branch, ["__fs_doc"], "branch documents")
+        agreement_docs = joins.expect_unique(agreement_docs, ["__agr_doc"], "agreement documents")
     cat = cod.select(F.col("codigo").alias("__cat_code"))
     e = (parsed.join(doc_branch, F.col("codigo_documento") == F.col("__fs_doc"), "left")
          .join(points.alias("pe"), branch_rule, "left")

@@ -71,8 +71,9 @@ class Warehouse:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, cut: bool = True,
-                 bronze: dict | None = None, seeds: dict | None = None):
+                 bronze: dict | None = None, seeds: dict | None = None, strict: bool = False):
         self.spark = spark
+        self.strict = strict          # fail on the source models' fan-outs (T-07)
         self.t = Tables(spark, sf_dir) if sf_dir else None
         derived_bronze = standins.bronze(self.t) if self.t is not None and not bronze else {}
         derived_seeds = standins.seeds(self.t) if self.t is not None else {}
@@ -144,7 +145,7 @@ class Warehouse:
     def s_invoices(self):
         return silver.invoices(self.bronze["fenix_facturas"], self.s_requests(), self.s_codes(),
                                self.seeds["puntos_emision"], self.seeds["reasignacion_islas_temporales"],
-                               first_req=self.s_first_requests())
+                               first_req=self.s_first_requests(), expect_unique=self.strict)
 
     # gold ---------------------------------------------------------------------------
     @layer
@@ -181,7 +182,8 @@ class Warehouse:
     def staging(self):
         return gold.fact_staging(self.s_invoices(), self.s_lines(), self.d_invoices(), self.d_customers(),
                                  self.d_sellers(), self.d_articles(), self.d_codes(), self.seeds,
-                                 commercial=self.commercial_docs(), agents=self.agent_docs())
+                                 commercial=self.commercial_docs(), agents=self.agent_docs(),
+                                 expect_unique=self.strict)
 
     @layer
     def fact(self):
@@ -206,7 +208,7 @@ class Warehouse:
 
 def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets: int = 64,
                 database: str = "ledgerlake", bronze: dict | None = None,
-                seeds: dict | None = None) -> dict[str, str]:
+                seeds: dict | None = None, strict: bool = False) -> dict[str, str]:
     """The production job: build every layer, writing each table once (full refresh) and
     reading it back so downstream layers start from files, not from the upstream lineage.
 
@@ -218,7 +220,7 @@ def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets:
     ``buckets`` is the one bucket count of those three tables; size it so a bucket of the
     line table is about 1 GB (e.g. 8192 for 8 TB of lines).  The default suits tests.
     """
-    w = Warehouse(spark, sf_dir, cut=False, bronze=bronze, seeds=seeds)
+    w = Warehouse(spark, sf_dir, cut=False, bronze=bronze, seeds=seeds, strict=strict)
     paths: dict[str, str] = {}
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
@@ -245,7 +247,7 @@ def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets:
     freq = put("silver_first_requests", silver.first_request_per_invoice(req))
     inv = put_bucketed("silver_fenix_facturas", silver.invoices(
         w.bronze["fenix_facturas"], req, cod, w.seeds["puntos_emision"], w.seeds["reasignacion_islas_temporales"],
-        first_req=freq), "codigo_factura")
+        first_req=freq, expect_unique=strict), "codigo_factura")
     dart = put("gold_dim_articulos", gold.dim_articles(art, w.seeds["articulos_comercial"], lns))
     dcli = put("gold_dim_clientes", gold.dim_customers(cli))
     dven = put("gold_dim_vendedores", gold.dim_sellers(ven))
@@ -253,7 +255,7 @@ def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets:
     dinv = put_bucketed("gold_dim_facturas", gold.dim_invoices(inv, req, dco, w.seeds["facturas_excluidas"],
                                                                 first_req=freq), "codigo_factura")
     fact = put("gold_fact_facturacion", gold.fact_billing(
-        gold.fact_staging(inv, lns, dinv, dcli, dven, dart, dco, w.seeds)))
+        gold.fact_staging(inv, lns, dinv, dcli, dven, dart, dco, w.seeds, expect_unique=strict)))
     for name, df in (("mart_dim_clientes_convenios", marts.agreements_customers(dinv, fact, dcli)),
                      ("mart_dim_facturas_convenios", marts.agreements_invoices(dinv, fact)),
                      ("mart_fact_canal_indirecto", marts.indirect_channel(fact, dco, dinv)),

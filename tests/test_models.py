@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.plans import gold, silver
@@ -128,6 +129,15 @@ def test_materialize_job_equals_lazy_fact(spark, tmp_dir):
                 spark.conf.set(k, v)
 
 
+def test_strict_warehouse_fails_on_reproduced_fan_out(spark):
+    # parity mode reproduces the source models' fan-outs (T-07); strict mode stops the job
+    from tests.conftest import SMALL_SF
+    from ledgerlake.plans.warehouse import Warehouse
+    assert Warehouse(spark, SMALL_SF, cut=False).fact().count() > 0
+    with pytest.raises(Exception, match="expect_unique"):
+        Warehouse(spark, SMALL_SF, cut=False, strict=True).fact().count()
+
+
 def test_incremental_bronze_invoice_load_equals_full_load(spark):
     from tests.conftest import SMALL_SF
     from ledgerlake.operators import merge

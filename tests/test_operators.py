@@ -121,6 +121,16 @@ def test_attach_default_row_is_null_when_absent(spark):
     assert rows(joins.attach_default_row(df, lk, "code", "Z", {"d": "v"}), "id", "d") == [(1, None), (2, None)]
 
 
+def test_expect_unique_fails_inside_the_job(spark):
+    ok = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n"), (None, "n")], "k int, v string")
+    assert rows(joins.expect_unique(ok, ["k"]), "k", "v") == [(None, "n"), (None, "n"), (1, "a"), (2, "b")]
+    dup = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    left = spark.createDataFrame([(1, 10), (2, 20)], "k int, x int")
+    guarded = left.join(joins.expect_unique(dup, ["k"], "unit"), "k")   # lazy: no action yet
+    with pytest.raises(Exception, match="expect_unique"):
+        guarded.collect()
+
+
 def test_semi_or_exists(spark):
     p = spark.createDataFrame([(1, "red x"), (2, "blue"), (3, "green")], "k int, n string")
     s = spark.createDataFrame([(3,)], "k2 int")

@@ -89,7 +89,7 @@ TRAPS = {
     "T-04": ("two concat helpers", "functions.text.pg_concat / strict_concat; `test_pg_concat_skips_null_strict_concat_nulls`, `concat_nulls`"),
     "T-05": ("NOT LIKE / <> / NOT IN drop NULL rows (kept)", "plans.q_sources.fallback_extract, sources.readers.in_list_filter(negate); `fallback_extract`, `rejected_extract`"),
     "T-06": ("blank document shares one group (reproduced)", "plans.silver.invoices (MAX per document before the blank fallback); `invoice_silver`"),
-    "T-07": ("fan-out reproduced, caught by unique checks", "plans.silver.invoices, plans.gold.fact_staging, joins.effective_join; plans.checks; `fact_billing`, `dq_warehouse`"),
+    "T-07": ("fan-out reproduced, caught by unique checks; opt-in fail-early", "plans.silver.invoices, plans.gold.fact_staging, joins.effective_join; plans.checks; `Warehouse(strict=True)` / `joins.expect_unique` (raise_error inside the job); `fact_billing`, `dq_warehouse`, `test_strict_warehouse_fails_on_reproduced_fan_out`"),
     "T-08": ("exact integer-cents allocation", "plans.gold.allocate_cents, functions.numeric.div_round_half_up; `cents_allocation`, `test_cents_residual_bounded`"),
     "T-09": ("zero-sum invoice -> NULL subtotal (parity)", "plans.gold.allocate_cents; `test_allocate_cents_rules`, `cents_allocation`"),
     "T-10": ("un-adjusted lines stay unrounded", "plans.gold.allocate_cents; `test_allocate_cents_rules`"),
