@@ -34,9 +34,10 @@ CONTROL_CHARS_PATTERN = r"[\x00-\x1F\x7F]"
 NORMALIZED_KEEP_PATTERN = r"[^A-Z0-9 ]"
 # --------------------------------------------------------------------------------------
 
-# Latin-1 Supplement + Latin Extended-A + Latin Extended Additional cover the letters that
-# the source systems emit; the table is generated, not written by hand.
-_TRANSLIT_RANGES = ((0x00C0, 0x0250), (0x1E00, 0x1F00))
+# Latin-1 Supplement (incl. NBSP, ª º ¹ ² ³), Latin Extended-A/B, Latin Extended
+# Additional, super/subscripts and fullwidth ASCII; the table is generated, not written
+# by hand.
+_TRANSLIT_RANGES = ((0x00A0, 0x0250), (0x1E00, 0x1F00), (0x2070, 0x20A0), (0xFF01, 0xFF5F))
 
 
 @lru_cache(maxsize=1)
@@ -54,7 +55,10 @@ def translit_table() -> tuple[str, str]:
                 continue
             base = "".join(c for c in unicodedata.normalize("NFKD", ch)
                            if not unicodedata.combining(c))
-            if len(base) == 1 and base.isascii() and base != ch:
+            # one ASCII character; a bare space only for real spaces (NBSP), not for
+            # spacing diacritics such as the diaeresis or the acute accent
+            if (len(base) == 1 and base.isascii() and base != ch
+                    and (base != " " or unicodedata.category(ch) == "Zs")):
                 src.append(ch)
                 dst.append(base)
     return "".join(src), "".join(dst)

@@ -30,6 +30,14 @@ def test_normalize_text_rules(spark):
     assert one(spark, text.normalize_text("v", None), "x" * 500) == "X" * 500
 
 
+def test_transliteration_beyond_accented_letters(spark):
+    # NBSP separates words, ordinal and superscript marks become letters/digits,
+    # fullwidth forms become ASCII; a spacing diaeresis is not turned into a blank
+    f = text.normalize_text("v", None)
+    assert one(spark, f, "Nº\u00a01ª m² Ａｂｃ１２") == "NO 1A M2 ABC12"
+    assert one(spark, text.clean_special("v"), "a\u00a8b\u00a0c") == "a\u00a8b c"
+
+
 def test_clean_special_transliterates_and_drops_controls(spark):
     assert one(spark, text.clean_special("v"), "Crème\nbrûlée\x07 ß") == "Cremebrulee ss"
     assert one(spark, text.clean_special("v"), None) is None
