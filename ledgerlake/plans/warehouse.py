@@ -90,7 +90,7 @@ class Warehouse:
              ("staging",),
              ("fact",))
 
-    def build(self, workers: int = 4) -> "Warehouse":
+    def build(self, workers: int = 8) -> "Warehouse":
         """Write every layer once.  Layers of one wave are independent Spark jobs submitted
         from a few driver threads, so small writes overlap instead of queueing.  The
         caller's job group / scheduler pool are carried into the worker threads."""
