@@ -64,6 +64,34 @@ def test_articles_parse_classify_and_override(spark):
     assert out["Z9"]["nombre"] == "SOLO AQUI"              # override-only row survives
 
 
+FAC_SCHEMA = ("numfac string, numdoc string, cliente string, numser string, pedido string, comen1 string, "
+              "comen2 string, comen3 string, subtotal decimal(18,2), desc0 decimal(18,2), "
+              "total_iva decimal(18,2), total decimal(18,2), codven string, emision timestamp_ntz, "
+              "fecha_hora timestamp_ntz")
+
+
+def test_invoices_blank_and_null_document(spark):
+    # T-06: blank documents form one group for the per-document request group (taken
+    # before the blank -> invoice-code fallback); a NULL document matches nothing
+    d = Decimal("1.00")
+
+    def fac(numfac, numdoc, pedido):
+        return (numfac, numdoc, "C1", "0017", pedido, "", "", "", d, d, d, d, "17", ts(1), ts(1))
+    f = spark.createDataFrame([fac("FA1", "", "1"), fac("FA2", " ", "2"), fac("FA3", None, "3"),
+                               fac("FA4", "D9", "4")], FAC_SCHEMA)
+    first_req = spark.createDataFrame([("00171", "G1"), ("00172", "G2"), ("00173", "G3"), ("00174", "G4")],
+                                      "numero_factura string, grupo_vendedor string")
+    cod = spark.createDataFrame([], "codigo string")
+    points = spark.createDataFrame([], "id_sucursal int, fecha_apertura date, fecha_cierre date, "
+                                       "serial_punto_emision string")
+    islands = spark.createDataFrame([], "numero_factura string, id_sucursal int")
+    out = {r["codigo_factura"]: r for r in silver.invoices(f, None, cod, points, islands, first_req=first_req).collect()}
+    assert out["FA1"]["codigo_documento"] == "FA1" and out["FA2"]["codigo_documento"] == "FA2"
+    assert out["FA1"]["grupo_vendedor_temp"] == "G2" and out["FA2"]["grupo_vendedor_temp"] == "G2"
+    assert out["FA3"]["codigo_documento"] is None and out["FA3"]["grupo_vendedor_temp"] is None
+    assert out["FA4"]["codigo_documento"] == "D9" and out["FA4"]["grupo_vendedor_temp"] == "G4"
+
+
 def _stg(spark, rows):
     return spark.createDataFrame(rows, "id_factura long, codigo_documento string, is_nc boolean, id_articulo long, "
                                        "grupo_vendedor string, subtotal_articulo decimal(18,4), "
