@@ -44,7 +44,7 @@ IMPL = {
     "O-49": "operators.joins.anti_join", "O-50": "operators.joins.exists_in / semi_or (ExistenceJoin)",
     "O-51": "operators.joins.join_back_aggregate", "O-52": "operators.aggregates.high_water_mark(_frame, _by)",
     "O-53": "groupBy + max (plans.gold.inherit_credit_note_group)", "O-54": "operators.aggregates.group_sum",
-    "O-55": "DataFrame.distinct", "O-56": "operators.dedup.keep_first (two-phase, salted)",
+    "O-55": "DataFrame.distinct", "O-56": "operators.dedup.keep_first (map-side WindowGroupLimit; salted two-phase fallback)",
     "O-57": "plans.silver.first_request_per_invoice", "O-58": "plans.gold.dim_invoices (sale type pick)",
     "O-58b": "plans.marts.sales (representative article)", "O-59": "operators.aggregates.conditional_min_over",
     "O-60": "operators.aggregates.sum_over", "O-61": "operators.transforms.sort_values, operators.keys.global_row_number",
