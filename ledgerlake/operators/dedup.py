@@ -59,11 +59,6 @@ def keep_first(df: DataFrame, keys, order: Sequence[Column], salt_buckets: int |
     return cur.withColumn(_RN, F.row_number().over(w2)).where(F.col(_RN) == 1).drop(_RN)
 
 
-def number_within(df: DataFrame, keys, order: Sequence[Column], name: str = "rn") -> DataFrame:
-    """``row_number()`` per key (for callers that need every rank, not just the first)."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*_cols(keys)).orderBy(*order)))
-
-
 def drop_duplicates(df: DataFrame, subset, keep: str | bool = "first",
                     row_order: Sequence[str] | None = None) -> DataFrame:
     """pandas ``drop_duplicates`` on a key subset (O-66).
