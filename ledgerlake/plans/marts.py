@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import dedup
+from ledgerlake.operators import dedup, joins
 from ledgerlake.plans.gold import AGREEMENT_GROUP, COMMERCIAL_GROUP, DEFAULT_GROUP, INVOICED
 
 # --- fixed values ------------------------------------------------------------------
@@ -52,9 +52,14 @@ def agreements_fact(fact: DataFrame, dinv: DataFrame) -> DataFrame:
     return _with_total(j.select(*fact.columns))
 
 
-def sales(fact: DataFrame, dco: DataFrame, dinv: DataFrame, dart: DataFrame) -> DataFrame:
+def sales(fact: DataFrame, dco: DataFrame, dinv: DataFrame, dart: DataFrame,
+          expect_unique: bool = False) -> DataFrame:
     """M-19: billing-system lines re-pointed to a representative manual article with the
-    same four attributes, then re-aggregated (quantity is a grouping key)."""
+    same four attributes, then re-aggregated (quantity is a grouping key).
+
+    The invoice -> article map is joined by invoice only, so an invoice with two billing
+    codes of different attributes fans out, as in the source model (T-07);
+    ``expect_unique=True`` makes the query fail there instead."""
     attrs = ["vigencia", "familia", "tipo_plan", "concepto"]
     reps = dedup.keep_first(dart.where(F.col("codigo_articulo").like(MANUAL_SF_PREFIX + "%")), attrs,
                             [F.col("id_articulo").asc()]).select(*attrs, F.col("id_articulo").alias("id_articulo_sf"))
@@ -70,6 +75,8 @@ def sales(fact: DataFrame, dco: DataFrame, dinv: DataFrame, dart: DataFrame) ->
         reps, (F.col("vigencia") == F.col("__dc_vig")) & (F.col("familia") == F.col("__dc_fam"))
         & (F.col("tipo_plan") == F.col("__dc_plan")) & (F.col("concepto") == F.col("__dc_c1"))
     ).select("__sf_id", "id_articulo_sf")
+    if expect_unique:
+        sf_with_article = joins.expect_unique(sf_with_article, ["__sf_id"], "invoice -> SF article map")
     pre = (fact.join(dc.select("__dc_id", F.col("__dc_fam").alias("__fam")), fact.id_codigo == F.col("__dc_id"))
            .join(sf_with_article, fact.id_factura == F.col("__sf_id"), "left"))
     pre = pre.withColumn("id_articulo", F.when(F.col("__sf_id").isNotNull() & (F.col("__fam") == BILLING_FAMILY),

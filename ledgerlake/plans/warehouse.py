@@ -203,7 +203,8 @@ class Warehouse:
         return marts.agreements_fact(self.fact(), self.d_invoices())
 
     def m_sales(self):
-        return marts.sales(self.fact(), self.d_codes(), self.d_invoices(), self.d_articles())
+        return marts.sales(self.fact(), self.d_codes(), self.d_invoices(), self.d_articles(),
+                           expect_unique=self.strict)
 
 
 def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets: int = 64,
@@ -260,7 +261,7 @@ def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets:
                      ("mart_dim_facturas_convenios", marts.agreements_invoices(dinv, fact)),
                      ("mart_fact_canal_indirecto", marts.indirect_channel(fact, dco, dinv)),
                      ("mart_fact_facturacion_convenios", marts.agreements_fact(fact, dinv)),
-                     ("mart_fact_facturacion_ventas", marts.sales(fact, dco, dinv, dart))):
+                     ("mart_fact_facturacion_ventas", marts.sales(fact, dco, dinv, dart, expect_unique=strict))):
         df.createOrReplaceTempView(name)   # marts are views over the written fact
         paths[name] = "view"
     return paths
