@@ -85,6 +85,18 @@ def test_global_row_number_shuffles_the_data_once(spark):
     assert got.where(F.col("rn") != F.col("v") + 1).count() == 0
 
 
+def test_range_partitions_follow_the_input_size(spark):
+    assert [keys._bytes(v) for v in ("67108864", "64m", "256MB", "1g")] == [1 << 26, 1 << 26, 1 << 28, 1 << 30]
+    small = spark.range(100)
+    assert keys._range_partitions(small) == 1
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    try:
+        assert keys._range_partitions(spark.range(100000)) == cap      # large -> capped
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
 def test_stable_keys_keep_existing_ids(spark):
     old = spark.createDataFrame([(1, "b"), (2, "d")], "id long, k string")
     new = spark.createDataFrame([("a",), ("b",), ("e",)], "k string")
