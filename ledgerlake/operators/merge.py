@@ -150,19 +150,29 @@ def resolve_batches(source: DataFrame, keys: Sequence[str], order: Sequence[Colu
     """Reproduce the batched loader in one plan (O-21): rows are cut into batches of
     ``batch_size`` in extract ``order`` (a total order); a key repeated inside one batch
     fails the load (the database rejected such a batch), across batches the later batch
-    wins.  Batch ids come from a parallel global row number, not a driver loop."""
+    wins.  Batch ids come from a parallel global row number, not a driver loop.
+
+    A row with a NULL in its key never conflicts (a UNIQUE constraint treats NULLs as
+    distinct, T-12): such rows are numbered with the others, so the batch boundaries do
+    not move, and then bypass the duplicate check and the keep-last."""
     from ledgerlake.operators.dedup import keep_first
     from ledgerlake.operators.joins import join_back_aggregate
     from ledgerlake.operators.keys import global_row_number
     keys = list(keys)
     numbered = global_row_number(source, order, "__ll_seq")
     batched = numbered.withColumn("__ll_batch", F.call_function("div", F.col("__ll_seq") - 1, F.lit(batch_size)))
-    counted = join_back_aggregate(batched, keys + ["__ll_batch"], [F.count(F.lit(1)).alias("__ll_dup")])
+    present = None
+    for k in keys:
+        present = F.col(k).isNotNull() if present is None else present & F.col(k).isNotNull()
+    keyed, null_keyed = batched.where(present), batched.where(~present)
+    counted = join_back_aggregate(keyed, keys + ["__ll_batch"], [F.count(F.lit(1)).alias("__ll_dup")],
+                                  null_safe=False)
     checked = counted.withColumn("__ll_batch", F.when(
         F.col("__ll_dup") > 1, F.raise_error(F.lit("duplicate conflict key inside one load batch")))
         .otherwise(F.col("__ll_batch")))
     last = keep_first(checked, keys, [F.col("__ll_batch").desc(), F.col("__ll_seq").desc()])
-    return last.drop("__ll_seq", "__ll_batch", "__ll_dup")
+    return (last.drop("__ll_seq", "__ll_batch", "__ll_dup")
+            .unionByName(null_keyed.drop("__ll_seq", "__ll_batch")))
 
 
 def persist(target: DataFrame | None, source: DataFrame, mode: PersistMode | str,

@@ -315,3 +315,11 @@ def test_resolve_batches_last_batch_wins_and_in_batch_duplicates_fail(spark):
     bad = merge.resolve_batches(src, ["k"], [F.col("seq").asc()], batch_size=4)
     with pytest.raises(Exception, match="duplicate conflict key"):
         bad.collect()
+    # NULL keys never conflict (UNIQUE treats NULLs as distinct): all kept, no failure,
+    # and they still count towards the batch boundaries
+    nul = spark.createDataFrame([(1, None, "n1"), (2, None, "n2"), (3, "k1", "a"), (4, "k1", "b")],
+                                "seq int, k string, v string")
+    assert rows(merge.resolve_batches(nul, ["k"], [F.col("seq").asc()], batch_size=3), "k", "v") == [
+        (None, "n1"), (None, "n2"), ("k1", "b")]
+    with pytest.raises(Exception, match="duplicate conflict key"):
+        merge.resolve_batches(nul, ["k"], [F.col("seq").asc()], batch_size=4).collect()
