@@ -200,8 +200,10 @@ def load_once(target: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once (the reference's database would raise)."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
+    """Keys that occur more than once (the reference's database would raise).  A key
+    with a NULL part is never a duplicate, as under a UNIQUE constraint (T-12)."""
+    keyed = df.dropna(how="any", subset=list(keys))
+    return (keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
 
 
 def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:

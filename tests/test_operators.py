@@ -252,6 +252,8 @@ def test_materialisations_and_snapshot_write(spark, tmp_dir):
     merge.materialize_view(df, "ll_test_view")
     assert spark.table("ll_test_view").count() == 2
     assert merge.duplicate_keys(df.unionAll(df), ["k"]).count() == 2
+    nulls = spark.createDataFrame([(None, "a"), (None, "b")], "k int, v string")
+    assert merge.duplicate_keys(nulls, ["k"]).count() == 0
     with pytest.raises(ValueError):
         merge.assert_unique_keys(df.unionAll(df), ["k"])
 
