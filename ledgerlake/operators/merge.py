@@ -75,10 +75,18 @@ def append(target: DataFrame | None, source: DataFrame) -> DataFrame:
     return target.unionByName(source, allowMissingColumns=True)
 
 
-def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                  order: Sequence[Column] | None = None) -> DataFrame:
+    """ON CONFLICT DO NOTHING.  A key repeated inside the source is inserted once, by its
+    first row in load ``order`` (a total order), as the database keeps the first row of
+    the statement and skips the later ones; without ``order`` the source keys are taken
+    to be unique (a DataFrame has no statement order to pick "first" from)."""
     keys = list(keys)
     require_columns(source, keys, "conflict columns")
     src, src_null = split_null_keys(source, keys)
+    if order is not None:
+        from ledgerlake.operators.dedup import keep_first
+        src = keep_first(src, keys, list(order))
     tgt = target.where(~_any_null(keys))
     fresh = src.join(tgt, [src[k] == tgt[k] for k in keys], "left_anti")
     return target.unionByName(fresh, allowMissingColumns=True).unionByName(src_null, allowMissingColumns=True)

@@ -295,6 +295,13 @@ def test_bucketed_target_merges_without_shuffling_the_target(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_insert_ignore_keeps_first_of_repeated_source_key(spark):
+    tgt = spark.createDataFrame([(1, "t")], "k int, v string")
+    src = spark.createDataFrame([(2, "b", 2), (2, "a", 1), (1, "x", 3), (None, "n", 4)], "k int, v string, seq int")
+    out = merge.insert_ignore(tgt, src, ["k"], order=[F.col("seq").asc()])
+    assert rows(out, "k", "v") == [(None, "n"), (1, "t"), (2, "a")]
+
+
 def test_null_keys_bypass_the_merge_join(spark):
     tgt = spark.createDataFrame([(None, "t1"), (1, "a"), (None, "t2")], "k int, v string")
     src = spark.createDataFrame([(None, "s1"), (1, "A"), (2, "B")], "k int, v string")
