@@ -94,8 +94,13 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            update_cols: Sequence[str] | None = None, load_ts=None,
-           audit: bool = False) -> DataFrame:
-    """INSERT .. ON CONFLICT (keys) DO UPDATE SET update_cols (O-19)."""
+           audit: bool = False, reject_repeated_keys: bool = False) -> DataFrame:
+    """INSERT .. ON CONFLICT (keys) DO UPDATE SET update_cols (O-19).
+
+    ``reject_repeated_keys=True`` fails the query (inside the job) when the source repeats
+    a non-NULL key, as the database refuses to update one row twice in a statement; off
+    by default because it adds a grouping of the source (``resolve_batches`` applies the
+    same rule per batch)."""
     keys = list(keys)
     require_columns(source, keys, "conflict columns")
     require_columns(target, keys, "conflict columns")
@@ -105,6 +110,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     ts = _lit_ts(load_ts)
     target, target_null = split_null_keys(target, keys)
     source, source_null = split_null_keys(source, keys)
+    if reject_repeated_keys:
+        from ledgerlake.operators.joins import expect_unique
+        source = expect_unique(source, keys, "upsert source")
     t = target.withColumn(_T, F.lit(True)).alias("t")
     s = source.withColumn(_S, F.lit(True)).alias("s")
     joined = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full")

@@ -295,6 +295,16 @@ def test_bucketed_target_merges_without_shuffling_the_target(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_upsert_can_reject_a_repeated_source_key(spark):
+    tgt = spark.createDataFrame([(1, "t")], "k int, v string")
+    src = spark.createDataFrame([(1, "a"), (1, "b"), (None, "n"), (None, "m")], "k int, v string")
+    with pytest.raises(Exception, match="expect_unique"):
+        merge.upsert(tgt, src, ["k"], reject_repeated_keys=True).collect()
+    ok = src.where("v <> 'b'")
+    assert rows(merge.upsert(tgt, ok, ["k"], reject_repeated_keys=True), "k", "v") == [
+        (None, "m"), (None, "n"), (1, "a")]
+
+
 def test_insert_ignore_keeps_first_of_repeated_source_key(spark):
     tgt = spark.createDataFrame([(1, "t")], "k int, v string")
     src = spark.createDataFrame([(2, "b", 2), (2, "a", 1), (1, "x", 3), (None, "n", 4)], "k int, v string, seq int")
