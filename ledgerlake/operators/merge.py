@@ -144,13 +144,21 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def update_only(target: DataFrame, source: DataFrame, key: str, set_cols: dict[str, str],
-                load_ts=None, update_date_col: str | None = UPDATE_COL) -> DataFrame:
+                load_ts=None, update_date_col: str | None = UPDATE_COL,
+                last_by: Sequence[str] | None = None) -> DataFrame:
     """UPDATE target SET col = source.col .. WHERE key matches; never inserts (O-22).
 
-    ``set_cols`` maps target column -> source column.  Keys must be unique in source.
+    ``set_cols`` maps target column -> source column.  The source loader runs one UPDATE
+    per source row in load order, so for a repeated key the last row wins: pass the
+    load-order columns as ``last_by`` (together unique).  Without it the source keys are
+    taken to be unique.
     """
     tgt, tgt_null = split_null_keys(target, [key])
-    s = source.where(F.col(key).isNotNull()).select(
+    src = source.where(F.col(key).isNotNull())
+    if last_by:
+        from ledgerlake.operators.dedup import keep_first
+        src = keep_first(src, [key], [F.col(c).desc_nulls_first() for c in last_by])
+    s = src.select(
         F.col(key).alias("__ll_key"), F.lit(True).alias(_S),
         *[F.col(v).alias(f"__ll_src_{k}") for k, v in set_cols.items()])
     joined = tgt.join(s, tgt[key] == s["__ll_key"], "left")

@@ -305,6 +305,13 @@ def test_upsert_can_reject_a_repeated_source_key(spark):
         (None, "m"), (None, "n"), (1, "a")]
 
 
+def test_update_only_last_row_of_repeated_key_wins(spark):
+    tgt = spark.createDataFrame([(1, "t", None), (2, "u", None)], "k int, v string, update_date timestamp_ntz")
+    src = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (3, "x", 3)], "k int, v string, seq int")
+    out = merge.update_only(tgt, src, "k", {"v": "v"}, last_by=["seq"])
+    assert rows(out, "k", "v") == [(1, "b"), (2, "u")]
+
+
 def test_insert_ignore_keeps_first_of_repeated_source_key(spark):
     tgt = spark.createDataFrame([(1, "t")], "k int, v string")
     src = spark.createDataFrame([(2, "b", 2), (2, "a", 1), (1, "x", 3), (None, "n", 4)], "k int, v string, seq int")
