@@ -20,9 +20,9 @@ IMPL = {
     "O-12": "plans.q_sources.request_extract_chain", "O-13": "plans.q_sources.rejected_extract",
     "O-14": "operators.transforms.union_distinct", "O-15": "functions.text.left, plans.q_sources.fallback_extract",
     "O-16": "sources.calendar.date_spine / date_spine_between", "O-17": "operators.merge.append / persist('insert')",
-    "O-18": "operators.merge.insert_ignore", "O-19": "operators.merge.upsert", "O-20": "operators.merge.persist",
+    "O-18": "operators.merge.insert_ignore (order=: first row of a repeated key wins)", "O-19": "operators.merge.upsert (reject_repeated_keys=)", "O-20": "operators.merge.persist",
     "O-21": "operators.merge.resolve_batches (batch semantics in one plan), write_snapshot, assert_unique_keys",
-    "O-22": "operators.merge.update_only", "O-23": "operators.transforms.nan_to_null_columns",
+    "O-22": "operators.merge.update_only (last_by=: last row of a repeated key wins)", "O-23": "operators.transforms.nan_to_null_columns",
     "O-24": "operators.merge.with_audit_columns, upsert(audit=True)",
     "O-25": "operators.merge.write_snapshot / materialize_table, session.cut_lineage",
     "O-26": "operators.merge.materialize_view", "O-27": "operators.merge.load_once",
