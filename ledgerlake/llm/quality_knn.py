@@ -13,8 +13,7 @@ from __future__ import annotations
 import re
 import zlib
 from dataclasses import dataclass
-from functools import partial
-from operator import eq
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -30,58 +29,94 @@ MAX_TRAIN = 4096
 BUCKETS = 4096
 DIMS = 64
 NEIGHBOURS = 15
+#: Scores from here on keep a document.
+KEEP_SCORE = 0.3
 #: Documents per cosine block, words whose buckets a worker process remembers.
 BLOCK = 512
 MEMO_WORDS = 400_000
+#: Columns that count repetition instead of words, and the weight of their shares.
+STRUCTURE = 4
+STRUCTURE_WEIGHT = 1.5
 
-_RUNS = re.compile(r"([A-ZÀ-ÖØ-Þ]+)|([a-zß-öø-ÿ]+)|([0-9]+)|((.)\5*)", re.S)
+_RUNS = re.compile(r"(.)\1+", re.S)
 
 
-def _shape(word: str) -> str:
-    return _RUNS.sub(lambda m: "A" if m[1] else "a" if m[2] else "0" if m[3] else m[5], word[:40])
+class _CharClass(dict):
+    """Code point -> its class letter: upper, lower or other letter, digit, else itself."""
+
+    def __missing__(self, cp: int) -> str:
+        c = chr(cp)
+        kind = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
+        self[cp] = kind
+        return kind
+
+
+_CLASS = _CharClass()
 
 
 class Terms:
-    """Dense term counts of texts; two buckets a word (the word, its shape) plus repetition."""
+    """Dense term counts of texts: two buckets a word (the word itself and its shape, runs of a
+    class collapsed), and in the last columns adjacent repeats, repeated lines, words, lines."""
 
     def __init__(self, buckets: int):
         self.buckets = buckets
+        self.words = buckets - STRUCTURE
         self.memo: dict[str, int] = {}
-        self.pairs = np.zeros((1024, 2), np.int32)
-        # the last buckets hold counts that belong to no word
-        self.words = buckets - 8
+        self.pairs = np.zeros((1024, 2), np.int64)
 
     def _ids(self, words: list[str]) -> np.ndarray:
         memo = self.memo
         if len(memo) > MEMO_WORDS:
             memo.clear()
-        new = {w for w in words if w not in memo}
+        new = set(words).difference(memo)
         if new:
             need = len(memo) + len(new)
             if need > len(self.pairs):
-                self.pairs = np.concatenate([self.pairs, np.zeros((2 * need - len(self.pairs), 2), np.int32)])
+                self.pairs = np.concatenate([self.pairs, np.zeros((2 * need - len(self.pairs), 2), np.int64)])
             for w in new:
                 at = memo[w] = len(memo)
-                self.pairs[at] = (zlib.crc32(b"w" + w.encode()) % self.words,
-                                  zlib.crc32(b"s" + _shape(w).encode()) % self.words)
+                shape = _RUNS.sub(r"\1", w[:40].translate(_CLASS))
+                self.pairs[at] = (zlib.crc32(w.encode()) % self.words,
+                                  zlib.crc32(b"shape " + shape.encode()) % self.words)
         return np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
 
     def counts(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.buckets), np.float32)
-        for i, text in enumerate(texts):
-            words = text.split()
-            if not words:
-                continue
-            ids = self._ids(words)
-            out[i] += np.bincount(self.pairs[ids].ravel(), minlength=self.buckets)
-            lines = text.split("\n")
-            out[i, self.words] = sum(map(eq, words, words[1:]))
-            out[i, self.words + 1] = len(words) - np.unique(ids).size
-            out[i, self.words + 2] = len(lines) - len(set(lines))
-            out[i, self.words + 3] = len(lines)
+        split = [t.split() for t in texts]
+        size = np.array([len(w) for w in split], np.int64)
+        ids = self._ids([w for words in split for w in words])
+        row = np.repeat(np.arange(len(texts)), size) * self.buckets
+        both = self.pairs[ids] + row[:, None]
+        out = np.bincount(both.ravel(), minlength=len(texts) * self.buckets).astype(np.float32)
+        out = out.reshape(len(texts), self.buckets)
+        if ids.size:
+            same = (ids[1:] == ids[:-1]) & (row[1:] == row[:-1])
+            out[:, self.words] = np.bincount(row[1:][same] // self.buckets, minlength=len(texts))
+        lines = [t.split("\n") for t in texts]
+        out[:, self.words + 1] = [len(x) - len(set(x)) for x in lines]
+        out[:, self.words + 2] = size
+        out[:, self.words + 3] = [len(x) for x in lines]
         return out
 
 
+@lru_cache(1)
+def terms(buckets: int) -> Terms:
+    """One term table a worker process, for all tasks the process runs."""
+    return Terms(buckets)
+
+
+def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Unit rows of log term counts times idf, with the shares of repeated neighbours and
+    repeated lines beside them."""
+    words = counts.shape[1] - STRUCTURE
+    x = np.zeros(counts.shape, np.float32)
+    np.log1p(counts[:, :words], out=x[:, :words])
+    x[:, :words] *= idf[:words]
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    x[:, words] = STRUCTURE_WEIGHT * counts[:, words] / np.maximum(counts[:, words + 2], 1)
+    x[:, words + 1] = STRUCTURE_WEIGHT * counts[:, words + 1] / np.maximum(counts[:, words + 3], 1) * (counts[:, words + 2] > 0)
+    return x
+
+
 @dataclass
 class Model:
     idf: np.ndarray          # buckets
@@ -93,7 +128,7 @@ class Model:
 
     def project(self, counts: np.ndarray) -> np.ndarray:
         """Unit latent vectors; zero rows stay zero."""
-        z = (np.log1p(counts) * self.idf) @ self.axes
+        z = weighted(counts, self.idf) @ self.axes
         size = np.linalg.norm(z, axis=1, keepdims=True)
         return np.divide(z, size, out=np.zeros_like(z), where=size > 1e-9)
 
@@ -121,8 +156,7 @@ def fit(counts: np.ndarray, labels: np.ndarray, dims: int = DIMS, k: int = NEIGH
         return Model(np.ones(buckets, np.float32), np.zeros((buckets, 1), np.float32),
                      np.zeros((0, 1), np.float32), labels.astype(np.float64), 0.5, k)
     idf = np.log((1.0 + n) / (1.0 + (counts > 0).sum(axis=0))).astype(np.float32) + 0.1
-    x = np.log1p(counts) * idf
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    x = weighted(counts, idf)
     dims = min(dims, n, buckets)
     q = np.random.default_rng(seed).standard_normal((buckets, min(dims + 16, n, buckets))).astype(np.float32)
     for _ in range(4):
@@ -138,20 +172,22 @@ class _CountKernel:
     """Sparse counts of the labelled sample (indices, values)."""
 
     def __init__(self, buckets: int):
-        self.terms = Terms(buckets)
+        self.terms = terms(buckets)
 
     def __call__(self, values: pa.Array):
         at, n = [], []
-        for row in (self.terms.counts([t])[0] for t in as_text(values)):
-            i = np.flatnonzero(row)
-            at.append(i.astype(np.int32))
-            n.append(row[i])
+        texts = as_text(values)
+        for start in range(0, len(texts), BLOCK):
+            for row in self.terms.counts(texts[start:start + BLOCK]):
+                i = np.flatnonzero(row)
+                at.append(i.astype(np.int32))
+                n.append(row[i])
         return at, n
 
 
 class _ScoreKernel:
     def __init__(self, model, buckets: int):
-        self.model, self.terms = model.value, Terms(buckets)
+        self.model, self.terms = model.value, terms(buckets)
 
     def __call__(self, values: pa.Array):
         texts = as_text(values)
@@ -159,6 +195,15 @@ class _ScoreKernel:
         return [np.concatenate(out)]
 
 
+def held_out(id_col: str):
+    """Ids never learnt from: crc32 of the id as text is divisible by 5 (a null id is not)."""
+    return F.coalesce(F.crc32(ident(id_col).cast("string")) % 5 == 0, F.lit(False))
+
+
+def training_rows(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    return labels.where(~held_out(id_col))
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", max_train: int = MAX_TRAIN, buckets: int = BUCKETS) -> Model:
     """Fit on at most ``max_train`` labelled ids, those of smallest seeded hash.  Null ids and

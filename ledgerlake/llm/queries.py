@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import byte_bpe, token_counts
+from ledgerlake.llm import byte_bpe, quality_knn, simhash, token_counts
 from ledgerlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,7 +33,23 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+@query("op7_simhash")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = simhash.near_duplicates(docs, words_per_shingle=3, max_bits=2)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @query("op9_byte_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), keep=["doc_id"])
+
+
+@query("op10_quality_knn")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality_knn.train(docs, quality_knn.training_rows(read_table(spark, sf_dir, "labels")))
+    scored = quality_knn.score(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return scored.select("doc_id", quality_knn.held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= quality_knn.KEEP_SCORE).cast("int").alias("predicted"))
