@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import byte_bpe, quality_knn, simhash, token_counts
+from ledgerlake.llm import byte_bpe, decontaminate, quality_knn, simhash, token_counts
 from ledgerlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query("op8_decontaminate")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = decontaminate.mark_contaminated(read_table(spark, sf_dir, "documents"),
+                                             read_table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return marked.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 @query("op9_byte_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
