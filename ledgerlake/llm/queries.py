@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import byte_bpe, decontaminate, quality_knn, simhash, token_counts
+from ledgerlake.llm import byte_bpe, decontaminate, pii_crf, quality_knn, simhash, token_counts
 from ledgerlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,23 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def _listed(column: str):
+    """Spans as kind:start:end, comma-joined."""
+    return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query("op2_pii_crf")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = pii_crf.spans(docs, pii_crf.train(docs), keep=["doc_id"])
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == F.lit(kind))).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in pii_crf.KINDS]
+    return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"),
+                        _listed("spans").alias("spans"))
+
+
 @query("op4_token_counts")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
