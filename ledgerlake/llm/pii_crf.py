@@ -36,6 +36,8 @@ MAX_TRAIN = 4096
 SHAPES = 1024
 MIN_MARGINAL = 0.9
 ROUNDS = 25
+#: Weight of skip associations against chain associations.
+SKIP_WEIGHT = 2.0
 
 _MAIL_START = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _MAIL_REST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -274,7 +276,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_t
     prior /= prior.sum()
     unary = np.log((unary + prior) / (unary.sum(axis=1, keepdims=True) + 1.0))
     chain, skip = counts[SHAPES * LABELS:].reshape(2, LABELS, LABELS)
-    return Field(unary, _association(chain, 1.0, 0.0), _association(skip, 1.0, 100.0))
+    return Field(unary, _association(chain, 1.0, 0.0), SKIP_WEIGHT * _association(skip, 1.0, 100.0))
 
 
 def _association(pairs: np.ndarray, smooth: float, agree: float) -> np.ndarray:

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import byte_bpe, decontaminate, pii_crf, quality_knn, simhash, token_counts
+from ledgerlake.llm import byte_bpe, decontaminate, pii_crf, quality_knn, sharding, simhash, token_counts
 from ledgerlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,17 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+@query("op6_stratified_shards")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "source", (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"))
+    placed = sharding.interleave(rows, "source", ("doc_id", "text_crc32", "size"), shards=sharding.SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query("op7_simhash")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
