@@ -3,8 +3,8 @@
 ``row_number() over (order by key)`` has no partition clause, so Spark moves every row
 into one task.  Instead:
 
-1. distinct natural keys, range-partitioned and sorted by the key (parallel sort);
-2. per-partition row counts (one small row per partition) -> running offsets;
+1. distinct natural keys, range-partitioned and sorted by the key (parallel sort), written once;
+2. per-partition row counts (one small row per partition) of that table -> running offsets;
 3. id = offset of the partition + row number inside the partition.
 
 The offsets frame has one row per partition, a bound we set ourselves, so it is safe to
@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.session import cut_lineage
+
 _PID = "__ll_pid"
 _POS = "__ll_pos"
 
@@ -48,31 +50,28 @@ def _range_partitions(df: DataFrame) -> int:
 def global_row_number(df: DataFrame, order: Sequence, name: str, start: int | None = 1,
                       num_partitions: int | None = None, start_col=None) -> DataFrame:
     """``row_number() over (order by ...)`` computed in parallel (``order`` must be a total
-    order, so ties never straddle two range partitions)."""
-    spark = df.sparkSession
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        # the counts and the numbered rows must see the same range partitions
-        raise ValueError("global_row_number needs spark.sql.exchange.reuse=true")
+    order, so ties never straddle two range partitions).
+
+    The range-sorted frame is written once with its partition number and the position inside
+    the partition; counts and numbers both come from that one table, so they agree whatever
+    the partition count, the columns read later or an executor lost in between."""
     n = num_partitions or _range_partitions(df)
     order = list(order)
     # position inside the partition: monotonically_increasing_id() is (partition id << 33)
     # + row index within the partition, taken right after the local sort, so the local row
     # number needs no second shuffle (a window partitioned by partition id would add one)
-    parts = df.repartitionByRange(n, *order)
-    ranged = (parts.sortWithinPartitions(*order)
-              .withColumn(_PID, F.spark_partition_id())
-              .withColumn(_POS, F.monotonically_increasing_id()
-                          - F.shiftleft(F.col(_PID).cast("long"), 33)))
-    # both branches read the one range exchange (Spark reuses the identical exchange)
-    counts = (parts.select(F.spark_partition_id().alias(_PID))
-              .groupBy(_PID).agg(F.count(F.lit(1)).alias("__ll_cnt")))
+    ranged = cut_lineage(
+        df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        .withColumn(_PID, F.spark_partition_id())
+        .withColumn(_POS, F.monotonically_increasing_id()
+                    - F.shiftleft(F.col(_PID).cast("long"), 33)), "row-number")
+    counts = ranged.groupBy(_PID).agg((F.max(_POS) + 1).alias("__ll_cnt"))
     # running offsets over <= n rows: an unpartitioned window over a frame whose size we bound
     offsets = counts.select(
         _PID,
         (F.sum("__ll_cnt").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1))
          ).alias("__ll_off"))
     base = F.lit(start if start is not None else 0) if start_col is None else start_col
-    # broadcast hash join keeps the streamed side's partitions and local order
     numbered = (ranged.join(F.broadcast(offsets), _PID, "inner")
                 .withColumn(name, (base + F.coalesce(F.col("__ll_off"), F.lit(0))
                                    + F.col(_POS)).cast("long")))

@@ -21,7 +21,6 @@ PANDAS_NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN"
 # Above this many literals an IN-list becomes a semi join against a small frame; up to
 # the second bound that frame is broadcast (its size is known: it comes from the list).
 IN_LIST_JOIN_THRESHOLD = 1000
-IN_LIST_BROADCAST_MAX = 1_000_000
 # --------------------------------------------------------------------------------------
 
 
@@ -59,24 +58,28 @@ def jdbc_extract(spark: SparkSession, url: str, query: str, properties: dict | N
 
 
 def in_list_filter(df: DataFrame, column: str, values, negate: bool = False) -> DataFrame:
-    """``col IN (...)`` for a list parameter (O-02, O-38).
+    """``col IN (...)`` / ``NOT IN`` for a list parameter (O-02, O-38), one meaning at every length.
 
-    Short lists stay literal ``isin`` (pushed into the scan); long ones become a
-    semi/anti join.  ``NOT IN`` drops NULL operands, as in SQL.
+    A NULL in the list never matches; ``NOT IN`` a list that holds a NULL gives no rows; ``NOT IN``
+    a list without one drops NULL operands; ``IN`` the empty list gives no rows and ``NOT IN`` the
+    empty list keeps all, NULL operands included (as with an empty subquery).  Only the plan
+    depends on the length: short lists are literals (pushed into the scan), long ones a
+    semi/anti join whose strategy Spark picks from the sizes.
     """
-    values = list(values)
+    given = list(values)
+    values = [v for v in given if v is not None]
+    if negate and len(values) < len(given):
+        return df.where(F.lit(False))
+    if not values:
+        return df if negate else df.where(F.lit(False))
     if len(values) <= IN_LIST_JOIN_THRESHOLD:
         cond = F.col(column).isin(values)
         return df.where(~cond if negate else cond)
-    spark = df.sparkSession
     dtype = df.schema[column].dataType
-    vals = spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField("__ll_v", dtype)]))
-    if len(values) <= IN_LIST_BROADCAST_MAX:
-        vals = F.broadcast(vals)
+    vals = df.sparkSession.createDataFrame([(v,) for v in values], T.StructType([T.StructField("__ll_v", dtype)]))
     if negate:
-        nn = df.where(F.col(column).isNotNull())
-        return nn.join(vals, nn[column] == vals["__ll_v"], "left_anti")
-    return df.join(vals, df[column] == vals["__ll_v"], "left_semi")
+        df = df.where(F.col(column).isNotNull())
+    return df.join(vals, df[column] == vals["__ll_v"], "left_anti" if negate else "left_semi")
 
 
 def string_schema(columns: Sequence[str]) -> T.StructType:
