@@ -83,12 +83,16 @@ def map_texts(df: DataFrame, text_col: str, kernel: Callable, fields: Sequence[T
     set_arrow_rows(df.sparkSession)
     names = {f.name for f in fields}
     keep = [c for c in keep if c not in names]
-    inner = df.select(*[ident(c) for c in keep],
-                      ident(text_col).cast("string").alias(_TEXT))
+    inner = df.select(*[ident(c) for c in keep])
+    if text_col in keep and isinstance(df.schema[text_col].dataType, T.StringType):
+        at = keep.index(text_col)           # the kept column is read, not sent twice
+    else:
+        at = len(keep)
+        inner = df.select(*[ident(c) for c in keep], ident(text_col).cast("string").alias(_TEXT))
     schema = T.StructType([inner.schema[c] for c in keep] + list(fields))
     kinds = [to_arrow_type(f.dataType) for f in fields]
     out_names = [f.name for f in schema.fields]
-    at = len(keep)
+    n_keep = len(keep)
 
     def run(batches):
         compute = kernel()
@@ -96,7 +100,7 @@ def map_texts(df: DataFrame, text_col: str, kernel: Callable, fields: Sequence[T
             for part in byte_slices(batch, at, max_bytes):
                 made = [v if isinstance(v, pa.Array) else pa.array(v, type=k)
                         for v, k in zip(compute(part.column(at)), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:at], *made], names=out_names)
+                yield pa.RecordBatch.from_arrays([*part.columns[:n_keep], *made], names=out_names)
 
     return inner.mapInArrow(run, schema)
 

@@ -200,21 +200,22 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-def _mark(index_value, batches, n_keep: int, names: list[str], max_bytes: int):
-    """Adds this slice's hits to those of earlier slices (columns after the text)."""
+def _mark(index_value, batches, at_text: int, n_carried: int, names: list[str], max_bytes: int):
+    """Adds this slice's hits to those of earlier slices (run starts, run ends and items, the
+    three columns after the carried ones)."""
     index: Index = index_value.value
     for batch in batches:
-        for part in byte_slices(batch, n_keep, max_bytes):
-            ids, start = _joined(index, as_bytes(part.column(n_keep)))
+        for part in byte_slices(batch, at_text, max_bytes):
+            ids, start = _joined(index, as_bytes(part.column(at_text)))
             hit, pairs = _hits(index, ids, start)
-            items: list[set] = [set(x or ()) for x in part.column(n_keep + 3).to_pylist()]
+            old = [part.column(n_carried + k).to_pylist() for k in range(3)]
+            items: list[set] = [set(x or ()) for x in old[2]]
             for text, win in pairs.tolist():
                 items[text].update(index.items[win])
-            old = list(zip(part.column(n_keep + 1).to_pylist(), part.column(n_keep + 2).to_pylist(), strict=True))
             n_words, n_hit, starts, stops = [], [], [], []
             for i in range(part.num_rows):
                 own = hit[start[i]:start[i + 1] - 1].copy()
-                for s, e in zip(*(x or () for x in old[i]), strict=True):
+                for s, e in zip(old[0][i] or (), old[1][i] or (), strict=True):
                     own[s:e] = True
                 s, e = _runs(own)
                 n_words.append(own.size)
@@ -224,15 +225,15 @@ def _mark(index_value, batches, n_keep: int, names: list[str], max_bytes: int):
             made = [pa.array(starts, pa.list_(pa.int32())), pa.array(stops, pa.list_(pa.int32())),
                     pa.array([sorted(x) for x in items], pa.list_(pa.string())),
                     pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*part.columns[:n_keep + 1], *made], names=names)
+            yield pa.RecordBatch.from_arrays([*part.columns[:n_carried], *made], names=names)
 
 
 def _counting(shared):
     return lambda batches: _count_shingles(shared, batches, SLICE_BYTES)
 
 
-def _marking(shared, n_keep: int, names: list[str]):
-    return lambda batches: _mark(shared, batches, n_keep, names, SLICE_BYTES)
+def _marking(shared, at_text: int, n_carried: int, names: list[str]):
+    return lambda batches: _mark(shared, batches, at_text, n_carried, names, SLICE_BYTES)
 
 
 def _slices(benchmark: DataFrame, item_col: str, text_col: str, index_bytes: int):
@@ -249,10 +250,10 @@ def _slices(benchmark: DataFrame, item_col: str, text_col: str, index_bytes: int
 
 def mark_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                       item_text_col: str = "text", window: int = WINDOW, shingle: int = SHINGLE,
-                      keep: list[str] | None = None, index_bytes: int = INDEX_BYTES) -> DataFrame:
+                      keep: list[str] | None = None, index_bytes: int = INDEX_BYTES, prefix: str = "") -> DataFrame:
     """``keep`` columns (default: all) with n_words, n_hit, hit_starts / hit_ends (maximal runs of
     hit words, end exclusive), items (ids of items with occurring windows, sorted) and
-    contaminated.
+    contaminated; ``prefix`` goes before these names.
 
     Null and empty texts have no words; an item of no words has no window; a null item id counts
     as the empty id; rows with the same item id are one item; repeated documents are marked each;
@@ -261,14 +262,19 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """
     spark = docs.sparkSession
     set_arrow_rows(spark)
-    made = ["hit_starts", "hit_ends", "items", "n_words", "n_hit"]
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in (*made, "contaminated")]
+    made = [prefix + c for c in ("hit_starts", "hit_ends", "items", "n_words", "n_hit")]
+    flag = prefix + "contaminated"
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in (*made, flag)]
     text = "__llm_text"
-    at = docs.select(*[ident(c) for c in keep], ident(text_col).cast("string").alias(text),
-                     F.lit(None).cast("array<int>").alias(made[0]), F.lit(None).cast("array<int>").alias(made[1]),
-                     F.lit(None).cast("array<string>").alias(made[2]))
+    if text_col in keep and isinstance(docs.schema[text_col].dataType, T.StringType):
+        at_text, sent = keep.index(text_col), [ident(c) for c in keep]
+    else:
+        at_text, sent = len(keep), [*[ident(c) for c in keep], ident(text_col).cast("string").alias(text)]
+    at = docs.select(*sent, F.lit(None).cast("array<int>").alias(made[0]),
+                     F.lit(None).cast("array<int>").alias(made[1]), F.lit(None).cast("array<string>").alias(made[2]))
     schema = T.StructType([*at.schema.fields[:-3], field(made[0], "array<int>"), field(made[1], "array<int>"),
                            field(made[2], "array<string>"), field(made[3], "long"), field(made[4], "long")])
+    carried = [ident(c) for c in schema.names[:-2]]
     sc = spark.sparkContext
     for i, n, rows in _slices(benchmark, item_col, item_text_col, index_bytes):
         index = Index.build(rows, window, shingle)
@@ -280,8 +286,13 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
         for s, a, c in zip(seen["size"], seen["at"], seen["n"], strict=True):
             counts[s][a] = c
         index.choose_prefixes(counts, shingle)
-        at = at.select(*[ident(c) for c in keep], text, *made[:3]).mapInArrow(
-            _marking(sc.broadcast(index), len(keep), schema.names), schema)
+        at = at.select(*carried).mapInArrow(_marking(sc.broadcast(index), at_text, len(schema) - 5, schema.names), schema)
         if i + 1 < n:
             at = cut_lineage(at, "bench-marked")
-    return at.select(*[ident(c) for c in keep], *made, (F.col("n_hit") > 0).alias("contaminated"))
+    return at.select(*[ident(c) for c in keep], *[ident(c) for c in made], (ident(made[4]) > 0).alias(flag))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The documents without a hit word, columns in order."""
+    marked = mark_contaminated(docs, benchmark, prefix="__llm_", **options)
+    return marked.where("not __llm_contaminated").select(*[ident(c) for c in docs.columns])

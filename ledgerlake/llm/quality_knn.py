@@ -226,15 +226,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(counts, got["label"].to_numpy()[order])
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default: all) with ``score`` in 0..1, higher for label 1.
+def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None,
+          out_col: str = "score") -> DataFrame:
+    """``keep`` columns (default: all) with ``out_col``, a score in 0..1, higher for label 1.
 
     Null, empty and word-free texts resemble nothing and score the share of label 1 in the
     sample; without labelled rows every score is 0.5; repeated rows score alike; ties among
     neighbours fall by position in the sample; an empty table gives an empty result; a kept
-    column named score is replaced.
+    column named like the output is replaced.
     """
     keep = docs.columns if keep is None else keep
     shared = docs.sparkSession.sparkContext.broadcast(model)   # bounded by max_train and buckets
     return map_texts(docs, text_col, partial(_ScoreKernel, shared, model.idf.size),
-                     [field("score", "double")], keep)
+                     [field(out_col, "double")], keep)

@@ -20,7 +20,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import as_bytes, connected_components, field, ident, map_texts
@@ -117,6 +117,14 @@ def links(prints: DataFrame, max_bits: int = 2, bucket_cap: int = BUCKET_CAP) ->
     return found.unionByName(stars)
 
 
+def _groups(prints: DataFrame, id_col: str, max_bits: int, bucket_cap: int) -> DataFrame:
+    """(fp, __llm_group, __llm_first): every fingerprint's component and its smallest id."""
+    parts = cut_lineage(connected_components(links(prints, max_bits, bucket_cap)), "simhash-components")
+    firsts = prints.groupBy("fp").agg(F.min(ident(id_col)).alias("__llm_first"))
+    return firsts.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", F.coalesce("component", "fp").alias("__llm_group"), "__llm_first")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words_per_shingle: int = 3, max_bits: int = 2,
                     bucket_cap: int = BUCKET_CAP) -> DataFrame:
@@ -128,10 +136,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     null); an empty table gives an empty result; other columns are not read.
     """
     prints = cut_lineage(fingerprints(docs, words_per_shingle, text_col, [id_col]), "simhash-docs")
-    parts = cut_lineage(connected_components(links(prints, max_bits, bucket_cap)), "simhash-components")
-    firsts = prints.groupBy("fp").agg(F.min(ident(id_col)).alias("__llm_first"))
-    grouped = firsts.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", F.coalesce("component", "fp").alias("__llm_group"), "__llm_first")
+    grouped = cut_lineage(_groups(prints, id_col, max_bits, bucket_cap), "simhash-groups")
     roots = grouped.groupBy("__llm_group").agg(F.min("__llm_first").alias("component_id"))
     by_print = cut_lineage(grouped.join(roots, "__llm_group").select("fp", "component_id"), "simhash-roots")
     return prints.join(by_print, "fp").select(ident(id_col), "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3,
+             max_bits: int = 2, bucket_cap: int = BUCKET_CAP) -> DataFrame:
+    """The documents without near-duplicates, columns in order: of each group the one of
+    smallest id stays (ids before nulls, then the smaller fingerprint; of rows equal in both, the
+    one whose text hashes lowest)."""
+    tagged = cut_lineage(map_texts(docs, text_col, partial(_Kernel, words_per_shingle),
+                                   [field("__llm_fp", "long")], docs.columns), "simhash-tagged")
+    prints = tagged.select(ident(id_col).alias("__llm_id"), F.col("__llm_fp").alias("fp"))
+    grouped = _groups(prints, "__llm_id", max_bits, bucket_cap)
+    # a null id sorts last, so it represents a group only where no row has an id
+    best = cut_lineage(grouped.groupBy("__llm_group").agg(F.min(F.struct(
+        F.col("__llm_first").isNull().alias("gone"), F.col("__llm_first").alias("id"), F.col("fp").alias("fp"))
+    ).alias("b")).select(F.col("b.id").alias("__llm_id"), F.col("b.fp").alias("__llm_best")), "simhash-kept")
+    kept = tagged.join(best, F.col("__llm_fp").eqNullSafe(F.col("__llm_best"))
+                       & ident(id_col).eqNullSafe(F.col("__llm_id")), "left_semi")
+    repeated = prints.groupBy("__llm_id", "fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        order = Window.partitionBy(ident(id_col), F.col("__llm_fp")).orderBy(F.xxhash64(ident(text_col)), ident(text_col))
+        kept = kept.withColumn("__llm_nth", F.row_number().over(order)).where("__llm_nth = 1")
+    return kept.select(*[ident(c) for c in docs.columns])
