@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import byte_bpe, decontaminate, pii_crf, quality_knn, sharding, simhash, token_counts
+from ledgerlake.llm import byte_bpe, decontaminate, pii_crf, quality_knn, sharding, simhash, token_counts, warc_merkle
 from ledgerlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,60 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+# The record text, volume size, range sizes and fault rule of the operator.
+OP1_SQL = r"""
+WITH made AS (
+  SELECT page_id,
+         'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+         || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, '') || '>' || chr(13) || chr(10)
+         || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+         || 'Content-Length: ' || strlen(coalesce(html, ''))::VARCHAR || chr(13) || chr(10) || chr(13) || chr(10)
+         || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+  FROM pages),
+hashed AS (SELECT *, sha256(record) AS sha FROM made),
+diced AS (SELECT *, ('0x' || substr(sha, 9, 8))::BIGINT % 101 AS dice, length(record) // 2 AS mid FROM hashed),
+copied AS (
+  SELECT *, CASE dice
+      WHEN 0 THEN substr(record, 1, mid - 1) || CASE WHEN substr(record, mid, 1) = '#' THEN '%' ELSE '#' END
+                  || substr(record, mid + 1)
+      WHEN 1 THEN substr(record, 1, mid) WHEN 2 THEN NULL ELSE record END AS copy
+  FROM diced),
+stored AS (
+  SELECT sha, strlen(record) AS length, sha256(copy) AS copy_sha, strlen(copy) AS copy_length,
+         min(page_id) AS page_id, count(*) AS copies
+  FROM copied GROUP BY ALL),
+placed AS (
+  SELECT *, coalesce(sum(length) OVER (PARTITION BY volume ORDER BY sha
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset"
+  FROM (SELECT *, ('0x' || substr(sha, 1, 8))::BIGINT
+                  % (SELECT greatest(1, (count(*) + 511) // 512) FROM stored) AS volume FROM stored)),
+leaves AS (
+  SELECT 0 AS side, volume, "offset", length AS l, sha AS s FROM placed
+  UNION ALL SELECT 1, volume, "offset", copy_length, copy_sha FROM placed WHERE copy_sha IS NOT NULL),
+r0 AS (SELECT side, volume, "offset" // 65536 AS b,
+              sha256(string_agg("offset"::VARCHAR || ':' || sha256(l::VARCHAR || ':' || s), ',' ORDER BY "offset")) AS h
+       FROM leaves GROUP BY ALL),
+r1 AS (SELECT side, volume, b // 16 AS b, sha256(string_agg(b::VARCHAR || ':' || h, ',' ORDER BY b)) AS h
+       FROM r0 GROUP BY side, volume, b // 16),
+roots AS (SELECT side, volume, sha256(string_agg(b::VARCHAR || ':' || h, ',' ORDER BY b)) AS h
+          FROM r1 GROUP BY side, volume)
+SELECT p.volume::BIGINT AS volume, p."offset" AS record_offset, p.page_id, p.copies,
+       CASE WHEN copy_sha IS NULL THEN 'missing' WHEN copy_length <> length THEN 'resized' ELSE 'altered' END AS fault,
+       p.sha AS archived_sha256, p.copy_sha AS replica_sha256, x.h AS archived_root, y.h AS replica_root
+FROM placed p LEFT JOIN roots x ON x.side = 0 AND x.volume = p.volume
+     LEFT JOIN roots y ON y.side = 1 AND y.volume = p.volume
+WHERE copy_sha IS DISTINCT FROM sha
+"""
+
+
+@query("op1_warc_merkle", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc_merkle.audit_pages(read_table(spark, sf_dir, "pages"))
+    return found.select("volume", F.col("offset").alias("record_offset"), F.col("id").alias("page_id"), "copies", "fault",
+                        F.col("x_sha").alias("archived_sha256"), F.col("y_sha").alias("replica_sha256"),
+                        F.col("x_root").alias("archived_root"), F.col("y_root").alias("replica_root"))
+
+
 def _listed(column: str):
     """Spans as kind:start:end, comma-joined."""
     return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -68,7 +122,34 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-@query("op8_decontaminate")
+OP8_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item, l, array_to_string(w[i:i + l - 1], ' ') AS t
+  FROM (SELECT item, w, least(10, len(w)) AS l, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+        FROM items WHERE len(w) > 0)),
+doc_windows AS (
+  SELECT rid, l, i, array_to_string(w[i:i + l - 1], ' ') AS t
+  FROM (SELECT rid, w, l, unnest(range(1, len(w) - l + 2)) AS i
+        FROM docs, (SELECT DISTINCT l FROM item_windows) WHERE len(w) >= l)),
+found AS (SELECT rid, item, i, d.l FROM doc_windows d JOIN item_windows USING (l, t)),
+hit AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + l)) AS p FROM found) GROUP BY rid),
+held AS (SELECT rid, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+         FROM (SELECT DISTINCT rid, item FROM found) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(held.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (rid) LEFT JOIN held USING (rid)
+"""
+
+
+@query("op8_decontaminate", OP8_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontaminate.mark_contaminated(read_table(spark, sf_dir, "documents"),
                                              read_table(spark, sf_dir, "benchmark"), keep=["doc_id"])
