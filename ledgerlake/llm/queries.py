@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import byte_bpe, decontaminate, pii_crf, quality_knn, sharding, simhash, token_counts, warc_merkle
+from ledgerlake.llm import byte_bpe, decontaminate, pii_crf, pq_neardup, quality_knn, sharding, simhash, token_counts, warc_merkle
 from ledgerlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +97,29 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _listed("spans").alias("spans"))
 
 
+OP3_SQL = """
+WITH RECURSIVE rows AS (SELECT row_number() OVER () AS rid, vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+good AS (
+  SELECT * FROM rows WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                       AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.rid AS a, b.rid AS b, a.vec_id AS a_id, b.vec_id AS b_id FROM good a JOIN good b
+    ON a.rid <> b.rid AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (
+  SELECT rid, rid AS other, vec_id AS other_id FROM rows
+  UNION SELECT r.rid, l.b, l.b_id FROM reach r JOIN links l ON r.other = l.a),
+parts AS (SELECT rid, min(other_id) AS component_id FROM reach GROUP BY rid),
+degree AS (SELECT a AS rid, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM rows LEFT JOIN parts USING (rid) LEFT JOIN degree USING (rid)
+"""
+
+
+@query("op3_pq_neardup", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_neardup.near_duplicates(read_table(spark, sf_dir, "embeddings"), min_cosine=pq_neardup.MIN_COSINE)
+
+
 @query("op4_token_counts")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
