@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import byte_bpe, decontaminate, pii_crf, pq_neardup, quality_knn, sharding, simhash, token_counts, warc_merkle
+from ledgerlake.llm import byte_bpe, decontaminate, pii_crf, pq_neardup, quality_knn, sharding, simhash, substring_dedup, token_counts, warc_merkle
 from ledgerlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,6 +127,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+@query("op5_substring_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.repeated_substrings(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @query("op6_stratified_shards")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
