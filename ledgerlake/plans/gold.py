@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -9,15 +10,16 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import dates, numeric
 from ledgerlake.operators import aggregates, dedup, joins, keys
-from ledgerlake.plans import standins
-from ledgerlake.plans.silver import first_request_per_invoice
+from ledgerlake.plans.config import COMMERCIAL_GROUP, WarehouseConfig
+from ledgerlake.plans.silver import AGREEMENT_MARKERS, first_request_per_invoice
 
 CENT = Decimal("0.01")
 
 # --- fixed values ------------------------------------------------------------------
 AGREEMENT_GROUP = "GRUPO CONVENIOS"
-DEFAULT_GROUP = "GRUPO SECURITY DATA"
-COMMERCIAL_GROUP = "COMERCIAL"
+THIRD_PARTY_GROUP = "GRUPO TERCEROS"
+DISTRIBUTOR_GROUP = "GRUPO DISTRIBUIDORES"
+AGENT_GROUP = "GRUPO AGENTES"
 THIRD_PARTY_FAMILIES = ("FIRMAS ELECTRONICAS", "SISTEMA DE FACTURACION")
 VOIDED, INVOICED = "ANULADO", "FACTURADO"
 # -----------------------------------------------------------------------------------
@@ -87,133 +89,162 @@ def dim_invoices(inv: DataFrame, req: DataFrame, dco: DataFrame, excluded: DataF
     return _with_key(enriched, "codigo_factura", "id_factura")
 
 
-def _any_like(col, markers):
-    cond = None
-    for m in markers:
-        term = F.col(col).like(f"%{m}%")
-        cond = term if cond is None else cond | term
-    return cond
-
-
-def commercial_documents(inv, lns, dart, dcli, dven, seeds) -> DataFrame:
-    """Documents that qualify as commercial (8 OR-ed rules, one an EXISTS)."""
-    vc = seeds["vendedores_comercial"].alias("vc")
-    rac = seeds["reasignacion_articulos_comercial"].alias("rac")
-    rc = seeds["reasignacion_comercial"]
-    j = (inv.alias("f").join(lns.alias("t"), F.col("f.codigo_factura") == F.col("t.codigo_factura"))
-         .join(dart.alias("da"), F.col("t.codigo_articulo") == F.col("da.codigo_articulo"))
-         .join(dcli.alias("dc"), F.col("f.codigo_cliente") == F.col("dc.codigo_cliente"))
-         .join(dven.alias("dv"), F.col("f.codigo_vendedor") == F.col("dv.codigo_vendedor"))
-         .join(vc, F.col("dv.codigo_vendedor") == F.col("vc.codigo_vendedor"), "left")
-         .join(rac, (F.col("t.codigo_articulo") == F.col("rac.codigo_articulo"))
-               & (F.col("f.fecha_emision") >= F.col("rac.fecha_cambio")), "left"))
-    com, ver = F.col("da.is_codigo_comercial"), F.col("da.verificacion_vendedor")
-    c2, c3, fe = F.col("f.comentario_2"), F.col("f.comentario_3"), F.col("f.fecha_emision")
-    rule = (~F.col("f.codigo_factura").like("DV%")) & (
-        (com & ~ver)
-        | (com & ver & fe.between(F.col("vc.fecha_inicio"), F.col("vc.fecha_fin")) & ~c2.like("%RENOVACION%"))
-        | ((F.col("dc.codigo_cliente") == standins.COMMERCIAL_CUSTOMER)
-           & (fe >= F.lit(standins.COMMERCIAL_CUSTOMER_SINCE)))
-        | (c3 == "F.E.F.A.V.")
-        | ((c3 == "COMERCIAL") & ~ver)
-        | ((c3 == "COMERCIAL") & ver & ~c2.like("%RENOVACION%"))
-        | F.col("rac.codigo_articulo").isNotNull()
-        | joins.exists_in(rc, [("f.codigo_documento", "codigo_documento")]))
-    return j.where(rule).select(F.col("f.codigo_documento").alias("codigo_documento")).distinct()
+def any_of(conditions):
+    """True where a condition holds (NULL counts as not)."""
+    return functools.reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conditions])
+
+
+def first_label(rules, default):
+    """Label of the first rule whose condition holds; ``rules``: (label, condition) in order."""
+    out = None
+    for label, condition in rules:
+        label = F.lit(label) if isinstance(label, str) else label
+        out = F.when(condition, label) if out is None else out.when(condition, label)
+    return out.otherwise(default)
+
+
+def _mentions(column: str, markers):
+    return any_of([F.col(column).contains(m) for m in markers])
+
+
+def _prefixed(df: DataFrame, prefix: str, *columns: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(prefix + c) for c in columns])
+
+
+def sold_lines(inv, lns, dart, dcli, dven) -> DataFrame:
+    """Invoice lines whose article, customer and seller are in their dimensions, with the
+    article's commercial flags (no surrogate keys)."""
+    headers = (inv.join(dcli.select("codigo_cliente"), "codigo_cliente", "left_semi")
+               .join(dven.select("codigo_vendedor"), "codigo_vendedor", "left_semi")
+               .select("codigo_factura", "codigo_documento", "codigo_cliente", "codigo_vendedor", "fecha_emision",
+                       "comentario_2", "comentario_3"))
+    flags = dart.select("codigo_articulo", "is_codigo_comercial", "verificacion_vendedor")
+    return (lns.select("codigo_factura", "codigo_articulo").join(flags, "codigo_articulo")
+            .join(headers, "codigo_factura"))
+
+
+def commercial_documents(inv, lns, dart, dcli, dven, seeds, cfg: WarehouseConfig) -> DataFrame:
+    """Documents that qualify as commercial: one of the rules holds for one of their lines.
+
+    Each seed becomes a flag of its own grain first: sellers with their commercial periods,
+    articles with the day they became commercial, documents reassigned by hand."""
+    periods = _prefixed(seeds["vendedores_comercial"], "__period_", "codigo_vendedor", "fecha_inicio", "fecha_fin")
+    since = (seeds["reasignacion_articulos_comercial"].groupBy(F.col("codigo_articulo").alias("__since_article"))
+             .agg(F.min("fecha_cambio").alias("__since")))
+    by_hand = (seeds["reasignacion_comercial"].select(F.col("codigo_documento").alias("__hand_document"))
+               .where("__hand_document is not null").distinct())
+    sold = sold_lines(inv.where(~F.col("codigo_factura").startswith("DV")), lns, dart, dcli, dven)
+    at = F.col("fecha_emision")
+    flagged = (sold.join(periods, F.col("codigo_vendedor") == F.col("__period_codigo_vendedor"), "left")
+               .join(since, F.col("codigo_articulo") == F.col("__since_article"), "left")
+               .join(by_hand, F.col("codigo_documento") == F.col("__hand_document"), "left"))
+    code, checked = F.col("is_codigo_comercial"), F.col("verificacion_vendedor")
+    renewal = F.col("comentario_2").contains("RENOVACION")
+    marked = F.col("comentario_3") == COMMERCIAL_GROUP
+    rules = [code & ~checked,
+             code & checked & at.between(F.col("__period_fecha_inicio"), F.col("__period_fecha_fin")) & ~renewal,
+             *[(F.col("codigo_cliente") == customer) & (at >= F.lit(day)) for customer, day in cfg.commercial_customers],
+             F.col("comentario_3") == "F.E.F.A.V.",
+             marked & ~checked, marked & checked & ~renewal,
+             at >= F.col("__since"),
+             F.col("__hand_document").isNotNull()]
+    return flagged.where(any_of(rules)).select("codigo_documento").distinct()
 
 
 def agent_documents(inv, dven, seeds) -> DataFrame:
-    va = seeds["vendedores_agentes"].select(F.col("codigo_vendedor").alias("__va_code"))
-    j = (inv.join(dven.select(F.col("codigo_vendedor").alias("__dv_code")),
-                  F.col("codigo_vendedor") == F.col("__dv_code"))
-         .join(va, F.col("__dv_code") == F.col("__va_code"), "left"))
-    return j.where(F.col("comentario_3").like("%AGENT%") | F.col("comentario_2").like("%AGENT%")
-                   | F.col("__va_code").isNotNull()).select("codigo_documento").distinct()
-
-
-def fact_staging(inv, lns, dinv, dcli, dven, dart, dco, seeds, commercial: DataFrame | None = None,
-                 agents: DataFrame | None = None, expect_unique: bool = False) -> DataFrame:
-    """Wide line staging with the 11-rule seller group (first match wins).
-
-    The agreement-code list (per document, with the invoice id inside the DISTINCT) and
-    the effective-dated distributor reassignments fan out on repeated keys, as in the
-    source model (T-07); ``expect_unique=True`` makes the query fail there instead.
+    """Documents sold by an agent or whose comments mention one."""
+    agents = seeds["vendedores_agentes"].select(F.col("codigo_vendedor").alias("__agent")).distinct()
+    known = inv.join(dven.select("codigo_vendedor"), "codigo_vendedor", "left_semi")
+    return (known.join(agents, F.col("codigo_vendedor") == F.col("__agent"), "left")
+            .where(any_of([F.col("comentario_3").contains("AGENT"), F.col("comentario_2").contains("AGENT"),
+                           F.col("__agent").isNotNull()]))
+            .select("codigo_documento").distinct())
+
+
+def _flag(df: DataFrame, column: str, seed: DataFrame, seed_column: str, name: str, *more: str) -> DataFrame:
+    """Left join of a seed by one column: ``name`` tells whether it has the row, ``more`` its columns."""
+    side = seed.select(F.col(seed_column).alias("__flag_key"), F.lit(True).alias(name), *more)
+    return (df.join(side, F.col(column) == F.col("__flag_key"), "left").drop("__flag_key")
+            .withColumn(name, F.coalesce(name, F.lit(False))))
+
+
+def invoice_headers(inv, dinv, dcli, dven, dco, seeds, commercial, agents, cfg: WarehouseConfig,
+                    expect_unique: bool = False) -> DataFrame:
+    """Invoice headers that stay, with every attribute the lines take from their document,
+    customer, seller and code.  The agreement codes of a document (one per agreement invoice)
+    and the distributor changes of a customer multiply headers on repeated keys, as in the
+    source model (T-07); ``expect_unique=True`` makes the query fail there instead."""
+    kept = joins.anti_join(inv, seeds["facturas_excluidas"], [("codigo_factura", "codigo_factura")])
+    numbers = dinv.select("codigo_factura", "id_factura", F.col("codigo_documento").alias("__dim_document"))
+    agreement = (dinv.where(F.col("codigo_descuento").contains("ALIANZA"))
+                 .select(F.col("codigo_documento").alias("__agreement_document"), "id_factura",
+                         joins.lookup_default(dco, "codigo", cfg.agreement_code, "id_codigo").alias("__agreement_code"))
+                 .where("__agreement_code is not null").distinct().drop("id_factura"))
+    changes = _prefixed(seeds["reasignacion_distribuidores"], "__change_", "codigo_cliente",
+                        "grupo_vendedor_reasignado", "fecha_cambio")
+    if expect_unique:
+        agreement = joins.expect_unique(agreement, ["__agreement_document"], "agreement codes per document")
+        changes = joins.expect_unique(changes, ["__change_codigo_cliente"], "distributor reassignments")
+    out = (kept.join(numbers, "codigo_factura")
+           .join(dcli.select("codigo_cliente", "id_cliente", "is_same_corporate_group"), "codigo_cliente")
+           .join(dven.select("codigo_vendedor", "id_vendedor"), "codigo_vendedor"))
+    out = _flag(out, "numero_factura", seeds["reasignacion_periodo_fiscal"], "numero_factura", "__earlier")
+    out = _flag(out, "numero_factura", seeds["reasignacion_subtotal"], "numero_factura", "__as_is")
+    out = _flag(out, "codigo_documento", seeds["reasignacion_grupo_vendedor"], "codigo_documento", "__assigned",
+                "grupo_asignado")
+    out = _flag(out, "codigo_documento", commercial, "codigo_documento", "__commercial")
+    out = _flag(out, "codigo_documento", agents, "codigo_documento", "__agent")
+    out = _flag(out, "comentario_3", dco, "codigo", "__coded", F.col("id_codigo").alias("__code"), "atencion")
+    return (out.join(agreement, F.col("__dim_document") == F.col("__agreement_document"), "left")
+            .join(changes, (F.col("codigo_cliente") == F.col("__change_codigo_cliente"))
+                  & (F.col("fecha_emision") >= F.col("__change_fecha_cambio")), "left"))
+
+
+def seller_group_rules(cfg: WarehouseConfig) -> list:
+    """(label, condition) in order; the first that holds names a line's seller group."""
+    third = F.col("comentario_3").contains("TERCER") & F.col("familia").isin(*THIRD_PARTY_FAMILIES)
+    reassigned = F.col("__change_grupo_vendedor_reasignado")
+    return [(F.col("grupo_asignado"), F.col("__assigned")),
+            (AGREEMENT_GROUP, any_of([_mentions("codigo_descuento", AGREEMENT_MARKERS), F.col("atencion") == "CONVENIOS"])),
+            (reassigned, reassigned.isNotNull() & third),
+            (cfg.corporate_group, (F.col("familia") == "LICENCIAS") & F.col("is_same_corporate_group")),
+            (THIRD_PARTY_GROUP, third),
+            (DISTRIBUTOR_GROUP, F.col("comentario_3").contains("DISTRIBUI")),
+            (AGENT_GROUP, F.col("__agent")),
+            (cfg.special_group, F.col("codigo_cliente").isin(*cfg.special_customers)),
+            (COMMERCIAL_GROUP, F.col("__commercial")),
+            (F.col("grupo_vendedor_temp"), F.col("grupo_vendedor_temp").isNotNull())]
+
+
+def fact_staging(inv, lns, dinv, dcli, dven, dart, dco, seeds, cfg: WarehouseConfig,
+                 commercial: DataFrame | None = None, agents: DataFrame | None = None,
+                 expect_unique: bool = False) -> DataFrame:
+    """Wide line staging: enriched headers joined once with the lines and their articles.
 
     ``commercial`` / ``agents`` are the precomputed document lists (a caller that
     materialises them once passes them in)."""
     if commercial is None:
-        commercial = commercial_documents(inv, lns, dart, dcli, dven, seeds)
+        commercial = commercial_documents(inv, lns, dart, dcli, dven, seeds, cfg)
     if agents is None:
         agents = agent_documents(inv, dven, seeds)
-    fc = commercial.select(F.col("codigo_documento").alias("fc_doc"))
-    fa = agents.select(F.col("codigo_documento").alias("fa_doc"))
-    agreement_code = joins.lookup_default(dco, "codigo", standins.AGREEMENT_DEFAULT_CODE, "id_codigo")
-    fcon = (dinv.where(F.col("codigo_descuento").like("%ALIANZA%"))
-            .select(F.col("id_factura").alias("fcon_id"), agreement_code.alias("fcon_code"),
-                    F.col("codigo_documento").alias("fcon_doc"))
-            .where(F.col("fcon_code").isNotNull()).distinct())
-    manual_code = joins.lookup_default(dco, "codigo", standins.MANUAL_DEFAULT_CODE, "id_codigo")
-    rpf = seeds["reasignacion_periodo_fiscal"].select(F.col("numero_factura").alias("rpf_nf"))
-    rs = seeds["reasignacion_subtotal"].select(F.col("numero_factura").alias("rs_nf"))
-    rgv = seeds["reasignacion_grupo_vendedor"].select(F.col("codigo_documento").alias("rgv_doc"), "grupo_asignado")
-    rd = seeds["reasignacion_distribuidores"].select(F.col("codigo_cliente").alias("rd_cli"),
-                                                     "grupo_vendedor_reasignado", F.col("fecha_cambio").alias("rd_since"))
-    if expect_unique:
-        fcon = joins.expect_unique(fcon, ["fcon_doc"], "agreement codes per document")
-        rd = joins.expect_unique(rd, ["rd_cli"], "distributor reassignments")
-    dco_j = dco.select(F.col("id_codigo").alias("dco_id"), F.col("codigo").alias("dco_code"),
-                       F.col("atencion").alias("dco_atencion"))
-    excluded = seeds["facturas_excluidas"]
-    f = joins.anti_join(inv, excluded, [("codigo_factura", "codigo_factura")]).alias("f")
-    j = (f.join(lns.alias("t"), F.col("f.codigo_factura") == F.col("t.codigo_factura"))
-         .join(dinv.select("id_factura", F.col("codigo_factura").alias("df_cf"),
-                           F.col("codigo_documento").alias("df_doc")),
-               F.col("f.codigo_factura") == F.col("df_cf"))
-         .join(dcli.alias("dc"), F.col("f.codigo_cliente") == F.col("dc.codigo_cliente"))
-         .join(dven.alias("dv"), F.col("f.codigo_vendedor") == F.col("dv.codigo_vendedor"))
-         .join(dart.alias("da"), F.col("t.codigo_articulo") == F.col("da.codigo_articulo"))
-         .join(dco_j, F.col("f.comentario_3") == F.col("dco_code"), "left")
-         .join(fcon, F.col("df_doc") == F.col("fcon_doc"), "left")
-         .join(rpf, F.col("f.numero_factura") == F.col("rpf_nf"), "left")
-         .join(rs, F.col("f.numero_factura") == F.col("rs_nf"), "left")
-         .join(fc, F.col("f.codigo_documento") == F.col("fc_doc"), "left")
-         .join(fa, F.col("f.codigo_documento") == F.col("fa_doc"), "left")
-         .join(rgv, F.col("f.codigo_documento") == F.col("rgv_doc"), "left")
-         .join(rd, (F.col("dc.codigo_cliente") == F.col("rd_cli"))
-               & (F.col("f.fecha_emision") >= F.col("rd_since")), "left"))
-    c3, fam = F.col("f.comentario_3"), F.col("da.familia")
-    group = (F.when(F.col("rgv_doc").isNotNull(), F.col("grupo_asignado"))
-             .when(_any_like("f.codigo_descuento", ("ALIANZA", "COLEGIOABOGADO", "ANAMER", "FEUE"))
-                   | (F.col("dco_atencion") == "CONVENIOS"), AGREEMENT_GROUP)
-             .when(F.col("grupo_vendedor_reasignado").isNotNull() & c3.like("%TERCER%")
-                   & fam.isin(*THIRD_PARTY_FAMILIES), F.col("grupo_vendedor_reasignado"))
-             .when((fam == "LICENCIAS") & F.col("dc.is_same_corporate_group"), "LICENCIAS CORPORATIVAS")
-             .when(c3.like("%TERCER%") & fam.isin(*THIRD_PARTY_FAMILIES), "GRUPO TERCEROS")
-             .when(c3.like("%DISTRIBUI%"), "GRUPO DISTRIBUIDORES")
-             .when(F.col("fa_doc").isNotNull(), "GRUPO AGENTES")
-             .when(F.col("dc.codigo_cliente") == standins.SPECIAL_GROUP_CUSTOMER, "GRUPO ESPECIAL")
-             .when(F.col("fc_doc").isNotNull(), COMMERCIAL_GROUP)
-             .when(F.col("f.grupo_vendedor_temp").isNotNull(), F.col("f.grupo_vendedor_temp"))
-             .otherwise(DEFAULT_GROUP))
+    headers = invoice_headers(inv, dinv, dcli, dven, dco, seeds, commercial, agents, cfg, expect_unique)
+    sold = headers.join(lns, "codigo_factura").join(dart.select("codigo_articulo", "id_articulo", "familia"),
+                                                    "codigo_articulo")
+    manual_code = joins.lookup_default(dco, "codigo", cfg.manual_code, "id_codigo")
     cent = F.lit(CENT)
-    qty, price, disc = F.col("t.cantidad_articulos"), F.col("t.valor_unitario"), F.col("t.porcentaje_descuento")
-    return j.select(
-        "id_factura", F.col("f.codigo_documento").alias("codigo_documento"), F.col("f.is_nc").alias("is_nc"),
-        F.col("f.fecha_emision").alias("fecha_emision_fenix"),
-        F.when(F.col("rpf_nf").isNotNull(), dates.month_shift("f.fecha_emision"))
-         .otherwise(F.col("f.fecha_emision")).alias("fecha_emision"),
-        F.col("dc.id_cliente").alias("id_cliente"), F.col("dv.id_vendedor").alias("id_vendedor"),
-        F.col("da.id_articulo").alias("id_articulo"), F.col("f.id_sucursal").alias("id_sucursal"),
-        F.when(F.col("dco_id").isNotNull(), F.col("dco_id"))
-         .when(F.col("fcon_id").isNotNull(), F.col("fcon_code"))
-         .otherwise(manual_code).alias("id_codigo"),
-        qty.alias("cantidad_articulos"), price.alias("valor_unitario"), disc.alias("porcentaje_descuento"),
+    qty, price, disc = F.col("cantidad_articulos"), F.col("valor_unitario"), F.col("porcentaje_descuento")
+    return sold.select(
+        "id_factura", "codigo_documento", "is_nc", F.col("fecha_emision").alias("fecha_emision_fenix"),
+        F.when(F.col("__earlier"), dates.month_shift("fecha_emision")).otherwise(F.col("fecha_emision"))
+         .alias("fecha_emision"),
+        "id_cliente", "id_vendedor", "id_articulo", "id_sucursal",
+        F.coalesce("__code", "__agreement_code", manual_code).alias("id_codigo"),
+        qty, price, disc,
         (qty * price * (100 - disc) * cent).cast("decimal(18,4)").alias("subtotal_articulo"),
         (qty * price * disc * cent).cast("decimal(18,4)").alias("descuento_articulo"),
-        (F.col("f.total") - F.col("f.total_iva")).cast("decimal(18,2)").alias("total_sin_iva"),
-        F.col("t.porcentaje_iva").alias("porcentaje_iva"),
-        F.col("rs_nf").isNotNull().alias("excluir_ajuste_centavos"),
-        group.alias("grupo_vendedor"))
+        (F.col("total") - F.col("total_iva")).cast("decimal(18,2)").alias("total_sin_iva"),
+        "porcentaje_iva", F.col("__as_is").alias("excluir_ajuste_centavos"),
+        first_label(seller_group_rules(cfg), F.lit(cfg.default_group)).alias("grupo_vendedor"))
 
 
 def inherit_credit_note_group(stg: DataFrame) -> DataFrame:

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import dedup, joins
-from ledgerlake.plans.gold import AGREEMENT_GROUP, COMMERCIAL_GROUP, DEFAULT_GROUP, INVOICED
+from ledgerlake.plans.config import WarehouseConfig
+from ledgerlake.plans.gold import AGREEMENT_GROUP, INVOICED
 
 # --- fixed values ------------------------------------------------------------------
-DIRECT_GROUPS = (COMMERCIAL_GROUP, DEFAULT_GROUP, "GRUPO ESPECIAL")
 BILLING_FAMILY = "SISTEMA DE FACTURACION"
 MANUAL_SF_PREFIX = "SF.MAN."
 SALES_KEYS = ("id_factura", "fecha_emision", "fecha_emision_fenix", "id_cliente", "id_vendedor", "id_sucursal",
@@ -36,12 +36,12 @@ def agreements_invoices(dinv: DataFrame, fact: DataFrame) -> DataFrame:
     return dinv.join(f, dinv.id_factura == F.col("__f_id")).select(*dinv.columns).distinct()
 
 
-def indirect_channel(fact: DataFrame, dco: DataFrame, dinv: DataFrame) -> DataFrame:
+def indirect_channel(fact: DataFrame, dco: DataFrame, dinv: DataFrame, cfg: WarehouseConfig) -> DataFrame:
     """M-17: lines of indirect groups (a line without a code, or with a NULL group, drops)."""
     c = dco.select(F.col("id_codigo").alias("__dc_id"))
     d = dinv.select(F.col("id_factura").alias("__df_id"))
-    j = (fact.join(c, fact.id_codigo == F.col("__dc_id")).join(d, fact.id_factura == F.col("__df_id"))
-         .where(~F.col("grupo_vendedor").isin(*DIRECT_GROUPS)))
+    lines = fact.where(~F.col("grupo_vendedor").isin(*cfg.direct_groups))
+    j = lines.join(c, F.col("id_codigo") == F.col("__dc_id")).join(d, F.col("id_factura") == F.col("__df_id"))
     return _with_total(j.select(*fact.columns))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import text
-from ledgerlake.operators import aggregates, dedup, joins
+from ledgerlake.operators import dedup, joins
 
 # --- fixed values ------------------------------------------------------------------
 # Request product spellings mapped to the two product lines.
@@ -54,13 +54,17 @@ def requests(ops: DataFrame) -> DataFrame:
         _ut("grupo_vendedor").alias("grupo_vendedor"), "estado", "fecha_factura",
         "id_tramite", "origen")
     approved = F.col("estado") == "APROBADO"
-    # first approval per (cedula, product) for FIRMA and per (ruc_aux, product) for SF;
-    # one grouping key chosen by product gives the same partitions in a single pass
-    who = F.when(F.col("producto") == "FIRMA", F.col("cedula")).when(F.col("producto") == "SF", F.col("ruc_aux"))
-    cleaned = aggregates.conditional_min_over(cleaned.withColumn("__who", who), ["__who", "producto"],
-                                              F.col("fecha_aprobacion"), approved, "__first")
-    first = F.when(F.col("producto").isin("FIRMA", "SF"), F.col("__first"))
-    cleaned = cleaned.withColumn("fecha_primer_aprobado", first).drop("__first", "__who")
+    # first approval per (cedula, product) for FIRMA and per (ruc_aux, product) for SF, as a
+    # mapping relation; other products have none and stay out of the join
+    in_line = F.coalesce(F.col("producto").isin("FIRMA", "SF"), F.lit(False))
+    holder = F.when(F.col("producto") == "FIRMA", F.col("cedula")).otherwise(F.col("ruc_aux"))
+    lined = cleaned.where(in_line).withColumn("__holder", holder)
+    first = (lined.where(approved).groupBy(F.col("producto").alias("__line"), F.col("__holder").alias("__who"))
+             .agg(F.min("fecha_aprobacion").alias("fecha_primer_aprobado")))
+    lined = lined.join(first, (F.col("producto") == F.col("__line")) & F.col("__holder").eqNullSafe(F.col("__who")),
+                       "left").drop("__line", "__who", "__holder")
+    cleaned = lined.unionByName(cleaned.where(~in_line).withColumn("fecha_primer_aprobado",
+                                                                  F.lit(None).cast(ops.schema["fecha_aprobacion"].dataType)))
     fa, fp, ff, fi = (F.col(c) for c in ("fecha_aprobacion", "fecha_primer_aprobado", "fecha_factura",
                                          "fecha_inicio_tramite"))
     not_ok = F.col("estado") != "APROBADO"
@@ -76,7 +80,8 @@ def requests(ops: DataFrame) -> DataFrame:
     # keep the best request per serial: approved first, newest approval first (PG: DESC
     # NULLS FIRST), then the source key as tie-break (T-01, T-02)
     order = [F.when(approved, 1).otherwise(2), F.col("fecha_aprobacion").desc_nulls_first(),
-             F.col("origen").asc_nulls_last(), F.col("id_tramite").asc_nulls_last()]
+             F.col("origen").asc_nulls_last(), F.col("id_tramite").asc_nulls_last(),
+             F.col("numero_factura").asc_nulls_last()]
     best = dedup.keep_first(enriched, ["serial_firma"], order)
     return best.select("cedula", "fecha_aprobacion", "numero_factura", "ruc", "tipo_firma", "serial_firma",
                        "fecha_inicio_tramite", "ruc_aux", "medio", "sf_control", "producto",
@@ -142,7 +147,7 @@ def sellers(ven: DataFrame) -> DataFrame:
 def first_request_per_invoice(req: DataFrame) -> DataFrame:
     """Earliest request per invoice number (ASC NULLS LAST, tie-break on the source key)."""
     order = [F.col("fecha_aprobacion").asc_nulls_last(), F.col("origen").asc_nulls_last(),
-             F.col("id_tramite").asc_nulls_last()]
+             F.col("id_tramite").asc_nulls_last(), F.col("serial_firma").asc_nulls_last()]
     return dedup.keep_first(req, ["numero_factura"], order)
 
 

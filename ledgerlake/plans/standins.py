@@ -19,17 +19,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import keys
+from ledgerlake.plans.config import WarehouseConfig
 from ledgerlake.plans.tables import Tables
 
 # --- fixed values ------------------------------------------------------------------
-# Default code rows the fact falls back to (names as in the reference's catalogue).
-MANUAL_DEFAULT_CODE = "MANUAL.FACT.MANUAL"
-AGREEMENT_DEFAULT_CODE = "CONVE.FACT.MANUAL"
-# Synthetic stand-ins for the reference's configured customers / corporate tax ids.
-CORPORATE_GROUP_CIFS = ("CORP1", "CORP2", "CORP3")
-COMMERCIAL_CUSTOMER = "7"
-COMMERCIAL_CUSTOMER_SINCE = dt.date(1998, 1, 1)
-SPECIAL_GROUP_CUSTOMER = "13"
+# The configuration of the stand-in data: invented customers and tax ids, the labels and
+# default code rows of the source system.
+CONFIG = WarehouseConfig(
+    corporate_cifs=("CORP1", "CORP2", "CORP3"), commercial_customers=(("7", dt.date(1998, 1, 1)),),
+    special_customers=("13",), special_group="GRUPO ESPECIAL", corporate_group="LICENCIAS CORPORATIVAS",
+    default_group="GRUPO SECURITY DATA", manual_code="MANUAL.FACT.MANUAL", agreement_code="CONVE.FACT.MANUAL")
 # -----------------------------------------------------------------------------------
 
 _VAT_RATE = Decimal("0.12")
@@ -160,7 +159,7 @@ def bronze_codes(t: Tables):
         F.when(s == "HOUSEHOLD", F.lit("PLAN MANUAL")).otherwise(F.lit("plan anual")).alias("plan"),
         F.lit("vigencia 1 ano").alias("vigencia"))
     defaults = seg.where(s == "BUILDING").select(
-        F.explode(F.array(F.lit(MANUAL_DEFAULT_CODE), F.lit(AGREEMENT_DEFAULT_CODE))).alias("codigo"),
+        F.explode(F.array(F.lit(CONFIG.manual_code), F.lit(CONFIG.agreement_code))).alias("codigo"),
         F.lit("manual").alias("codigo_nombre"), F.lit("SISTEMA DE FACTURACION").alias("familia_producto"),
         F.lit("directa").alias("atencion"), F.lit("no").alias("venta_dirigida"),
         F.lit("concepto manual").alias("concepto_1"), F.lit(None).cast("string").alias("concepto_2"),
@@ -223,6 +222,14 @@ def _numero_factura(t: Tables, where: Column):
         .alias("numero_factura"))
 
 
+BRONZE_NAMES = ("fenix_facturas", "fenix_tranfac", "fenix_clientes", "fenix_vendedores", "fenix_articulos",
+                "fenix_codigos", "camunda_operatividad")
+SEED_NAMES = ("articulos_comercial", "vendedores_comercial", "vendedores_agentes", "reasignacion_comercial",
+              "reasignacion_grupo_vendedor", "reasignacion_distribuidores", "reasignacion_subtotal",
+              "reasignacion_articulos_comercial", "reasignacion_periodo_fiscal", "reasignacion_islas_temporales",
+              "facturas_excluidas", "fenix_articulos_corregidos", "puntos_emision")
+
+
 def seeds(t: Tables) -> dict:
     """Every seed of the models, derived from the tables."""
     p, s, c, o = t.part, t.supplier, t.customer, t.orders

@@ -13,7 +13,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import SparkSession
 
 from ledgerlake.plans import gold, marts, silver, standins
+from ledgerlake.plans.config import WarehouseConfig
 from ledgerlake.plans.tables import Tables
+from ledgerlake.sources import calendar
 from ledgerlake.session import cut_lineage
 
 
@@ -63,28 +65,36 @@ class _Seeds(dict):
 class Warehouse:
     """The layered models over one set of inputs.
 
-    With only ``sf_dir`` the bronze tables and seeds are stand-ins derived from the test
-    tables.  A real deployment passes its own ``bronze`` frames (keys as in
-    ``standins.bronze``: fenix_facturas, fenix_tranfac, ...) and ``seeds``
-    (``plans.seeds.read_seeds`` plus the ``puntos_emision`` and ``facturas_excluidas``
-    feature tables); anything not given falls back to the stand-ins.
+    With only ``sf_dir`` the bronze tables, seeds and configuration are stand-ins derived from
+    the test tables.  A real deployment passes all three of its own: ``bronze`` frames (keys
+    as in ``standins.bronze``: fenix_facturas, fenix_tranfac, ...), ``seeds``
+    (``plans.seeds.read_seeds`` plus the ``puntos_emision`` and ``facturas_excluidas`` feature
+    tables) and a ``WarehouseConfig``.  Nothing is mixed: a missing input raises by name.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, cut: bool = True,
-                 bronze: dict | None = None, seeds: dict | None = None, strict: bool = False):
+                 bronze: dict | None = None, seeds: dict | None = None, strict: bool = False,
+                 config: WarehouseConfig | None = None):
         self.spark = spark
         self.strict = strict          # fail on the source models' fan-outs (T-07)
-        self.t = Tables(spark, sf_dir) if sf_dir else None
-        derived_bronze = standins.bronze(self.t) if self.t is not None and not bronze else {}
-        derived_seeds = standins.seeds(self.t) if self.t is not None else {}
-        self.bronze = {**derived_bronze, **(bronze or {})}
-        self.seeds = _Seeds({**derived_seeds, **(seeds or {})}, cut)
+        if bronze is None and seeds is None and config is None:
+            if sf_dir is None:
+                raise ValueError("give sf_dir for the stand-ins, or bronze, seeds and config")
+            t = Tables(spark, sf_dir)
+            bronze, seeds, config = standins.bronze(t), standins.seeds(t), standins.CONFIG
+        given = {"bronze": (bronze or {}, standins.BRONZE_NAMES), "seeds": (seeds or {}, standins.SEED_NAMES)}
+        missing = [f"{kind}.{n}" for kind, (have, names) in given.items() for n in names if n not in have]
+        missing += ["config"] if config is None else []
+        if missing:
+            raise ValueError("missing warehouse inputs: " + ", ".join(missing))
+        self.bronze, self.config = dict(bronze), config
+        self.seeds = _Seeds(dict(seeds), cut)
         self.cut = cut
         self._memo: dict = {}
 
     # dependency waves: every layer of a wave only needs layers of earlier waves
     WAVES = (("seeds", "s_requests", "d_customers", "d_sellers", "d_codes"),
-             ("s_first_requests", "d_articles"),
+             ("s_first_requests", "d_articles", "d_dates"),
              ("s_invoices",),
              ("d_invoices", "commercial_docs", "agent_docs"),
              ("staging",),
@@ -123,7 +133,7 @@ class Warehouse:
 
     @layer(cut=False)
     def s_customers(self):
-        return silver.customers(self.bronze["fenix_clientes"], standins.CORPORATE_GROUP_CIFS)
+        return silver.customers(self.bronze["fenix_clientes"], self.config.corporate_cifs)
 
     @layer(cut=False)
     def s_codes(self):
@@ -172,7 +182,7 @@ class Warehouse:
     @layer
     def commercial_docs(self):
         return gold.commercial_documents(self.s_invoices(), self.s_lines(), self.d_articles(), self.d_customers(),
-                                         self.d_sellers(), self.seeds)
+                                         self.d_sellers(), self.seeds, self.config)
 
     @layer
     def agent_docs(self):
@@ -181,7 +191,7 @@ class Warehouse:
     @layer
     def staging(self):
         return gold.fact_staging(self.s_invoices(), self.s_lines(), self.d_invoices(), self.d_customers(),
-                                 self.d_sellers(), self.d_articles(), self.d_codes(), self.seeds,
+                                 self.d_sellers(), self.d_articles(), self.d_codes(), self.seeds, self.config,
                                  commercial=self.commercial_docs(), agents=self.agent_docs(),
                                  expect_unique=self.strict)
 
@@ -189,6 +199,10 @@ class Warehouse:
     def fact(self):
         return gold.fact_billing(self.staging())
 
+    @layer
+    def d_dates(self):
+        return calendar.dim_date(calendar.date_spine(self.spark))
+
     # marts --------------------------------------------------------------------------
     def m_agreements_customers(self):
         return marts.agreements_customers(self.d_invoices(), self.fact(), self.d_customers())
@@ -197,7 +211,7 @@ class Warehouse:
         return marts.agreements_invoices(self.d_invoices(), self.fact())
 
     def m_indirect(self):
-        return marts.indirect_channel(self.fact(), self.d_codes(), self.d_invoices())
+        return marts.indirect_channel(self.fact(), self.d_codes(), self.d_invoices(), self.config)
 
     def m_agreements_fact(self):
         return marts.agreements_fact(self.fact(), self.d_invoices())
@@ -207,61 +221,58 @@ class Warehouse:
                            expect_unique=self.strict)
 
 
-def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets: int = 64,
+def bucket_count(df, bucket_bytes: int = 1 << 30) -> int:
+    """Buckets of about ``bucket_bytes`` from the optimizer's size estimate of the frame."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, min(65536, -(-size // bucket_bytes)))
+
+
+#: Stored name and bucket key (None: plain Parquet) of each layer, in build order.
+TABLES = (("s_requests", "silver_camunda_operatividad", None), ("s_articles", "silver_fenix_articulos", None),
+          ("s_customers", "silver_fenix_clientes", None), ("s_codes", "silver_fenix_codigos", None),
+          ("s_lines", "silver_fenix_tranfac", "codigo_factura"), ("s_sellers", "silver_fenix_vendedores", None),
+          ("s_first_requests", "silver_first_requests", None), ("s_invoices", "silver_fenix_facturas", "codigo_factura"),
+          ("d_articles", "gold_dim_articulos", None), ("d_customers", "gold_dim_clientes", None),
+          ("d_sellers", "gold_dim_vendedores", None), ("d_codes", "gold_dim_codigos", None),
+          ("d_invoices", "gold_dim_facturas", "codigo_factura"), ("d_dates", "gold_dim_fecha", None),
+          ("commercial_docs", "gold_documentos_comerciales", None), ("agent_docs", "gold_documentos_agentes", None),
+          ("staging", "gold_fact_staging", None), ("fact", "gold_fact_facturacion", None))
+
+
+def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets: int | None = None,
                 database: str = "ledgerlake", bronze: dict | None = None,
-                seeds: dict | None = None, strict: bool = False) -> dict[str, str]:
-    """The production job: build every layer, writing each table once (full refresh) and
-    reading it back so downstream layers start from files, not from the upstream lineage.
+                seeds: dict | None = None, strict: bool = False,
+                config: WarehouseConfig | None = None) -> dict[str, str]:
+    """The production job: the same layers as ``Warehouse.build``, each written once (full
+    refresh) and read back, so every layer starts from files, not from the upstream lineage.
 
     Silver invoice headers, lines and the invoice dimension are stored bucketed by the
     invoice key with the same bucket count, so the header x line x invoice-dimension
     joins of the fact read all three in place (co-located, no shuffle of the largest
-    table).  Marts stay views over the fact.
-
-    ``buckets`` is the one bucket count of those three tables; size it so a bucket of the
-    line table is about 1 GB (e.g. 8192 for 8 TB of lines).  The default suits tests.
+    table).  ``buckets`` defaults to about 1 GB of lines a bucket.  Seeds are written once on
+    first use; marts stay views over the fact.
     """
-    w = Warehouse(spark, sf_dir, cut=False, bronze=bronze, seeds=seeds, strict=strict)
+    w = Warehouse(spark, sf_dir, cut=False, bronze=bronze, seeds=seeds, strict=strict, config=config)
+    w.seeds = _Seeds(w.seeds._lazy, cut=True)
+    buckets = buckets or bucket_count(w.s_lines())
     paths: dict[str, str] = {}
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-
-    def put(name, df):
-        path = os.path.join(out_dir, name)
-        df.write.mode("overwrite").parquet(path)
-        paths[name] = path
-        return spark.read.parquet(path)
-
-    def put_bucketed(name, df, key):
-        path = os.path.join(out_dir, name)
-        # one writer task per bucket, so each bucket is one file
-        (df.repartition(buckets, key).write.mode("overwrite").option("path", path)
-         .bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(f"{database}.{name}"))
-        paths[name] = path
-        return spark.table(f"{database}.{name}")
-
-    req = put("silver_camunda_operatividad", w.s_requests())
-    art = put("silver_fenix_articulos", w.s_articles())
-    cli = put("silver_fenix_clientes", w.s_customers())
-    cod = put("silver_fenix_codigos", w.s_codes())
-    lns = put_bucketed("silver_fenix_tranfac", w.s_lines(), "codigo_factura")
-    ven = put("silver_fenix_vendedores", w.s_sellers())
-    freq = put("silver_first_requests", silver.first_request_per_invoice(req))
-    inv = put_bucketed("silver_fenix_facturas", silver.invoices(
-        w.bronze["fenix_facturas"], req, cod, w.seeds["puntos_emision"], w.seeds["reasignacion_islas_temporales"],
-        first_req=freq, expect_unique=strict), "codigo_factura")
-    dart = put("gold_dim_articulos", gold.dim_articles(art, w.seeds["articulos_comercial"], lns))
-    dcli = put("gold_dim_clientes", gold.dim_customers(cli))
-    dven = put("gold_dim_vendedores", gold.dim_sellers(ven))
-    dco = put("gold_dim_codigos", gold.dim_codes(cod))
-    dinv = put_bucketed("gold_dim_facturas", gold.dim_invoices(inv, req, dco, w.seeds["facturas_excluidas"],
-                                                                first_req=freq), "codigo_factura")
-    fact = put("gold_fact_facturacion", gold.fact_billing(
-        gold.fact_staging(inv, lns, dinv, dcli, dven, dart, dco, w.seeds, expect_unique=strict)))
-    for name, df in (("mart_dim_clientes_convenios", marts.agreements_customers(dinv, fact, dcli)),
-                     ("mart_dim_facturas_convenios", marts.agreements_invoices(dinv, fact)),
-                     ("mart_fact_canal_indirecto", marts.indirect_channel(fact, dco, dinv)),
-                     ("mart_fact_facturacion_convenios", marts.agreements_fact(fact, dinv)),
-                     ("mart_fact_facturacion_ventas", marts.sales(fact, dco, dinv, dart, expect_unique=strict))):
+    for layer_name, name, key in TABLES:
+        df = getattr(w, layer_name)()
+        path = paths[name] = os.path.join(out_dir, name)
+        if key is None:
+            df.write.mode("overwrite").parquet(path)
+            w._memo[layer_name] = spark.read.parquet(path)
+        else:
+            # one writer task per bucket, so each bucket is one file
+            (df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+             .bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(f"{database}.{name}"))
+            w._memo[layer_name] = spark.table(f"{database}.{name}")
+    for name, df in (("mart_dim_clientes_convenios", w.m_agreements_customers()),
+                     ("mart_dim_facturas_convenios", w.m_agreements_invoices()),
+                     ("mart_fact_canal_indirecto", w.m_indirect()),
+                     ("mart_fact_facturacion_convenios", w.m_agreements_fact()),
+                     ("mart_fact_facturacion_ventas", w.m_sales())):
         df.createOrReplaceTempView(name)   # marts are views over the written fact
         paths[name] = "view"
     return paths

@@ -136,6 +136,7 @@ def test_materialize_job_equals_lazy_fact(spark, tmp_dir):
     assert digest(written.columns, [tuple(r) for r in written.collect()])[0] == \
         digest(lazy.columns, [tuple(r) for r in lazy.collect()])[0]
     assert spark.table("mart_fact_facturacion_ventas").count() > 0
+    assert spark.read.parquet(paths["gold_dim_fecha"]).count() == 5843
     # headers, lines and the invoice dimension are bucketed alike: with broadcasts off, the
     # three-way join on the invoice key reads all sides in place
     from pyspark.sql import functions as F
@@ -157,6 +158,26 @@ def test_materialize_job_equals_lazy_fact(spark, tmp_dir):
                 spark.conf.set(k, v)
 
 
+def test_production_plans_read_the_line_table_once(spark, tmp_dir):
+    # staging scans the written lines once, the fact does not read them at all
+    from tests.conftest import SMALL_SF
+    from ledgerlake.plans import warehouse as wh
+    from ledgerlake.session import cut_lineage
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    seen = {}
+    w = wh.Warehouse(spark, SMALL_SF, cut=True)
+    w._memo["s_lines"] = cut_lineage(w.s_lines(), "onlylines")
+    w.build()
+    for name, df in (("staging", wh.gold.fact_staging(
+            w.s_invoices(), w.s_lines(), w.d_invoices(), w.d_customers(), w.d_sellers(), w.d_articles(), w.d_codes(),
+            w.seeds, w.config, commercial=w.commercial_docs(), agents=w.agent_docs())),
+            ("fact", wh.gold.fact_billing(w.staging()))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = plan.split("== Initial Plan ==")[0]
+        seen[name] = sum("FileScan" in x and "/onlylines-" in x for x in plan.split("\n"))
+    assert seen == {"staging": 1, "fact": 0}
+
+
 def test_strict_warehouse_fails_on_reproduced_fan_out(spark):
     # parity mode reproduces the source models' fan-outs (T-07); strict mode stops the job
     from tests.conftest import SMALL_SF

@@ -83,6 +83,30 @@ def test_read_seed_directory_and_warehouse_override(spark, tmp_dir):
     seeds = read_seeds(spark, tmp_dir)
     assert set(seeds) == {"reasignacion_subtotal", "vendedores_comercial"}
     assert seeds["vendedores_comercial"].first()["fecha_fin"] == dt.date(2020, 12, 31)
-    w = Warehouse(spark, SMALL_SF, cut=False, seeds=seeds)
+    from ledgerlake.plans import standins
+    from ledgerlake.plans.tables import Tables
+    t = Tables(spark, SMALL_SF)
+    with pytest.raises(ValueError, match=r"bronze.fenix_facturas.*seeds.articulos_comercial.*config"):
+        Warehouse(spark, SMALL_SF, cut=False, seeds=seeds)          # nothing is filled in silently
+    w = Warehouse(spark, cut=False, bronze=standins.bronze(t), seeds={**standins.seeds(t), **seeds},
+                  config=standins.CONFIG)
     assert w.seeds["reasignacion_subtotal"].count() == 1            # the file, not the stand-in
-    assert w.seeds["articulos_comercial"].count() > 0               # others still derived
+
+
+def test_second_configuration_changes_the_rules(spark):
+    import dataclasses
+    from ledgerlake.plans import standins
+    from ledgerlake.plans.tables import Tables
+    from ledgerlake.plans.warehouse import Warehouse
+    from tests.conftest import SMALL_SF
+    t = Tables(spark, SMALL_SF)
+    everyone = tuple(str(r["c_custkey"]) for r in t.customer.select("c_custkey").collect())
+    seen = []
+    for special in ((), everyone):
+        config = dataclasses.replace(standins.CONFIG, special_customers=special, special_group="OTRO GRUPO",
+                                     default_group="SIN GRUPO", commercial_customers=(), corporate_cifs=("CORP9",))
+        w = Warehouse(spark, cut=True, bronze=standins.bronze(t), seeds=standins.seeds(t), config=config)
+        seen.append({r["grupo_vendedor"] for r in w.staging().select("grupo_vendedor").distinct().collect()})
+    assert "SIN GRUPO" in seen[0] and "OTRO GRUPO" not in seen[0]
+    assert "OTRO GRUPO" in seen[1] and "SIN GRUPO" not in seen[1]
+    assert not {"GRUPO ESPECIAL", "GRUPO SECURITY DATA"} & (seen[0] | seen[1])
