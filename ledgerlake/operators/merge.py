@@ -170,7 +170,7 @@ def update_only(target: DataFrame, source: DataFrame, key: str, set_cols: dict[s
 
 
 def resolve_batches(source: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                    batch_size: int = 10_000) -> DataFrame:
+                    batch_size: int = 10_000, num_partitions: int | None = None) -> DataFrame:
     """Reproduce the batched loader in one plan (O-21): rows are cut into batches of
     ``batch_size`` in extract ``order`` (a total order); a key repeated inside one batch
     fails the load (the database rejected such a batch), across batches the later batch
@@ -183,7 +183,7 @@ def resolve_batches(source: DataFrame, keys: Sequence[str], order: Sequence[Colu
     from ledgerlake.operators.joins import join_back_aggregate
     from ledgerlake.operators.keys import global_row_number
     keys = list(keys)
-    numbered = global_row_number(source, order, "__ll_seq")
+    numbered = global_row_number(source, order, "__ll_seq", num_partitions=num_partitions)
     batched = numbered.withColumn("__ll_batch", F.call_function("div", F.col("__ll_seq") - 1, F.lit(batch_size)))
     present = None
     for k in keys:
@@ -201,9 +201,16 @@ def resolve_batches(source: DataFrame, keys: Sequence[str], order: Sequence[Colu
 
 def persist(target: DataFrame | None, source: DataFrame, mode: PersistMode | str,
             keys: Sequence[str] | None = None, update_cols: Sequence[str] | None = None,
-            load_ts=None, audit: bool = False) -> DataFrame:
-    """One entry point for the three persistence modes with the reference's guards
-    (O-20, O-98): bad mode, missing conflict columns -> ValueError; NaN -> NULL first."""
+            load_ts=None, audit: bool = False, order: Sequence[Column] | None = None,
+            batch_size: int = 10_000) -> DataFrame:
+    """One entry point for the three persistence modes with the loader's guards
+    (O-20, O-98): bad mode, missing conflict columns -> ValueError; NaN -> NULL first.
+
+    At most one source row per non-NULL key reaches the merge, so a repeated key never
+    multiplies rows.  With ``order`` (a total order: the load order) the source is resolved as
+    the batched loader does (O-21): IGNORE keeps the first row of a key, UPDATE the row of the
+    latest batch, and a key repeated inside one UPDATE batch fails the job.  Without it any
+    repeated key fails the job, in both modes."""
     if not isinstance(source, DataFrame):
         raise ValueError("source must be a DataFrame")
     mode = PersistMode(mode)
@@ -212,11 +219,24 @@ def persist(target: DataFrame | None, source: DataFrame, mode: PersistMode | str
         return append(target, src)
     if not keys:
         raise ValueError(f"mode {mode.value} needs conflict columns")
+    keys = list(keys)
+    require_columns(src, keys, "conflict columns")
     if mode == PersistMode.IGNORE:
-        return insert_ignore(target, src, keys)
+        if order is None:
+            src = unique_keys(src, keys)
+        return insert_ignore(target, src, keys, order)
+    src = unique_keys(src, keys) if order is None else resolve_batches(src, keys, order, batch_size)
     return upsert(target, src, keys, update_cols, load_ts, audit)
 
 
+def unique_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source; the job fails when a key without NULL parts repeats (T-12: a key with a NULL
+    part never conflicts)."""
+    from ledgerlake.operators.joins import expect_unique
+    keyed, null_keyed = split_null_keys(source, list(keys))
+    return expect_unique(keyed, list(keys), "merge source").unionByName(null_keyed)
+
+
 def load_once(target: DataFrame, source: DataFrame) -> DataFrame:
     """Load only when the target is empty (O-27), as one lazy plan:
     ``target ∪ (source WHERE NOT EXISTS (SELECT 1 FROM target))``."""

@@ -29,7 +29,7 @@ class LoadSpec:
 LOAD_SPECS = {
     "fenix_facturas": LoadSpec(
         "fenix_facturas", ("numfac",),
-        ("update_date", "numdoc", "cliente", "numser", "pedido", "comen1", "comen2", "comen3", "subtotal",
+        ("numdoc", "cliente", "numser", "pedido", "comen1", "comen2", "comen3", "subtotal",
          "desc0", "total_iva", "total", "codven", "emision", "fecha_hora"), "fecha_hora"),
     "fenix_tranfac": LoadSpec("fenix_tranfac", ("id_tranfac", "unico"),
                               ("numfac", "codart", "cantidad_d", "precio", "desct", "iva"), "id_tranfac"),
@@ -51,9 +51,12 @@ REQUEST_DATETIME_COLS = ("fecha_aprobacion", "fecha_inicio_tramite", "fecha_fact
 REQUEST_INTEGER_COLS = ("sf_control",)
 REQUEST_STRING_COLS = ("cedula", "factura", "ruc", "tipo_firma", "serial_firma", "ruc_aux", "medio", "producto",
                        "estado")
-# Invoice comment columns cleaned of special characters on load.
+# Columns cleaned of special characters on load.
 CLEANED_COLUMNS = {"fenix_facturas": ("codven",), "fenix_vendedores": ("codven",),
-                   "fenix_articulos": ("codart",)}
+                   "fenix_articulos": ("nomart", "nomart2"),
+                   "fenix_codigos": ("codigo_nombre", "familia_producto", "atencion", "venta_dirigida", "concepto_1",
+                                     "concepto_2", "plan", "vigencia")}
+REQUEST_STATUSES = ("APROBADO", "NO APROBADO")
 # --------------------------------------------------------------------------------------
 
 _PRIO = "__ll_source_priority"
@@ -75,39 +78,57 @@ def integrate_requests(frames: Sequence[DataFrame], order_col: str = "id_tramite
     (id_tramite, origen, factura); "first" = source list order, then the extract's
     ``ORDER BY`` column.  Rows with a NULL serial are dropped (the whole key is NULL)."""
     u = tf.union_by_name(list(frames))
-    d1 = dedup.drop_duplicates(u, ["serial_firma"], "first", row_order=[_PRIO, order_col])
-    d2 = dedup.drop_duplicates(d1, ["id_tramite", "origen", "factura"], "first", row_order=[_PRIO, order_col])
+    d1 = dedup.drop_duplicates(u, ["serial_firma"], "first", row_order=[_PRIO, order_col, "factura"])
+    d2 = dedup.drop_duplicates(d1, ["id_tramite", "origen", "factura"], "first",
+                               row_order=[_PRIO, order_col, "factura"])
     return d2.drop(_PRIO)
 
 
-def load(target: DataFrame, source: DataFrame, spec: LoadSpec, load_ts=None) -> DataFrame:
-    """UPDATE-mode merge of one load into the bronze snapshot (NaN -> NULL, audit cols)."""
+def load(target: DataFrame, source: DataFrame, spec: LoadSpec, load_ts=None,
+         order: Sequence | None = None, batch_size: int = 10_000) -> DataFrame:
+    """UPDATE-mode merge of one load into the bronze snapshot (NaN -> NULL, audit cols).  A key
+    repeated in the source fails the job, unless ``order`` (the extract's total order) is given:
+    then it is resolved batch by batch (``merge.persist``)."""
     src = source
     if "creation_date" in target.columns and "creation_date" not in src.columns:
         src = merge.with_audit_columns(src, load_ts)
     return merge.persist(target, src, "update", keys=list(spec.keys),
                          update_cols=[c for c in spec.update_cols if c in src.columns],
-                         load_ts=load_ts, audit="creation_date" in target.columns)
+                         load_ts=load_ts, audit="creation_date" in target.columns, order=order, batch_size=batch_size)
 
 
-def requests_watermarks(target: DataFrame) -> DataFrame:
-    """Per-status high-water marks of the request table (one row)."""
-    return aggregates.high_water_mark_by(target, "fecha_factura", "estado", ["APROBADO", "NO APROBADO"])
+def requests_watermarks(target: DataFrame) -> dict:
+    """High-water mark of the billing date per request status (None: no such row), one pass."""
+    row = aggregates.high_water_mark_by(target, "fecha_factura", "estado", REQUEST_STATUSES).first()
+    return {status: row[f"hwm_{status}"] for status in REQUEST_STATUSES}
 
 
 def clean_special_for(table: str, df: DataFrame) -> DataFrame:
     return tf.clean_special_columns(df, CLEANED_COLUMNS.get(table, ()))
 
 
+def after_mark(extract: DataFrame, column: str, mark) -> DataFrame:
+    """Rows past a stored mark.  The mark is one value, read before the extract is planned, so
+    the comparison is with a literal and reaches the scan; None (empty target) takes all."""
+    return extract if mark is None else extract.where(F.col(column) > F.lit(mark))
+
+
 def incremental_load(target: DataFrame, extract: DataFrame, spec: LoadSpec, mode: str = "INCREMENTAL",
-                     load_ts=None) -> DataFrame:
-    """One scheduled run of a single-source bronze load (O-93, §3.1):
-    high-water mark of the target (a scalar subquery, NULL when empty -> load all) ->
-    filtered extract -> special-character cleaning -> UPDATE merge.  ``mode='INICIAL'``
-    reads the whole extract."""
-    from ledgerlake.operators.aggregates import after_watermark
+                     load_ts=None, order: Sequence | None = None, batch_size: int = 10_000) -> DataFrame:
+    """One scheduled run of a single-source bronze load (O-93, §3.1): high-water mark of the
+    target -> filtered extract -> special-character cleaning -> UPDATE merge.
+    ``mode='INICIAL'`` reads the whole extract."""
     src = extract
     if mode == "INCREMENTAL" and spec.watermark:
-        hwm = target.select(F.max(spec.watermark)).scalar()
-        src = src.where(after_watermark(spec.watermark, hwm))
-    return load(target, clean_special_for(spec.table, src), spec, load_ts)
+        src = after_mark(src, spec.watermark, aggregates.high_water_mark(target, spec.watermark))
+    return load(target, clean_special_for(spec.table, src), spec, load_ts, order, batch_size)
+
+
+def incremental_requests(target: DataFrame, extracts: dict[str, DataFrame], origin: str = "CAMUNDA",
+                         load_ts=None) -> DataFrame:
+    """Incremental run of the request load: one extract a status, each past the mark of its own
+    status in the target, then integrated and merged like the full run."""
+    marks = requests_watermarks(target)
+    cleaned = [clean_request_source(after_mark(extract, "fecha_factura", marks[status]), origin, priority)
+               for priority, (status, extract) in enumerate(extracts.items())]
+    return load(target, integrate_requests(cleaned), LOAD_SPECS["camunda_operatividad"], load_ts)

@@ -1,4 +1,4 @@
-"""Driver query for the multi-source bronze load of approval requests (M-20, §3.2)."""
+"""Driver queries for the eight bronze loads (M-20): an initial and an incremental run each."""
 
 from __future__ import annotations
 
@@ -6,14 +6,19 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.dates import ntz_literal
 from ledgerlake.operators import merge
-from ledgerlake.plans import bronze
+from ledgerlake.plans import bronze, standins
 from ledgerlake.plans.registry import query
 from ledgerlake.plans.tables import Tables
+from ledgerlake.plans.warehouse_sql import STANDINS
 
 # --- fixed values (query parameters) ------------------------------------------------
 FIRST_LOAD_TS = dt.datetime(2024, 1, 1)
 SECOND_LOAD_TS = dt.datetime(2024, 2, 1)
+CUTOFF = dt.datetime(1998, 1, 1)
+FIRST_LINE_ID = 5000
+FIRST_CUSTOMERS = FIRST_SELLERS = 50
 # --------------------------------------------------------------------------------------
 
 
@@ -42,12 +47,12 @@ WITH ext AS (
          CAST(strftime(ts, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS fecha_aprobacion,
          upper(CAST(event_id AS VARCHAR)) AS factura, upper(event_type) AS producto,
          CASE WHEN event_type IN ('purchase', 'signup') THEN 'APROBADO' WHEN event_type = 'error' THEN 'NO APROBADO'
-              ELSE 'PORTAL' END AS estado,
+              WHEN event_type = 'view' THEN 'PORTAL GK' ELSE 'PORTAL' END AS estado,
          CAST(NULL AS TIMESTAMP) AS fecha_factura,
          CASE WHEN event_type = 'error' THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS sf_control,
-         CASE WHEN event_type = 'click' THEN 'PORTAL' ELSE 'CAMUNDA' END AS origen,
-         CASE WHEN event_type IN ('purchase', 'signup') THEN 0 WHEN event_type = 'error' THEN 1 ELSE 2 END AS prio
-  FROM events WHERE event_type IN ('purchase', 'signup', 'error', 'click')),
+         CASE event_type WHEN 'click' THEN 'PORTAL' WHEN 'view' THEN 'PORTAL_GK' ELSE 'CAMUNDA' END AS origen,
+         CASE WHEN event_type IN ('purchase', 'signup') THEN 0 WHEN event_type = 'error' THEN 1 WHEN event_type = 'click' THEN 2 ELSE 3 END AS prio
+  FROM events WHERE event_type IN ('purchase', 'signup', 'error', 'click', 'view')),
 d1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY serial_firma ORDER BY prio, id_tramite) AS rn
                       FROM ext WHERE serial_firma IS NOT NULL) WHERE rn = 1),
 d2 AS (SELECT * EXCLUDE (rn2) FROM (SELECT * EXCLUDE (rn), row_number() OVER (PARTITION BY id_tramite, origen, factura ORDER BY prio, id_tramite) AS rn2
@@ -72,17 +77,142 @@ FROM tgt t FULL JOIN d2 s ON t.id_tramite = s.id_tramite AND t.origen = s.origen
 """
 
 
-@query("bronze_requests_load", "M-20 O-03 O-07 O-21 O-24 O-63 O-65 O-65b O-66 O-67 O-90", sql=_SQL)
+@query("bronze_requests_load", "M-20 O-07 O-24 O-63 O-65 O-65b O-66 O-67 O-90", sql=_SQL)
 def bronze_requests_load(spark, sf_dir):
-    """Portal rows loaded earlier (status 'VIEJO'), then a full run of three sources:
-    approved and not-approved requests (CAMUNDA) and portal rows (PORTAL)."""
+    """Portal rows loaded earlier (status 'VIEJO'), then a full run of four sources:
+    approved and not-approved requests (CAMUNDA) and the two portals."""
     t = Tables(spark, sf_dir)
     approved = bronze.clean_request_source(_extract(t, ["purchase", "signup"], "APROBADO"), "CAMUNDA", 0)
     rejected = bronze.clean_request_source(_extract(t, ["error"], "NO APROBADO", with_control=False), "CAMUNDA", 1)
     portal = bronze.clean_request_source(_extract(t, ["click"], "PORTAL"), "PORTAL", 2)
+    portal_gk = bronze.clean_request_source(_extract(t, ["view"], "PORTAL GK"), "PORTAL_GK", 3)
     spec = bronze.LOAD_SPECS["camunda_operatividad"]
     previous = bronze.integrate_requests([portal.withColumn("estado", F.lit("VIEJO"))])
     target = merge.with_audit_columns(previous, FIRST_LOAD_TS)
-    snapshot = bronze.load(target, bronze.integrate_requests([approved, rejected, portal]), spec, SECOND_LOAD_TS)
+    snapshot = bronze.load(target, bronze.integrate_requests([approved, rejected, portal, portal_gk]), spec, SECOND_LOAD_TS)
     return snapshot.select("id_tramite", "serial_firma", "cedula", "fecha_aprobacion", "factura", "producto", "estado",
                            "fecha_factura", "sf_control", "origen", "creation_date", "update_date")
+
+
+def _two_runs(table: str, first, second, load_order=None):
+    """Snapshot after an initial run of ``first`` and an incremental run of ``second``."""
+    spec = bronze.LOAD_SPECS[table]
+    order = None if load_order is None else [F.col(c).asc() for c in load_order]
+    empty = merge.with_audit_columns(first.where(F.lit(False)), FIRST_LOAD_TS)
+    one = bronze.incremental_load(empty, first, spec, "INICIAL", FIRST_LOAD_TS, order, 1)
+    return bronze.incremental_load(one, second, spec, "INCREMENTAL", SECOND_LOAD_TS, order, 1)
+
+
+def _sql(select: str) -> str:
+    return "WITH " + STANDINS.strip() + "\n" + select
+
+
+_FIRST, _SECOND = "TIMESTAMP '2024-01-01 00:00:00'", "TIMESTAMP '2024-02-01 00:00:00'"
+
+
+def _stamped(first_run: str) -> str:
+    """Audit columns of rows that one run inserted and no other touched."""
+    return f"if({first_run}, {_FIRST}, {_SECOND}) AS creation_date, if({first_run}, {_FIRST}, {_SECOND}) AS update_date"
+
+
+@query("bronze_facturas_load", "M-20 O-09 O-24 O-52 O-93", sql=_sql(
+    f"SELECT *, emision AS fecha_hora, {_stamped(f"emision <= TIMESTAMP '{CUTOFF}'")} FROM bronze_facturas_t"))
+def bronze_facturas_load(spark, sf_dir):
+    ext = standins.bronze_invoices(Tables(spark, sf_dir))
+    return _two_runs("fenix_facturas", ext.where(F.col("fecha_hora") <= ntz_literal(CUTOFF)), ext)
+
+
+@query("bronze_tranfac_load", "M-20 O-10 O-21 O-93", sql=_sql(f"""
+SELECT id_tranfac, unico, r.numfac, r.codart, r.cantidad_d, r.precio, r.desct, r.iva, {_stamped(f'id_tranfac <= {FIRST_LINE_ID}')}
+FROM (SELECT id_tranfac, unico, max({{'codart': codart, 'cantidad_d': cantidad_d, 'precio': precio, 'desct': desct, 'iva': iva,
+                                     'numfac': numfac}}) AS r
+      FROM bronze_tranfac GROUP BY id_tranfac, unico)"""))
+def bronze_tranfac_load(spark, sf_dir):
+    """Line keys repeat in the extract: the later row in extract order wins."""
+    ext = standins.bronze_lines(Tables(spark, sf_dir))
+    return _two_runs("fenix_tranfac", ext.where(F.col("id_tranfac") <= FIRST_LINE_ID), ext,
+                     ("id_tranfac", "unico", "codart", "cantidad_d", "precio", "desct", "iva", "numfac"))
+
+
+@query("bronze_clientes_load", "M-20 O-09 O-93", sql=_sql(f"""
+SELECT *, TIMESTAMP '2020-01-01 00:00:00' + to_days(CAST(codcli AS INTEGER)) AS fecha_act,
+       {_stamped(f'CAST(codcli AS INTEGER) <= {FIRST_CUSTOMERS}')} FROM bronze_clientes"""))
+def bronze_clientes_load(spark, sf_dir):
+    ext = standins.bronze_customers(Tables(spark, sf_dir)).withColumn(
+        "fecha_act", F.expr("timestamp_ntz'2020-01-01' + make_dt_interval(cast(codcli as int))"))
+    return _two_runs("fenix_clientes", ext.where(F.col("codcli").cast("int") <= FIRST_CUSTOMERS), ext)
+
+
+@query("bronze_vendedores_load", "M-20 O-09 O-93", sql=_sql(f"""
+SELECT codven, CASE WHEN CAST(codven AS INTEGER) <= {FIRST_SELLERS} THEN 'antes ' || nomven ELSE nomven END AS nomven,
+       TIMESTAMP '2020-01-01 00:00:00' + to_days(CAST(codven AS INTEGER)) AS fecha_act,
+       {_stamped(f'CAST(codven AS INTEGER) <= {FIRST_SELLERS}')} FROM bronze_vendedores"""))
+def bronze_vendedores_load(spark, sf_dir):
+    """Sellers below the stored mark are not read again, so their old names stay."""
+    ext = standins.bronze_sellers(Tables(spark, sf_dir)).withColumn(
+        "fecha_act", F.expr("timestamp_ntz'2020-01-01' + make_dt_interval(cast(codven as int))"))
+    first = ext.where(F.col("codven").cast("int") <= FIRST_SELLERS).withColumn("nomven", F.concat(F.lit("antes "), "nomven"))
+    return _two_runs("fenix_vendedores", first, ext)
+
+
+@query("bronze_articulos_load", "M-20 O-19 O-78", sql=_sql(f"""
+SELECT codart, nomart || ' cafe' AS nomart, nomart2 || 'n' AS nomart2,
+       if(codart LIKE 'ART%', {_FIRST}, {_SECOND}) AS creation_date, {_SECOND} AS update_date
+FROM bronze_articulos"""))
+def bronze_articulos_load(spark, sf_dir):
+    """No mark: every run reads all articles; names lose accents and control characters."""
+    ext = standins.bronze_articles(Tables(spark, sf_dir))
+    dirty = ext.withColumns({"nomart": F.concat("nomart", F.lit(" caf\u00e9\u0007")), "nomart2": F.concat("nomart2", F.lit("\u00f1"))})
+    return _two_runs("fenix_articulos", ext.where(F.col("codart").like("ART%")), dirty)
+
+
+@query("bronze_codigos_load", "M-20 O-19 O-78", sql=_sql(f"""
+SELECT codigo, {', '.join(f"{c} || ' e' AS {c}" for c in bronze.CLEANED_COLUMNS['fenix_codigos'])},
+       {_FIRST} AS creation_date, {_SECOND} AS update_date
+FROM bronze_codigos"""))
+def bronze_codigos_load(spark, sf_dir):
+    ext = standins.bronze_codes(Tables(spark, sf_dir)).drop("id_codigo")
+    dirty = ext.withColumns({c: F.concat(F.col(c), F.lit(" \u00e9\u0001")) for c in bronze.CLEANED_COLUMNS["fenix_codigos"]})
+    return _two_runs("fenix_codigos", ext, dirty)
+
+
+@query("bronze_facturas_excluidas_load", "M-20 O-19 O-11", sql=_sql(f"""
+SELECT codigo_factura, motivo, {_stamped("codigo_factura LIKE 'DV%'").replace(f"{_FIRST}, {_SECOND}) AS update_date",
+                                                                              f"{_SECOND}, {_SECOND}) AS update_date")}
+FROM facturas_excluidas"""))
+def bronze_facturas_excluidas_load(spark, sf_dir):
+    ext = standins.seeds(Tables(spark, sf_dir))["facturas_excluidas"]
+    first = ext.where(F.col("codigo_factura").like("DV%")).withColumn("motivo", F.lit("POR REVISAR"))
+    return _two_runs("facturas_excluidas", first, ext)
+
+
+@query("bronze_requests_incremental", "M-20 O-09 O-52 O-93", sql="""
+WITH ext AS (
+  SELECT event_id AS id_tramite, 'SF' || event_id AS serial_firma, event_id::VARCHAR AS factura, ts AS fecha_factura,
+         if(event_type = 'error', 'NO APROBADO', 'APROBADO') AS estado, 'CAMUNDA' AS origen,
+         if(event_type = 'error', event_id % 3 = 0, event_id % 2 = 0) AS stored
+  FROM events WHERE event_type IN ('purchase', 'error')),
+mark AS (SELECT estado, max(date_trunc('second', fecha_factura)) AS high FROM ext WHERE stored GROUP BY estado)
+SELECT id_tramite, serial_firma, factura, date_trunc('second', fecha_factura) AS fecha_factura, estado, origen,
+       if(stored, TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-01') AS creation_date,
+       if(stored AND date_trunc('second', fecha_factura) <= high, TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-01') AS update_date
+FROM ext JOIN mark USING (estado) WHERE stored OR date_trunc('second', fecha_factura) > high
+""")
+def bronze_requests_incremental(spark, sf_dir):
+    """Each status is read past its own stored mark."""
+    e = Tables(spark, sf_dir).events
+    bad = F.col("event_type") == "error"
+    ext = e.where(F.col("event_type").isin("purchase", "error")).select(
+        F.col("event_id").alias("id_tramite"), F.concat(F.lit("sf"), F.col("event_id").cast("string")).alias("serial_firma"),
+        F.lit(None).cast("string").alias("cedula"), F.lit(None).cast("string").alias("fecha_aprobacion"),
+        F.col("event_id").cast("string").alias("factura"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("fecha_factura"),
+        F.when(bad, "NO APROBADO").otherwise("APROBADO").alias("estado"),
+        F.when(bad, F.col("event_id") % 3 == 0).otherwise(F.col("event_id") % 2 == 0).alias("stored"))
+    ext = ext.withColumns({c: F.lit(None).cast("string") for c in ("fecha_inicio_tramite", "sf_control", "ruc", "tipo_firma",
+                                                                   "ruc_aux", "medio", "producto")})
+    stored = bronze.integrate_requests([bronze.clean_request_source(ext.where("stored").drop("stored"), "CAMUNDA", 0)])
+    target = merge.with_audit_columns(stored, FIRST_LOAD_TS)
+    found = bronze.incremental_requests(
+        target, {s: ext.where(F.col("estado") == s).drop("stored") for s in bronze.REQUEST_STATUSES}, load_ts=SECOND_LOAD_TS)
+    return found.select("id_tramite", "serial_firma", "factura", "fecha_factura", "estado", "origen", "creation_date", "update_date")

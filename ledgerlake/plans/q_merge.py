@@ -75,6 +75,74 @@ def upsert_update(spark, sf_dir):
                          update_cols=["c_name", "c_acctbal"])
 
 
+def _line_source(t):
+    """Lines under a coarser key, so most keys repeat; every 7th order has a NULL key."""
+    k = F.when(F.col("l_orderkey") % 7 == 0, None).otherwise(F.call_function("div", "l_orderkey", F.lit(40)))
+    return t.lineitem.select(k.alias("k"), "l_orderkey", "l_linenumber", "l_quantity",
+                             (F.col("l_partkey") + F.col("l_suppkey")).alias("payload"))
+
+
+_LINE_CTE = """
+WITH src AS (SELECT CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_orderkey // 40 END AS k, l_orderkey, l_linenumber, l_quantity,
+                    l_partkey + l_suppkey AS payload FROM lineitem),
+     tgt AS (SELECT k, min(l_orderkey) AS l_orderkey, CAST(0 AS INTEGER) AS l_linenumber, min(l_quantity) - 1 AS l_quantity,
+                    CAST(-1 AS BIGINT) AS payload FROM src WHERE k % 2 = 0 GROUP BY k)
+"""
+
+
+def _line_target(t):
+    return (_line_source(t).where(F.col("k") % 2 == 0).groupBy("k")
+            .agg(F.min("l_orderkey").alias("l_orderkey"), F.lit(0).cast("int").alias("l_linenumber"),
+                 (F.min("l_quantity") - 1).alias("l_quantity"), F.lit(-1).cast("long").alias("payload")))
+
+
+LINE_ORDER = ("l_orderkey", "l_linenumber", "payload", "l_quantity")      # total: ties are equal rows
+LINE_COLUMNS = ("k", "l_orderkey", "l_linenumber", "l_quantity", "payload")
+
+
+@query("batched_upsert", "O-21 O-19 O-61", sql="""
+WITH seq AS (SELECT *, row_number() OVER (ORDER BY l_linenumber, l_orderkey, l_partkey + l_suppkey, l_quantity) AS n FROM lineitem),
+     last AS (SELECT arg_max((l_orderkey, l_linenumber, l_quantity, l_partkey + l_suppkey), n) AS r FROM seq GROUP BY l_orderkey)
+SELECT r[1] AS l_orderkey, r[2] AS l_linenumber, r[3] AS l_quantity, r[4] AS payload FROM last
+""")
+def batched_upsert(spark, sf_dir):
+    """An order's lines arrive in line order, each in a later batch: the last line wins."""
+    t = Tables(spark, sf_dir)
+    src = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", (F.col("l_partkey") + F.col("l_suppkey")).alias("payload"))
+    return merge.resolve_batches(src, ["l_orderkey"], [F.col(c).asc() for c in ("l_linenumber", "l_orderkey", "payload", "l_quantity")],
+                                 batch_size=1, num_partitions=9)
+
+
+@query("merge_ignore_repeated_keys", "O-18 O-21", sql=_LINE_CTE + """
+SELECT k, l_orderkey, l_linenumber, l_quantity, payload FROM tgt
+UNION ALL SELECT * FROM src WHERE k IS NULL
+UNION ALL
+SELECT k, r[1], r[2], r[3], r[4] FROM (
+  SELECT k, arg_min((l_orderkey, l_linenumber, l_quantity, payload), (l_orderkey, l_linenumber, payload, l_quantity)) AS r
+  FROM src WHERE k IS NOT NULL AND k NOT IN (SELECT k FROM tgt) GROUP BY k)
+""")
+def merge_ignore_repeated_keys(spark, sf_dir):
+    """Repeated and NULL keys: the first row in load order is inserted, NULL keys always."""
+    t = Tables(spark, sf_dir)
+    return merge.persist(_line_target(t), _line_source(t), "ignore", keys=["k"],
+                         order=[F.col(c).asc() for c in LINE_ORDER]).select(*LINE_COLUMNS)
+
+
+@query("merge_update_repeated_keys", "O-19 O-20 O-21", sql=_LINE_CTE + """
+, last AS (SELECT k, arg_max((l_orderkey, l_linenumber, l_quantity, payload), (l_orderkey, l_linenumber, payload, l_quantity)) AS r
+           FROM src WHERE k IS NOT NULL GROUP BY k)
+SELECT coalesce(t.k, s.k) AS k, coalesce(t.l_orderkey, s.r[1]) AS l_orderkey, coalesce(t.l_linenumber, s.r[2]) AS l_linenumber,
+       coalesce(s.r[3], t.l_quantity) AS l_quantity, coalesce(s.r[4], t.payload) AS payload
+FROM tgt t FULL JOIN last s ON s.k = t.k
+UNION ALL SELECT * FROM src WHERE k IS NULL
+""")
+def merge_update_repeated_keys(spark, sf_dir):
+    """Repeated and NULL keys: one row a batch, so the last row in load order updates."""
+    t = Tables(spark, sf_dir)
+    return merge.persist(_line_target(t), _line_source(t), "update", keys=["k"], update_cols=["l_quantity", "payload"],
+                         order=[F.col(c).asc() for c in LINE_ORDER], batch_size=1).select(*LINE_COLUMNS)
+
+
 @query("update_only", "O-22", sql=_CTE + """
 SELECT t.c_custkey,
        CASE WHEN s.c_custkey IS NOT NULL THEN s.c_name ELSE t.c_name END AS c_name,

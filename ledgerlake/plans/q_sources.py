@@ -46,13 +46,27 @@ WITH p AS (SELECT p_partkey, NULLIF(p_brand, 'Brand#1') AS brand FROM part)
 SELECT p_partkey, brand, 'in' AS sel FROM p WHERE brand IN ('Brand#2', 'Brand#3', 'Brand#5')
 UNION ALL
 SELECT p_partkey, brand, 'not_in' AS sel FROM p WHERE brand NOT IN ('Brand#2', 'Brand#3', 'Brand#5')
+UNION ALL SELECT p_partkey, brand, 'null_in' FROM p WHERE brand IN ('Brand#2', NULL)
+UNION ALL SELECT p_partkey, brand, 'null_not_in' FROM p WHERE brand NOT IN ('Brand#2', NULL)
+UNION ALL SELECT p_partkey, brand, 'empty_not_in' FROM p
+UNION ALL SELECT p_partkey, brand, 'long_in' FROM p WHERE p_partkey IN (SELECT 3 * range FROM range(1500))
+UNION ALL SELECT p_partkey, brand, 'long_not_in' FROM p WHERE brand NOT IN (SELECT 'Brand#' || 2 * range FROM range(1500))
+UNION ALL SELECT p_partkey, brand, 'long_null_not_in' FROM p WHERE p_partkey NOT IN (SELECT 3 * range FROM range(1500) UNION ALL SELECT NULL)
 """)
 def scan_in_list(spark, sf_dir):
     p = Tables(spark, sf_dir).part.select(
         "p_partkey", F.nullif(F.col("p_brand"), F.lit("Brand#1")).alias("brand"))
     inn = readers.in_list_filter(p, "brand", BRANDS).withColumn("sel", F.lit("in"))
     out = readers.in_list_filter(p, "brand", BRANDS, negate=True).withColumn("sel", F.lit("not_in"))
-    return inn.unionByName(out)
+    thirds, evens = [3 * i for i in range(1500)], [f"Brand#{2 * i}" for i in range(1500)]
+    more = (("null_in", "brand", ["Brand#2", None], False), ("null_not_in", "brand", ["Brand#2", None], True),
+            ("empty_in", "brand", [], False), ("empty_not_in", "brand", [], True),
+            ("long_in", "p_partkey", thirds, False), ("long_not_in", "brand", evens, True),
+            ("long_null_not_in", "p_partkey", [*thirds, None], True))
+    out = inn.unionByName(out)
+    for sel, column, values, negate in more:
+        out = out.unionByName(readers.in_list_filter(p, column, values, negate).withColumn("sel", F.lit(sel)))
+    return out
 
 
 def _purchases(spark, params):

@@ -30,10 +30,14 @@ def merge_batch(spark: SparkSession, target_dir: str, keys: Sequence[str],
                 update_cols: Sequence[str] | None, schema: T.StructType):
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch_id == 0:
+            if path_exists(spark, snapshot_path(target_dir, 1)):
+                # the checkpoint is gone but the snapshots are not: starting over would leave
+                # ``latest_snapshot`` on an older, higher epoch
+                raise RuntimeError(f"{target_dir} holds later epochs; restore the checkpoint or take a new target")
             current = spark.createDataFrame([], schema)
         else:
             current = spark.read.schema(schema).parquet(snapshot_path(target_dir, batch_id - 1))
-        new = merge.upsert(current, batch, list(keys), update_cols)
+        new = merge.upsert(current, merge.unique_keys(batch, list(keys)), list(keys), update_cols)
         new.write.mode("overwrite").parquet(snapshot_path(target_dir, batch_id))
     return run
 
