@@ -7,11 +7,16 @@ minimum aggregates only, so a hub node is pre-aggregated and AQE can split its e
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,8 +41,22 @@ def ident(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+@lru_cache(8)
+def _ship(application_id: str) -> None:
+    """Send this package to the Python workers (once an application), as they may not have it on
+    their path; Spark serves the archive from the driver."""
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="ledgerlake-")) / "ledgerlake.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    SparkContext.getOrCreate().addPyFile(str(archive))
+
+
 def set_arrow_rows(spark: SparkSession) -> None:
-    """Keep Arrow batches small unless the session already asks for smaller ones."""
+    """Ready the session for Python operators: the package on the workers, and Arrow batches
+    small unless the session already asks for smaller ones."""
+    _ship(spark.sparkContext.applicationId)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key, "10000")) <= ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))
