@@ -12,6 +12,7 @@ from ledgerlake.functions import dates, numeric
 from ledgerlake.operators import aggregates, dedup, joins, keys
 from ledgerlake.plans.config import COMMERCIAL_GROUP, WarehouseConfig
 from ledgerlake.plans.silver import AGREEMENT_MARKERS, first_request_per_invoice
+from ledgerlake.session import cut_lineage
 
 CENT = Decimal("0.01")
 
@@ -25,7 +26,8 @@ VOIDED, INVOICED = "ANULADO", "FACTURADO"
 # -----------------------------------------------------------------------------------
 
 
-def dim_articles(art: DataFrame, commercial: DataFrame, lns: DataFrame) -> DataFrame:
+def dim_articles(art: DataFrame, commercial: DataFrame, lns: DataFrame,
+                 previous: DataFrame | None = None) -> DataFrame:
     """M-08: articles sold (EXISTS in lines) or manual SF codes, with commercial flags."""
     ac = commercial.select(F.col("codigo_articulo").alias("__ac_code"), "verificacion_vendedor")
     stg = art.join(ac, F.col("codigo") == F.col("__ac_code"), "left").select(
@@ -34,27 +36,33 @@ def dim_articles(art: DataFrame, commercial: DataFrame, lns: DataFrame) -> DataF
         F.col("verificacion_vendedor").isNotNull().alias("is_codigo_comercial"), "concepto")
     kept = joins.semi_or(stg, lns, [("codigo_articulo", "codigo_articulo")],
                          F.col("codigo_articulo").like("SF.MAN%"))
-    return _with_key(kept, "codigo_articulo", "id_articulo")
-
-
-def _with_key(df: DataFrame, natural: str, id_col: str) -> DataFrame:
-    """Surrogate key: dense by natural key (stable across refreshes, T-19)."""
-    km = keys.dense_keys(df, [natural], id_col)
+    return _with_key(kept, "codigo_articulo", "id_articulo", previous)
+
+
+def _with_key(df: DataFrame, natural: str, id_col: str, previous: DataFrame | None = None) -> DataFrame:
+    """Surrogate key in front: dense by natural key on a first build; with ``previous`` (the last
+    snapshot of the dimension) known natural keys keep their ids and new ones follow the
+    highest, so a refresh does not renumber (T-19)."""
+    if previous is None:
+        km = keys.dense_keys(df, [natural], id_col)
+    else:
+        km = cut_lineage(keys.stable_keys(df.select(natural), previous.select(id_col, natural).distinct(),
+                                          [natural], id_col), "stable-keys")
     out = keys.attach_keys(df, km, [natural])
     return out.select(id_col, *[c for c in df.columns])
 
 
-def dim_customers(cli: DataFrame) -> DataFrame:
+def dim_customers(cli: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """M-09."""
     stg = cli.select(F.col("codigo").alias("codigo_cliente"), F.col("nombre").alias("nombre_cliente"),
                      "cif", "is_same_corporate_group")
-    return _with_key(stg, "codigo_cliente", "id_cliente")
+    return _with_key(stg, "codigo_cliente", "id_cliente", previous)
 
 
-def dim_sellers(ven: DataFrame) -> DataFrame:
+def dim_sellers(ven: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """M-12."""
     stg = ven.select(F.col("codigo").alias("codigo_vendedor"), F.col("nombre").alias("nombre_vendedor"))
-    return _with_key(stg, "codigo_vendedor", "id_vendedor")
+    return _with_key(stg, "codigo_vendedor", "id_vendedor", previous)
 
 
 def dim_codes(cod: DataFrame) -> DataFrame:
@@ -63,7 +71,7 @@ def dim_codes(cod: DataFrame) -> DataFrame:
 
 
 def dim_invoices(inv: DataFrame, req: DataFrame, dco: DataFrame, excluded: DataFrame,
-                 first_req: DataFrame | None = None) -> DataFrame:
+                 first_req: DataFrame | None = None, previous: DataFrame | None = None) -> DataFrame:
     """M-11: exclusions removed; ANULADO when the document has a credit note; sale type
     from the first request of the document, else from the code catalogue."""
     stg = joins.anti_join(inv, excluded, [("codigo_factura", "codigo_factura")])
@@ -86,7 +94,7 @@ def dim_invoices(inv: DataFrame, req: DataFrame, dco: DataFrame, excluded: DataF
         F.when(F.col("__nc_doc").isNotNull(), VOIDED).otherwise(INVOICED).alias("estado_factura"),
         F.when(F.col("__dt_tipo").isNotNull(), F.col("__dt_tipo"))
          .when(F.col("__dc_c2").isNotNull(), F.col("__dc_c2")).alias("tipo_venta"))
-    return _with_key(enriched, "codigo_factura", "id_factura")
+    return _with_key(enriched, "codigo_factura", "id_factura", previous)
 
 
 def any_of(conditions):

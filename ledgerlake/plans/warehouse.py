@@ -74,8 +74,9 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, cut: bool = True,
                  bronze: dict | None = None, seeds: dict | None = None, strict: bool = False,
-                 config: WarehouseConfig | None = None):
+                 config: WarehouseConfig | None = None, previous: dict | None = None):
         self.spark = spark
+        self.previous = previous or {}     # last snapshots of d_articles, d_customers, ...: ids stay
         self.strict = strict          # fail on the source models' fan-outs (T-07)
         if bronze is None and seeds is None and config is None:
             if sf_dir is None:
@@ -160,15 +161,16 @@ class Warehouse:
     # gold ---------------------------------------------------------------------------
     @layer
     def d_articles(self):
-        return gold.dim_articles(self.s_articles(), self.seeds["articulos_comercial"], self.s_lines())
+        return gold.dim_articles(self.s_articles(), self.seeds["articulos_comercial"], self.s_lines(),
+                                 self.previous.get("d_articles"))
 
     @layer
     def d_customers(self):
-        return gold.dim_customers(self.s_customers())
+        return gold.dim_customers(self.s_customers(), self.previous.get("d_customers"))
 
     @layer
     def d_sellers(self):
-        return gold.dim_sellers(self.s_sellers())
+        return gold.dim_sellers(self.s_sellers(), self.previous.get("d_sellers"))
 
     @layer
     def d_codes(self):
@@ -177,7 +179,8 @@ class Warehouse:
     @layer
     def d_invoices(self):
         return gold.dim_invoices(self.s_invoices(), self.s_requests(), self.d_codes(),
-                                 self.seeds["facturas_excluidas"], first_req=self.s_first_requests())
+                                 self.seeds["facturas_excluidas"], first_req=self.s_first_requests(),
+                                 previous=self.previous.get("d_invoices"))
 
     @layer
     def commercial_docs(self):
@@ -242,7 +245,7 @@ TABLES = (("s_requests", "silver_camunda_operatividad", None), ("s_articles", "s
 def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets: int | None = None,
                 database: str = "ledgerlake", bronze: dict | None = None,
                 seeds: dict | None = None, strict: bool = False,
-                config: WarehouseConfig | None = None) -> dict[str, str]:
+                config: WarehouseConfig | None = None, previous: dict | None = None) -> dict[str, str]:
     """The production job: the same layers as ``Warehouse.build``, each written once (full
     refresh) and read back, so every layer starts from files, not from the upstream lineage.
 
@@ -250,9 +253,11 @@ def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets:
     invoice key with the same bucket count, so the header x line x invoice-dimension
     joins of the fact read all three in place (co-located, no shuffle of the largest
     table).  ``buckets`` defaults to about 1 GB of lines a bucket.  Seeds are written once on
-    first use; marts stay views over the fact.
+    first use; marts stay views over the fact.  ``previous`` maps dimension layers to their last
+    snapshots, whose ids are kept.
     """
-    w = Warehouse(spark, sf_dir, cut=False, bronze=bronze, seeds=seeds, strict=strict, config=config)
+    w = Warehouse(spark, sf_dir, cut=False, bronze=bronze, seeds=seeds, strict=strict, config=config,
+                  previous=previous)
     w.seeds = _Seeds(w.seeds._lazy, cut=True)
     buckets = buckets or bucket_count(w.s_lines())
     paths: dict[str, str] = {}
