@@ -60,22 +60,52 @@ def _report_row(ch: Check, failures_col):
             F.lit(ch.severity).alias("severity"), failures_col.cast("long").alias("failures")]
 
 
+def _column_counts(df: DataFrame, unique: Sequence[str], filled: Sequence[str]) -> DataFrame:
+    """One row: map from column to (duplicated values, NULLs), from one scan.  Each row becomes a
+    (column, value) pair per column; pairs are counted with a map-side partial aggregate, and a
+    column that is only checked for NULLs has one value."""
+    pairs = [F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in unique]
+    pairs += [F.struct(F.lit(c).alias("c"), F.when(F.col(c).isNotNull(), "").alias("v")) for c in filled if c not in unique]
+    counted = df.select(F.inline(F.array(*pairs))).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    per = counted.groupBy("c").agg(F.count_if(F.col("v").isNotNull() & (F.col("n") > 1)).alias("dup"),
+                                   F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("nul"))
+    return per.agg(F.map_from_entries(F.collect_list(F.struct("c", F.struct("dup", "nul")))).alias("m"))   # a few columns
+
+
+def _orphan_counts(child: DataFrame, checks: Sequence[Check], models: dict[str, DataFrame]) -> DataFrame:
+    """One row with a count per relationship of one child: left joins to the distinct parent keys
+    in one pass over the child."""
+    out = child.select(*dict.fromkeys(ch.column for ch in checks))
+    for i, ch in enumerate(checks):
+        parent = models[ch.parent].select(F.col(ch.parent_column).alias(f"__ll_k{i}")).distinct()
+        out = out.join(parent, F.col(ch.column) == F.col(f"__ll_k{i}"), "left")
+    return out.agg(*[F.count_if(F.col(ch.column).isNotNull() & F.col(f"__ll_k{i}").isNull()).alias(f"__ll_n{i}")
+                     for i, ch in enumerate(checks)])
+
+
 def run_checks(checks: Sequence[Check], models: dict[str, DataFrame]) -> DataFrame:
-    """One report row per check.  All not-null checks of a model share one scan (a
-    ``count_if`` per column); unique and relationship checks aggregate / anti-join."""
-    frames = []
-    null_checks: dict[str, list[Check]] = {}
+    """One report row per check.  All unique and not-null checks of a model share one scan, and so
+    do all relationships of a child."""
+    by_model: dict[str, list[Check]] = {}
+    relations: dict[str, list[Check]] = {}
     for ch in checks:
-        if ch.kind == "not_null":
-            null_checks.setdefault(ch.model, []).append(ch)
-            continue
-        f = failures(ch, models).agg(F.count(F.lit(1)).alias("failures"))
-        frames.append(f.select(*_report_row(ch, F.col("failures"))))
-    for model, chs in null_checks.items():
-        counts = models[model].agg(*[F.count_if(F.col(ch.column).isNull()).alias(f"__ll_n{i}")
-                                     for i, ch in enumerate(chs)])
-        rows = F.array(*[F.struct(*_report_row(ch, F.col(f"__ll_n{i}"))) for i, ch in enumerate(chs)])
-        frames.append(counts.select(F.inline(rows)))
+        if ch.kind not in ("unique", "not_null", "relationships"):
+            raise ValueError(f"unknown check {ch.kind}")
+        (relations if ch.kind == "relationships" else by_model).setdefault(ch.model, []).append(ch)
+    frames = []
+    for model, chs in by_model.items():
+        unique = list(dict.fromkeys(ch.column for ch in chs if ch.kind == "unique"))
+        filled = list(dict.fromkeys(ch.column for ch in chs if ch.kind == "not_null"))
+        if unique:
+            counts = _column_counts(models[model], unique, filled)
+            found = [F.coalesce(F.col("m")[ch.column]["dup" if ch.kind == "unique" else "nul"], F.lit(0)) for ch in chs]
+        else:
+            counts = models[model].agg(*[F.count_if(F.col(c).isNull()).alias(f"__ll_{c}") for c in filled])
+            found = [F.col(f"__ll_{ch.column}") for ch in chs]
+        frames.append(counts.select(F.inline(F.array(*[F.struct(*_report_row(ch, f)) for ch, f in zip(chs, found, strict=True)]))))
+    for model, chs in relations.items():
+        counts = _orphan_counts(models[model], chs, models)
+        frames.append(counts.select(F.inline(F.array(*[F.struct(*_report_row(ch, F.col(f"__ll_n{i}"))) for i, ch in enumerate(chs)]))))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

@@ -14,6 +14,10 @@ def _key(model, col, null_sev=WARN, uniq_sev=ERROR):
     return [Check("unique", model, col, uniq_sev), Check("not_null", model, col, null_sev)]
 
 
+def _filled(model, *columns):
+    return [Check("not_null", model, c, ERROR) for c in columns]
+
+
 WAREHOUSE_CHECKS = [
     # silver
     *_key("s_articles", "codigo"),
@@ -38,22 +42,24 @@ WAREHOUSE_CHECKS = [
     Check("not_null", "fact", "id_sucursal", WARN),
     Check("relationships", "fact", "id_sucursal", WARN, "puntos_emision", "id_sucursal"),
     # seeds
-    *_key("articulos_comercial", "codigo_articulo", ERROR),
-    *_key("reasignacion_comercial", "codigo_documento", ERROR),
-    Check("not_null", "reasignacion_distribuidores", "codigo_cliente", ERROR),
-    Check("not_null", "reasignacion_distribuidores", "fecha_cambio", ERROR),
-    *_key("reasignacion_grupo_vendedor", "codigo_documento", ERROR),
-    *_key("reasignacion_subtotal", "numero_factura", ERROR),
+    *_key("articulos_comercial", "codigo_articulo", ERROR), *_filled("articulos_comercial", "verificacion_vendedor"),
+    *_key("fenix_articulos_corregidos", "codigo", ERROR),
+    *_filled("fenix_articulos_corregidos", "creation_date", "update_date", "nombre"),
+    *_filled("reasignacion_articulos_comercial", "codigo_articulo", "fecha_cambio"),
+    *_key("reasignacion_comercial", "codigo_documento", ERROR), *_filled("reasignacion_comercial", "motivo"),
+    *_filled("reasignacion_distribuidores", "codigo_cliente", "grupo_vendedor_reasignado", "fecha_cambio"),
+    *_key("reasignacion_grupo_vendedor", "codigo_documento", ERROR), *_filled("reasignacion_grupo_vendedor", "grupo_asignado"),
+    *_key("reasignacion_islas_temporales", "numero_factura", ERROR), *_filled("reasignacion_islas_temporales", "id_sucursal"),
     *_key("reasignacion_periodo_fiscal", "numero_factura", ERROR),
-    *_key("reasignacion_islas_temporales", "numero_factura", ERROR),
-    *_key("vendedores_agentes", "codigo_vendedor", ERROR),
-    *_key("vendedores_comercial", "codigo_vendedor", ERROR),
-    Check("not_null", "reasignacion_articulos_comercial", "codigo_articulo", ERROR),
+    *_key("reasignacion_subtotal", "numero_factura", ERROR),
+    *_key("vendedores_agentes", "codigo_vendedor", ERROR), *_filled("vendedores_agentes", "agente"),
+    *_key("vendedores_comercial", "codigo_vendedor", ERROR), *_filled("vendedores_comercial", "fecha_inicio", "fecha_fin"),
     # bronze sources
-    Check("unique", "bronze_vendedores", "codven", ERROR),
+    *_key("bronze_vendedores", "id_codven", ERROR), Check("unique", "bronze_vendedores", "codven", ERROR),
     Check("unique", "bronze_clientes", "codcli", ERROR),
-    Check("unique", "bronze_facturas", "numfac", ERROR),
-    *_key("bronze_articulos", "codart", ERROR),
+    *_key("bronze_facturas", "id_numfac", ERROR), Check("unique", "bronze_facturas", "numfac", ERROR),
+    *_key("bronze_tranfac", "id_tranfac", ERROR),
+    *_key("bronze_articulos", "id_codart", ERROR), Check("unique", "bronze_articulos", "codart", ERROR),
 ]
 
 
@@ -64,6 +70,7 @@ def models(w) -> dict:
            "d_sellers": w.d_sellers(), "d_articles": w.d_articles(), "d_invoices": w.d_invoices(),
            "d_customers": w.d_customers(), "d_codes": w.d_codes(), "fact": w.fact(),
            "bronze_vendedores": w.bronze["fenix_vendedores"], "bronze_clientes": w.bronze["fenix_clientes"],
+           "bronze_tranfac": w.bronze["fenix_tranfac"],
            "bronze_facturas": w.bronze["fenix_facturas"], "bronze_articulos": w.bronze["fenix_articulos"]}
     out.update(w.seeds)
     return out

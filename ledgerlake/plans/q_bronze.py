@@ -144,7 +144,7 @@ def bronze_clientes_load(spark, sf_dir):
 
 
 @query("bronze_vendedores_load", "M-20 O-09 O-93", sql=_sql(f"""
-SELECT codven, CASE WHEN CAST(codven AS INTEGER) <= {FIRST_SELLERS} THEN 'antes ' || nomven ELSE nomven END AS nomven,
+SELECT id_codven, codven, CASE WHEN CAST(codven AS INTEGER) <= {FIRST_SELLERS} THEN 'antes ' || nomven ELSE nomven END AS nomven,
        TIMESTAMP '2020-01-01 00:00:00' + to_days(CAST(codven AS INTEGER)) AS fecha_act,
        {_stamped(f'CAST(codven AS INTEGER) <= {FIRST_SELLERS}')} FROM bronze_vendedores"""))
 def bronze_vendedores_load(spark, sf_dir):
@@ -156,7 +156,7 @@ def bronze_vendedores_load(spark, sf_dir):
 
 
 @query("bronze_articulos_load", "M-20 O-19 O-78", sql=_sql(f"""
-SELECT codart, nomart || ' cafe' AS nomart, nomart2 || 'n' AS nomart2,
+SELECT id_codart, codart, nomart || ' cafe' AS nomart, nomart2 || 'n' AS nomart2,
        if(codart LIKE 'ART%', {_FIRST}, {_SECOND}) AS creation_date, {_SECOND} AS update_date
 FROM bronze_articulos"""))
 def bronze_articulos_load(spark, sf_dir):

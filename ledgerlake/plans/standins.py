@@ -58,7 +58,7 @@ def bronze_invoices(t: Tables):
     iva = F.when((prio == "4-NOT SPECIFIED") & (st == "O"), F.lit(Decimal("0.00"))) \
         .otherwise(F.round(price * F.lit(_VAT_RATE), 2)).cast("decimal(18,2)")
     return j.select(
-        invoice_number(k).alias("numfac"),
+        k.alias("id_numfac"), invoice_number(k).alias("numfac"),
         F.when((prio == "5-LOW") & (st == "P"), F.lit("")).otherwise(half_key(k).cast("string")).alias("numdoc"),
         F.col("o_custkey").cast("string").alias("cliente"),
         F.concat(F.lit("00"), nat).alias("numser"),
@@ -106,7 +106,8 @@ def bronze_customers(t: Tables):
 
 
 def bronze_sellers(t: Tables):
-    return t.supplier.select(F.col("s_suppkey").cast("string").alias("codven"), F.col("s_name").alias("nomven"))
+    return t.supplier.select(F.col("s_suppkey").alias("id_codven"), F.col("s_suppkey").cast("string").alias("codven"),
+                             F.col("s_name").alias("nomven"))
 
 
 def bronze_articles(t: Tables):
@@ -121,7 +122,8 @@ def bronze_articles(t: Tables):
               .otherwise(F.concat(F.lit(" "), name, F.lit(" "))))
     nomart2 = F.when(ty == "STANDARD", F.lit("licencias")).when(ty == "ECONOMY", F.lit("sistema facturacion")) \
         .otherwise(F.lit(" "))
-    return p.select(article_code(F.col("p_partkey"), ty, F.col("p_size")).alias("codart"),
+    return p.select(F.col("p_partkey").alias("id_codart"),
+                    article_code(F.col("p_partkey"), ty, F.col("p_size")).alias("codart"),
                     nomart.alias("nomart"), nomart2.alias("nomart2"))
 
 
@@ -247,7 +249,7 @@ def seeds(t: Tables) -> dict:
             F.concat(F.lit("AGENTE "), F.col("s_name")).alias("agente"),
             F.col("s_suppkey").cast("string").alias("codigo_vendedor")),
         "reasignacion_comercial": o.where((prio == "1-URGENT") & (st == "F") & (F.col("o_totalprice") > 300000))
-        .select(half_key("o_orderkey").cast("string").alias("codigo_documento")).distinct(),
+        .select(half_key("o_orderkey").cast("string").alias("codigo_documento"), F.lit("REVISION").alias("motivo")).distinct(),
         "reasignacion_grupo_vendedor": o.where(F.col("o_totalprice") > 450000).select(
             half_key("o_orderkey").cast("string").alias("codigo_documento"),
             F.lit("GRUPO ASIGNADO").alias("grupo_asignado")).distinct(),
@@ -267,7 +269,8 @@ def seeds(t: Tables) -> dict:
         "facturas_excluidas": t.lineitem.where((F.col("l_tax") == 0) & (F.col("l_discount") == 0.1)).select(
             invoice_number(F.col("l_orderkey")).alias("codigo_factura")).distinct()
         .withColumn("motivo", F.lit("FACTURA CON IVA 0")),
-        "fenix_articulos_corregidos": article_corrections(t),
+        "fenix_articulos_corregidos": article_corrections(t).withColumns(
+            {c: F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz") for c in ("creation_date", "update_date")}),
         "puntos_emision": emission_points(t),
     }
 
