@@ -51,6 +51,9 @@ def after_watermark(column: str, hwm, inclusive: bool = False) -> Column:
     with NULL and loaded nothing (T-13); a NULL ``column`` is never selected once a mark
     exists.
     """
-    hwm_col = hwm if isinstance(hwm, Column) else F.lit(hwm)
     c = F.col(column)
+    if not isinstance(hwm, Column):
+        # a value read before: a plain comparison that is pushed into the scan
+        return F.lit(True) if hwm is None else (c >= F.lit(hwm) if inclusive else c > F.lit(hwm))
+    hwm_col = hwm
     return hwm_col.isNull() | ((c >= hwm_col) if inclusive else (c > hwm_col))

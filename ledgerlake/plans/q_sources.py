@@ -7,9 +7,11 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import text
+from ledgerlake.operators import aggregates
 from ledgerlake.operators import transforms as tf
 from ledgerlake.plans.registry import query
 from ledgerlake.plans.tables import Tables
+from ledgerlake.session import table_path
 from ledgerlake.sources import calendar, readers
 from ledgerlake.sources.registry import RunMode, SourceSpec, read_sources, sources_for
 
@@ -25,19 +27,22 @@ SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice
 FROM orders WHERE o_orderdate > TIMESTAMP '1999-06-30 00:00:00'
 """)
 def scan_param_filter(spark, sf_dir):
-    t = Tables(spark, sf_dir)
     # the mark is bound as text and cast in SQL: a TIMESTAMP_NTZ needs no time zone
-    q = ("SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM {src} "
+    q = ("SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice "
+         f"FROM parquet.`{table_path(sf_dir, 'orders')}` "
          "WHERE o_orderdate > CAST(:max_incremental_date AS TIMESTAMP_NTZ)")
-    return spark.sql(q, args={"max_incremental_date": HWM_TS.isoformat(sep=" ")}, src=t.orders)
+    return readers.sql_extract(spark, q, {"max_incremental_date": HWM_TS.isoformat(sep=" ")})
 
 
-@query("scan_id_watermark", "O-10", sql="""
-SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem WHERE l_orderkey > 10000
+@query("scan_id_watermark", "O-10 O-52", sql="""
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
+WHERE l_orderkey > (SELECT max(l_orderkey) FROM lineitem WHERE l_orderkey <= 10000)
 """)
 def scan_id_watermark(spark, sf_dir):
+    """The stored mark of the lines loaded so far, then the lines past it."""
     t = Tables(spark, sf_dir)
-    return (t.lineitem.where(F.col("l_orderkey") > F.lit(HWM_ID))
+    mark = aggregates.high_water_mark(t.lineitem, "l_orderkey", F.col("l_orderkey") <= HWM_ID)
+    return (t.lineitem.where(aggregates.after_watermark("l_orderkey", mark))
             .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"))
 
 

@@ -222,7 +222,7 @@ def date_parts(spark, sf_dir):
                     dates.is_weekend(f).alias("is_weekend"))
 
 
-@query("timestamp_text", "O-83 O-87", sql="""
+@query("timestamp_text", "O-83", sql="""
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') ||
        CASE WHEN epoch_us(ts) % 1000000 = 0 THEN ''
             ELSE '.' || rtrim(lpad(CAST(epoch_us(ts) % 1000000 AS VARCHAR), 6, '0'), '0') END AS ts_text,

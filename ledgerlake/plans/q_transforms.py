@@ -173,7 +173,7 @@ def blank_to_null(spark, sf_dir):
                     F.when(F.col("doc") == "", F.col("p_name")).otherwise(F.col("doc")).alias("doc_or_name"))
 
 
-@query("sort_values", "O-61 O-61b", sql="""
+@query("sort_values", "O-60 O-89", sql="""
 SELECT o_orderkey, o_totalprice,
        CAST(row_number() OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderkey ASC NULLS LAST) AS BIGINT) AS sort_position
 FROM orders
@@ -184,6 +184,15 @@ def sort_values(spark, sf_dir):
     return keys.global_row_number(o, order, "sort_position")
 
 
+@query("sort_values_top", "O-61", sql="""
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey ASC NULLS LAST LIMIT 100
+""")
+def sort_values_top(spark, sf_dir):
+    """Top-100 report over the sorted orders."""
+    o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_totalprice")
+    return tf.sort_values(o, ["o_totalprice", "o_orderkey"], [False, True]).limit(100)
+
+
 @query("distinct_rows", "O-55", sql="""
 SELECT DISTINCT c.c_mktsegment, n.n_name, o.o_orderstatus
 FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
