@@ -100,7 +100,7 @@ def dedup_pick_by_value(spark, sf_dir):
     return dedup.keep_first(r, ["user_id"], order).select("user_id", "tipo_venta", "event_id")
 
 
-@query("drop_duplicates_subset", "O-66", sql="""
+@query("drop_duplicates_subset", "O-61b O-66", sql="""
 WITH e AS (SELECT event_id, CASE WHEN event_type = 'view' THEN NULL ELSE user_id END AS uid,
                   CASE WHEN event_type IN ('view', 'click') THEN NULL ELSE event_type END AS etype
            FROM events),
