@@ -8,13 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from ledgerlake.plans import load_all, registry
 from ledgerlake.plans.tables import TABLE_NAMES
 from tools.check_queries import digest
 
 from .conftest import SMALL_SF
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+load_all()
+QUERIES = dict(registry.QUERIES)
+ORACLE = dict(registry.ORACLE_SQL)
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +37,17 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_entry_without_the_optional_parts(monkeypatch):
+    import sys
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    assert entry.queries() == QUERIES and entry.oracle_sql() == ORACLE
+    # an import error inside the optional parts is not swallowed
+    monkeypatch.setattr(entry, "OPTIONAL", ())
+    with pytest.raises(ModuleNotFoundError):
+        entry.queries()
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     sdf = QUERIES[name](spark, SMALL_SF)
