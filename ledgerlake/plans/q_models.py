@@ -12,9 +12,17 @@ from ledgerlake.plans.warehouse_sql import with_warehouse
 _CACHE: dict = {}
 
 
+def _stamp(spark, sf_dir) -> tuple:
+    """Modification times of the input tables, through their Hadoop file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted((st.getPath().getName(), st.getModificationTime()) for st in fs.listStatus(path)))
+
+
 def warehouse(spark, sf_dir) -> Warehouse:
-    """One warehouse (layers built once, lineage cut) per session and input directory."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """One warehouse (layers built once, lineage cut) per session, input directory and state of
+    its files."""
+    key = (spark.sparkContext.applicationId, sf_dir, _stamp(spark, sf_dir))
     if key not in _CACHE:
         _CACHE[key] = Warehouse(spark, sf_dir).build()
     return _CACHE[key]

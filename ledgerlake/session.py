@@ -1,6 +1,6 @@
 """Session construction and lineage cutting.
 
-Executors can disappear at any time; long lineages are cut with ``checkpoint()``
+Executors can disappear at any time; long lineages are cut by a table written
 into the shared directory the cluster names in ``spark.checkpoint.dir``.  We only
 set our own directory when the session has none (tests, local runs).
 """
@@ -66,7 +66,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint dir, setting a local one only if unset and the
     session runs in local mode (tests); on a cluster the setting is required."""
     sc = spark.sparkContext
@@ -74,10 +74,10 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not (configured or fallback) and not sc.master.startswith("local"):
+    if not configured and not sc.master.startswith("local"):
         # a machine-local folder is not visible to the other executors
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    target = configured or fallback or tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
+    target = configured or tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
 
