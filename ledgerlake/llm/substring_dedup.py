@@ -13,9 +13,11 @@ anchors at equal places, so only suffixes at anchors whose k-gram occurs again n
    anchor occurs again.  All strings of one anchor overlap in it, so the least and greatest
    such d give the covered run.
 3. A hash with more than ``group_cap`` anchors is not sent to one task.  Its suffixes are told
-   apart by their whole context first, and those that are still alone by halving the range of
-   d: a range is settled when its common core occurs once (no repeat) or when its hull occurs
-   again (all repeat), and is halved otherwise.  That needs counts only.
+   apart by their whole context first; if at most ``group_cap`` different ones are left they are
+   sorted as before.  Otherwise the range of d is halved until they are: a range needs only the
+   suffixes that share the bytes common to its strings (its core), is settled when that core
+   occurs once (no repeat) or when all the bytes of its strings occur again (all repeat), and
+   goes to a task once few enough share its core.
 
 Repeats inside a task are settled there, so copies of a text leave a task once.
 """
@@ -36,7 +38,7 @@ from ledgerlake.session import cut_lineage
 LENGTH = 200
 KGRAM = 32
 #: Anchors of one hash that one task sorts together; more take the counting way.
-GROUP_CAP = 4096
+GROUP_CAP = 16384
 #: Bits of the broadcast filter of repeated hashes: a fixed size, whatever the corpus.
 FILTER_BITS = 27
 CROWDED_BITS = 20
@@ -470,59 +472,86 @@ def _sort_chunk(rows: pa.Table):
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _FOUND, strict=True)], schema=_FOUND)
 
 
-_RANGES = "tkey binary, pos int, h long, ctx binary, l int, alone boolean, x int, y int, core binary, hull binary"
+_RANGES = "tkey binary, pos int, h long, ctx binary, l int, alone boolean, x int, y int, g long, hull binary"
 
 
-def _cores(halve: bool):
-    """Each row's range [x, y) of d, halved if asked, clipped to what its text allows, with the
-    digests of the bytes all its strings share (core) and of all they span (hull, if complete)."""
-    def run(batches):
-        for batch in batches:
-            out = [[] for _ in range(10)]
-            for r in batch.to_pylist():
-                x, y = r["x"], r["y"]
-                mid = (x + y) // 2
-                ctx, l = r["ctx"], r["l"]
-                right = len(ctx) - l
-                for a, b in (((x, mid), (mid, y)) if halve else ((x, y),)):
-                    if a >= b or a > l or LENGTH - (b - 1) > right or max(a, LENGTH - right) > min(b - 1, l):
-                        continue                       # no string of this range fits the text
-                    tag = f"{r['h']}:{a}:{b}".encode()
-                    core = ctx[l - a:l - (b - 1) + LENGTH]
-                    full = l >= b - 1 and right >= LENGTH - a
-                    hull = ctx[l - (b - 1):l - a + LENGTH] if full else None
-                    _row(out, r["tkey"], r["pos"], r["h"], ctx, l, r["alone"], a, b,
-                         hashlib.blake2b(core, digest_size=16, key=tag).digest(),
-                         hashlib.blake2b(hull, digest_size=16, key=tag + b"h").digest() if full else None)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, (pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.int32(),
-                                                      pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary()),
-                                                strict=True)],
-                names=[c.split()[0] for c in _RANGES.split(", ")])
-    return run
+def _halves(batches):
+    """Each row's range [x, y) of d in two halves, clipped to what its text allows, with a key of
+    the bytes all strings of a half share (g) and the digest of all bytes they span (hull)."""
+    for batch in batches:
+        out = [[] for _ in range(10)]
+        for r in batch.to_pylist():
+            x, y, ctx, l = r["x"], r["y"], r["ctx"], r["l"]
+            mid, right = (x + y) // 2, len(ctx) - l
+            for a, b in ((x, mid), (mid, y)):
+                if a >= b or max(a, LENGTH - right) > min(b - 1, l):
+                    continue                           # no string of this range fits the text
+                tag = f"{r['h']}:{a}:{b}".encode()
+                core = hashlib.blake2b(ctx[l - a:l - (b - 1) + LENGTH], digest_size=8, key=tag).digest()
+                full = l >= b - 1 and right >= LENGTH - a
+                hull = hashlib.blake2b(ctx[l - (b - 1):l - a + LENGTH], digest_size=16, key=tag).digest() if full else None
+                _row(out, r["tkey"], r["pos"], r["h"], ctx, l, r["alone"], a, b,
+                     int.from_bytes(core, "little", signed=True), hull)
+        kinds = (pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(),
+                 pa.int64(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)],
+                                         names=[c.split()[0] for c in _RANGES.split(", ")])
+
+
+def _sort_cores(batches):
+    """Deep-shallow sorting of different contexts, rows sorted by ``g``: (tkey, pos, lo, hi)."""
+    held: pa.Table | None = None
+
+    def settle(rows: pa.Table):
+        group = np.unique(rows["g"].to_numpy(), return_inverse=True)[1]
+        alone = rows["alone"].to_numpy(zero_copy_only=False).astype(bool)
+        least, greatest = repeated_range(rows["ctx"].to_pylist(), rows["l"].to_numpy().astype(np.int64),
+                                         np.where(alone, 1, 2), group)
+        keep = np.flatnonzero(alone & (greatest >= 0))
+        return pa.RecordBatch.from_arrays(
+            [rows["tkey"].take(pa.array(keep)).combine_chunks(), rows["pos"].take(pa.array(keep)).combine_chunks(),
+             pa.array(least[keep].astype(np.int32)), pa.array(greatest[keep].astype(np.int32))],
+            names=["tkey", "pos", "lo", "hi"])
+
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        if held.num_rows >= CHUNK_ROWS:
+            g = held["g"].to_numpy()
+            cut = int(np.searchsorted(g, g[-1]))          # the last group may go on
+            if cut:
+                yield settle(held.slice(0, cut))
+                held = held.slice(cut).combine_chunks()
+    if held is not None and held.num_rows:
+        yield settle(held)
 
 
-def _crowded_spans(pending: DataFrame) -> DataFrame:
-    """Runs (tkey, start, stop) of pending anchors, by halving ranges of d."""
-    rows = pending.select("tkey", "pos", "h", "ctx", "l", "alone", F.lit(0).alias("x"), F.lit(LENGTH - KGRAM + 1).alias("y"))
-    done, halve = None, False
+def _crowded_spans(pending: DataFrame, group_cap: int) -> DataFrame:
+    """Runs (tkey, start, stop) of pending anchors: groups of few different contexts are sorted,
+    the ranges of d of larger ones halved until the groups of their cores are few."""
+    rows = pending.select("tkey", "pos", "h", "ctx", "l", "alone", F.lit(0).alias("x"),
+                          F.lit(LENGTH - KGRAM + 1).alias("y"), F.col("h").alias("g"), F.lit(None).cast("binary").alias("hull"))
+    done = None
     while True:
-        rows = cut_lineage(rows.mapInArrow(_cores(halve), _RANGES), "substr-ranges")
-        if rows.where("alone").isEmpty():
+        cores = cut_lineage(rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.max("alone").alias("open"))
+                            .where("n > 1 and open").select("g", "n"), "substr-cores")
+        few = rows.join(cores.where(F.col("n") <= group_cap), "g", "left_semi")
+        found = cut_lineage(few.select("g", "tkey", "pos", "ctx", "l", "alone").repartition("g").sortWithinPartitions("g")
+                            .mapInArrow(_sort_cores, "tkey binary, pos int, lo int, hi int"), "substr-sorted")
+        done = found if done is None else done.unionByName(found)
+        crowded = cores.where(F.col("n") > group_cap)
+        if crowded.isEmpty():
             break
-        shared = cut_lineage(rows.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.max("alone").alias("open"))
-                             .where("n > 1 and open").select("core"), "substr-cores")
-        again = cut_lineage(rows.where("hull is not null").groupBy("hull").agg(F.count(F.lit(1)).alias("n"))
+        many = rows.join(crowded, "g", "left_semi")
+        again = cut_lineage(many.where("hull is not null").groupBy("hull").agg(F.count(F.lit(1)).alias("n"))
                             .where("n > 1").select("hull", F.lit(True).alias("all")), "substr-hulls")
-        open_ = rows.join(shared, "core", "left_semi").join(again, "hull", "left")
-        open_ = cut_lineage(open_.withColumn("all", F.coalesce("all", F.lit(False))), "substr-open")
-        settled = open_.where("alone and all").select("tkey", "pos", F.col("x").alias("lo"), (F.col("y") - 1).alias("hi"))
-        done = settled if done is None else done.unionByName(settled)
-        # partners go on even where they are settled themselves
-        rows = open_.where("y - x > 1").withColumn("alone", F.col("alone") & ~F.col("all")).drop("all", "core", "hull")
-        halve = True
-    if done is None:
-        return pending.select("tkey", F.col("pos").alias("start"), F.col("pos").alias("stop")).limit(0)
+        many = cut_lineage(many.join(again, "hull", "left").withColumn("all", F.coalesce("all", F.lit(False))), "substr-open")
+        done = done.unionByName(many.where("alone and all")
+                                .select("tkey", "pos", F.col("x").alias("lo"), (F.col("y") - 1).alias("hi")))
+        # settled ones go on as partners; a range of one d is settled either way
+        rows = cut_lineage(many.where("y - x > 1").withColumn("alone", F.col("alone") & ~F.col("all"))
+                           .select("tkey", "pos", "h", "ctx", "l", "alone", "x", "y").mapInArrow(_halves, _RANGES),
+                           "substr-halves")
     return (done.groupBy("tkey", "pos").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
             .select("tkey", (F.col("pos") - F.col("hi")).alias("start"), (F.col("pos") - F.col("lo") + LENGTH).alias("stop")))
 
@@ -578,7 +607,7 @@ def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spans = found.where("not pending").select("tkey", "start", "stop")
     pending = found.where("pending")
     if not pending.where("alone").isEmpty():
-        spans = spans.unionByName(_crowded_spans(pending))
+        spans = spans.unionByName(_crowded_spans(pending, group_cap))
     by_text = cut_lineage(spans.groupBy("tkey").agg(F.collect_set(F.struct("start", "stop")).alias("runs")), "substr-runs")
     placed = (rows.withColumn("tkey", F.unhex(F.md5("t"))).join(by_text, "tkey", "left").select("id", "t", "runs"))
     cut = placed.mapInArrow(_cut, f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, n_removed long, "
