@@ -41,7 +41,7 @@ MAX_LISTS = 1024
 SUBSPACES = 8
 CODES = 256
 ROUNDS = 6
-SIGMAS = 4.0
+SIGMAS = 3.0
 #: Entries and queries of one block.
 ENTRY_BLOCK = 1024
 QUERY_BLOCK = 2048
@@ -114,10 +114,12 @@ class Quantiser:
         rest = (q - self.lists[which]).astype(np.float32)
         out = np.zeros((len(q), len(codes)), np.float32)
         for m, (book, a, b) in enumerate(self.parts()):
-            book = book.astype(np.float32)
-            table = ((rest[:, a:b, None] - book.T[None]) ** 2).sum(axis=1)
-            out += table[:, codes[:, m]]
-        return np.sqrt(out)
+            part, book = rest[:, a:b], book.astype(np.float32)
+            # the look-up table as one matrix product: |r - b|^2 = |r|^2 - 2 r.b + |b|^2
+            table = (book ** 2).sum(axis=1)[None, :] - 2 * (part @ book.T)
+            out += np.take(table, codes[:, m], axis=1)
+        out += (rest ** 2).sum(axis=1)[:, None]
+        return np.sqrt(np.maximum(out, 0, out=out), out=out)
 
 
 def _valid(kind: str):
