@@ -2,17 +2,18 @@
 
 A coarse quantiser (k-means on a bounded sample) deals every vector to the list of its nearest
 centroid; its residual is stored as one byte a subspace, with the length of what the codes
-miss.  A query reads the lists whose bisector with its own list is within ``margin`` of it,
-gets asymmetric distances from per-subspace look-up tables, and keeps an entry unless its
-distance minus the stored error is over the threshold distance: the triangle inequality makes
-that step lossless.  What is kept is re-ranked by exact cosine in double precision.
-
-Every pair of lists is read from one side only (the lower list queries the higher), so a pair
-is counted once for both ends.  The margin is the threshold distance itself in few dimensions
-(then no pair can be missed) and ``SIGMAS`` standard deviations of its projection on one
-direction in many; tests measure the recall against brute force.
-
-Equal vectors are one class with a count.  Lists are cut into blocks of bounded size, each pair
+miss.  A query reads the lists whose bisector with its own list is within the threshold distance
+of it, gets asymmetric distances from per-subspace look-up tables, and keeps an entry unless its
+distance minus the stored error is over the threshold distance.  What is kept is re-ranked by
+exact cosine in double precision.
+
+Both steps are lossless for any vectors: the way between two vectors of different lists crosses
+the bisector, so a link is never longer than the way to it; the codes obey the triangle
+inequality.  Every pair of lists is read from one side only (the lower list queries the higher),
+so a pair is counted once for both ends.
+
+Equal vectors are one class with a count.  Neighbouring lists share a cell of about one block, so
+a query travels once a cell, not once a list.  Cells are cut into blocks of bounded size, each pair
 of blocks is one group of a cogrouped job, and a group returns per vector a link count and its
 smallest linked vector in the group: never pairs.
 """
@@ -41,9 +42,8 @@ MAX_LISTS = 1024
 SUBSPACES = 8
 CODES = 256
 ROUNDS = 6
-SIGMAS = 3.0
 #: Entries and queries of one block.
-ENTRY_BLOCK = 1024
+ENTRY_BLOCK = 4096
 QUERY_BLOCK = 2048
 
 
@@ -72,54 +72,66 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
 
 @dataclass
 class Quantiser:
-    lists: np.ndarray            # lists x dims
+    lists: np.ndarray            # lists x dims, in the order of their cells
+    cells: np.ndarray            # cell of each list
     books: list[np.ndarray]      # per subspace: codes x its dims
     cuts: np.ndarray             # subspace borders
-    margin: float
     reach: float                 # distance of unit vectors at the least cosine
 
     @classmethod
-    def fit(cls, x: np.ndarray, n_lists: int, min_cosine: float, seed: int = 5) -> Quantiser:
+    def fit(cls, x: np.ndarray, n_lists: int, n_cells: int, min_cosine: float, seed: int = 5) -> Quantiser:
         rng = np.random.default_rng(seed)
         dims = x.shape[1]
         lists = _kmeans(x, n_lists, rng)
         rest = x - lists[_nearest(x, lists)]
         cuts = np.linspace(0, dims, min(SUBSPACES, dims) + 1).astype(int)
         books = [_kmeans(rest[:, a:b], CODES, rng) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        reach = float(np.sqrt(max(0.0, 2 - 2 * min_cosine)))
-        return cls(lists, books, cuts, reach * min(1.0, SIGMAS / np.sqrt(dims)), reach)
+        cells = _nearest(lists, _kmeans(lists, n_cells, rng))
+        order = np.argsort(cells, kind="stable")
+        return cls(lists[order], cells[order], books, cuts, float(np.sqrt(max(0.0, 2 - 2 * min_cosine))))
 
     def parts(self):
         return list(zip(self.books, self.cuts[:-1], self.cuts[1:], strict=True))
 
-    def assign(self, x: np.ndarray):
-        """(own list, lists to read, codes, code error) of each unit vector."""
+    def own(self, x: np.ndarray) -> np.ndarray:
+        return _nearest(x, self.lists)
+
+    def reads(self, x: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Lists each unit vector queries: those in reach from its own one on."""
         half = (self.lists ** 2).sum(axis=1) / 2
         between = np.sqrt(np.maximum(2 * (half[:, None] + half[None, :] - self.lists @ self.lists.T), 0))
         score = half - x @ self.lists.T
-        own = score.argmin(axis=1)
         # distance to the bisector of the own list and each other one
         gap = score - score[np.arange(len(x)), own][:, None]
-        read = gap <= self.margin * between[own] + 1e-9
+        return (gap <= self.reach * between[own] + 1e-9) & (np.arange(len(self.lists))[None, :] >= own[:, None])
+
+    def encode(self, x: np.ndarray, own: np.ndarray):
+        """(codes, code error) of each unit vector."""
         rest = x - self.lists[own]
         codes = np.zeros((len(x), len(self.books)), np.uint8)
         left = rest.copy()
         for m, (book, a, b) in enumerate(self.parts()):
             codes[:, m] = _nearest(rest[:, a:b], book)
             left[:, a:b] -= book[codes[:, m]]
-        return own, read, codes, np.linalg.norm(left, axis=1)
+        return codes, np.linalg.norm(left, axis=1)
 
-    def distances(self, q: np.ndarray, which: int, codes: np.ndarray) -> np.ndarray:
-        """Asymmetric distances of queries to the coded entries of one list."""
-        rest = (q - self.lists[which]).astype(np.float32)
-        out = np.zeros((len(q), len(codes)), np.float32)
+    def norms(self, own: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Squared lengths of the coded entries."""
+        point = self.lists[own]
+        for m, (book, a, b) in enumerate(self.parts()):
+            point[:, a:b] += book[codes[:, m]]
+        return (point ** 2).sum(axis=1)
+
+    def distances(self, q: np.ndarray, own: np.ndarray, codes: np.ndarray, norms: np.ndarray) -> np.ndarray:
+        """Squared asymmetric distances, coded entries x unit queries."""
+        # |q - c - b|^2 = 1 + |c + b|^2 - 2 q.c - 2 q.b; the look-up tables are matrix products
+        q = q.astype(np.float32)
+        out = np.take(self.lists.astype(np.float32) @ q.T, own, axis=0)
         for m, (book, a, b) in enumerate(self.parts()):
-            part, book = rest[:, a:b], book.astype(np.float32)
-            # the look-up table as one matrix product: |r - b|^2 = |r|^2 - 2 r.b + |b|^2
-            table = (book ** 2).sum(axis=1)[None, :] - 2 * (part @ book.T)
-            out += np.take(table, codes[:, m], axis=1)
-        out += (rest ** 2).sum(axis=1)[:, None]
-        return np.sqrt(np.maximum(out, 0, out=out), out=out)
+            out += np.take(book.astype(np.float32) @ q[:, a:b].T, codes[:, m], axis=0)
+        out *= -2
+        out += (1 + norms).astype(np.float32)[:, None]
+        return out
 
 
 def _valid(kind: str):
@@ -139,21 +151,23 @@ def _valid(kind: str):
     return run
 
 
-def _entries(shared, kind: str, dims_bytes: int):
+def _entries(shared, kind: str):
     def run(batches):
         model: Quantiser = shared.value
+        starts = np.flatnonzero(np.diff(model.cells, prepend=-1))
         for batch in batches:
             if not batch.num_rows:
                 continue
-            raw = batch.column(1).to_pylist()
-            own, read, codes, err = model.assign(_unit(raw, kind))
-            # the lower of two lists queries the higher; a list also queries itself
-            read &= np.arange(read.shape[1])[None, :] >= own[:, None]
+            x = _unit(batch.column(1).to_pylist(), kind)
+            own = model.own(x)
+            codes, err = model.encode(x, own)
+            read = np.logical_or.reduceat(model.reads(x, own), starts, axis=1)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(2), batch.column(1), pa.array(own.astype(np.int32)),
+                pa.array(model.cells[own].astype(np.int32)),
                 pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(err),
-                pa.array([np.flatnonzero(r).astype(np.int32) for r in read], pa.list_(pa.int32()))],
-                names=["rid", "m", "v", "list", "codes", "err", "read"])
+                pa.array([model.cells[starts[r]].astype(np.int32) for r in read], pa.list_(pa.int32()))],
+                names=["rid", "m", "v", "own", "cell", "codes", "err", "read"])
     return run
 
 
@@ -164,27 +178,35 @@ def _link_block(shared, kind: str, min_cosine: float):
         if not len(entries) or not len(queries):
             return none
         model: Quantiser = shared.value
+        entries, queries = entries.sort_values("own"), queries.sort_values("own")
         e, q = _unit(entries["v"].tolist(), kind), _unit(queries["v"].tolist(), kind)
         codes = np.frombuffer(b"".join(entries["codes"]), np.uint8).reshape(len(e), -1)
-        err = entries["err"].to_numpy()
+        e_own, q_own = entries["own"].to_numpy(), queries["own"].to_numpy()
+        norms = model.norms(e_own, codes)
+        # single-precision sums of a few values up to 4
+        least = ((model.reach + entries["err"].to_numpy()) ** 2 + 1e-4).astype(np.float32)
         e_id, q_id = entries["rid"].to_numpy(), queries["rid"].to_numpy()
         e_m, q_m = entries["m"].to_numpy(), queries["m"].to_numpy()
         e_n, q_n = np.zeros(len(e), np.int64), np.zeros(len(q), np.int64)
         found = []
         for at in range(0, len(q), 256):
             part = slice(at, at + 256)
-            near = model.distances(q[part], int(key[0]), codes) <= model.reach + err[None, :] + 1e-4
+            reads = model.reads(q[part], q_own[part]).T
+            use = np.flatnonzero(reads.any(axis=1)[e_own])
+            near = model.distances(q[part], e_own[use], codes[use], norms[use]) <= least[use][:, None]
+            near &= reads[e_own[use]]
             # inside a list each pair meets twice; the smaller id queries
-            same = (queries["own"].to_numpy()[part] == key[0])[:, None]
-            near &= ~same | (q_id[part][:, None] < e_id[None, :])
+            same = e_own[use][:, None] == q_own[part][None, :]
+            near &= ~same | (q_id[part][None, :] < e_id[use][:, None])
             rows, cols = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
             if not rows.size:
                 continue
-            links = (q[part][rows] @ e[cols].T >= min_cosine) & near[np.ix_(rows, cols)]
-            q_n[at + rows] += (links * e_m[cols][None, :]).sum(axis=1)
-            e_n[cols] += (links * q_m[part][rows][:, None]).sum(axis=0)
+            links = (e[use[rows]] @ q[part][cols].T >= min_cosine) & near[np.ix_(rows, cols)]
             r, c = np.nonzero(links)
-            found.append(np.stack([at + rows[r], cols[c]], axis=1))
+            r, c = use[rows[r]], at + cols[c]
+            np.add.at(q_n, c, e_m[r])
+            np.add.at(e_n, r, q_m[c])
+            found.append(np.stack([c, r], axis=1))
         pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
         if not len(pairs):
             return none
@@ -208,12 +230,12 @@ def _link_block(shared, kind: str, min_cosine: float):
     return run
 
 
-def _by_list(counts: dict[int, int], block: int):
-    """Column: number of blocks of the list in column ``list``."""
+def _by_cell(counts: dict[int, int], block: int):
+    """Column: number of blocks of the cell in column ``cell``."""
     many = {k: -(-n // block) for k, n in counts.items() if n > block}
     if not many:
         return F.lit(1)
-    return F.coalesce(F.create_map(*[F.lit(x) for kv in many.items() for x in kv])[F.col("list")], F.lit(1))
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in many.items() for x in kv])[F.col("cell")], F.lit(1))
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -270,20 +292,21 @@ def _links_of(spark, classes: DataFrame, size: int, n: int, kind: str, min_cosin
     take = min(TRAIN_ROWS, max(CODES, TRAIN_BYTES // size))
     sample = classes.orderBy(F.xxhash64("v"), "v").limit(take).select("v").toArrow()["v"].to_pylist()
     lists = max(1, min(MAX_LISTS, n // LIST_ROWS))
-    shared = spark.sparkContext.broadcast(Quantiser.fit(_unit(sample, kind), lists, min_cosine))   # bounded
+    cells = min(lists, -(-n // ENTRY_BLOCK))
+    shared = spark.sparkContext.broadcast(Quantiser.fit(_unit(sample, kind), lists, cells, min_cosine))   # bounded
     entries = cut_lineage(classes.select("rid", "v", "m").mapInArrow(
-        _entries(shared, kind, size),
-        "rid long, m long, v binary, list int, codes binary, err double, read array<int>"), "pq-entries")
-    counts = {r["list"]: r["n"] for r in entries.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
-    asked = {r["list"]: r["n"] for r in entries.select(F.explode("read").alias("list")).groupBy("list")
-             .agg(F.count(F.lit(1)).alias("n")).collect()}       # one row a list, at most MAX_LISTS
-    e_blocks, q_blocks = _by_list(counts, ENTRY_BLOCK), _by_list(asked, QUERY_BLOCK)
+        _entries(shared, kind),
+        "rid long, m long, v binary, own int, cell int, codes binary, err double, read array<int>"), "pq-entries")
+    counts = {r["cell"]: r["n"] for r in entries.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    asked = {r["cell"]: r["n"] for r in entries.select(F.explode("read").alias("cell")).groupBy("cell")
+             .agg(F.count(F.lit(1)).alias("n")).collect()}       # one row a cell, at most MAX_LISTS
+    e_blocks, q_blocks = _by_cell(counts, ENTRY_BLOCK), _by_cell(asked, QUERY_BLOCK)
     spread = F.xxhash64("rid")
-    stored = entries.select("rid", "m", "v", "list", "codes", "err",
+    stored = entries.select("rid", "m", "v", "own", "cell", "codes", "err",
                             F.pmod(spread, e_blocks).cast("int").alias("eb"),
                             F.explode(F.sequence(F.lit(0), (q_blocks - 1).cast("int"))).alias("qb"))
-    queries = (entries.select("rid", "m", "v", F.col("list").alias("own"), F.explode("read").alias("list"))
-               .select("rid", "m", "v", "own", "list", F.pmod(spread, q_blocks).cast("int").alias("qb"),
+    queries = (entries.select("rid", "m", "v", "own", F.explode("read").alias("cell"))
+               .select("rid", "m", "v", "own", "cell", F.pmod(spread, q_blocks).cast("int").alias("qb"),
                        F.explode(F.sequence(F.lit(0), (e_blocks - 1).cast("int"))).alias("eb")))
-    return (stored.groupBy("list", "eb", "qb").cogroup(queries.groupBy("list", "eb", "qb"))
+    return (stored.groupBy("cell", "eb", "qb").cogroup(queries.groupBy("cell", "eb", "qb"))
             .applyInPandas(_link_block(shared, kind, min_cosine), "rid long, n long, root long"))

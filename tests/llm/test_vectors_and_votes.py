@@ -46,6 +46,19 @@ def test_links_and_components(spark, monkeypatch, blocks):
     assert sum(got[i][1] == want[i][1] for i in ids) >= 594
 
 
+@pytest.mark.parametrize("entry_block", [64, 4096])
+def test_no_link_is_lost_where_few_dimensions_vary(spark, monkeypatch, entry_block):
+    monkeypatch.setattr(pq_neardup, "LIST_ROWS", 20)
+    monkeypatch.setattr(pq_neardup, "ENTRY_BLOCK", entry_block)
+    rng = np.random.default_rng(7)
+    x = np.zeros((800, 64))
+    x[:, :3] = rng.standard_normal((800, 3))
+    x = (x @ np.linalg.qr(rng.standard_normal((64, 64)))[0]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pq_neardup.near_duplicates(df).collect()}
+    assert got == brute(list(range(800)), x, 0.95)
+
+
 def test_recall_on_the_table(spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()
     got = {r.vec_id: (r.n_links, r.component_id) for r in queries.op3(spark, "/root/testdata/sf0.01").collect()}
