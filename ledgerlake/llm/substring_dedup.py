@@ -29,6 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -346,11 +347,13 @@ def _has(packed: np.ndarray, slot: np.ndarray) -> np.ndarray:
 
 def _send(repeated, crowded):
     """Anchors that may repeat, with their contexts.  Within a task a context is sent once, and
-    once more without its bytes when it occurs again; further occurrences are settled here."""
+    once more without its bytes when it occurs again; further occurrences are settled here.  A
+    text with copies in the task is settled by one row."""
     def run(batches):
         may, many = repeated.value, crowded.value
+        task = TaskContext.get().partitionId()
         seen: dict[bytes, int] = {}
-        texts_seen: set[bytes] = set()
+        texts_seen: dict[bytes, bool] = {}             # whether the text is settled
         for batch in batches:
             for part in byte_slices(batch, 0, 4 << 20):
                 texts = as_bytes(part.column(0))
@@ -359,9 +362,11 @@ def _send(repeated, crowded):
                     text = texts[i]
                     key = hashlib.md5(text, usedforsecurity=False).digest()
                     if key in texts_seen:              # a copy in this task: its twin says it all
-                        _settle(cols, key, 0, len(text))
+                        if not texts_seen[key]:
+                            texts_seen[key] = True
+                            _settle(cols, task, key, 0, len(text))
                         continue
-                    texts_seen.add(key)
+                    texts_seen[key] = False
                     some = _has(may, _slot(h, FILTER_BITS))
                     at, h = at[some], h[some]
                     busy = _has(many, _slot(h, CROWDED_BITS)).tolist()
@@ -375,7 +380,7 @@ def _send(repeated, crowded):
                             g = int.from_bytes(cid[:8], "little", signed=True) if crowd else x
                             _row(cols, CROWDED if crowd else GROUPED, g, x, cid, ctx if not times else None, p - a, key, p)
                         elif b - a >= LENGTH:
-                            _settle(cols, key, a, b)
+                            _settle(cols, task, key, a, b)
                 if cols[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _SENT, strict=True)],
                                                      schema=_SENT)
@@ -387,9 +392,11 @@ def _row(cols, *values):
         c.append(v)
 
 
-def _settle(cols, key: bytes, start: int, end: int):
-    """A run that is known to repeat: (text, start, end), end in the column ``l``."""
-    _row(cols, SETTLED, int.from_bytes(key[:8], "little", signed=True), 0, None, None, end, key, start)
+def _settle(cols, task: int, key: bytes, start: int, end: int):
+    """A run that is known to repeat: (text, start, end), end in the column ``l``.  It meets no
+    other row, so its ``g`` only spreads the runs of a text over the tasks."""
+    g = int.from_bytes(key[:8], "little", signed=True) ^ (task << 32 | start)
+    _row(cols, SETTLED, g, 0, None, None, end, key, start)
 
 
 FOUND = "pending boolean, tkey binary, start int, stop int, h long, cid binary, ctx binary, l int, pos int, alone boolean"

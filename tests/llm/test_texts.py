@@ -221,6 +221,14 @@ def test_removed_bytes_edge_rows(spark, edge_docs, no_docs):
     assert substring_dedup.repeated_substrings(no_docs).count() == 0
 
 
+def test_copies_of_a_text_leave_a_task_once(spark):
+    none = spark.sparkContext.broadcast(np.zeros(1 << substring_dedup.FILTER_BITS - 3, np.uint8))
+    copies = spark.range(400, numPartitions=4).selectExpr("repeat('one text of many copies. ', 20) AS t")
+    sent = copies.mapInArrow(substring_dedup._send(none, none), substring_dedup.SENT).collect()
+    assert len(sent) == 4 and {(r.kind, r.pos, r.l) for r in sent} == {(substring_dedup.SETTLED, 0, 500)}
+    assert len({r.g for r in sent}) == 4
+
+
 def test_removed_bytes_query(spark, small_texts):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op5(spark, SF).collect()}
     want = plain_cut([t.encode() for _, t in small_texts])
