@@ -41,19 +41,22 @@ def words_of(raw: bytes) -> list[bytes]:
     return raw.translate(_WORD_BYTES).split()
 
 
-def _keys(ids: np.ndarray, size: int, vocab: int) -> np.ndarray:
-    """Key of the shingle of ``size`` words from each position on; -1 where a word is unknown."""
+def _keys(ids: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the shingle of ``size`` words from each position on; -1 where a word is unknown.
+    Shingles that share a hash only make candidates, which are compared exactly."""
     n = ids.size - size + 1
     if n <= 0:
         return np.zeros(0, np.int64)
-    key = np.zeros(n, np.int64)
+    key = np.zeros(n, np.uint64)
     known = np.ones(n, bool)
     for j in range(size):
         part = ids[j:j + n]
-        key = key * vocab + part
+        key = (key + part.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+        key ^= key >> np.uint64(31)
         known &= part >= 0
-    key[~known] = -1
-    return key
+    out = (key >> np.uint64(1)).astype(np.int64)
+    out[~known] = -1
+    return out
 
 
 @dataclass
@@ -84,7 +87,7 @@ class Index:
         return index
 
     def window_keys(self, window: tuple[int, ...], size: int) -> np.ndarray:
-        return _keys(np.array(window, np.int64), size, max(1, len(self.vocab)))
+        return _keys(np.array(window, np.int64), size)
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         get = self.vocab.get
@@ -150,7 +153,7 @@ def _count_shingles(index_value, batches, max_bytes: int):
         for part in byte_slices(batch, 0, max_bytes):
             ids, _ = _joined(index, as_bytes(part.column(0)))
             for s, table in index.shingles.items():
-                _, where = _member(_keys(ids, s, max(1, len(index.vocab))), table, bits[s])
+                _, where = _member(_keys(ids, s), table, bits[s])
                 total[s] += np.bincount(where, minlength=table.size)
     for s, n in total.items():
         at = np.flatnonzero(n)
@@ -167,7 +170,7 @@ def _hits(index: Index, ids: np.ndarray, start: np.ndarray):
     flat = np.concatenate([np.array(w, np.int64) for w in index.windows]) if index.windows else np.zeros(0, np.int64)
     flat_at = np.concatenate([[0], np.cumsum(length)])
     for size, (keys, first, window, offset, bits) in (index.prefix or {}).items():
-        at, where = _member(_keys(ids, size, max(1, len(index.vocab))), keys, bits)
+        at, where = _member(_keys(ids, size), keys, bits)
         many = first[where + 1] - first[where]
         ends = np.cumsum(many)
         done = 0
