@@ -75,7 +75,7 @@ class Terms:
                 self.pairs = np.concatenate([self.pairs, np.zeros((2 * need - len(self.pairs), 2), np.int64)])
             for w in new:
                 at = memo[w] = len(memo)
-                shape = _RUNS.sub(r"\1", w[:40].translate(_CLASS))
+                shape = _RUNS.sub(r"\1", w.translate(_CLASS))
                 self.pairs[at] = (zlib.crc32(w.encode()) % self.words,
                                   zlib.crc32(b"shape " + shape.encode()) % self.words)
         return np.fromiter(map(memo.__getitem__, words), np.int64, len(words))

@@ -109,6 +109,12 @@ def test_scores_are_exact_votes():
         assert abs(s - (w * model.labels[near]).sum() / w.sum()) < 1e-6
 
 
+def test_shapes_are_of_whole_words():
+    terms = quality_knn.Terms(quality_knn.BUCKETS)
+    for word, shape in (("a" * 60 + "7", b"a0"), ("xY" * 30, b"aA" * 30), ("9" * 5000 + "-b", b"0-a")):
+        assert terms.counts([word])[0, zlib.crc32(b"shape " + shape) % terms.words] >= 1
+
+
 def test_quality_edge_rows(spark, edge_docs, no_docs):
     labels = spark.createDataFrame([(1, 1), (5, 0), (5, 0), (6, 0), (None, 1), (9, None)], "doc_id long, quality int")
     model = quality_knn.train(edge_docs, labels)
