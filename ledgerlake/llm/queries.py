@@ -10,7 +10,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import byte_bpe, decontaminate, pii_crf, pq_neardup, quality_knn, sharding, simhash, substring_dedup, token_counts, warc_merkle
+from ledgerlake.llm import (
+    byte_bpe,
+    decontaminate,
+    orchard,
+    pii_crf,
+    pq_neardup,
+    quality_knn,
+    sharding,
+    simhash,
+    site_style,
+    source_audit,
+    substring_dedup,
+    token_counts,
+    warc_merkle,
+)
 from ledgerlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -199,3 +213,89 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_knn.score(docs.select("doc_id", "text"), model, keep=["doc_id"])
     return scored.select("doc_id", quality_knn.held_out("doc_id").alias("held_out"), "score",
                          (F.col("score") >= quality_knn.KEEP_SCORE).cast("int").alias("predicted"))
+
+
+# Kept documents of a term, units of a share, ranks of terms.
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+words AS (SELECT rid, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM words GROUP BY ALL HAVING count(DISTINCT rid) >= 3),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+grps AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM counts GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(t.total, 0) + l.v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 1)) // (l.total + l.v) AS q
+  FROM grps g JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN totals t USING (lang, source)
+       LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT g.lang, g.source, o.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM grps g JOIN grps o ON g.lang = o.lang AND g.source <> o.source
+       LEFT JOIN (SELECT a.lang, a.source, b.source AS other, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+                  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+                  GROUP BY ALL) s ON s.lang = g.lang AND s.source = g.source AND s.other = o.source),
+terms AS (SELECT lang, source, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value,
+       row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS "rank" FROM pairs
+UNION ALL
+SELECT lang, source, 'term', item, value, r::INTEGER
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS r FROM terms) WHERE r <= 200
+"""
+
+
+@query("op11_source_divergence", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergence(read_table(spark, sf_dir, "documents"))
+
+
+def _op13_sql() -> str:
+    """The rounds of the clustering, one common table expression each."""
+    near = """
+assigned{i} AS MATERIALIZED (
+  SELECT rid, vec_id, v, min(c) AS c, min(d) AS d FROM (
+    SELECT x.rid, x.vec_id, x.v, k.c, d, min(d) OVER (PARTITION BY x.rid) AS least
+    FROM (SELECT x.*, k.c, list_sum(list_transform(list_zip(x.v, k.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+          FROM x, cent{i} k) x JOIN cent{i} k USING (c)) WHERE d = least GROUP BY ALL)"""
+    move = """
+cent{j} AS MATERIALIZED (
+  SELECT k.c, coalesce(m.v, k.v) AS v FROM cent{i} k LEFT JOIN (
+    SELECT c, list(f ORDER BY j) AS v FROM (
+      SELECT c, j, floor_div AS f FROM (
+        SELECT c, j, CASE WHEN s >= 0 THEN s // n ELSE -((n - 1 - s) // n) END AS floor_div
+        FROM (SELECT c, j, sum(e)::HUGEINT AS s, count(*)::HUGEINT AS n
+              FROM (SELECT c, unnest(v) AS e, unnest(range(1, 65)) AS j FROM assigned{i}) GROUP BY c, j)))
+    GROUP BY c) m USING (c))"""
+    ctes = ["""
+x AS MATERIALIZED (
+  SELECT rid, vec_id, list_transform(e, lambda y: floor(256 * y)::BIGINT) AS v
+  FROM (SELECT row_number() OVER () AS rid, vec_id, embedding::DOUBLE[] AS e FROM embeddings)
+  WHERE len(e) = 64 AND len(list_filter(e, lambda y: y IS NULL OR NOT isfinite(y))) = 0)""", """
+cent0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (
+    SELECT sha256('2:' || coalesce(vec_id::VARCHAR, '')) AS h, list_transform(v, lambda y: y::HUGEINT) AS v FROM x)
+  ORDER BY h, v LIMIT 40)"""]
+    for i in range(orchard.ROUNDS):
+        ctes += [near.format(i=i), move.format(i=i, j=i + 1)]
+    ctes.append(near.format(i=orchard.ROUNDS))
+    last = orchard.ROUNDS
+    return f"""WITH {",".join(ctes)}
+SELECT vec_id, a.c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(k.v, ',')) AS centroid_sha256
+FROM assigned{last} a JOIN cent{last} k ON a.c = k.c"""
+
+
+@query("op13_orchard", _op13_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = orchard.cluster(read_table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
+
+
+@query("op12_site_style")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style.extract(read_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
