@@ -14,7 +14,6 @@ added up before the shuffle; the driver sees k sums of fixed length a round.
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -62,7 +61,7 @@ def first_centroids(vectors: DataFrame, k: int = CLUSTERS, seed: str = SEED) ->
     components); k rows reach the driver."""
     key = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))), 256)
     rows = vectors.select(key.alias("key"), "v").orderBy("key", "v").limit(k).collect()
-    return np.array([r["v"] for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r["v"] for r in rows], np.int64)
 
 
 @dataclass
@@ -175,22 +174,14 @@ def cluster(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     spark = vectors.sparkSession
     x = cut_lineage(quantised(vectors, id_col, vector_col, dims, scale), "orchard-vectors")
     centroids = first_centroids(x, k, seed)
-    schema = "cluster int, centroid array<long>"
     if not len(centroids):
         found = x.select("id", F.lit(0).alias("cluster"), F.lit(0).cast("long").alias("distance"))
     else:
         for _ in range(rounds):
             centroids = moved(x, Neighbours.of(centroids))
         found = cut_lineage(assign(x, Neighbours.of(centroids)), "orchard-assigned")
-    final = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centroids)], schema)
-    per = found.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
-    total = found.agg(F.sum("distance").alias("inertia"))
-    # at most k rows, each with one centroid
-    tail = final.join(per, "cluster").crossJoin(F.broadcast(total))
-    return (found.join(F.broadcast(tail), "cluster")
+    inertia = {r["cluster"]: r["s"] for r in found.groupBy("cluster").agg(F.sum("distance").alias("s")).collect()}  # k rows
+    tail = spark.createDataFrame([(i, inertia[i], sum(inertia.values()), c.tolist()) for i, c in enumerate(centroids) if i in inertia],
+                                 "cluster int, cluster_inertia long, inertia long, centroid array<long>")
+    return (found.join(F.broadcast(tail), "cluster")            # at most k rows of one centroid each
             .select(F.col("id").alias(id_col), "cluster", "distance", "cluster_inertia", "inertia", "centroid"))
-
-
-def digest(centroid) -> str:
-    """Hex digest of a centroid's components as decimal integers joined by commas."""
-    return hashlib.sha256(",".join(str(int(x)) for x in centroid).encode()).hexdigest()

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +29,10 @@ from ledgerlake.session import cut_lineage
 MIN_DOCS = 3
 UNITS = 1_000_000_000
 TOP_TERMS = 200
-#: Bytes of text sorted together, and pointers below which a slice is sorted by its keys at once.
-SORT_BYTES = 16 << 20
+#: Bytes of text sorted together (a longer text is sorted in pieces), pointers below which a slice
+#: is sorted by its keys at once, rows of one Arrow batch of counts.
+SORT_BYTES = 8 << 20
+OUT_ROWS = 1 << 16
 SHORT_SLICE = 1 << 14
 #: Words of one block of pair sums.
 BLOCK_TERMS = 1 << 14
@@ -171,6 +174,23 @@ def count_slice(text: pa.Array, lang: pa.Array, source: pa.Array):
     return langs.take(g), sources.take(g), terms.cast(pa.string()), docs, n
 
 
+def text_bytes(texts: pa.Array) -> int:
+    return int(pc.sum(pc.binary_length(texts)).as_py() or 0)
+
+
+def text_pieces(text: pa.Array, size: int):
+    """A single text in pieces of about ``size`` bytes, cut before bytes that are in no word."""
+    data = np.frombuffer(text.cast(pa.large_binary())[0].as_buffer(), np.uint8)
+    at = 0
+    while at < data.size:
+        end = min(at + size, data.size)
+        while end < data.size and _WORD[data[end]]:      # a word goes on: to the end of it, block by block
+            more = np.flatnonzero(~_WORD[data[end:end + 4096]])
+            end += int(more[0]) if more.size else min(4096, data.size - end)
+        yield pa.array([data[at:end].tobytes()], pa.large_binary())
+        at = end
+
+
 def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """(lang, source, term, docs, n): documents and occurrences of every word of every group."""
     set_arrow_rows(docs.sparkSession)
@@ -180,24 +200,39 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                        F.coalesce(ident(source_col).cast("string"), empty).alias("source"))
     schema = T._parse_datatype_string("lang string, source string, term string, docs long, n long")
 
+    def counted(text, lang, source):
+        a, b, t, d, n = count_slice(text, lang, source)
+        return [a.cast(pa.string()), b.cast(pa.string()), t, pa.array(d, pa.int64()), pa.array(n, pa.int64())]
+
     def flush(held):
         table = pa.Table.from_batches(held).combine_chunks()
         for batch in table.to_batches():
-            a, b, t, d, n = count_slice(batch.column(0), batch.column(1), batch.column(2))
-            out = [a.cast(pa.string()), b.cast(pa.string()), t, pa.array(d, pa.int64()), pa.array(n, pa.int64())]
-            whole = pa.RecordBatch.from_arrays(out, names=schema.names)
-            for lo in range(0, whole.num_rows, 1 << 16):
-                yield whole.slice(lo, 1 << 16)
+            whole = pa.RecordBatch.from_arrays(counted(*batch.columns), names=schema.names)
+            for lo in range(0, whole.num_rows, OUT_ROWS):
+                yield whole.slice(lo, OUT_ROWS)
+
+    def long_text(row):
+        """One text beyond a slice: its pieces are sorted one by one and count as one document."""
+        parts = [pa.table(counted(piece, row.column(1), row.column(2)), names=schema.names)
+                 for piece in text_pieces(row.column(0), SORT_BYTES)]
+        whole = pa.concat_tables(parts).group_by(["lang", "source", "term"]).aggregate([("n", "sum")])
+        ones = pa.array(np.ones(whole.num_rows, np.int64))
+        yield from pa.table([whole["lang"], whole["source"], whole["term"], ones, whole["n_sum"]],
+                            names=schema.names).to_batches(max_chunksize=OUT_ROWS)
 
     def run(batches):
         held, size = [], 0
         for batch in batches:
             for part in byte_slices(batch, 0, SORT_BYTES):
-                held.append(part)
-                size += part.column(0).nbytes
-                if size >= SORT_BYTES:
+                own = text_bytes(part.column(0))
+                if own > SORT_BYTES:                     # a slice of one text
+                    yield from long_text(part)
+                    continue
+                if size + own > SORT_BYTES:
                     yield from flush(held)
                     held, size = [], 0
+                held.append(part)
+                size += own
         if held:
             yield from flush(held)
 
