@@ -3,41 +3,56 @@
 The patterns give the base spans (email, ip, card, phone).  The field labels every candidate
 token of a document (a run of non-space characters holding a digit or an at sign) with a kind
 or none.  Potentials: a unary one by token shape, a chain one between neighbouring candidates,
-and a skip one between tokens of the same similarity key (equal digits, equal mail address
-start, or equal text).  A key's occurrences are linked one to the next, so a token that occurs
-n times has n-1 skip edges, and messages carry a label along them through the document.
-Tokens under a base span are observed.  Marginals come from damped loopy sum-product over all
-documents of an Arrow slice at once (documents share no edges).  A token that no base span
-touches becomes an added span when its marginal for a kind is at least ``min_marginal`` and a
-skip edge ties it, directly or through others, to a token of the document with evidence.
-
-Potentials are log-linear in indicator features and are estimated, smoothed, from the labels
-the patterns give on a bounded, seeded sample of documents.
+and a skip one between distant tokens that are repeated or similar: tokens that share a key
+(equal digits, equal last eight digits, equal mail address start, or equal text).  A key's
+occurrences are linked to the first one that a base span covers, or, where there is none, one to the
+next: skip edges stay linear in repeats, and evidence does not fade with their number.  Tokens under a base span
+are observed, and so is every base span as a whole, which a number written in one piece repeats.
+Marginals come from damped loopy sum-product, document by document.  A token that no base span
+touches becomes an added span when its marginal for a kind is at least ``min_marginal`` and skip
+edges tie it, directly or through others, to an observed one.  A document without base spans has
+no evidence and needs no messages.
+
+Potentials are log-linear in indicator features and are estimated, smoothed, from the labels the
+patterns give: the unary one on all documents, the pairwise ones on all that hold a base span.  A
+token that repeats personal data without matching a pattern has no label there and is not counted.
+Only counts by shape and label reach the driver.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import as_text, field, ident, map_texts
+from ledgerlake.llm.common import SLICE_BYTES, as_text, byte_slices, field, ident, map_texts, set_arrow_rows
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)                       # label of tokens that are no personal data
 LABELS = NONE + 1
-#: Documents the potentials are estimated on, hash buckets of shapes, least marginal of a span.
-MAX_TRAIN = 4096
+#: Hash buckets of shapes, least marginal of a span.
 SHAPES = 1024
 MIN_MARGINAL = 0.9
+#: Most rounds of messages, and the change of a document's messages that ends them.
 ROUNDS = 25
-#: Weight of skip associations against chain associations.
+SETTLED = 1e-3
+#: Log potential of every other label of an observed node; outweighs messages of any number of edges.
+FIXED = -1e9
+#: Edges whose messages are renewed together.
+EDGE_BLOCK = 1 << 15
+#: Weight of skip associations against chain associations; most that a shape says against a kind.
 SKIP_WEIGHT = 2.0
+SHAPE_BOUND = 6.0
+#: Characters or digits that a token needs to be tied to others; digits of a similar number's end.
+KEY_CHARS = 6
+TAIL_DIGITS = 8
 
 _MAIL_START = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _MAIL_REST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -100,81 +115,129 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+class _CharClass(dict):
+    """Code point -> "0" for digits, "a" for letters, else itself."""
+
+    def __missing__(self, cp: int) -> str:
+        c = chr(cp)
+        kind = self[cp] = "0" if "0" <= c <= "9" else "a" if c.isalpha() else c
+        return kind
+
+
+_CLASS = _CharClass()
+_RUN = re.compile(r"(.)\1*+", re.S)
+
+
 def shape(token: str) -> int:
     """Bucket of a token's class pattern: letters, digits with run lengths, other characters."""
-    out, last, run = [], "", 0
-    for c in token[:48]:
-        k = "0" if "0" <= c <= "9" else "a" if c.isalpha() else c
-        if k == last:
-            run += 1
-            continue
-        if last:
-            out.append(last + (str(min(run, 20)) if last == "0" else ""))
-        last, run = k, 1
-    out.append(last + (str(min(run, 20)) if last == "0" else ""))
-    return zlib.crc32("".join(out).encode()) % SHAPES
+    runs = _RUN.sub(lambda m: f"0{m.end() - m.start()}" if m.group(1) == "0" else m.group(1), token.translate(_CLASS))
+    return zlib.crc32(runs.encode("utf-8", "surrogatepass")) % SHAPES
 
 
-def similarity_key(token: str) -> str:
-    """Tokens with equal keys are repeated or similar: same digits (4 or more), same start of a
-    mail address, else the same text without outer punctuation."""
+def similarity_keys(token: str) -> list[str]:
+    """Tokens that share a key are repeated or similar: same digits, same last digits, same start
+    of a mail address, else the same text without outer punctuation; short ones have none."""
     if "@" in token:
-        return "@" + token[:token.index("@")].strip(_EDGES).lower()
+        start = token[:token.index("@")].strip(_EDGES).lower()
+        return ["@" + start] if start else []
     digits = _NOT_DIGIT.sub("", token)
-    if len(digits) >= 4 and 2 * len(digits) >= len(token):
-        return "#" + digits
-    return "=" + token.strip(_EDGES).lower()
+    if 2 * len(digits) >= len(token):
+        out = ["#" + digits] if len(digits) >= KEY_CHARS else []
+        return out + ["~" + digits[-TAIL_DIGITS:]] if len(digits) >= TAIL_DIGITS else out
+    core = token.strip(_EDGES).lower()
+    return ["=" + core] if len(core) >= KEY_CHARS else []
 
 
 @dataclass
 class Graph:
-    """Candidate tokens of several documents and their edges."""
+    """Candidate tokens of a document, then its base spans as nodes of their own, and edges."""
 
-    doc: np.ndarray
     start: np.ndarray
     end: np.ndarray
     shape: np.ndarray
     observed: np.ndarray         # label, or -1
     chain: np.ndarray            # pairs of neighbours in text order
-    skip: np.ndarray             # pairs of consecutive occurrences of a key
-
-
-def build(texts: list[str], spans: list[list[tuple[int, int, int]]]) -> Graph:
-    doc, start, end, shapes, observed, chain, skip = [], [], [], [], [], [], []
-    for d, text in enumerate(texts):
-        if not _CLUE.search(text):
+    skip: np.ndarray             # pairs of tokens that share a key
+    tied: np.ndarray             # whether skip edges lead to an observed node
+
+
+def _pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return np.stack([first, second], axis=1).astype(np.int64) if first.size else np.zeros((0, 2), np.int64)
+
+
+def _links(key: np.ndarray, node: np.ndarray, observed: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Skip edges of (key, node) rows, and the nodes they tie to an observed one."""
+    tied = observed >= 0
+    if not key.size:
+        return _pairs(key, key), tied
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
+    new = np.ones(key.size, bool)
+    new[1:] = key[1:] != key[:-1]
+    group = np.cumsum(new) - 1
+    groups = int(group[-1]) + 1
+    first = np.full(groups, n, np.int64)
+    seen = observed[node] >= 0
+    np.minimum.at(first, group[seen], node[seen])
+    star = (first[group] < n) & (first[group] != node)
+    line = ~new[1:] & (first[group[1:]] == n)
+    a = np.concatenate([node[:-1][line], first[group[star]]])
+    b = np.concatenate([node[1:][line], node[star]])
+    edges = np.unique(np.minimum(a, b) * n + np.maximum(a, b))
+    while True:
+        held = np.zeros(groups, bool)
+        held[group[tied[node]]] = True
+        more = held[group] & ~tied[node]
+        if not more.any():
+            return _pairs(edges // n, edges % n), tied
+        tied[node[more]] = True
+
+
+def build(text: str, base: list[tuple[int, int, int]]) -> Graph:
+    start, end, shapes, observed, key, node = (array("q") for _ in range(6))
+
+    def tie(me: int, token: str) -> None:
+        for k in similarity_keys(token):
+            key.append(xxhash.xxh64_intdigest(k.encode("utf-8", "surrogatepass")) >> 1)
+            node.append(me)
+
+    by_end = 0
+    for m in _TOKEN.finditer(text) if _CLUE.search(text) else ():
+        token = m.group()
+        if not _CLUE.search(token):
             continue
-        last: dict[str, int] = {}
-        base, at = spans[d], 0
-        # the farthest end of the spans before each one, to skip those that are over
-        begin = len(doc)
-        for m in _TOKEN.finditer(text):
-            token = m.group()
-            if not _CLUE.search(token):
-                continue
-            s, e = m.span()
-            lead = len(token) - len(token.lstrip(_EDGES))
-            core = token.strip(_EDGES)
-            if core:
-                s, e = s + lead, s + lead + len(core)
-            while at < len(base) and base[at][2] <= s:
-                at += 1
-            label = next((k for a, k, b in base[at:at + 4] if a < e and b > s), -1)
-            me = len(doc)
-            doc.append(d)
-            start.append(s)
-            end.append(e)
-            shapes.append(shape(token))
-            observed.append(label)
-            if me > begin:
-                chain.append((me - 1, me))
-            key = similarity_key(token)
-            if key in last and last[key] >= begin:
-                skip.append((last[key], me))
-            last[key] = me
-    pair = lambda x: np.array(x, np.int64).reshape(-1, 2)
-    whole = lambda x: np.array(x, np.int64)
-    return Graph(whole(doc), whole(start), whole(end), whole(shapes), whole(observed), pair(chain), pair(skip))
+        s, e = m.span()
+        core = token.strip(_EDGES)
+        if core:
+            s += len(token) - len(token.lstrip(_EDGES))
+            e = s + len(core)
+        # spans of a kind do not overlap; those of all kinds over this token are few
+        while by_end < len(base) and base[by_end][2] <= s:
+            by_end += 1
+        label = -1
+        for a, k, b in base[by_end:]:
+            if a >= e:
+                break
+            if b > s:
+                label = k
+                break
+        tie(len(start), token)
+        start.append(s)
+        end.append(e)
+        shapes.append(shape(token))
+        observed.append(label)
+    tokens = len(start)
+    for a, k, b in base:
+        tie(len(start), text[a:b])
+        start.append(a)
+        end.append(b)
+        shapes.append(0)
+        observed.append(k)
+    whole = lambda x: np.frombuffer(x, np.int64) if len(x) else np.zeros(0, np.int64)
+    observed = whole(observed)
+    skip, tied = _links(whole(key), whole(node), observed, len(start))
+    i = np.arange(max(tokens - 1, 0))
+    return Graph(whole(start), whole(end), whole(shapes), observed, _pairs(i, i + 1), skip, tied)
 
 
 @dataclass
@@ -184,97 +247,109 @@ class Field:
     skip: np.ndarray
 
     def marginals(self, g: Graph) -> np.ndarray:
-        """Label marginals of all tokens by damped loopy sum-product."""
-        n = g.doc.size
-        own = self.unary[g.shape].copy()
+        """Label marginals of all nodes by damped loopy sum-product."""
+        n = g.observed.size
+        own = self.unary[g.shape].astype(np.float32)
         seen = np.flatnonzero(g.observed >= 0)
-        own[seen] = -30.0
+        own[seen] = FIXED
         own[seen, g.observed[seen]] = 0.0
-        edges = np.concatenate([g.chain, g.skip])
-        src = np.concatenate([edges[:, 0], edges[:, 1]])
-        dst = np.concatenate([edges[:, 1], edges[:, 0]])
-        m = len(edges)
-        # potential of each directed message, source label first
-        psi = np.concatenate([np.repeat(self.chain[None], len(g.chain), 0), np.repeat(self.skip[None], len(g.skip), 0)])
-        psi = np.exp(np.concatenate([psi, psi.transpose(0, 2, 1)])) if m else np.zeros((0, LABELS, LABELS))
-        back = np.concatenate([np.arange(m, 2 * m), np.arange(m)])
-        msg = np.zeros((2 * m, LABELS))
+        # messages along and against each edge; the potentials are shared by all edges of a kind
+        sets = [(edges, np.exp(psi).astype(np.float32), np.zeros((2, len(edges), LABELS), np.float32))
+                for edges, psi in ((g.chain, self.chain), (g.skip, self.skip)) if len(edges)]
         belief = own
-        for _ in range(ROUNDS if m else 0):
-            total = np.stack([np.bincount(dst, msg[:, k], n) for k in range(LABELS)], axis=1)
-            belief = own + total
-            out = belief[src] - msg[back]
-            out -= out.max(axis=1, keepdims=True)
-            new = np.log(np.einsum("ei,eij->ej", np.exp(out), psi) + 1e-30)
-            new -= np.log(np.exp(new).sum(axis=1, keepdims=True))
-            change = np.abs(new - msg).max()
-            msg = 0.5 * msg + 0.5 * new
-            if change < 1e-3:
+        for _ in range(ROUNDS if sets else 0):
+            belief = own.copy()
+            for edges, _psi, msg in sets:
+                for way in (0, 1):
+                    for k in range(LABELS):
+                        belief[:, k] += np.bincount(edges[:, 1 - way], msg[way, :, k], n)
+            change = max(_renew(edges, psi, msg, belief) for edges, psi, msg in sets)
+            if change < SETTLED:
                 break
-        if m:
-            belief = own + np.stack([np.bincount(dst, msg[:, k], n) for k in range(LABELS)], axis=1)
         p = np.exp(belief - belief.max(axis=1, keepdims=True))
         return p / p.sum(axis=1, keepdims=True)
 
 
-def _evident(g: Graph) -> np.ndarray:
-    """Tokens that skip edges tie to an observed token (a key's occurrences form one chain)."""
-    reach = g.observed >= 0
-    for a, b in g.skip.tolist():
-        reach[b] |= reach[a]
-    for a, b in g.skip[::-1].tolist():
-        reach[a] |= reach[b]
-    return reach
+def _renew(edges: np.ndarray, psi: np.ndarray, msg: np.ndarray, belief: np.ndarray) -> float:
+    """Half a step of all messages of a set of edges, block by block; the greatest change."""
+    change = 0.0
+    for lo in range(0, len(edges), EDGE_BLOCK):
+        part = slice(lo, lo + EDGE_BLOCK)
+        ends = edges[part]
+        made = []
+        for way, table in ((0, psi), (1, psi.T)):
+            out = belief[ends[:, way]] - msg[1 - way, part]
+            out = np.exp(out - out.max(axis=1, keepdims=True)) @ table
+            made.append(np.log(out / out.sum(axis=1, keepdims=True) + np.float32(1e-30)))
+        for way in (0, 1):
+            change = max(change, float(np.abs(made[way] - msg[way, part]).max()))
+            msg[way, part] = 0.5 * (msg[way, part] + made[way])
+    return change
+
+
+def added_spans(text: str, base: list[tuple[int, int, int]], model: Field,
+                min_marginal: float = MIN_MARGINAL) -> list[tuple[int, int, int]]:
+    """Spans that the field adds to the base spans of a text."""
+    if not base:
+        return []
+    g = build(text, base)
+    free = g.tied & (g.observed < 0)
+    if not free.any():
+        return []
+    p = model.marginals(g)
+    best = p[:, :NONE].argmax(axis=1)
+    sure = free & (p[np.arange(best.size), best] >= min_marginal)
+    return [(int(g.start[i]), int(best[i]), int(g.end[i])) for i in np.flatnonzero(sure).tolist()]
 
 
 def find_spans(texts: list[str], model: Field, min_marginal: float = MIN_MARGINAL):
     """Per text: base spans and added spans, each (start, kind index, end) in order."""
     base = [base_spans(t) for t in texts]
-    g = build(texts, base)
-    added: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    if g.doc.size:
-        p = model.marginals(g)
-        best = p[:, :NONE].argmax(axis=1)
-        sure = (p[np.arange(best.size), best] >= min_marginal) & (g.observed < 0) & _evident(g)
-        for i in np.flatnonzero(sure).tolist():
-            added[g.doc[i]].append((int(g.start[i]), int(best[i]), int(g.end[i])))
-    return base, added
+    return base, [added_spans(t, b, model, min_marginal) for t, b in zip(texts, base, strict=True)]
+
+
+def label_counts(texts: list[str]) -> np.ndarray:
+    """How often each shape has each label, then label pairs of chain and of skip edges."""
+    counts = np.zeros(SHAPES * LABELS + 2 * LABELS * LABELS, np.int64)
+    for text in texts:
+        base = base_spans(text)
+        if not base:                        # all tokens are none
+            found = [shape(t) for t in _TOKEN.findall(text) if _CLUE.search(t)] if _CLUE.search(text) else []
+            if found:
+                np.add.at(counts, np.array(found) * LABELS + NONE, 1)
+            continue
+        g = build(text, base)
+        label = np.where(g.observed < 0, NONE, g.observed)
+        known = (g.observed >= 0) | ~g.tied
+        own = np.flatnonzero(known[:label.size - len(base)])
+        np.add.at(counts, g.shape[own] * LABELS + label[own], 1)
+        for k, edges in enumerate((g.chain, g.skip)):
+            edges = edges[known[edges].all(axis=1)]
+            np.add.at(counts, SHAPES * LABELS + k * LABELS * LABELS + label[edges[:, 0]] * LABELS + label[edges[:, 1]], 1)
+    return counts
 
 
-class _CountKernel:
-    """Per document: label counts by shape (flat index and count), label pairs on chain and skip edges."""
+def train(docs: DataFrame, text_col: str = "text") -> Field:
+    """Potentials from the pattern labels of all documents; a fixed number of counts reaches the driver."""
+    set_arrow_rows(docs.sparkSession)
 
-    def __call__(self, values: pa.Array):
-        texts = as_text(values)
-        base = [base_spans(t) for t in texts]
-        g = build(texts, base)
-        label = np.where(g.observed < 0, NONE, g.observed)
-        at = [g.shape * LABELS + label]
-        of = [g.doc]
-        for k, edges in enumerate((g.chain, g.skip)):
-            pair = label[edges[:, 0]] * LABELS + label[edges[:, 1]]
-            at.append(SHAPES * LABELS + k * LABELS * LABELS + pair)
-            of.append(g.doc[edges[:, 0]])
-        at, of = np.concatenate(at), np.concatenate(of)
-        return [[at[of == d].astype(np.int32) for d in range(len(texts))] if at.size
-                else [np.zeros(0, np.int32)] * len(texts)]
-
-
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN) -> Field:
-    """Potentials from the pattern labels of at most ``max_train`` ids (smallest seeded hash);
-    only label counts reach the driver."""
-    chosen = (docs.select(ident(id_col).alias("__llm_id")).where("__llm_id is not null").distinct()
-              .orderBy(F.xxhash64("__llm_id"), "__llm_id").limit(max_train))
-    sample = docs.select(ident(id_col).alias("__llm_id"), ident(text_col).alias("text")).join(
-        F.broadcast(chosen), "__llm_id")
-    rows = map_texts(sample, "text", _CountKernel, [field("at", "array<int>")], [])
+    def run(batches):
+        total = np.zeros(SHAPES * LABELS + 2 * LABELS * LABELS, np.int64)
+        for batch in batches:
+            for part in byte_slices(batch, 0, SLICE_BYTES):
+                total += label_counts(as_text(part.column(0)))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["at", "n"])
+
+    rows = docs.select(ident(text_col).cast("string").alias("text")).mapInArrow(run, "at int, n long")
     counts = np.zeros(SHAPES * LABELS + 2 * LABELS * LABELS)
-    for r in rows.select(F.explode("at").alias("at")).groupBy("at").count().collect():   # bounded index
-        counts[r["at"]] = r["count"]
+    for r in rows.groupBy("at").agg(F.sum("n").alias("n")).collect():        # bounded index
+        counts[r["at"]] = r["n"]
     unary = counts[:SHAPES * LABELS].reshape(SHAPES, LABELS)
     prior = unary.sum(axis=0) + np.array([0.1] * NONE + [10.0])
     prior /= prior.sum()
     unary = np.log((unary + prior) / (unary.sum(axis=1, keepdims=True) + 1.0))
+    unary[:, :NONE] = np.maximum(unary[:, :NONE], unary[:, NONE:] - SHAPE_BOUND)
     chain, skip = counts[SHAPES * LABELS:].reshape(2, LABELS, LABELS)
     return Field(unary, _association(chain, 1.0, 0.0), SKIP_WEIGHT * _association(skip, 1.0, 100.0))
 
