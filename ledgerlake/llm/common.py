@@ -120,6 +120,10 @@ def map_texts(df: DataFrame, text_col: str, kernel: Callable, fields: Sequence[T
                 made = [v if isinstance(v, pa.Array) else pa.array(v, type=k)
                         for v, k in zip(compute(part.column(at)), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:n_keep], *made], names=out_names)
+                del made, part
+        # the worker process serves other tasks and stages after this one
+        del compute
+        pa.default_memory_pool().release_unused()
 
     return inner.mapInArrow(run, schema)
 

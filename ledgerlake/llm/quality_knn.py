@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 import zlib
 from dataclasses import dataclass
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +31,15 @@ DIMS = 64
 NEIGHBOURS = 15
 #: Scores from here on keep a document.
 KEEP_SCORE = 0.3
-#: Documents per cosine block, words whose buckets a worker process remembers.
+#: Documents per cosine block, characters of the words whose buckets a task remembers.
 BLOCK = 512
-MEMO_WORDS = 400_000
+MEMO_CHARS = 8 << 20
+#: Whole units of weights, axes and latent vectors: products of whole numbers add up exactly in any
+#: order, so a document's score does not depend on the batch it is in.
+WEIGHT_UNITS = 1 << 16
+AXIS_UNITS = 1 << 20
+#: Cosines are compared in whole millionths, so that equal ones are ties.
+COSINE_UNITS = 1_000_000
 #: Columns that count repetition instead of words, and the weight of their shares.
 STRUCTURE = 4
 STRUCTURE_WEIGHT = 1.5
@@ -62,14 +68,18 @@ class Terms:
         self.buckets = buckets
         self.words = buckets - STRUCTURE
         self.memo: dict[str, int] = {}
+        self.held = 0                                   # characters in the memo
         self.pairs = np.zeros((1024, 2), np.int64)
 
     def _ids(self, words: list[str]) -> np.ndarray:
         memo = self.memo
-        if len(memo) > MEMO_WORDS:
+        if self.held > MEMO_CHARS:
             memo.clear()
+            self.held = 0
+            self.pairs = np.zeros((1024, 2), np.int64)
         new = set(words).difference(memo)
         if new:
+            self.held += sum(map(len, new))
             need = len(memo) + len(new)
             if need > len(self.pairs):
                 self.pairs = np.concatenate([self.pairs, np.zeros((2 * need - len(self.pairs), 2), np.int64)])
@@ -98,12 +108,6 @@ class Terms:
         return out
 
 
-@lru_cache(1)
-def terms(buckets: int) -> Terms:
-    """One term table a worker process, for all tasks the process runs."""
-    return Terms(buckets)
-
-
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Unit rows of log term counts times idf, with the shares of repeated neighbours and
     repeated lines beside them."""
@@ -120,28 +124,35 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 @dataclass
 class Model:
     idf: np.ndarray          # buckets
-    axes: np.ndarray         # buckets x dims
-    vectors: np.ndarray      # labelled x dims, unit length
+    axes: np.ndarray         # buckets x dims, whole units
+    vectors: np.ndarray      # labelled x dims, unit length in whole units
     labels: np.ndarray       # labelled, 0..1
     prior: float
     k: int
 
     def project(self, counts: np.ndarray) -> np.ndarray:
-        """Unit latent vectors; zero rows stay zero."""
-        z = weighted(counts, self.idf) @ self.axes
+        """Unit latent vectors in whole units; zero rows stay zero."""
+        z = np.rint(weighted(counts, self.idf).astype(np.float64) * WEIGHT_UNITS) @ self.axes
         size = np.linalg.norm(z, axis=1, keepdims=True)
-        return np.divide(z, size, out=np.zeros_like(z), where=size > 1e-9)
+        return np.rint(np.divide(z, size, out=np.zeros_like(z), where=size > 0) * AXIS_UNITS)
+
+    def cosines(self, counts: np.ndarray) -> np.ndarray:
+        """Cosines with all labelled vectors, in whole millionths."""
+        return np.rint(self.project(counts) @ self.vectors.T * (COSINE_UNITS / AXIS_UNITS**2)).astype(np.int64)
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         out = np.full(len(counts), self.prior, np.float64)
         if not len(self.labels):
             return out
-        k = min(self.k, len(self.labels))
+        n = len(self.labels)
+        k = min(self.k, n)
+        place = np.arange(n)
         for at in range(0, len(counts), BLOCK):
-            z = self.project(counts[at:at + BLOCK])
-            cos = z @ self.vectors.T
-            near = np.argpartition(-cos, k - 1, axis=1)[:, :k]
-            weight = np.maximum(np.take_along_axis(cos, near, axis=1), 0).astype(np.float64)
+            cos = self.cosines(counts[at:at + BLOCK])
+            # one key of cosine and place: ties fall to the earlier labelled vector
+            near = np.argpartition(place - cos * n, k - 1, axis=1)[:, :k]
+            near.sort(axis=1)
+            weight = np.maximum(np.take_along_axis(cos, near, axis=1), 0)
             total = weight.sum(axis=1)
             vote = (weight * self.labels[near]).sum(axis=1)
             some = total > 0
@@ -153,8 +164,8 @@ def fit(counts: np.ndarray, labels: np.ndarray, dims: int = DIMS, k: int = NEIGH
     """Model of a bounded labelled sample (rows of term counts)."""
     n, buckets = counts.shape
     if not n:
-        return Model(np.ones(buckets, np.float32), np.zeros((buckets, 1), np.float32),
-                     np.zeros((0, 1), np.float32), labels.astype(np.float64), 0.5, k)
+        return Model(np.ones(buckets, np.float32), np.zeros((buckets, 1)),
+                     np.zeros((0, 1)), labels.astype(np.float64), 0.5, k)
     idf = np.log((1.0 + n) / (1.0 + (counts > 0).sum(axis=0))).astype(np.float32) + 0.1
     x = weighted(counts, idf)
     dims = min(dims, n, buckets)
@@ -162,8 +173,8 @@ def fit(counts: np.ndarray, labels: np.ndarray, dims: int = DIMS, k: int = NEIGH
     for _ in range(4):
         q, _r = np.linalg.qr(x.T @ (x @ q))
     _u, _s, vt = np.linalg.svd(x @ q, full_matrices=False)
-    axes = np.ascontiguousarray((q @ vt.T)[:, :dims], dtype=np.float32)
-    model = Model(idf, axes, np.zeros((0, dims), np.float32), labels.astype(np.float64), float(labels.mean()), k)
+    axes = np.rint((q @ vt.T)[:, :dims].astype(np.float64) * AXIS_UNITS)
+    model = Model(idf, np.ascontiguousarray(axes), np.zeros((0, dims)), labels.astype(np.float64), float(labels.mean()), k)
     model.vectors = model.project(counts)
     return model
 
@@ -172,7 +183,7 @@ class _CountKernel:
     """Sparse counts of the labelled sample (indices, values)."""
 
     def __init__(self, buckets: int):
-        self.terms = terms(buckets)
+        self.terms = Terms(buckets)
 
     def __call__(self, values: pa.Array):
         at, n = [], []
@@ -187,7 +198,7 @@ class _CountKernel:
 
 class _ScoreKernel:
     def __init__(self, model, buckets: int):
-        self.model, self.terms = model.value, terms(buckets)
+        self.model, self.terms = model.value, Terms(buckets)
 
     def __call__(self, values: pa.Array):
         texts = as_text(values)
@@ -231,8 +242,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
     """``keep`` columns (default: all) with ``out_col``, a score in 0..1, higher for label 1.
 
     Null, empty and word-free texts resemble nothing and score the share of label 1 in the
-    sample; without labelled rows every score is 0.5; repeated rows score alike; ties among
-    neighbours fall by position in the sample; an empty table gives an empty result; a kept
+    sample; without labelled rows every score is 0.5; repeated rows score alike, whatever batch
+    they are in; neighbours of equal cosine (in whole millionths) are taken by id; an empty table gives an empty result; a kept
     column named like the output is replaced.
     """
     keep = docs.columns if keep is None else keep

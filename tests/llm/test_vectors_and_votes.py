@@ -131,3 +131,65 @@ def test_query_reads_labels_of_the_training_part_only(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     used = [r.doc_id for r in quality_knn.training_rows(labels).collect()]
     assert used and all(zlib.crc32(str(i).encode()) % 5 for i in used)
+
+
+def brute_votes(model, counts):
+    """Votes one document at a time, neighbours fully sorted."""
+    out = []
+    for row in counts:
+        unit = lambda v: v / max(np.linalg.norm(v), 1e-9)
+        mine = unit(model.project(row[None])[0])
+        cos = np.rint([mine @ unit(v) * 10**6 for v in model.vectors]).astype(int)
+        near = sorted(range(len(cos)), key=lambda i: (-cos[i], i))[:model.k]
+        weight = [max(int(cos[i]), 0) for i in near]
+        out.append(sum(w * model.labels[i] for w, i in zip(weight, near, strict=True)) / sum(weight) if sum(weight) else model.prior)
+    return np.array(out)
+
+
+def votes_data(n=300):
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 60))) for _ in range(n)]
+    texts += [texts[0]] * 60 + ["the same few words"] * 60 + ["", "word"]
+    return quality_knn.Terms(quality_knn.BUCKETS).counts(texts), rng
+
+
+def test_ties_fall_to_the_earlier_label():
+    counts, rng = votes_data()
+    labels = rng.random(len(counts)).round()
+    model = quality_knn.fit(counts, labels)
+    got = model.scores(counts)
+    assert np.allclose(got, brute_votes(model, counts), atol=1e-4)
+    # 60 equal vectors: the first of them vote
+    same = range(360, 420)
+    first = [labels[i] for i in same][:model.k]
+    assert np.allclose(got[360:420], np.mean(first), atol=1e-6)
+
+
+def test_scores_do_not_depend_on_the_batch():
+    counts, rng = votes_data()
+    model = quality_knn.fit(counts, rng.random(len(counts)).round())
+    whole = model.scores(counts)
+    for cut in (1, 7, 512):
+        parts = np.concatenate([model.scores(counts[i:i + cut]) for i in range(0, len(counts), cut)])
+        assert (parts == whole).all()
+    order = rng.permutation(len(counts))
+    assert (model.scores(counts[order]) == whole[order]).all()
+
+
+def test_query_equals_brute_force_votes(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality_knn.train(docs, quality_knn.training_rows(spark.read.parquet(f"{SF}/labels.parquet")))
+    rows = docs.orderBy("doc_id").collect()
+    want = brute_votes(model, quality_knn.Terms(quality_knn.BUCKETS).counts([r.text or "" for r in rows]))
+    got = {r.doc_id: r for r in queries.op10(spark, SF).collect()}
+    assert all(abs(got[r.doc_id].score - w) < 1e-4 and got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.3)
+               and got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r, w in zip(rows, want, strict=True))
+
+
+def test_memo_is_bounded(monkeypatch):
+    monkeypatch.setattr(quality_knn, "MEMO_CHARS", 100)
+    t = quality_knn.Terms(64)
+    texts = [f"{'x' * i} y{i}" for i in range(50)]
+    assert (np.concatenate([t.counts([x]) for x in texts]) == quality_knn.Terms(64).counts(texts)).all()
+    assert len(t.memo) < 50
