@@ -64,6 +64,51 @@ def typed_seed_scan(spark, sf_dir):
     return readers.read_seed(spark, _csv(spark, o, "seed"), schema)
 
 
+def _rfc_csv(spark, df, name: str, sep: str = ",") -> str:
+    """A CSV folder with doubled quotes, quoted separators and quoted line breaks."""
+    path = _scratch(spark, name)
+    df.write.option("header", True).option("sep", sep).option("escape", '"').option("quoteAll", True).csv(path)
+    return path
+
+
+@query("csv_quoted_reordered", "O-03", sql=r"""
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, 'say "' || c_name || '", and' || chr(10) || 'a second line' AS c_name,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer
+""")
+def csv_quoted_reordered(spark, sf_dir):
+    """A file with its columns in another order, a byte order mark, quotes, separators and line
+    breaks inside fields, read by name."""
+    c = Tables(spark, sf_dir).customer.select(
+        F.when(F.col("c_mktsegment") == "BUILDING", "N/A").otherwise(F.col("c_mktsegment")).alias("\ufeffc_mktsegment"),
+        F.format_string('say "%s", and\na second line', "c_name").alias(" c_name "), F.col("c_custkey").cast("string").alias("c_custkey"))
+    return readers.csv_strict(spark, _rfc_csv(spark, c, "quoted"), ["c_custkey", "c_name", "c_mktsegment"])
+
+
+@query("csv_lenient_unknown", "O-04", sql=r"""
+SELECT p_name || '; "' || p_brand || '"' AS p_name, CAST(p_partkey AS VARCHAR) AS p_partkey FROM part
+""")
+def csv_lenient_unknown(spark, sf_dir):
+    """A semicolon file with columns nobody declared and the declared ones in another order."""
+    p = Tables(spark, sf_dir).part.select(F.lit("x").alias("unused"), "p_partkey", F.lit(None).cast("string").alias("empty"),
+                                          F.format_string('%s; "%s"', "p_name", "p_brand").alias("p_name"))
+    return readers.csv_lenient(spark, _rfc_csv(spark, p, "unknown", ";"), ["p_name", "p_partkey"], sep=";")
+
+
+@query("typed_seed_reordered", "O-05", sql=r"""
+SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS day, o_orderstatus = 'F' AS done,
+       o_orderpriority || ' "' || o_orderstatus || '"' || chr(10) || '-' AS note FROM orders
+""")
+def typed_seed_reordered(spark, sf_dir):
+    """A seed whose columns come in another order than its declared schema."""
+    o = Tables(spark, sf_dir).orders.select(
+        F.format_string('%s "%s"\n-', "o_orderpriority", "o_orderstatus").alias("\ufeffnote"),
+        F.when(F.col("o_orderstatus") == "F", " true ").otherwise("0").alias(" done"),
+        F.to_date("o_orderdate").cast("string").alias("day "), F.col("o_orderkey").cast("string").alias("id"))
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("day", T.DateType()),
+                           T.StructField("done", T.BooleanType()), T.StructField("note", T.StringType())])
+    return readers.read_seed(spark, _rfc_csv(spark, o, "reordered"), schema)
+
+
 @query("materialized_layers", "O-25 O-26 O-28", sql="""
 SELECT 'snapshot' AS kind, c_custkey, c_name FROM customer WHERE c_nationkey < 10
 UNION ALL SELECT 'view', c_custkey, upper(c_name) FROM customer WHERE c_nationkey < 10

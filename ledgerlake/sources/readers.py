@@ -92,34 +92,78 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
 
 
-def csv_strict(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """All-string CSV with a header (O-03): missing file -> FileNotFoundError,
-    no data rows -> ValueError."""
+class CsvHeaderError(ValueError):
+    """A CSV header that lacks a declared column, holds an unknown one, or names one twice."""
+
+
+def _csv_reader(spark: SparkSession, sep: str, multiline: bool):
+    """RFC 4180: fields may be quoted, a quote inside one is doubled, and a quoted field may hold
+    separators and line breaks.  A byte order mark is skipped."""
+    return (spark.read.option("sep", sep).option("encoding", "UTF-8").option("quote", '"').option("escape", '"')
+            .option("multiLine", multiline).option("maxCharsPerColumn", -1))
+
+
+def csv_header(spark: SparkSession, path: str, sep: str = ",", multiline: bool = True) -> list[str]:
+    """The names in the first line, as written; [] for a file without one."""
+    first = _csv_reader(spark, sep, multiline).option("header", False).csv(path).first() if path_exists(spark, path) else None
+    return [] if first is None else [c or "" for c in first]
+
+
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, sep: str = ",",
+             unknown: str = "error", multiline: bool = True) -> DataFrame:
+    """All-string CSV with a header; ``columns`` are bound by trimmed header name, whatever their
+    order in the file (None: all columns of the file, in its order).
+
+    A declared column that the header lacks, a name that it holds twice and, unless
+    ``unknown="ignore"``, a column that is not declared raise ``CsvHeaderError`` before any row is
+    read; a second file of the folder with another header fails the job (Spark compares every
+    file's header with the first one's).  Empty fields are NULL.  ``multiline=False`` lets Spark
+    split large files, for data known to hold no line breaks inside quotes.
+    """
     if not path_exists(spark, path):
         raise FileNotFoundError(path)
-    df = (spark.read.option("header", True).option("encoding", "UTF-8")
-          .schema(string_schema(columns)).csv(path))
+    raw = csv_header(spark, path, sep, multiline)
+    names = [c.strip("\ufeff").strip() for c in raw]
+    repeated = sorted({c for c in names if names.count(c) > 1})
+    wanted = list(names if columns is None else columns)
+    missing = [c for c in wanted if c not in names]
+    extra = [c for c in names if c not in wanted]
+    if repeated or missing or (extra and unknown == "error"):
+        raise CsvHeaderError(f"{path}: header {names}, repeated {repeated}, missing {missing}, unknown {extra}")
+    if not raw:
+        return spark.createDataFrame([], string_schema(wanted))
+    df = (_csv_reader(spark, sep, multiline).option("header", True).option("enforceSchema", False)
+          .schema(string_schema(raw)).csv(path)).toDF(*names)
+    return df.select(*[F.col(f"`{c}`") for c in wanted])
+
+
+def _missing_to_null(df: DataFrame, na_tokens: Sequence[str]) -> DataFrame:
+    tokens = list(na_tokens)
+    return df.select(*[F.when(~F.col(f"`{c}`").isin(tokens), F.col(f"`{c}`")).alias(c) for c in df.columns])
+
+
+def csv_strict(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+               na_tokens: Sequence[str] = PANDAS_NA_TOKENS, multiline: bool = True) -> DataFrame:
+    """All-string CSV with a header (O-03): missing file -> FileNotFoundError, no data rows ->
+    ValueError, header other than declared -> CsvHeaderError; pandas' NA spellings become NULL."""
+    df = read_csv(spark, path, columns, multiline=multiline)
     if df.isEmpty():
         raise ValueError(f"CSV without rows: {path}")
-    return df
+    return _missing_to_null(df, na_tokens)
 
 
-def csv_lenient(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",",
-                na_tokens: Sequence[str] = PANDAS_NA_TOKENS) -> DataFrame:
-    """All-string CSV with a separator; pandas' NA spellings become NULL (O-04)."""
-    df = (spark.read.option("header", True).option("sep", sep)
-          .schema(string_schema(columns)).csv(path))
-    return df.withColumns({c: F.when(F.col(c).isin(list(na_tokens)), None).otherwise(F.col(c))
-                           for c in columns})
+def csv_lenient(spark: SparkSession, path: str, columns: Sequence[str] | None = None, sep: str = ",",
+                na_tokens: Sequence[str] = PANDAS_NA_TOKENS, multiline: bool = True) -> DataFrame:
+    """All-string CSV with a separator (O-04): undeclared columns are passed over, no rows are no
+    error; pandas' NA spellings become NULL."""
+    return _missing_to_null(read_csv(spark, path, columns, sep, unknown="ignore", multiline=multiline), na_tokens)
 
 
-def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Typed seed CSV (O-05): tolerates a UTF-8 BOM and blanks around header names
-    (columns are bound by position to the declared schema)."""
-    raw = (spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True)
-           .option("ignoreTrailingWhiteSpace", True)
-           .schema(string_schema([f.name for f in schema.fields])).csv(path))
-    return raw.select(*[_seed_cast(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
+def read_seed(spark: SparkSession, path: str, schema: T.StructType, unknown: str = "error") -> DataFrame:
+    """Typed seed CSV (O-05): columns are bound by name, a byte order mark and blanks around header
+    names and values are dropped."""
+    raw = read_csv(spark, path, [f.name for f in schema.fields], unknown=unknown)
+    return raw.select(*[_seed_cast(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields])
 
 
 def _seed_cast(c: Column, dtype: T.DataType) -> Column:

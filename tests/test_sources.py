@@ -41,6 +41,51 @@ def test_seed_with_bom_and_spaced_header(spark, tmp_dir):
     assert tuple(r) == ("D1", True, dt.date(2024, 1, 2))
 
 
+def test_csv_binds_by_name(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "r.csv"), '\ufeff b ,a\n1,"say ""x"" now"\n"two\nlines, and more",\n')
+    got = [tuple(r) for r in readers.csv_strict(spark, p, ["a", "b"]).collect()]
+    assert got == [('say "x" now', "1"), (None, "two\nlines, and more")]
+    assert readers.csv_strict(spark, p).columns == ["b", "a"]
+    assert readers.csv_strict(spark, p, ["a", "b"]).count() == 2
+    assert [r.a for r in readers.csv_strict(spark, p, ["a", "b"]).select("a").collect()] == ['say "x" now', None]
+
+
+def test_csv_header_is_checked(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "h.csv"), "a,b,c\n1,2,3\n")
+    with pytest.raises(readers.CsvHeaderError, match=r"missing \['d'\], unknown \['c'\]"):
+        readers.csv_strict(spark, p, ["a", "b", "d"])
+    with pytest.raises(readers.CsvHeaderError, match="unknown"):
+        readers.csv_strict(spark, p, ["a", "b"])
+    assert readers.csv_lenient(spark, p, ["c", "a"]).first() == ("3", "1")
+    with pytest.raises(readers.CsvHeaderError, match="missing"):
+        readers.csv_lenient(spark, p, ["x"])
+    p = write(os.path.join(tmp_dir, "twice.csv"), "a, a\n1,2\n")
+    with pytest.raises(readers.CsvHeaderError, match=r"repeated \['a'\]"):
+        readers.csv_strict(spark, p, ["a"])
+    seed = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("z", T.StringType())])
+    with pytest.raises(readers.CsvHeaderError):
+        readers.read_seed(spark, write(os.path.join(tmp_dir, "s2.csv"), "a,y\n1,x\n"), seed)
+
+
+def test_csv_folder_with_another_header_fails(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "many")
+    os.mkdir(folder)
+    write(os.path.join(folder, "p1.csv"), "a,b\n1,2\n")
+    write(os.path.join(folder, "p2.csv"), "a,b\n3,4\n")
+    assert sorted(tuple(r) for r in readers.csv_strict(spark, folder, ["b", "a"]).collect()) == [("2", "1"), ("4", "3")]
+    write(os.path.join(folder, "p3.csv"), "b,a\n5,6\n")
+    with pytest.raises(Exception, match="header"):
+        readers.csv_strict(spark, folder, ["b", "a"]).collect()
+
+
+def test_csv_without_lines(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "nothing.csv"), "")
+    with pytest.raises(readers.CsvHeaderError):
+        readers.csv_strict(spark, p, ["a"])
+    p = write(os.path.join(tmp_dir, "head.csv"), "a\n")
+    assert readers.csv_lenient(spark, p, ["a"]).collect() == []
+
+
 def test_sql_extract_binds_named_params(spark):
     df = spark.range(10).withColumnRenamed("id", "x")
     df.createOrReplaceTempView("t_params")
