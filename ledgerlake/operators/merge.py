@@ -29,6 +29,8 @@ CREATION_COL = "creation_date"
 UPDATE_COL = "update_date"
 _S = "__ll_in_source"
 _T = "__ll_in_target"
+SEQ = "__ll_seq"
+BATCH = "__ll_batch"
 
 
 class PersistMode(str, Enum):
@@ -169,34 +171,57 @@ def update_only(target: DataFrame, source: DataFrame, key: str, set_cols: dict[s
     return joined.withColumns(sets).select(*target.columns).unionByName(tgt_null)
 
 
+def number_batches(source: DataFrame, order: Sequence[Column], batch_size: int,
+                   num_partitions: int | None = None) -> DataFrame:
+    """Rows numbered in extract ``order`` (a total order) and cut into batches, from 0.  The number
+    is a parallel global row number, not a driver loop."""
+    from ledgerlake.operators.keys import global_row_number
+    numbered = global_row_number(source, order, SEQ, num_partitions=num_partitions)
+    return numbered.withColumn(BATCH, F.call_function("div", F.col(SEQ) - 1, F.lit(batch_size)))
+
+
+def _present(keys: Sequence[str]) -> Column:
+    return ~_any_null(keys)
+
+
+def failing_batch(batched: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: the first batch that holds a key twice (NULL: none).  Only keys and batch numbers
+    are shuffled."""
+    twice = (batched.where(_present(keys)).groupBy(*keys, BATCH).agg(F.count(F.lit(1)).alias("__ll_n"))
+             .where(F.col("__ll_n") > 1))
+    return twice.agg(F.min(BATCH).alias(BATCH))
+
+
+def latest_rows(batched: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last row of each key in load order, and all rows with a NULL key; numbers dropped.  The
+    last row is a partial aggregate, so a key with many rows reaches its reducer as one a task."""
+    rest = [c for c in batched.columns if c not in (*keys, SEQ, BATCH)]
+    columns = [c for c in batched.columns if c not in (SEQ, BATCH)]
+    last = (batched.where(_present(keys)).groupBy(*keys)
+            .agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest], F.col(SEQ)), F.col(SEQ)).alias("__ll_row")))
+    return (last.select(*[F.col(f"`{c}`") if c in keys else F.col("__ll_row").getField(c).alias(c) for c in columns])
+            .unionByName(batched.where(~_present(keys)).drop(SEQ, BATCH)))
+
+
 def resolve_batches(source: DataFrame, keys: Sequence[str], order: Sequence[Column],
                     batch_size: int = 10_000, num_partitions: int | None = None) -> DataFrame:
     """Reproduce the batched loader in one plan (O-21): rows are cut into batches of
     ``batch_size`` in extract ``order`` (a total order); a key repeated inside one batch
     fails the load (the database rejected such a batch), across batches the later batch
-    wins.  Batch ids come from a parallel global row number, not a driver loop.
+    wins.  ``versions.load_in_batches`` keeps the batches before a failing one instead.
 
     A row with a NULL in its key never conflicts (a UNIQUE constraint treats NULLs as
     distinct, T-12): such rows are numbered with the others, so the batch boundaries do
     not move, and then bypass the duplicate check and the keep-last."""
-    from ledgerlake.operators.dedup import keep_first
-    from ledgerlake.operators.joins import join_back_aggregate
-    from ledgerlake.operators.keys import global_row_number
     keys = list(keys)
-    numbered = global_row_number(source, order, "__ll_seq", num_partitions=num_partitions)
-    batched = numbered.withColumn("__ll_batch", F.call_function("div", F.col("__ll_seq") - 1, F.lit(batch_size)))
-    present = None
-    for k in keys:
-        present = F.col(k).isNotNull() if present is None else present & F.col(k).isNotNull()
-    keyed, null_keyed = batched.where(present), batched.where(~present)
-    counted = join_back_aggregate(keyed, keys + ["__ll_batch"], [F.count(F.lit(1)).alias("__ll_dup")],
-                                  null_safe=False)
-    checked = counted.withColumn("__ll_batch", F.when(
-        F.col("__ll_dup") > 1, F.raise_error(F.lit("duplicate conflict key inside one load batch")))
-        .otherwise(F.col("__ll_batch")))
-    last = keep_first(checked, keys, [F.col("__ll_batch").desc(), F.col("__ll_seq").desc()])
-    return (last.drop("__ll_seq", "__ll_batch", "__ll_dup")
-            .unionByName(null_keyed.drop("__ll_seq", "__ll_batch")))
+    batched = number_batches(source, order, batch_size, num_partitions)
+    last = latest_rows(batched, keys)
+    if batch_size == 1:                     # no batch can hold a key twice
+        return last
+    refused = failing_batch(batched, keys).scalar()
+    k = keys[0]
+    return last.withColumn(k, F.when(refused.isNull(), F.col(k)).otherwise(
+        F.raise_error(F.lit("duplicate conflict key inside one load batch")).cast(source.schema[k].dataType)))
 
 
 def persist(target: DataFrame | None, source: DataFrame, mode: PersistMode | str,

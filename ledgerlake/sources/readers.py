@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.sources.fs import exists as path_exists
+
 # --- fixed values --------------------------------------------------------------------
 # Strings pandas' CSV reader turns into missing values by default (subset that occurs
 # in hand-edited seed files).
@@ -85,13 +87,6 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence through the Hadoop FileSystem of the path (local disk, HDFS, object
-    stores alike)."""
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
-
-
 class CsvHeaderError(ValueError):
     """A CSV header that lacks a declared column, holds an unknown one, or names one twice."""
 
