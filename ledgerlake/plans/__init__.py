@@ -3,7 +3,7 @@
 import importlib
 
 _QUERY_MODULES = ("q_sources", "q_merge", "q_transforms", "q_joins", "q_windows", "q_text",
-                  "q_quality", "q_models", "q_bronze", "q_files")
+                  "q_quality", "q_models", "q_bronze", "q_files", "q_versions")
 
 
 def load_all() -> None:

@@ -7,16 +7,16 @@ back, which cuts the lineage (executor loss then recomputes one layer, not the D
 from __future__ import annotations
 
 import functools
-import os
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.operators.versions import KeyRegistry, VersionLog
 from ledgerlake.plans import gold, marts, silver, standins
 from ledgerlake.plans.config import WarehouseConfig
 from ledgerlake.plans.tables import Tables
 from ledgerlake.sources import calendar
-from ledgerlake.session import cut_lineage
+from ledgerlake.session import cut_lineage, run_folder
 
 
 def layer(fn=None, *, cut: bool = True):
@@ -242,42 +242,92 @@ TABLES = (("s_requests", "silver_camunda_operatividad", None), ("s_articles", "s
           ("staging", "gold_fact_staging", None), ("fact", "gold_fact_facturacion", None))
 
 
+#: Dimensions with surrogate keys: layer -> (natural key, id), for the key registry.
+KEYED = {"d_articles": ("codigo_articulo", "id_articulo"), "d_customers": ("codigo_cliente", "id_cliente"),
+         "d_sellers": ("codigo_vendedor", "id_vendedor"), "d_invoices": ("codigo_factura", "id_factura")}
+
+
 def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets: int | None = None,
                 database: str = "ledgerlake", bronze: dict | None = None,
                 seeds: dict | None = None, strict: bool = False,
-                config: WarehouseConfig | None = None, previous: dict | None = None) -> dict[str, str]:
+                config: WarehouseConfig | None = None, previous: dict | None = None,
+                keep_versions: int = 2) -> dict[str, str]:
     """The production job: the same layers as ``Warehouse.build``, each written once (full
     refresh) and read back, so every layer starts from files, not from the upstream lineage.
 
+    All layers go to new folders and are published together at the end as one version of
+    ``out_dir`` (``operators.versions``): a run that fails leaves the last version as it is.
+    Stored tables are ``database.<name>``, views over the newest version's files.  Versions beyond
+    ``keep_versions`` are removed after a success, as are the run's intermediate tables.
+
     Silver invoice headers, lines and the invoice dimension are stored bucketed by the
     invoice key with the same bucket count, so the header x line x invoice-dimension
     joins of the fact read all three in place (co-located, no shuffle of the largest
-    table).  ``buckets`` defaults to about 1 GB of lines a bucket.  Seeds are written once on
-    first use; marts stay views over the fact.  ``previous`` maps dimension layers to their last
-    snapshots, whose ids are kept.
+    table).  ``buckets`` defaults to about 1 GB of lines a bucket.  Marts stay views over the fact.
+
+    Surrogate ids come from the key registry in ``out_dir``: known natural keys keep theirs, also
+    after years away.  ``previous`` maps dimension layers to (id, natural key) snapshots that take
+    the registry's place, for a first run over dimensions built elsewhere.
     """
-    w = Warehouse(spark, sf_dir, cut=False, bronze=bronze, seeds=seeds, strict=strict, config=config,
-                  previous=previous)
-    w.seeds = _Seeds(w.seeds._lazy, cut=True)
-    buckets = buckets or bucket_count(w.s_lines())
-    paths: dict[str, str] = {}
+    log = VersionLog(spark, out_dir)
+    since = log.version()
+    registries = {layer: KeyRegistry(log, layer, [natural], id_col) for layer, (natural, id_col) in KEYED.items()}
+    known = {layer: df for layer, r in registries.items() if (df := r.read(since)) is not None}
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for layer_name, name, key in TABLES:
-        df = getattr(w, layer_name)()
-        path = paths[name] = os.path.join(out_dir, name)
-        if key is None:
-            df.write.mode("overwrite").parquet(path)
-            w._memo[layer_name] = spark.read.parquet(path)
-        else:
+    with run_folder(spark):
+        w = Warehouse(spark, sf_dir, cut=False, bronze=bronze, seeds=seeds, strict=strict, config=config,
+                      previous=known | (previous or {}))
+        w.seeds = _Seeds(w.seeds._lazy, cut=True)
+        buckets = buckets or bucket_count(w.s_lines())
+        tables: dict[str, dict] = {}
+        for layer_name, name, key in TABLES:
+            df = getattr(w, layer_name)()
+            if key is None:
+                tables[name] = log.write(name, df)
+                w._memo[layer_name] = spark.read.parquet(log.path(tables[name]["folders"][0]))
+                continue
+            folder = log.folder(name)
+            stored = f"{database}.{folder.split('/')[1].replace('-', '_')}"
             # one writer task per bucket, so each bucket is one file
-            (df.repartition(buckets, key).write.mode("overwrite").option("path", path)
-             .bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(f"{database}.{name}"))
-            w._memo[layer_name] = spark.table(f"{database}.{name}")
-    for name, df in (("mart_dim_clientes_convenios", w.m_agreements_customers()),
-                     ("mart_dim_facturas_convenios", w.m_agreements_invoices()),
-                     ("mart_fact_canal_indirecto", w.m_indirect()),
-                     ("mart_fact_facturacion_convenios", w.m_agreements_fact()),
-                     ("mart_fact_facturacion_ventas", w.m_sales())):
-        df.createOrReplaceTempView(name)   # marts are views over the written fact
-        paths[name] = "view"
+            (df.repartition(buckets, key).write.option("path", log.path(folder))
+             .bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(stored))
+            tables[name] = {"folders": [folder], "stored": stored}
+            w._memo[layer_name] = spark.table(stored)
+        for layer, registry in registries.items():
+            if layer in known or not previous or layer not in previous:
+                tables |= registry.extend(getattr(w, layer)(), since)
+            else:                               # ids given elsewhere: all of them, present or not
+                given = previous[layer].select(registry.id_col, *registry.key_cols)
+                tables |= registry.extend(given.unionByName(getattr(w, layer)().select(*given.columns)), since)
+        log.commit(since, tables)
+        for name, entry in tables.items():
+            if "stored" in entry:
+                _point(spark, f"{database}.{name}", entry["stored"])
+        paths = {name: log.path(entry["folders"][0]) for name, entry in tables.items() if not name.startswith("keys_")}
+        for name, df in (("mart_dim_clientes_convenios", w.m_agreements_customers()),
+                         ("mart_dim_facturas_convenios", w.m_agreements_invoices()),
+                         ("mart_fact_canal_indirecto", w.m_indirect()),
+                         ("mart_fact_facturacion_convenios", w.m_agreements_fact()),
+                         ("mart_fact_facturacion_ventas", w.m_sales())):
+            df.createOrReplaceTempView(name)   # marts are views over the written fact
+            paths[name] = "view"
+    _retire(log, database, keep_versions)
     return paths
+
+
+def _point(spark: SparkSession, view: str, stored: str) -> None:
+    """Let the view read the stored table (a table of an earlier layout makes way)."""
+    if spark.catalog.tableExists(view) and spark.catalog.getTable(view).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {view}")
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {stored}")
+
+
+def _retire(log: VersionLog, database: str, keep: int) -> None:
+    """Remove versions beyond ``keep`` and the catalog entries of the folders that went with them."""
+    for folder in log.vacuum(keep):
+        log.spark.sql(f"DROP TABLE IF EXISTS {database}.{folder.replace('-', '_')}")
+
+
+def read_layer(spark: SparkSession, out_dir: str, name: str, version: int | None = None) -> DataFrame:
+    """A layer of a published version (default: the newest)."""
+    return VersionLog(spark, out_dir).table(name, version)

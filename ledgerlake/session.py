@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,6 +84,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or target
 
 
+#: Folders of the runs under way, innermost last.
+_RUNS: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for intermediate files, in the folder of the run under way if there is one."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerlake"
+    return "/".join([base, *_RUNS[-1:], f"{name}-{uuid.uuid4().hex[:12]}"])
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables written inside go to one folder, which is removed when the block ends
+    without an error (after one they stay, for a look).  Nothing lazy that reads them may outlive
+    the block."""
+    from ledgerlake.sources import fs
+    _RUNS.append(f"run-{uuid.uuid4().hex[:12]}")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerlake/{_RUNS[-1]}"
+    try:
+        yield path
+    finally:
+        _RUNS.pop()
+    fs.remove(spark, path)
+
+
 def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
     """Cut the lineage by writing a Parquet table into the shared checkpoint directory
     and reading it back (never localCheckpoint).
@@ -91,8 +118,7 @@ def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
     for AQE's join choices.  Survives executor loss: the files are on shared storage.
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/ledgerlake/{name or 'layer'}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, name or "layer")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

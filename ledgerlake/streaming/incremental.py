@@ -7,7 +7,8 @@ merged (``merge.upsert``) into the bronze snapshot inside ``foreachBatch``.
 Exactly-once without a row-level table format: batch ``n`` reads snapshot ``epoch=n-1``
 and writes snapshot ``epoch=n`` with ``mode("overwrite")``.  A batch replayed after a
 failure rewrites the same directory from the same input, so it is idempotent; the
-streaming checkpoint (offsets) lives in the shared checkpoint directory.
+streaming checkpoint (offsets) lives in the shared checkpoint directory.  The snapshots of the
+last two batches are kept.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerlake.operators import merge
+from ledgerlake.sources import fs
 from ledgerlake.sources.readers import path_exists
 
 
@@ -39,6 +41,8 @@ def merge_batch(spark: SparkSession, target_dir: str, keys: Sequence[str],
             current = spark.read.schema(schema).parquet(snapshot_path(target_dir, batch_id - 1))
         new = merge.upsert(current, merge.unique_keys(batch, list(keys)), list(keys), update_cols)
         new.write.mode("overwrite").parquet(snapshot_path(target_dir, batch_id))
+        # a replay of this batch reads the snapshot before it; older ones are not needed
+        fs.remove(spark, snapshot_path(target_dir, batch_id - 2))
     return run
 
 

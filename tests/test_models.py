@@ -158,6 +158,52 @@ def test_materialize_job_equals_lazy_fact(spark, tmp_dir):
                 spark.conf.set(k, v)
 
 
+def test_a_failing_refresh_leaves_the_last_version(spark, tmp_dir, monkeypatch):
+    from tests.conftest import SMALL_SF
+    from ledgerlake.operators.versions import VersionLog
+    from ledgerlake.plans import gold as gold_models
+    from ledgerlake.plans import standins
+    from ledgerlake.plans.tables import Tables
+    from ledgerlake.plans.warehouse import materialize, read_layer
+    from ledgerlake.sources import fs
+    t = Tables(spark, SMALL_SF)
+    bronze, seeds = standins.bronze(t), dict(standins.seeds(t))
+    run = lambda b: materialize(spark, None, tmp_dir, 4, "ledger_v", b, seeds, config=standins.CONFIG)
+    few = bronze | {"fenix_vendedores": bronze["fenix_vendedores"].where("codven <> '3'")}
+    run(few)
+    log = VersionLog(spark, tmp_dir)
+    first = {r.codigo_vendedor: r.id_vendedor for r in read_layer(spark, tmp_dir, "gold_dim_vendedores").collect()}
+    lines = spark.table("ledger_v.silver_fenix_tranfac").count()
+    assert log.version() == 1 and lines > 0
+    with monkeypatch.context() as m:
+        m.setattr(gold_models, "fact_billing", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run(few)
+    assert log.version() == 1 and spark.table("ledger_v.silver_fenix_tranfac").count() == lines
+    assert {r.codigo_vendedor: r.id_vendedor for r in read_layer(spark, tmp_dir, "gold_dim_vendedores").collect()} == first
+    # the next good run goes on from there: ids stay, the new seller's id follows
+    run(bronze)
+    now = {r.codigo_vendedor: r.id_vendedor for r in read_layer(spark, tmp_dir, "gold_dim_vendedores").collect()}
+    assert log.version() == 2 and first.items() <= now.items() and now["3"] == max(now.values())
+    assert read_layer(spark, tmp_dir, "gold_dim_vendedores", 1).count() == len(first)
+    gone = log.vacuum(1, older_than=0)
+    assert gone and spark.table("ledger_v.silver_fenix_tranfac").count() == lines
+    assert all(not fs.exists(spark, f"{tmp_dir}/data/{n}") for n in gone)
+
+
+def test_run_folder_goes_after_a_success_only(spark):
+    from ledgerlake.session import cut_lineage, run_folder
+    from ledgerlake.sources import fs
+    with run_folder(spark) as path:
+        assert cut_lineage(spark.range(3)).count() == 3 and len(fs.names(spark, path)) == 1
+    assert not fs.exists(spark, path)
+    with pytest.raises(KeyError), run_folder(spark) as path:
+        cut_lineage(spark.range(3))
+        raise KeyError
+    assert fs.exists(spark, path)
+    assert "run-" not in cut_lineage(spark.range(1)).inputFiles()[0].rsplit("/", 2)[0]
+
+
 def test_production_plans_read_the_line_table_once(spark, tmp_dir):
     # staging scans the written lines once, the fact does not read them at all
     from tests.conftest import SMALL_SF
