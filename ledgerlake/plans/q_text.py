@@ -233,3 +233,34 @@ def timestamp_text(spark, sf_dir):
     e = Tables(spark, sf_dir).events
     return e.select("event_id", dates.timestamp_text("ts").alias("ts_text"),
                     F.to_date("ts").cast("string").alias("date_text"))
+
+
+# Literal pairs (text, ASCII spelling): punctuation, currency, combining marks, ligatures, fractions,
+# Greek, Cyrillic, kana, fullwidth forms, other scripts.
+SPELLED = (
+    ("\u201cquoted\u201d \u2018x\u2019 \u2013 y \u2014 z\u2026", "\"quoted\" 'x' - y -- z..."),
+    ("\u20ac5 \u00a33 \u00a57 \u00a9 \u00ae \u2122 \u00b0C \u00abq\u00bb", "EUR5 PS3 Y=7 (c) (r) TM degC <<q>>"),
+    ("Jose\u0301 nin\u0303o u\u0308ber A\u030angstro\u0308m", "Jose nino uber Angstrom"),
+    ("\u00c6sir \u0153uvre Stra\u00dfe \u0141\u00f3d\u017a \u00bd \u2167 \ufb01n \u2460", "AEsir oeuvre Strasse Lodz 1/2 VIII fin 1"),
+    ("\u0395\u03bb\u03bb\u03b7\u03bd\u03b9\u03ba\u03ac \u03a8\u03c5\u03c7\u03ae \u0398\u03ad\u03c2", "Ellenika Psukhe Thes"),
+    ("\u041c\u043e\u0441\u043a\u0432\u0430 \u0429\u0443\u043a\u0430 \u042e\u043b\u0438\u044f \u0439\u043e\u0434 \u0451\u0436",
+     "Moskva Shchuka Iuliia iod ezh"),
+    ("\u304c\u3064 \u30ab\u30bf \uff21\uff22\uff11 a\u00a0b\u2003c", "gatu kata AB1 a b c"),
+    ("\u4e2d\u6587 x \u05d0 y \U0001f600 z", " x  y  z"),
+)
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+@query("transliterate_scripts", "O-78 O-79", sql=f"""
+SELECT c_custkey, c_name || ' ' || s AS clean, nullif(trim(regexp_replace(regexp_replace(upper(c_name || ' ' || s), '[^A-Z0-9 ]', '', 'g'),
+       ' +', ' ', 'g')), '') AS normal
+FROM customer JOIN (VALUES {', '.join(f"({i}, {_sql_text(s)})" for i, (_, s) in enumerate(SPELLED))}) AS v(i, s) ON c_custkey % {len(SPELLED)} = i
+""")
+def transliterate_scripts(spark, sf_dir):
+    """Names followed by text in other scripts, cleaned and normalised; the spellings are literals."""
+    raw = F.element_at(F.array(*[F.lit(t) for t, _ in SPELLED]), (F.col("c_custkey") % len(SPELLED) + 1).cast("int"))
+    c = Tables(spark, sf_dir).customer.select("c_custkey", F.concat_ws(" ", "c_name", raw).alias("t"))
+    return c.select("c_custkey", text.clean_special("t").alias("clean"), text.normalize_text("t").alias("normal"))

@@ -32,10 +32,10 @@ def test_normalize_text_rules(spark):
 
 def test_transliteration_beyond_accented_letters(spark):
     # NBSP separates words, ordinal and superscript marks become letters/digits,
-    # fullwidth forms become ASCII; a spacing diaeresis is not turned into a blank
+    # fullwidth forms become ASCII; a spacing diaeresis is spelled, not turned into a blank
     f = text.normalize_text("v", None)
     assert one(spark, f, "Nº\u00a01ª m² Ａｂｃ１２") == "NO 1A M2 ABC12"
-    assert one(spark, text.clean_special("v"), "a\u00a8b\u00a0c") == "a\u00a8b c"
+    assert one(spark, text.clean_special("v"), "a\u00a8b\u00a0c") == 'a"b c'
 
 
 def test_clean_special_transliterates_and_drops_controls(spark):
@@ -109,3 +109,20 @@ def test_safe_ratio(spark):
     df = spark.createDataFrame([(1.0, 0.0), (1.0, 4.0)], "x double, s double")
     got = [r[0] for r in df.select(numeric.safe_ratio("x", "s"), ).collect()]
     assert got == [0.0, 0.25]
+
+
+def test_every_code_point_is_spelled_by_the_rule(spark):
+    from pyspark.sql import functions as F
+    points = [cp for cp in range(1, 0x11000) if not 0xD800 <= cp < 0xE000] + [0x1F600, 0x20000, 0x1D400]
+    lines = ["".join(map(chr, points[i:i + 97])) for i in range(0, len(points), 97)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, v string")
+    for i, got in df.select("i", text.transliterate("v")).collect():
+        want = "".join(text.spelling(c) if ord(c) < 0x3100 or 0xF900 <= ord(c) < 0x10000 else "" for c in lines[i])
+        assert got == want and got.isascii()
+    assert one(spark, text.transliterate("v"), None) is None and one(spark, text.transliterate("v"), "") == ""
+    # combining marks vanish, so composed and decomposed text are spelled alike
+    import unicodedata
+    latin = "".join(chr(c) for c in range(0xC0, 0x250))
+    for form in ("NFC", "NFD"):
+        assert one(spark, text.transliterate("v"), unicodedata.normalize(form, "\u00e9\u00f1\u00fc\u015f\u01d5")) == "enusU"
+    assert one(spark, F.length(text.transliterate("v")), latin) >= 300
