@@ -25,15 +25,15 @@ def agreements_customers(dinv: DataFrame, fact: DataFrame, dcli: DataFrame) -> D
     """M-15: distinct customers with agreement lines on invoiced documents."""
     f = fact.where(F.col("grupo_vendedor") == AGREEMENT_GROUP).select("id_factura", "id_cliente")
     d = dinv.where(F.col("estado_factura") == INVOICED).select(F.col("id_factura").alias("__df_id"))
-    j = d.join(f, F.col("__df_id") == F.col("id_factura")).join(
-        dcli.withColumnRenamed("id_cliente", "__dc_id"), F.col("id_cliente") == F.col("__dc_id"))
-    return j.select(F.col("__dc_id").alias("id_cliente"), *[c for c in dcli.columns if c != "id_cliente"]).distinct()
+    there = f.join(d, F.col("id_factura") == F.col("__df_id"), "left_semi").select(F.col("id_cliente").alias("__f_id"))
+    return dcli.join(there, F.col("id_cliente") == F.col("__f_id"), "left_semi").select(
+        "id_cliente", *[c for c in dcli.columns if c != "id_cliente"]).distinct()
 
 
 def agreements_invoices(dinv: DataFrame, fact: DataFrame) -> DataFrame:
     """M-16: distinct invoice rows with agreement lines."""
     f = fact.where(F.col("grupo_vendedor") == AGREEMENT_GROUP).select(F.col("id_factura").alias("__f_id"))
-    return dinv.join(f, dinv.id_factura == F.col("__f_id")).select(*dinv.columns).distinct()
+    return dinv.join(f, dinv.id_factura == F.col("__f_id"), "left_semi").distinct()
 
 
 def indirect_channel(fact: DataFrame, dco: DataFrame, dinv: DataFrame, cfg: WarehouseConfig) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.functions import text
-from ledgerlake.operators import aggregates
+from ledgerlake.operators import aggregates, branches
 from ledgerlake.operators import transforms as tf
 from ledgerlake.plans.registry import query
 from ledgerlake.plans.tables import Tables
@@ -183,6 +184,91 @@ def portal_union_distinct(spark, sf_dir):
                               supp(F.col("s_acctbal") > 0)])
 
 
+@query("approved_requests_extract", "O-12 O-48b O-48c", sql="""
+SELECT o.o_orderkey AS id_tramite, f.l_linenumber AS linea, u.c_name AS cedula,
+       CASE WHEN fs.s_suppkey IS NOT NULL THEN fs.s_name ELSE u.c_name || CAST(o.o_orderkey AS VARCHAR) END AS serial_firma,
+       c_2.n_name AS tipo_firma, c_3.n_name AS producto, c_4.n_name AS grupo_vendedor, u_2.c_name AS operador,
+       sf.r_name AS control, 'APROBADO' AS estado
+FROM orders o
+JOIN customer u ON u.c_custkey = o.o_custkey
+JOIN lineitem f ON f.l_orderkey = o.o_orderkey
+JOIN part d ON d.p_partkey = f.l_partkey
+JOIN nation c_2 ON c_2.n_nationkey = d.p_partkey % 30
+JOIN events s_0 ON s_0.event_id = o.o_orderkey
+JOIN nation c_3 ON c_3.n_nationkey = o.o_orderkey % 25
+LEFT JOIN supplier fs ON fs.s_suppkey = f.l_suppkey * 2
+LEFT JOIN region sf ON sf.r_regionkey = o.o_orderkey % 7
+LEFT JOIN customer u_2 ON u_2.c_custkey = s_0.user_id
+LEFT JOIN nation c_4 ON c_4.n_nationkey = u_2.c_nationkey
+WHERE o.o_orderstatus IN ('F', 'O') AND u.c_mktsegment <> 'HOUSEHOLD' AND (fs.s_acctbal > 0 OR fs.s_acctbal IS NULL)
+""")
+def approved_requests_extract(spark, sf_dir):
+    """Eleven relations, users under two roles and the catalogue under three, each read once."""
+    t = Tables(spark, sf_dir)
+    base = (t.orders.where(F.col("o_orderstatus").isin("F", "O")).select("o_orderkey", "o_custkey")
+            .join(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(t.part.select("p_partkey"), F.col("p_partkey") == F.col("l_partkey"))
+            .join(t.events.select("event_id", "user_id"), F.col("event_id") == F.col("o_orderkey"))
+            .join(t.supplier.select("s_suppkey", "s_name", "s_acctbal"), F.col("s_suppkey") == F.col("l_suppkey") * 2, "left")
+            .join(t.region.select("r_regionkey", "r_name"), F.col("r_regionkey") == F.col("o_orderkey") % 7, "left")
+            .where((F.col("s_acctbal") > 0) | F.col("s_acctbal").isNull()))
+    users = branches.role_lookup(base, t.customer, "c_custkey", {"u": "o_custkey", "u_2": "user_id"},
+                                 ["c_name", "c_mktsegment", "c_nationkey"], required=["u"]).where("u_c_mktsegment <> 'HOUSEHOLD'")
+    coded = users.withColumns({"__type": F.col("p_partkey") % 30, "__process": F.col("o_orderkey") % 25})
+    full = branches.role_lookup(coded, t.nation, "n_nationkey", {"c_2": "__type", "c_3": "__process", "c_4": "u_2_c_nationkey"},
+                                ["n_name"], required=["c_2", "c_3"])
+    serial = F.when(F.col("s_suppkey").isNotNull(), F.col("s_name")).otherwise(
+        text.strict_concat("u_c_name", F.col("o_orderkey").cast("string")))
+    return full.select(F.col("o_orderkey").alias("id_tramite"), F.col("l_linenumber").alias("linea"), F.col("u_c_name").alias("cedula"),
+                       serial.alias("serial_firma"), F.col("c_2_n_name").alias("tipo_firma"), F.col("c_3_n_name").alias("producto"),
+                       F.col("c_4_n_name").alias("grupo_vendedor"), F.col("u_2_c_name").alias("operador"),
+                       F.col("r_name").alias("control"), F.lit("APROBADO").alias("estado"))
+
+
+PORTAL_SCHEMA = T.StructType([T.StructField("id_tramite", T.LongType()), T.StructField("cedula", T.StringType()),
+                              T.StructField("tipo_firma", T.StringType()), T.StructField("ruc_aux", T.StringType()),
+                              T.StructField("producto", T.StringType())])
+
+
+@query("portal_ten_branches", "O-14 O-39 O-68 O-72", sql="""
+SELECT c_custkey::BIGINT AS id_tramite, c_name AS cedula, 'PN' AS tipo_firma, c_name || '001' AS ruc_aux, 'FIRMA' AS producto
+FROM customer WHERE c_nationkey IN (1, 5) AND c_name NOT LIKE '%prueb%' AND c_name NOT LIKE '%test%'
+UNION SELECT c_custkey, c_name, 'PN', c_name || '001', 'FIRMA' FROM customer WHERE c_acctbal > 0
+UNION SELECT s_suppkey, s_name, 'ME', CAST(s_nationkey AS VARCHAR), 'FIRMA' FROM supplier WHERE s_nationkey IN (1, 5)
+UNION SELECT s_suppkey, s_name, 'RL', CAST(s_nationkey AS VARCHAR), 'FIRMA' FROM supplier WHERE s_acctbal > 0 AND s_name NOT LIKE '%9'
+UNION SELECT p_partkey, p_name, 'PN', NULL, 'SF' FROM part WHERE p_type = 'PROMO'
+UNION SELECT p_partkey, p_brand, 'ME', NULL, 'SF' FROM part WHERE p_size > 25
+UNION SELECT o_orderkey, o_orderstatus, 'RL', o_orderpriority, 'FIRMA' FROM orders WHERE o_orderstatus = 'F'
+UNION SELECT o_custkey, o_orderstatus, 'RL', NULL, 'FIRMA' FROM orders WHERE o_orderpriority LIKE '1%'
+UNION SELECT n_nationkey, n_name, 'ME', n_name || '001', 'SF' FROM nation WHERE n_regionkey <> 2
+UNION SELECT user_id, event_type, 'PN', event_type || '001', 'SF' FROM events WHERE event_type <> 'error'
+""")
+def portal_ten_branches(spark, sf_dir):
+    """Ten branches over six tables, each table scanned once, one distinct."""
+    t = Tables(spark, sf_dir)
+    col, lit = F.col, F.lit
+
+    def branch(table, where, id_col, who, kind, aux, product):
+        values = {"id_tramite": col(id_col), "cedula": col(who), "tipo_firma": lit(kind), "producto": lit(product)}
+        return branches.Branch(table, where, values if aux is None else values | {"ruc_aux": aux})
+
+    plain = ~col("c_name").like("%prueb%") & ~col("c_name").like("%test%")
+    c_aux, s_aux = text.strict_concat("c_name", lit("001")), col("s_nationkey").cast("string")
+    found = [
+        branch("customer", col("c_nationkey").isin(1, 5) & plain, "c_custkey", "c_name", "PN", c_aux, "FIRMA"),
+        branch("customer", col("c_acctbal") > 0, "c_custkey", "c_name", "PN", c_aux, "FIRMA"),
+        branch("supplier", col("s_nationkey").isin(1, 5), "s_suppkey", "s_name", "ME", s_aux, "FIRMA"),
+        branch("supplier", (col("s_acctbal") > 0) & ~col("s_name").like("%9"), "s_suppkey", "s_name", "RL", s_aux, "FIRMA"),
+        branch("part", col("p_type") == "PROMO", "p_partkey", "p_name", "PN", None, "SF"),
+        branch("part", col("p_size") > 25, "p_partkey", "p_brand", "ME", None, "SF"),
+        branch("orders", col("o_orderstatus") == "F", "o_orderkey", "o_orderstatus", "RL", col("o_orderpriority"), "FIRMA"),
+        branch("orders", col("o_orderpriority").like("1%"), "o_custkey", "o_orderstatus", "RL", None, "FIRMA"),
+        branch("nation", col("n_regionkey") != 2, "n_nationkey", "n_name", "ME", text.strict_concat("n_name", lit("001")), "SF"),
+        branch("events", col("event_type") != "error", "user_id", "event_type", "PN", text.strict_concat("event_type", lit("001")), "SF")]
+    tables = {n: getattr(t, n) for n in ("customer", "supplier", "part", "orders", "nation", "events")}
+    return branches.union_of_branches(tables, found, PORTAL_SCHEMA)
+
+
 @query("fallback_extract", "O-15 O-74 O-88 O-39", sql="""
 WITH src AS (
   SELECT c_custkey, c_name,
