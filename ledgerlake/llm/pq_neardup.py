@@ -49,6 +49,9 @@ QUERY_BLOCK = 2048
 
 def _unit(raw: list[bytes], kind: str) -> np.ndarray:
     v = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
+    # scaled by a power of two first (exact), so that no square leaves the range of a double
+    _, exponent = np.frexp(np.abs(v).max(axis=1, initial=0.0, keepdims=True))
+    v = np.ldexp(v, -exponent)
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 

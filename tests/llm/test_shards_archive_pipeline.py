@@ -193,3 +193,40 @@ def test_contract_columns(spark):
             df = fn(spark, SF)
             assert df.columns == want[key].split(), name
             assert all(kinds.get(c, t) == t for c, t in df.dtypes), (name, df.dtypes)
+
+
+def test_placement_by_brute_force(spark):
+    """The query's shards and slots from ranks, fractions and cuts worked out one by one."""
+    text = F.coalesce("text", F.lit(""))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(
+        "doc_id", "source", F.crc32(text).alias("crc"), (F.octet_length(text) + 1).cast("long").alias("size"))
+    rows = docs.withColumn("mix", F.xxhash64(F.lit(sharding.SEED), "doc_id", "crc", "size")).collect()
+    low = -2**63
+    rows.sort(key=lambda r: (r.source is not None, r.source or "", r.mix, r.doc_id if r.doc_id is not None else low, r.crc, r.size))
+    first, count = {}, Counter(r.source for r in rows)
+    for i, r in enumerate(rows):
+        first.setdefault(r.source, i)
+    tie = {r.f: r.h for r in spark.createDataFrame([(f,) for f in first.values()], "f long")
+           .select("f", F.xxhash64(F.lit(sharding.SEED), "f").alias("h")).collect()}
+    order = sorted(range(len(rows)), key=lambda i: ((2 * (i - first[rows[i].source]) + 1) / (2 * count[rows[i].source]),
+                                                    tie[first[rows[i].source]], first[rows[i].source]))
+    n, want, seen = len(rows), {}, Counter()
+    for place, i in enumerate(order):
+        shard = place * sharding.SHARDS // n
+        want[rows[i].doc_id] = (shard, seen[shard])
+        seen[shard] += 1
+    assert {r.doc_id: (r.shard, r.slot) for r in queries.op6(spark, SF).collect()} == want
+
+
+def test_ids_of_the_query_are_the_library_s(spark):
+    import hashlib
+
+    import tiktoken
+    from tiktoken.load import load_tiktoken_bpe
+    library = tiktoken.Encoding("given", pat_str=P.PATTERN, mergeable_ranks=load_tiktoken_bpe(P.path("byte_bpe_50k.tiktoken")),
+                                special_tokens={})
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in queries.op9(spark, SF).collect():
+        ids = library.encode_ordinary(texts[r.doc_id])
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
