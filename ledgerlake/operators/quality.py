@@ -60,16 +60,11 @@ def _report_row(ch: Check, failures_col):
             F.lit(ch.severity).alias("severity"), failures_col.cast("long").alias("failures")]
 
 
-def _column_counts(df: DataFrame, unique: Sequence[str], filled: Sequence[str]) -> DataFrame:
-    """One row: map from column to (duplicated values, NULLs), from one scan.  Each row becomes a
-    (column, value) pair per column; pairs are counted with a map-side partial aggregate, and a
-    column that is only checked for NULLs has one value."""
-    pairs = [F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in unique]
-    pairs += [F.struct(F.lit(c).alias("c"), F.when(F.col(c).isNotNull(), "").alias("v")) for c in filled if c not in unique]
-    counted = df.select(F.inline(F.array(*pairs))).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-    per = counted.groupBy("c").agg(F.count_if(F.col("v").isNotNull() & (F.col("n") > 1)).alias("dup"),
-                                   F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("nul"))
-    return per.agg(F.map_from_entries(F.collect_list(F.struct("c", F.struct("dup", "nul")))).alias("m"))   # a few columns
+def _repeated_values(df: DataFrame, column: str) -> DataFrame:
+    """One row: values of the column that occur more than once.  Only this column is read, and
+    shuffled as the type it has."""
+    counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return counted.agg(F.count_if(F.col("n") > 1).alias("__ll_dup"))
 
 
 def _orphan_counts(child: DataFrame, checks: Sequence[Check], models: dict[str, DataFrame]) -> DataFrame:
@@ -84,8 +79,8 @@ def _orphan_counts(child: DataFrame, checks: Sequence[Check], models: dict[str,
 
 
 def run_checks(checks: Sequence[Check], models: dict[str, DataFrame]) -> DataFrame:
-    """One report row per check.  All unique and not-null checks of a model share one scan, and so
-    do all relationships of a child."""
+    """One report row per check.  All not-null checks of a model share one scan, and so do all
+    relationships of a child; a unique check reads its own column alone."""
     by_model: dict[str, list[Check]] = {}
     relations: dict[str, list[Check]] = {}
     for ch in checks:
@@ -96,13 +91,13 @@ def run_checks(checks: Sequence[Check], models: dict[str, DataFrame]) -> DataFra
     for model, chs in by_model.items():
         unique = list(dict.fromkeys(ch.column for ch in chs if ch.kind == "unique"))
         filled = list(dict.fromkeys(ch.column for ch in chs if ch.kind == "not_null"))
-        if unique:
-            counts = _column_counts(models[model], unique, filled)
-            found = [F.coalesce(F.col("m")[ch.column]["dup" if ch.kind == "unique" else "nul"], F.lit(0)) for ch in chs]
-        else:
+        for column in unique:
+            rows = [F.struct(*_report_row(ch, F.col("__ll_dup"))) for ch in chs if ch.kind == "unique" and ch.column == column]
+            frames.append(_repeated_values(models[model], column).select(F.inline(F.array(*rows))))
+        if filled:
             counts = models[model].agg(*[F.count_if(F.col(c).isNull()).alias(f"__ll_{c}") for c in filled])
-            found = [F.col(f"__ll_{ch.column}") for ch in chs]
-        frames.append(counts.select(F.inline(F.array(*[F.struct(*_report_row(ch, f)) for ch, f in zip(chs, found, strict=True)]))))
+            rows = [F.struct(*_report_row(ch, F.col(f"__ll_{ch.column}"))) for ch in chs if ch.kind == "not_null"]
+            frames.append(counts.select(F.inline(F.array(*rows))))
     for model, chs in relations.items():
         counts = _orphan_counts(models[model], chs, models)
         frames.append(counts.select(F.inline(F.array(*[F.struct(*_report_row(ch, F.col(f"__ll_n{i}"))) for i, ch in enumerate(chs)]))))
