@@ -7,12 +7,15 @@ document joins its shingles with the prefix shingles; a match at a position fixe
 window would start, which must lie inside the document with all its length, and the words
 there are compared exactly.
 
-The benchmark side is indexed in slices of bounded text; each slice is broadcast and joined
-with all documents in turn, so any benchmark size works and the usual one takes one turn.
+The benchmark side is indexed in slices of bounded text, as arrays of word numbers and window
+places (some 60 bytes a word of the slice, and its different words); each slice is broadcast and
+joined with all documents in turn, so any benchmark size works and the usual one takes one turn.
 """
 
 from __future__ import annotations
 
+from array import array
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -59,35 +62,81 @@ def _keys(ids: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def _content(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Hash of the words of each window."""
+    key = length.astype(np.uint64)
+    for j in range(int(length.max(initial=0))):
+        inside = j < length
+        part = flat[np.minimum(start + j, flat.size - 1)].astype(np.uint64) + np.uint64(1)
+        mixed = (key + part) * np.uint64(0xBF58476D1CE4E5B9)
+        key = np.where(inside, mixed ^ (mixed >> np.uint64(31)), key)
+    return key
+
+
+def _same_words(flat: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
+    same = np.ones(a.size, bool)
+    for j in range(int(length.max(initial=0))):
+        same &= (j >= length) | (flat[np.minimum(a + j, flat.size - 1)] == flat[np.minimum(b + j, flat.size - 1)])
+    return same
+
+
 @dataclass
 class Index:
-    """One slice of benchmark windows."""
+    """One slice of benchmark windows, as arrays: windows are places in the slice's words."""
 
     vocab: dict[bytes, int]
-    windows: list[tuple[int, ...]]          # word ids of different windows
-    items: list[list[str]]                  # item ids of each window
+    flat: np.ndarray                        # word ids of all items, one after the other
+    start: np.ndarray                       # first word of each different window
+    length: np.ndarray                      # and its words
+    names: list[str]                        # item ids
+    held_first: np.ndarray                  # window -> its first entry in held
+    held: np.ndarray                        # item numbers
     shingles: dict[int, np.ndarray]         # shingle size -> its sorted keys
-    prefix: dict[int, tuple] | None = None  # shingle size -> (keys, first, window, offset)
+    prefix: dict[int, tuple] | None = None  # shingle size -> (keys, first, window, offset, filter)
 
     @classmethod
-    def build(cls, rows: list[tuple[str, bytes]], window: int, shingle: int) -> Index:
+    def build(cls, rows: Iterable[tuple[str, bytes]], window: int, shingle: int) -> Index:
         vocab: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set[str]] = {}
-        for item, raw in rows:
-            ids = [vocab.setdefault(w, len(vocab)) for w in words_of(raw)]
-            for i in range(max(1, len(ids) - window + 1) if ids else 0):
-                found.setdefault(tuple(ids[i:i + window]), set()).add(item)
-        windows = sorted(found)
-        index = cls(vocab, windows, [sorted(found[w]) for w in windows], {})
-        sizes: dict[int, set] = {}
-        for w in windows:
-            size = min(shingle, len(w))
-            sizes.setdefault(size, set()).update(index.window_keys(w, size).tolist())
-        index.shingles = {s: np.array(sorted(k), np.int64) for s, k in sizes.items()}
+        numbers: dict[str, int] = {}
+        flat, begin, size, item = array("i"), array("q"), array("q"), array("q")
+        for name, raw in rows:
+            begin.append(len(flat))
+            flat.extend([vocab.setdefault(w, len(vocab)) for w in words_of(raw)])
+            size.append(len(flat) - begin[-1])
+            item.append(numbers.setdefault(name, len(numbers)))
+        flat = np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32)
+        begin, size, item = (np.frombuffer(x, np.int64) if x else np.zeros(0, np.int64) for x in (begin, size, item))
+        # every window of every item
+        many = np.where(size > 0, np.maximum(1, size - window + 1), 0)
+        start = np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        length, item = np.repeat(np.minimum(size, window), many), np.repeat(item, many)
+        # equal ones once; those that share a hash by chance stay apart
+        content = _content(flat, start, length)
+        order = np.argsort(content, kind="stable")
+        content, start, length, item = content[order], start[order], length[order], item[order]
+        new = np.ones(content.size, bool)
+        new[1:] = content[1:] != content[:-1]
+        lead = np.flatnonzero(new)[np.cumsum(new) - 1] if content.size else np.zeros(0, np.int64)
+        new |= (length != length[lead]) | ~_same_words(flat, start, start[lead], length)
+        group = np.where(new, np.cumsum(new) - 1, (np.cumsum(new) - 1)[lead])
+        pairs = np.unique(group * max(len(numbers), 1) + item)
+        held = pairs % max(len(numbers), 1)
+        first = np.searchsorted(pairs // max(len(numbers), 1), np.arange(int(new.sum()) + 1))
+        index = cls(vocab, flat, start[new], length[new], list(numbers), first, held.astype(np.int32), {})
+        index.shingles = {s: np.unique(np.concatenate([keys for _, _, keys in index._prefix_places(s, shingle)]))
+                          for s in np.unique(np.minimum(index.length, shingle)).tolist()}
         return index
 
-    def window_keys(self, window: tuple[int, ...], size: int) -> np.ndarray:
-        return _keys(np.array(window, np.int64), size)
+    def _prefix_places(self, size: int, shingle: int):
+        """(windows, offset, key of the shingle there) of all shingles of windows with this shingle size."""
+        keys = _keys(self.flat, size)
+        mine = np.flatnonzero(np.minimum(self.length, shingle) == size)
+        for offset in range(int(self.length[mine].max(initial=0)) - size + 1):
+            use = mine[self.length[mine] >= offset + size]
+            yield use, offset, keys[self.start[use] + offset]
+
+    def items(self, window: int) -> list[str]:
+        return [self.names[i] for i in self.held[self.held_first[window]:self.held_first[window + 1]]]
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         get = self.vocab.get
@@ -95,20 +144,23 @@ class Index:
 
     def choose_prefixes(self, counts: dict[int, np.ndarray], shingle: int) -> None:
         """Each window joins on its rarest shingle only (ties: the smallest key)."""
-        chosen: dict[int, list] = {}
-        for at, w in enumerate(self.windows):
-            size = min(shingle, len(w))
-            keys = self.window_keys(w, size)
-            seen = counts[size][np.searchsorted(self.shingles[size], keys)]
-            best = min(range(len(keys)), key=lambda i: (seen[i], keys[i]))
-            if seen[best]:                    # a shingle that no document has rules the window out
-                chosen.setdefault(size, []).append((int(keys[best]), at, best))
+        n = self.start.size
+        seen = np.full(n, np.iinfo(np.int64).max)
+        key, place = np.full(n, np.iinfo(np.int64).max), np.zeros(n, np.int64)
+        for size, table in self.shingles.items():
+            for use, offset, keys in self._prefix_places(size, shingle):
+                times = counts[size][np.searchsorted(table, keys)]
+                better = (times < seen[use]) | ((times == seen[use]) & (keys < key[use]))
+                use = use[better]
+                seen[use], key[use], place[use] = times[better], keys[better], offset
         self.prefix = {}
-        for size, rows in chosen.items():
-            rows.sort()
-            table = np.array(rows, np.int64)
-            keys, first = np.unique(table[:, 0], return_index=True)
-            self.prefix[size] = (keys, np.append(first, len(table)), table[:, 1], table[:, 2], _filter(keys))
+        for size in self.shingles:
+            # a shingle that no document has rules the window out
+            use = np.flatnonzero((np.minimum(self.length, shingle) == size) & (seen > 0))
+            if use.size:
+                use = use[np.argsort(key[use], kind="stable")]
+                keys, first = np.unique(key[use], return_index=True)
+                self.prefix[size] = (keys, np.append(first, use.size), use, place[use], _filter(keys))
 
 
 def _spread(keys: np.ndarray) -> np.ndarray:
@@ -165,10 +217,8 @@ def _hits(index: Index, ids: np.ndarray, start: np.ndarray):
     """(covered words, pairs of text and window) by exact verification of the candidates."""
     edge = np.zeros(ids.size + 1, np.int64)
     pairs = [np.zeros((0, 2), np.int64)]
-    length = np.array([len(w) for w in index.windows], np.int64)
+    flat, flat_at, length = index.flat, index.start, index.length
     text_of = np.repeat(np.arange(start.size - 1), np.diff(start))
-    flat = np.concatenate([np.array(w, np.int64) for w in index.windows]) if index.windows else np.zeros(0, np.int64)
-    flat_at = np.concatenate([[0], np.cumsum(length)])
     for size, (keys, first, window, offset, bits) in (index.prefix or {}).items():
         at, where = _member(_keys(ids, size), keys, bits)
         many = first[where + 1] - first[where]
@@ -214,7 +264,7 @@ def _mark(index_value, batches, at_text: int, n_carried: int, names: list[str],
             old = [part.column(n_carried + k).to_pylist() for k in range(3)]
             items: list[set] = [set(x or ()) for x in old[2]]
             for text, win in pairs.tolist():
-                items[text].update(index.items[win])
+                items[text].update(index.items(win))
             n_words, n_hit, starts, stops = [], [], [], []
             for i in range(part.num_rows):
                 own = hit[start[i]:start[i + 1] - 1].copy()
@@ -248,7 +298,7 @@ def _slices(benchmark: DataFrame, item_col: str, text_col: str, index_bytes: int
     n = max(1, -(-total // index_bytes))
     for i in range(n):
         part = items if n == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i)
-        yield i, n, [(r["item"], r["text"].encode()) for r in part.toLocalIterator()]
+        yield i, n, ((r["item"], r["text"].encode()) for r in part.toLocalIterator())
 
 
 def mark_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
@@ -284,10 +334,11 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
         shared = sc.broadcast(index)          # bounded by index_bytes of text
         seen = (docs.select(ident(text_col).cast("string").alias(text))
                 .mapInArrow(_counting(shared), "size int, at long, n long")
-                .groupBy("size", "at").agg(F.sum("n").alias("n")).toArrow().to_pydict())
+                .groupBy("size", "at").agg(F.sum("n").alias("n")).toArrow())          # one row a shingle of the slice
         counts = {s: np.zeros(k.size, np.int64) for s, k in index.shingles.items()}
-        for s, a, c in zip(seen["size"], seen["at"], seen["n"], strict=True):
-            counts[s][a] = c
+        of, place, n_seen = (seen[c].to_numpy() for c in ("size", "at", "n"))
+        for s, table in counts.items():
+            table[place[of == s]] = n_seen[of == s]
         index.choose_prefixes(counts, shingle)
         at = at.select(*carried).mapInArrow(_marking(sc.broadcast(index), at_text, len(schema) - 5, schema.names), schema)
         if i + 1 < n:
