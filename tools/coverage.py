@@ -13,20 +13,21 @@ from ledgerlake.plans.registry import OPERATORS, ORACLE_SQL  # noqa: E402
 
 IMPL = {
     "O-01": "sources.readers.sql_extract (bind params), jdbc_extract", "O-02": "sources.readers.in_list_filter",
-    "O-03": "sources.readers.csv_strict", "O-04": "sources.readers.csv_lenient", "O-05": "sources.readers.read_seed",
+    "O-03": "sources.readers.csv_strict (by header name, RFC 4180)", "O-04": "sources.readers.csv_lenient (by header name)",
+    "O-05": "sources.readers.read_seed (by header name)",
     "O-06": "plans.tables.Tables, sources.readers.read_table", "O-07": "sources.registry (RunMode, SourceSpec, read_sources)",
     "O-08": "sources.readers.read_table(columns=...)", "O-09": "operators.aggregates.after_watermark",
     "O-10": "operators.aggregates.after_watermark", "O-11": "plans.q_sources.exclusion_extract",
-    "O-12": "plans.q_sources.request_extract_chain", "O-13": "plans.q_sources.rejected_extract",
-    "O-14": "operators.transforms.union_distinct", "O-15": "functions.text.left, plans.q_sources.fallback_extract",
+    "O-12": "plans.q_sources.approved_requests_extract, operators.branches.role_lookup", "O-13": "plans.q_sources.rejected_extract",
+    "O-14": "operators.branches.union_of_branches (one scan a table)", "O-15": "functions.text.left, plans.q_sources.fallback_extract",
     "O-16": "sources.calendar.date_spine / date_spine_between", "O-17": "operators.merge.append / persist('insert')",
-    "O-18": "operators.merge.insert_ignore (order=: first row of a repeated key wins)", "O-19": "operators.merge.upsert (reject_repeated_keys=)", "O-20": "operators.merge.persist",
-    "O-21": "operators.merge.resolve_batches (batch semantics in one plan), write_snapshot, assert_unique_keys",
+    "O-18": "operators.merge.insert_ignore (order=: first row of a repeated key wins)", "O-19": "operators.merge.upsert, operators.versions.BucketedTable.merge (touched buckets only)", "O-20": "operators.merge.persist",
+    "O-21": "operators.merge.resolve_batches (one plan), operators.versions.load_in_batches (commit a batch, ledger, resume)",
     "O-22": "operators.merge.update_only (last_by=: last row of a repeated key wins)", "O-23": "operators.transforms.nan_to_null_columns",
     "O-24": "operators.merge.with_audit_columns, upsert(audit=True)",
-    "O-25": "operators.merge.write_snapshot / materialize_table, session.cut_lineage",
+    "O-25": "operators.versions.VersionLog, plans.warehouse.materialize, operators.merge.write_snapshot",
     "O-26": "operators.merge.materialize_view", "O-27": "operators.merge.load_once",
-    "O-28": "operators.merge.materialize_table (overwrite)", "O-29": "operators.transforms.rename_columns",
+    "O-28": "operators.versions.VersionLog.commit, operators.merge.materialize_table", "O-29": "operators.transforms.rename_columns",
     "O-30": "operators.transforms.add_constant", "O-31": "operators.transforms.drop_columns",
     "O-32": "operators.transforms.keep_columns", "O-33": "operators.transforms.drop_null_dates",
     "O-34": "operators.transforms.equality_flag", "O-35": "operators.transforms.inequality_flag",
@@ -36,7 +37,7 @@ IMPL = {
     "O-42": "plans.gold.commercial_documents", "O-43": "Column.isNotNull flags",
     "O-44": "F.coalesce, operators.joins.full_override", "O-45": "functions.text.blank_to_null, F.nullif",
     "O-46": "plans.marts (total_factura)", "O-47": "plans.silver.invoices (blank document fallback)",
-    "O-48": "DataFrame.join", "O-48b": "plans.q_sources.request_extract_chain (aliases)",
+    "O-48": "DataFrame.join", "O-48b": "operators.branches.role_lookup (one scan for all roles)",
     "O-48c": "plans.gold.fact_staging (left joins)", "O-48d": "operators.joins.full_override",
     "O-48e": "composite-key DataFrame.join", "O-48f": "operators.joins.interval_join",
     "O-48g": "operators.joins.effective_join", "O-48h": "operators.joins.validity_window",
@@ -101,7 +102,7 @@ TRAPS = {
     "T-16": ("binary text order", "Spark and DuckDB both compare binary; values are upper-case ASCII; every query vs oracle"),
     "T-17": ("seed timestamps read as DATE", "plans.seeds (typed seed schemas), plans.standins; `test_read_seed_directory_and_warehouse_override`"),
     "T-18": ("oracle casts `date - INTERVAL` to DATE", "`month_shift` oracle SQL"),
-    "T-19": ("stable surrogate keys (deliberate)", "operators.keys.stable_keys / dense_keys; `test_stable_keys_keep_existing_ids`, `surrogate_keys`"),
+    "T-19": ("stable surrogate keys (deliberate)", "operators.versions.KeyRegistry, operators.keys.stable_keys / dense_keys; `test_stable_keys_keep_existing_ids`, `surrogate_keys`"),
     "T-20": ("`ß` -> `ss` before upper-casing", "functions.text (fixed transliteration table); `normalize_text`, `test_normalize_text_rules`"),
     "T-21": ("clean_special keeps case and deletes controls; normalize_text keeps only spaces", "functions.text.clean_special / normalize_text; `clean_special`, `test_clean_special_transliterates_and_drops_controls`"),
 }
