@@ -1,7 +1,8 @@
 """Join patterns of the warehouse models, written so Catalyst can plan them well.
 
 * interval / effective-date joins keep an equi key, so they plan as hash or sort-merge
-  joins with a residual range predicate (never a nested loop);
+  joins with a residual range predicate (never a nested loop); where a key has many points and
+  many intervals, both are also cut into bins of the range;
 * EXISTS under OR is a correlated ``exists()`` subquery -> ExistenceJoin;
 * a per-group aggregate re-attached to its detail is ``groupBy`` (map-side partial
   aggregation, skew-proof) + join back, instead of a window that sends a hot key to one task;
@@ -14,6 +15,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Bins of the point range in ``binned_interval_join``: at most this many copies of an interval.
+BINS = 256
 
 
 def _pairs(on) -> list[tuple[str, str]]:
@@ -61,6 +66,53 @@ def interval_join(left: DataFrame, right: DataFrame, on, point: str, start: str,
     return left.join(right, cond, how)
 
 
+def _position(df: DataFrame, column: str) -> Column:
+    """The column as a long that never falls where the column rises: days of dates and timestamps,
+    the whole part of numbers."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.unix_date(F.to_date(df[column])).cast("long")
+    if isinstance(kind, T.IntegralType):
+        return df[column].cast("long")
+    raise TypeError(f"{column}: points are dates, timestamps or integers, not {kind.simpleString()}")
+
+
+def binned_interval_join(left: DataFrame, right: DataFrame, on, point: str, start: str, end: str,
+                         how: str = "inner", bins: int = BINS) -> DataFrame:
+    """``interval_join`` for keys that hold many points and many intervals (O-48f): same rows.
+
+    The range of all points is cut into at most ``bins`` bins of equal width (a power of two).  A
+    point lies in one bin, an interval is put into each bin it touches within the range, and the
+    bin joins the equi key: a hot key becomes up to ``bins`` keys, and its points meet the
+    intervals of their own bin only.  The bounds of the points are read first (one row).
+
+    A point keeps its single row, so inner, left, semi and anti joins are exact; the others would
+    see an interval once a bin and are refused.  NULL points, bounds and keys match nothing, nor
+    do intervals that end before they start; overlapping intervals fan out.
+    """
+    if how not in ("inner", "left", "left_outer", "leftouter", "semi", "left_semi", "leftsemi",
+                   "anti", "left_anti", "leftanti"):
+        raise ValueError(f"binned interval joins keep the rows of the left side, {how} does not")
+    if bins < 1:
+        raise ValueError("bins must be at least 1")
+    where = _position(left, point)
+    low, high = left.agg(F.min(where), F.max(where)).first()
+    if low is None:
+        return interval_join(left, right, on, point, start, end, how)
+    shift = 0
+    while (high >> shift) - (low >> shift) >= bins:
+        shift += 1
+    first = F.greatest(F.shiftright(_position(right, start), shift), F.lit(low >> shift).cast("long"))
+    last = F.least(F.shiftright(_position(right, end), shift), F.lit(high >> shift).cast("long"))
+    # whole rows of the right side: its columns keep their names, whatever they are
+    there = right.where((right[start] < right[end]) & (first <= last))
+    cut = there.withColumn("__ll_bin_r", F.explode(F.sequence(first, last)))
+    points = left.withColumn("__ll_bin_l", F.shiftright(where, shift))
+    cond = _equi(points, cut, on) + [points["__ll_bin_l"] == cut["__ll_bin_r"],
+                                     points[point] >= cut[start], points[point] < cut[end]]
+    return points.join(cut, cond, how).drop("__ll_bin_l", "__ll_bin_r")
+
+
 def effective_join(left: DataFrame, right: DataFrame, on, point: str, effective_from: str,
                    how: str = "left", expect_unique_keys: Sequence[str] | None = None) -> DataFrame:
     """Equi key + ``point >= effective_from``; every effective row matches (O-48g), or

@@ -15,6 +15,8 @@ REASSIGNMENTS = (("GRUPO DISTRIBUIDOR A", dt.date(1997, 1, 1)),
                  ("GRUPO DISTRIBUIDOR B", dt.date(1999, 1, 1)))
 VALIDITY_START = dt.date(1996, 1, 1)
 DEFAULT_PART_KEY = 0
+HOT_SERIAL = 1                  # gets every third order's lines
+VALID_DAYS = 45
 # --------------------------------------------------------------------------------------
 
 
@@ -132,6 +134,37 @@ def interval_join(spark, sf_dir):
     return out[0].unionByName(out[1])
 
 
+@query("interval_join_hot_serial", "O-48f", sql=f"""
+WITH pts AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN {HOT_SERIAL} ELSE l_suppkey END AS serial,
+                    l_shipdate::DATE AS fecha FROM lineitem),
+     iv AS (SELECT DISTINCT serial AS numser, date_trunc('week', fecha)::DATE AS apertura FROM pts),
+     val AS (SELECT numser, apertura, apertura + {VALID_DAYS} AS cierre FROM iv WHERE day(apertura) <= 7),
+     kinds AS (SELECT unnest(['left', 'left_semi', 'left_anti']) AS kind)
+SELECT kind, l_orderkey, l_linenumber, apertura
+FROM kinds, pts LEFT JOIN val ON numser = serial AND fecha >= apertura AND fecha < cierre WHERE kind = 'left'
+UNION ALL
+SELECT kind, l_orderkey, l_linenumber, NULL FROM kinds, pts
+WHERE kind = CASE WHEN EXISTS (SELECT 1 FROM val WHERE numser = serial AND fecha >= apertura AND fecha < cierre)
+                  THEN 'left_semi' ELSE 'left_anti' END
+""")
+def interval_join_hot_serial(spark, sf_dir):
+    """Lines by serial and validity period, where one serial holds over a third of all lines and a
+    period in the first week of every month."""
+    pts = Tables(spark, sf_dir).lineitem.select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_orderkey") % 3 == 0, F.lit(HOT_SERIAL)).otherwise(F.col("l_suppkey")).cast("long").alias("serial"),
+        F.to_date("l_shipdate").alias("fecha"))
+    val = (pts.select(F.col("serial").alias("numser"), F.trunc("fecha", "week").alias("apertura")).distinct()
+           .where(F.dayofmonth("apertura") <= 7).withColumn("cierre", F.date_add("apertura", VALID_DAYS)))
+    out = None
+    for how in ("left", "left_semi", "left_anti"):
+        j = joins.binned_interval_join(pts, val, [("serial", "numser")], "fecha", "apertura", "cierre", how)
+        opened = F.col("apertura") if how == "left" else F.lit(None).cast("date")
+        j = j.select(F.lit(how).alias("kind"), "l_orderkey", "l_linenumber", opened.alias("apertura"))
+        out = j if out is None else out.unionByName(j)
+    return out
+
+
 @query("effective_date_join", "O-48g", sql="""
 WITH rd AS (SELECT c_custkey AS codigo_cliente, 'GRUPO DISTRIBUIDOR A' AS grupo, DATE '1997-01-01' AS fecha_cambio
             FROM customer WHERE c_mktsegment = 'AUTOMOBILE'

@@ -120,6 +120,49 @@ def test_interval_join_half_open_and_fan_out(spark):
                                        (dt.date(2024, 2, 1), "wide")]
 
 
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "bigint"])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_binned_interval_join_equals_the_plain_one(spark, kind, how):
+    def at(days):
+        if kind == "bigint":
+            return F.col(days).cast("bigint")
+        return F.date_add(F.lit("2020-02-20").cast("date"), F.col(days)).cast(kind)
+    pts = (spark.range(600).select((F.col("id") % 3 * (F.col("id") % 2)).alias("k"), (F.col("id") * 7 % 1000).cast("int").alias("n"))
+           .withColumn("n", F.when(F.col("n") % 50 != 0, F.col("n"))).select("k", at("n").alias("d")))
+    iv = spark.range(80).select(
+        F.when(F.col("id") % 9 != 0, F.col("id") % 3).alias("k2"), (F.col("id") * 37 % 1300 - 200).cast("int").alias("a"),
+        (F.col("id") % 11 * 31 - 15).cast("int").alias("w"), F.col("id").alias("name"))
+    iv = (iv.withColumn("b", (F.col("a") + F.col("w"))).select("k2", at("a").alias("s"), at("b").alias("e"), "name")
+          .union(iv.limit(1).select(F.lit(0), at("a"), F.lit(None).cast(kind), F.lit(-1)))
+          .union(iv.limit(1).select(F.lit(0), at("a") if kind == "bigint" else F.lit("0001-01-01").cast(kind),
+                                    F.lit(1 << 62) if kind == "bigint" else F.lit("9999-12-31").cast(kind), F.lit(-2))))
+    want = rows(joins.interval_join(pts, iv, [("k", "k2")], "d", "s", "e", how), *([] if "semi" in how or "anti" in how else ["name"]), "k", "d")
+    for bins in (1, 2, 7, 256):
+        got = joins.binned_interval_join(pts, iv, [("k", "k2")], "d", "s", "e", how, bins)
+        assert got.columns == joins.interval_join(pts, iv, [("k", "k2")], "d", "s", "e", how).columns
+        assert rows(got, *([] if "semi" in how or "anti" in how else ["name"]), "k", "d") == want
+    empty = joins.binned_interval_join(pts.where("false"), iv, [("k", "k2")], "d", "s", "e", how)
+    assert empty.count() == 0
+
+
+def test_binned_interval_join_refuses_what_it_cannot_keep(spark):
+    pts, iv = spark.createDataFrame([(1, 1.5)], "k int, d double"), spark.createDataFrame([(1, 1, 2)], "k int, s int, e int")
+    with pytest.raises(ValueError, match="left side"):
+        joins.binned_interval_join(pts, iv, ["k"], "d", "s", "e", "full")
+    with pytest.raises(TypeError, match="not double"):
+        joins.binned_interval_join(pts, iv, ["k"], "d", "s", "e")
+
+
+def test_binned_interval_join_cuts_a_hot_key(spark):
+    """All points on one key: no bin of it meets more than a few of its intervals."""
+    pts = spark.range(20000).select(F.lit(1).alias("k"), (F.col("id") % 4096).alias("d"))
+    iv = spark.range(512).select(F.lit(1).alias("k"), (F.col("id") * 8).alias("s"), (F.col("id") * 8 + 8).alias("e"))
+    got = joins.binned_interval_join(pts, iv, ["k"], "d", "s", "e")
+    assert got.count() == 20000
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "__ll_bin_l" in plan and "CartesianProduct" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_full_override_keeps_override_only_rows(spark):
     base = spark.createDataFrame([("a", "x", "1"), ("b", "y", "2")], "k string, f string, g string")
     over = spark.createDataFrame([("b", "Y", None), ("c", "Z", "3")], "k string, f string, g string")
