@@ -1,6 +1,7 @@
 """Versions of a set of tables, published at once (O-25, O-26, O-28), and what builds on them: merges
-that rewrite only the buckets an increment touches (O-19, O-93), loads in batches that keep what
-was committed before a failing one (O-21), and an append-only registry of surrogate keys (O-89).
+that rewrite only the buckets an increment touches (O-19, O-93) and keep the high-water marks of
+their tables (O-52), loads in batches that keep what was committed before a failing one (O-21), and
+an append-only registry of surrogate keys (O-89).
 
 Data folders are written once and never changed.  A version is a small numbered file in ``_log``
 that names the folders of every table; it is created last and must not exist before, so a reader
@@ -10,10 +11,13 @@ one fails.  A job that dies leaves folders nobody names, which ``vacuum`` remove
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import time
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,15 +107,100 @@ class VersionLog:
         return gone
 
 
+@dataclass(frozen=True)
+class Mark:
+    """``MAX(column)`` of a table, or of its rows whose ``by`` column holds ``value``."""
+    column: str
+    by: str | None = None
+    value: str | None = None
+
+    @property
+    def name(self) -> str:
+        return self.column if self.by is None else f"{self.column} where {self.by}={self.value}"
+
+    def expression(self) -> Column:
+        return F.max(self.column if self.by is None else F.when(F.col(self.by) == F.lit(self.value), F.col(self.column)))
+
+
+def _mark_text(value, kind: T.DataType):
+    """A mark as it stands in a version file."""
+    if value is None or isinstance(kind, (T.IntegralType, T.StringType)):
+        return value
+    if isinstance(kind, T.DecimalType):
+        return str(value)
+    if isinstance(kind, T.DateType):
+        return value.isoformat()
+    return value.isoformat(sep=" ", timespec="microseconds")
+
+
+def _mark_value(text, kind: T.DataType):
+    """What a version file says, as a value that compares like the column."""
+    if isinstance(kind, T.DecimalType):
+        return Decimal(text)
+    if isinstance(kind, T.DateType):
+        return dt.date.fromisoformat(text)
+    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
+        return dt.datetime.fromisoformat(text)
+    return text
+
+
 class BucketedTable:
     """A merge target cut into ``buckets`` by a hash of its conflict keys.
 
     The version names the folder of every bucket, so a merge reads and writes the buckets that
-    hold a key of the increment and carries the others over.
+    hold a key of the increment and carries the others over.  It also holds the ``marks`` of every
+    bucket, taken from the files just written: the mark of the table is their maximum, known from
+    the version alone and right also where a merge lowers or removes the highest value.
     """
 
-    def __init__(self, log: VersionLog, name: str, schema: T.StructType, keys: Sequence[str], buckets: int = 64):
+    def __init__(self, log: VersionLog, name: str, schema: T.StructType, keys: Sequence[str], buckets: int = 64,
+                 marks: Sequence[Mark] = ()):
         self.log, self.name, self.schema, self.keys, self.buckets = log, name, schema, list(keys), buckets
+        self.marks = list(marks)
+        for m in self.marks:
+            kind = schema[m.column].dataType
+            if not isinstance(kind, (T.IntegralType, T.StringType, T.DecimalType, T.DateType, T.TimestampNTZType, T.TimestampType)):
+                raise TypeError(f"{m.column}: no marks are kept of {kind.simpleString()}")
+
+    def mark(self, mark: Mark, version: int | None = None) -> Column | None:
+        """The mark as a literal of the column's type; None for a table without such a value.  Only
+        the version file is read."""
+        version = self.log.version() if version is None else version
+        entry = self.log.read(version)["tables"].get(self.name)
+        if entry is None:
+            return None
+        held = entry.get("marks", {})
+        if mark.name not in held:
+            raise KeyError(f"{self.name} keeps no mark {mark.name}")
+        kind = self.schema[mark.column].dataType
+        if not held[mark.name]:
+            return None
+        value = max(_mark_value(text, kind) for text in held[mark.name].values())
+        if isinstance(kind, T.TimestampType):           # kept in UTC, whatever the session's zone is
+            return F.timestamp_micros(F.lit((value - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)))
+        return F.lit(_mark_text(value, kind)).cast(kind)
+
+    def _bucket_marks(self, folder: str, touched: Sequence[int], held: dict) -> dict:
+        """The marks of all buckets after ``touched`` were written to ``folder``: one narrow scan of
+        the new files, a row a bucket."""
+        if not self.marks:
+            return {}
+        found = (self.log.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())]))
+                 .parquet(self.log.path(folder)).groupBy(BUCKET)
+                 .agg(*[(F.unix_micros(m.expression()) if isinstance(self.schema[m.column].dataType, T.TimestampType)
+                         else m.expression()).alias(f"m{i}") for i, m in enumerate(self.marks)]).collect())
+        out = {}
+        for i, m in enumerate(self.marks):
+            kind = self.schema[m.column].dataType
+            kept = {b: v for b, v in held.get(m.name, {}).items() if int(b) not in set(touched)}
+            for row in found:
+                value = row[f"m{i}"]
+                if value is not None and isinstance(kind, T.TimestampType):
+                    value = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=value)
+                if value is not None:
+                    kept[str(row[BUCKET])] = _mark_text(value, kind)
+            out[m.name] = kept
+        return {"marks": out}
 
     def bucket_of(self) -> Column:
         return F.pmod(F.hash(*self.keys), F.lit(self.buckets))
@@ -136,6 +225,9 @@ class BucketedTable:
         that were rewritten.  A source without rows publishes the notes alone."""
         since = self.log.version() if since is None else since
         held = self._folders(since)
+        marked = self.log.read(since)["tables"].get(self.name, {}).get("marks", {})
+        if held and (lacking := [m.name for m in self.marks if m.name not in marked]):
+            raise ValueError(f"{self.name} was written without the marks {lacking}")
         src = cut_lineage(source.withColumn(BUCKET, self.bucket_of()), "increment")
         touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())          # at most ``buckets`` numbers
         entry = {}
@@ -145,7 +237,8 @@ class BucketedTable:
             # one task a bucket, one file a bucket
             (merged.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]).withColumn(BUCKET, self.bucket_of())
              .repartition(len(touched), BUCKET).write.partitionBy(BUCKET).parquet(self.log.path(folder)))
-            entry = {self.name: {"count": self.buckets, "buckets": held | {str(b): folder for b in touched}}}
+            entry = {self.name: {"count": self.buckets, "buckets": held | {str(b): folder for b in touched},
+                                 **self._bucket_marks(folder, touched, marked)}}
         if touched or notes:
             self.log.commit(since, entry, notes)
         return touched

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import aggregates, dedup, merge
+from ledgerlake.operators import aggregates, dedup, merge, versions
 from ledgerlake.operators import transforms as tf
 
 
@@ -108,8 +108,9 @@ def clean_special_for(table: str, df: DataFrame) -> DataFrame:
 
 
 def after_mark(extract: DataFrame, column: str, mark) -> DataFrame:
-    """Rows past a stored mark.  The mark is one value, read before the extract is planned, so
-    the comparison is with a literal and reaches the scan; None (empty target) takes all."""
+    """Rows past a stored mark.  The mark is one value (or a literal column), read before the extract
+    is planned, so the comparison is with a literal and reaches the scan; None (empty target)
+    takes all."""
     return extract if mark is None else extract.where(F.col(column) > F.lit(mark))
 
 
@@ -132,3 +133,50 @@ def incremental_requests(target: DataFrame, extracts: dict[str, DataFrame], orig
     cleaned = [clean_request_source(after_mark(extract, "fecha_factura", marks[status]), origin, priority)
                for priority, (status, extract) in enumerate(extracts.items())]
     return load(target, integrate_requests(cleaned), LOAD_SPECS["camunda_operatividad"], load_ts)
+
+
+def marks_of(spec: LoadSpec) -> list[versions.Mark]:
+    """The marks that a load needs of its target: one, or one a status for the requests."""
+    if spec.watermark is None:
+        return []
+    if spec.table == "camunda_operatividad":
+        return [versions.Mark(spec.watermark, "estado", status) for status in REQUEST_STATUSES]
+    return [versions.Mark(spec.watermark)]
+
+
+def stored_table(log: versions.VersionLog, spec: LoadSpec, schema, buckets: int = 64) -> versions.BucketedTable:
+    """The bronze table of a load as versioned buckets of its conflict keys, with its marks."""
+    return versions.BucketedTable(log, spec.table, schema, spec.keys, buckets, marks_of(spec))
+
+
+def _merge_into(table: versions.BucketedTable, source: DataFrame, spec: LoadSpec, since: int, load_ts, order, batch_size) -> list[int]:
+    src = merge.nan_to_null_columns(source)
+    audit = merge.CREATION_COL in table.schema.names
+    if audit and merge.CREATION_COL not in src.columns:
+        src = merge.with_audit_columns(src, load_ts)
+    src = merge.unique_keys(src, spec.keys) if order is None else merge.resolve_batches(src, spec.keys, order, batch_size)
+    return table.merge(src, [c for c in spec.update_cols if c in src.columns], since=since, load_ts=load_ts, audit=audit)
+
+
+def incremental_table_load(table: versions.BucketedTable, extract: DataFrame, spec: LoadSpec, mode: str = "INCREMENTAL",
+                           load_ts=None, order: Sequence | None = None, batch_size: int = 10_000) -> list[int]:
+    """``incremental_load`` into a stored table: the mark comes from the version file, so nothing
+    of the target is read before the extract; the merge then rewrites the touched buckets and
+    publishes them with their new marks at once.  Returns those buckets."""
+    since = table.log.version()
+    src = extract
+    if mode == "INCREMENTAL" and spec.watermark:
+        src = after_mark(src, spec.watermark, table.mark(versions.Mark(spec.watermark), since))
+    return _merge_into(table, clean_special_for(spec.table, src), spec, since, load_ts, order, batch_size)
+
+
+def incremental_requests_into(table: versions.BucketedTable, extracts: dict[str, DataFrame], origin: str = "CAMUNDA",
+                              load_ts=None) -> list[int]:
+    """``incremental_requests`` into a stored table, each status past its own stored mark."""
+    spec = LOAD_SPECS["camunda_operatividad"]
+    since = table.log.version()
+    cleaned = []
+    for priority, (status, extract) in enumerate(extracts.items()):
+        mark = table.mark(versions.Mark(spec.watermark, "estado", status), since)
+        cleaned.append(clean_request_source(after_mark(extract, spec.watermark, mark), origin, priority))
+    return _merge_into(table, integrate_requests(cleaned), spec, since, load_ts, None, 0)

@@ -7,11 +7,12 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.dates import ntz_literal
-from ledgerlake.operators import merge
+from ledgerlake.operators import merge, versions
 from ledgerlake.plans import bronze, standins
 from ledgerlake.plans.registry import query
 from ledgerlake.plans.tables import Tables
 from ledgerlake.plans.warehouse_sql import STANDINS
+from ledgerlake.session import scratch_path
 
 # --- fixed values (query parameters) ------------------------------------------------
 FIRST_LOAD_TS = dt.datetime(2024, 1, 1)
@@ -19,6 +20,7 @@ SECOND_LOAD_TS = dt.datetime(2024, 2, 1)
 CUTOFF = dt.datetime(1998, 1, 1)
 FIRST_LINE_ID = 5000
 FIRST_CUSTOMERS = FIRST_SELLERS = 50
+STORED_BUCKETS = 8
 # --------------------------------------------------------------------------------------
 
 
@@ -216,3 +218,26 @@ def bronze_requests_incremental(spark, sf_dir):
     found = bronze.incremental_requests(
         target, {s: ext.where(F.col("estado") == s).drop("stored") for s in bronze.REQUEST_STATUSES}, load_ts=SECOND_LOAD_TS)
     return found.select("id_tramite", "serial_firma", "factura", "fecha_factura", "estado", "origen", "creation_date", "update_date")
+
+
+@query("bronze_stored_marks", "M-20 O-09 O-52 O-93", sql=_sql(f"""
+SELECT 0 AS run, numfac, total, emision AS fecha_hora, {_stamped(f"emision <= TIMESTAMP '{CUTOFF}'")} FROM bronze_facturas_t
+UNION ALL SELECT 1, NULL, NULL, max(emision), NULL, NULL FROM bronze_facturas_t WHERE emision <= TIMESTAMP '{CUTOFF}'
+UNION ALL SELECT unnest([2, 3]), NULL, NULL, max(emision), NULL, NULL FROM bronze_facturas_t"""))
+def bronze_stored_marks(spark, sf_dir):
+    """Three runs of the invoice load into a stored table: an initial one, one past the first mark and
+    one that finds nothing new.  Run 0 is the table, the others the mark after each run."""
+    ext = standins.bronze_invoices(Tables(spark, sf_dir))
+    spec = bronze.LOAD_SPECS["fenix_facturas"]
+    schema = merge.with_audit_columns(ext, FIRST_LOAD_TS).schema
+    table = bronze.stored_table(versions.VersionLog(spark, scratch_path(spark, "marks")), spec, schema, STORED_BUCKETS)
+    out = None
+    for run, (part, stamp) in enumerate(((ext.where(F.col("fecha_hora") <= ntz_literal(CUTOFF)), FIRST_LOAD_TS),
+                                         (ext, SECOND_LOAD_TS), (ext, SECOND_LOAD_TS)), 1):
+        bronze.incremental_table_load(table, part, spec, "INCREMENTAL", stamp)
+        kept = {"run": F.lit(run), "fecha_hora": table.mark(table.marks[0])}
+        row = spark.range(1).select(*[kept[c].alias(c) if c in kept else F.lit(None).cast(schema[c].dataType).alias(c)
+                                      for c in ("run", "numfac", "total", "fecha_hora", merge.CREATION_COL, merge.UPDATE_COL)])
+        out = row if out is None else out.unionByName(row)
+    return out.unionByName(table.read().select(F.lit(0).alias("run"), "numfac", "total", "fecha_hora",
+                                               merge.CREATION_COL, merge.UPDATE_COL))

@@ -97,6 +97,115 @@ def test_merge_into_buckets_equals_the_whole_merge(spark, tmp_dir):
     assert table.merge(rows(spark, [])) == [] and table.log.version() == 2
 
 
+KINDS = "k long, i int, s string, d date, n timestamp_ntz, t timestamp, c decimal(20,4)"
+
+
+def test_marks_of_every_type_follow_the_table(spark, tmp_dir):
+    """Raised, lowered and removed highest values, after merges of all and of some buckets."""
+    kinds = T.StructType.fromDDL(KINDS)
+    marks = [versions.Mark(c) for c in kinds.names] + [versions.Mark("n", "s", "x1")]
+    table = versions.BucketedTable(versions.VersionLog(spark, tmp_dir), "t", kinds, ["k"], 16, marks)
+    assert table.mark(marks[0]) is None
+
+    def rows_of(ids, shift):
+        v = F.when(F.col("id") % 7 != 3, F.col("id") * 3 - shift).cast("int")
+        at = F.expr("timestamp_ntz'2023-03-26 01:59:59.5'") + F.make_dt_interval(hours=v)
+        return spark.createDataFrame([(i,) for i in ids], "id long").select(
+            F.col("id").alias("k"), v.alias("i"), F.when(v.isNotNull(), F.concat(F.lit("x"), (F.col("id") % 3).cast("string"))).alias("s"),
+            F.date_add(F.lit("2023-12-30").cast("date"), v).alias("d"), at.alias("n"), at.cast("timestamp").alias("t"),
+            (v.cast("decimal(20,4)") / 7).cast("decimal(20,4)").alias("c"))
+
+    for ids, shift in ((range(100), 0), ([99], 500), (range(90, 99), 1000), ([200], 0), ([200], 900)):
+        table.merge(rows_of(ids, shift))
+        for m in marks:
+            want = table.read().agg(m.expression().alias("m"))
+            got = spark.range(1).select(table.mark(m).alias("m"))
+            assert got.schema["m"].dataType == want.schema["m"].dataType and got.collect() == want.collect(), m
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    want = table.read().agg(F.unix_micros(F.max("t"))).first()[0]
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kathmandu")
+        assert spark.range(1).select(F.unix_micros(table.mark(versions.Mark("t")))).first()[0] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_marks_of_nothing_and_refused_ones(spark, tmp_dir):
+    log = versions.VersionLog(spark, tmp_dir)
+    table = versions.BucketedTable(log, "t", SCHEMA, ["k"], 4, [versions.Mark("b")])
+    table.merge(rows(spark, [(1, "a", None)]))
+    assert table.mark(versions.Mark("b")) is None           # only NULLs
+    table.merge(rows(spark, []), notes={"x": 1})            # no rows: the marks stay
+    assert table.mark(versions.Mark("b")) is None
+    with pytest.raises(KeyError, match="keeps no mark"):
+        table.mark(versions.Mark("a"))
+    with pytest.raises(ValueError, match="without the marks"):
+        versions.BucketedTable(log, "t", SCHEMA, ["k"], 4, [versions.Mark("a")]).merge(rows(spark, [(2, "b", 1)]))
+    with pytest.raises(TypeError, match="no marks"):
+        versions.BucketedTable(log, "u", T.StructType([T.StructField("x", T.DoubleType())]), ["x"], 4, [versions.Mark("x")])
+
+
+def test_stored_load_reads_nothing_of_the_target_before_the_extract(spark, tmp_dir, monkeypatch):
+    from ledgerlake.plans import bronze, standins
+    from ledgerlake.plans.tables import Tables
+    from tests.conftest import SMALL_SF
+    spec = bronze.LOAD_SPECS["fenix_facturas"]
+    ext = standins.bronze_invoices(Tables(spark, SMALL_SF))
+    schema = merge.with_audit_columns(ext).schema
+    table = bronze.stored_table(versions.VersionLog(spark, tmp_dir), spec, schema, 8)
+    early = ext.where(F.col("fecha_hora") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    bronze.incremental_table_load(table, early, spec)
+    steps = []
+    merge_rows, read = versions.BucketedTable.merge, versions.BucketedTable.read
+
+    def note_merge(self, source, *a, **k):
+        steps.append(("merge", source.count()))
+        return merge_rows(self, source, *a, **k)
+    monkeypatch.setattr(versions.BucketedTable, "merge", note_merge)
+    monkeypatch.setattr(versions.BucketedTable, "read", lambda self, *a, **k: steps.append(("read", a[0] if a else None)) or read(self, *a, **k))
+    touched = bronze.incremental_table_load(table, ext, spec)
+    later = ext.count() - early.count()
+    assert steps == [("merge", later), ("read", touched)]
+    plan = bronze.after_mark(ext, "fecha_hora", table.mark(table.marks[0]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "ScalarSubquery" not in plan and "subquery" not in plan
+    # the same rows as the load that aggregates the target
+    want = bronze.incremental_load(bronze.incremental_load(merge.with_audit_columns(ext.where("false")), early, spec), ext, spec)
+    assert content(table.read().select(*ext.columns)) == content(want.select(*ext.columns))
+
+
+def test_stored_requests_load_equals_the_lazy_one(spark, tmp_dir):
+    """Each status past its own mark; a request that changes its status takes the old mark with it."""
+    from ledgerlake.plans import bronze
+    cols = ("id_tramite int, origen string, factura string, serial_firma string, cedula string, fecha_aprobacion string, ruc string, "
+            "tipo_firma string, fecha_inicio_tramite string, ruc_aux string, medio string, sf_control string, producto string, "
+            "estado string, fecha_factura string")
+
+    def extract(*data):
+        made = [(i, f"f{i}", f"s{i}", status, f"{day} 08:30:00") for i, status, day in data]
+        df = spark.createDataFrame(made, "id_tramite int, factura string, serial_firma string, estado string, fecha_factura string")
+        return df.select(*[df[f.name] if f.name in df.columns else F.lit(None).cast("string").alias(f.name)
+                           for f in T.StructType.fromDDL(cols).fields if f.name != "origen"])
+
+    runs = [{"APROBADO": extract((1, "APROBADO", "2024-01-05"), (2, "APROBADO", "2024-01-09")),
+             "NO APROBADO": extract((3, "NO APROBADO", "2024-01-20"))},
+            {"APROBADO": extract((4, "APROBADO", "2024-01-07"), (5, "APROBADO", "2024-01-10")),
+             "NO APROBADO": extract((2, "NO APROBADO", "2024-01-21"), (6, "NO APROBADO", "2024-01-12"))},
+            {"APROBADO": extract((4, "APROBADO", "2024-01-10"), (7, "APROBADO", "2024-01-11")),
+             "NO APROBADO": extract()}]
+    spec = bronze.LOAD_SPECS["camunda_operatividad"]
+    first = bronze.integrate_requests([bronze.clean_request_source(d, "CAMUNDA", i) for i, d in enumerate(runs[0].values())])
+    empty = merge.with_audit_columns(first.where("false"))
+    table = bronze.stored_table(versions.VersionLog(spark, tmp_dir), spec, empty.schema, 8)
+    lazy, names = empty, [c for c in empty.columns if c not in (merge.CREATION_COL, merge.UPDATE_COL)]
+    for run in runs:
+        bronze.incremental_requests_into(table, run)
+        lazy = bronze.incremental_requests(lazy, run)
+        assert content(table.read().select(*names)) == content(lazy.select(*names))
+        marks = bronze.requests_watermarks(lazy)
+        for m in table.marks:
+            assert spark.range(1).select(table.mark(m)).first()[0] == marks[m.value]
+
+
 @pytest.mark.parametrize("size, kept, failed", [(1, None, None), (7, 14, 3), (1000, 0, 1)])
 def test_batches_before_a_refused_one_stay(spark, tmp_dir, size, kept, failed):
     data = [(i, "first", i) for i in range(40)]
