@@ -7,12 +7,15 @@ bounded by the number of checks, not by the data.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ledgerlake.session import cut_lineage
+
 ERROR = "error"
 WARN = "warn"
 
@@ -78,9 +81,27 @@ def _orphan_counts(child: DataFrame, checks: Sequence[Check], models: dict[str,
                      for i, ch in enumerate(checks)])
 
 
-def run_checks(checks: Sequence[Check], models: dict[str, DataFrame]) -> DataFrame:
+def write_counting_nulls(df: DataFrame, columns: Sequence[str], name: str) -> tuple[DataFrame, dict[str, int]]:
+    """``cut_lineage`` and the number of NULLs of some columns, counted while the rows are written.
+
+    The count sits right before the write, in the job's last stage, where Spark takes the figures
+    of one finished attempt a task: a lost executor does not make it higher.
+    """
+    columns = list(dict.fromkeys(columns))
+    if not columns:
+        return cut_lineage(df, name), {}
+    seen = Observation(f"nulls-{uuid.uuid4().hex}")
+    out = cut_lineage(df.observe(seen, *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]), name)
+    found = seen.get
+    return out, {c: found[f"n{i}"] for i, c in enumerate(columns)}
+
+
+def run_checks(checks: Sequence[Check], models: dict[str, DataFrame],
+               null_counts: dict[tuple[str, str], int] | None = None) -> DataFrame:
     """One report row per check.  All not-null checks of a model share one scan, and so do all
-    relationships of a child; a unique check reads its own column alone."""
+    relationships of a child; a unique check reads its own column alone.  ``null_counts`` holds the
+    NULLs of (model, column) known from writing the model: those checks read nothing."""
+    known = null_counts or {}
     by_model: dict[str, list[Check]] = {}
     relations: dict[str, list[Check]] = {}
     for ch in checks:
@@ -90,17 +111,22 @@ def run_checks(checks: Sequence[Check], models: dict[str, DataFrame]) -> DataFra
     frames = []
     for model, chs in by_model.items():
         unique = list(dict.fromkeys(ch.column for ch in chs if ch.kind == "unique"))
-        filled = list(dict.fromkeys(ch.column for ch in chs if ch.kind == "not_null"))
+        filled = list(dict.fromkeys(ch.column for ch in chs if ch.kind == "not_null" and (model, ch.column) not in known))
         for column in unique:
             rows = [F.struct(*_report_row(ch, F.col("__ll_dup"))) for ch in chs if ch.kind == "unique" and ch.column == column]
             frames.append(_repeated_values(models[model], column).select(F.inline(F.array(*rows))))
         if filled:
             counts = models[model].agg(*[F.count_if(F.col(c).isNull()).alias(f"__ll_{c}") for c in filled])
-            rows = [F.struct(*_report_row(ch, F.col(f"__ll_{ch.column}"))) for ch in chs if ch.kind == "not_null"]
+            rows = [F.struct(*_report_row(ch, F.col(f"__ll_{ch.column}"))) for ch in chs if ch.kind == "not_null" and ch.column in filled]
             frames.append(counts.select(F.inline(F.array(*rows))))
     for model, chs in relations.items():
         counts = _orphan_counts(models[model], chs, models)
         frames.append(counts.select(F.inline(F.array(*[F.struct(*_report_row(ch, F.col(f"__ll_n{i}"))) for i, ch in enumerate(chs)]))))
+    written = [F.struct(*_report_row(ch, F.lit(known[ch.model, ch.column])))
+               for ch in checks if ch.kind == "not_null" and (ch.model, ch.column) in known]
+    if written:
+        spark = next(iter(models.values())).sparkSession
+        frames.append(spark.range(1).select(F.inline(F.array(*written))))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

@@ -11,25 +11,27 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.operators.quality import write_counting_nulls
 from ledgerlake.operators.versions import KeyRegistry, VersionLog
-from ledgerlake.plans import gold, marts, silver, standins
+from ledgerlake.plans import checks, gold, marts, silver, standins
 from ledgerlake.plans.config import WarehouseConfig
 from ledgerlake.plans.tables import Tables
 from ledgerlake.sources import calendar
-from ledgerlake.session import cut_lineage, run_folder
+from ledgerlake.session import run_folder
 
 
 def layer(fn=None, *, cut: bool = True):
     """Build a layer once per warehouse.  Layers with joins, windows or key numbering are
     written as Parquet into the shared ``spark.checkpoint.dir`` and read back, so
     downstream plans start from files and a lost executor recomputes one layer only;
-    single-scan projections (``cut=False``) are cheaper to recompute than to write."""
+    single-scan projections (``cut=False``) are cheaper to recompute than to write.  The NULLs that
+    the declared checks ask for are counted on the way (``Warehouse.null_counts``)."""
     def deco(f):
         @functools.wraps(f)
         def wrapper(self):
             if f.__name__ not in self._memo:
                 df = f(self)
-                self._memo[f.__name__] = cut_lineage(df, f.__name__) if (self.cut and cut) else df
+                self._memo[f.__name__] = self._written(df, f.__name__, f.__name__) if (self.cut and cut) else df
             return self._memo[f.__name__]
         return wrapper
     return deco(fn) if fn is not None else deco
@@ -39,14 +41,14 @@ class _Seeds(dict):
     """Seeds, each written once on first use (they are derived by joins of the source
     tables; written, their exact small size lets AQE broadcast them)."""
 
-    def __init__(self, lazy: dict, cut: bool):
+    def __init__(self, lazy: dict, write=None):
         super().__init__()
-        self._lazy, self._cut = lazy, cut
+        self._lazy, self._write = lazy, write
 
     def __getitem__(self, name):
         if not dict.__contains__(self, name):
             df = self._lazy[name]
-            dict.__setitem__(self, name, cut_lineage(df, f"seed_{name}") if self._cut else df)
+            dict.__setitem__(self, name, df if self._write is None else self._write(df, f"seed_{name}", name))
         return dict.__getitem__(self, name)
 
     def keys(self):
@@ -89,9 +91,17 @@ class Warehouse:
         if missing:
             raise ValueError("missing warehouse inputs: " + ", ".join(missing))
         self.bronze, self.config = dict(bronze), config
-        self.seeds = _Seeds(dict(seeds), cut)
+        self.seeds = _Seeds(dict(seeds), self._written if cut else None)
         self.cut = cut
         self._memo: dict = {}
+        #: NULLs of (model, column), counted when the model was written.
+        self.null_counts: dict[tuple[str, str], int] = {}
+
+    def _written(self, df: DataFrame, name: str, model: str) -> DataFrame:
+        columns = [ch.column for ch in checks.WAREHOUSE_CHECKS if ch.kind == "not_null" and ch.model == model]
+        out, nulls = write_counting_nulls(df, columns, name)
+        self.null_counts.update({(model, c): n for c, n in nulls.items()})
+        return out
 
     # dependency waves: every layer of a wave only needs layers of earlier waves
     WAVES = (("seeds", "s_requests", "d_customers", "d_sellers", "d_codes"),
@@ -277,7 +287,7 @@ def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets:
     with run_folder(spark):
         w = Warehouse(spark, sf_dir, cut=False, bronze=bronze, seeds=seeds, strict=strict, config=config,
                       previous=known | (previous or {}))
-        w.seeds = _Seeds(w.seeds._lazy, cut=True)
+        w.seeds = _Seeds(w.seeds._lazy, w._written)
         buckets = buckets or bucket_count(w.s_lines())
         tables: dict[str, dict] = {}
         for layer_name, name, key in TABLES:

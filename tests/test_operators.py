@@ -287,6 +287,26 @@ def test_quality_report_and_enforce(spark):
         quality.enforce(rep)
 
 
+def test_nulls_counted_while_writing_replace_the_scan(spark):
+    df = spark.range(1000, numPartitions=7).select(
+        F.col("id"), F.when(F.col("id") % 4 != 1, F.col("id")).alias("p"), F.lit(None).cast("string").alias("q"))
+    out, nulls = quality.write_counting_nulls(df.repartition(5, "p"), ["p", "id", "q", "p"], "nulls")
+    assert nulls == {"p": 250, "id": 0, "q": 1000} and out.count() == 1000
+    none, nulls = quality.write_counting_nulls(df.where("id < 0"), ["p"], "nulls")
+    assert nulls == {"p": 0} and none.count() == 0 and none.columns == df.columns
+    assert quality.write_counting_nulls(df, [], "nulls")[1] == {}
+    literal = spark.createDataFrame([], "p string")             # a plan that is empty before it runs
+    assert quality.write_counting_nulls(literal, ["p"], "nulls")[1] == {"p": 0}
+    checks = [quality.Check("not_null", "m", "p", quality.WARN), quality.Check("not_null", "m", "q"), quality.Check("unique", "m", "id")]
+    want = rows(quality.run_checks(checks, {"m": out}), "check", "column", "severity", "failures")
+    for known in ({("m", "p"): 250}, {("m", "p"): 250, ("m", "q"): 1000}):
+        got = quality.run_checks(checks, {"m": out}, known)
+        assert rows(got, "check", "column", "severity", "failures") == want
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 3 - len(known)
+    assert quality.run_checks(checks[:1], {"m": out}, {("m", "p"): 250}).first()["failures"] == 250
+
+
 def test_materialisations_and_snapshot_write(spark, tmp_dir):
     import os
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
