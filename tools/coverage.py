@@ -39,11 +39,11 @@ IMPL = {
     "O-46": "plans.marts (total_factura)", "O-47": "plans.silver.invoices (blank document fallback)",
     "O-48": "DataFrame.join", "O-48b": "operators.branches.role_lookup (one scan for all roles)",
     "O-48c": "plans.gold.fact_staging (left joins)", "O-48d": "operators.joins.full_override",
-    "O-48e": "composite-key DataFrame.join", "O-48f": "operators.joins.interval_join",
+    "O-48e": "composite-key DataFrame.join", "O-48f": "operators.joins.interval_join / binned_interval_join",
     "O-48g": "operators.joins.effective_join", "O-48h": "operators.joins.validity_window",
     "O-48i": "operators.joins.lookup_default / attach_default_row (scalar subquery)",
     "O-49": "operators.joins.anti_join", "O-50": "operators.joins.exists_in / semi_or (ExistenceJoin)",
-    "O-51": "operators.joins.join_back_aggregate", "O-52": "operators.aggregates.high_water_mark(_frame, _by)",
+    "O-51": "operators.joins.join_back_aggregate", "O-52": "operators.aggregates.high_water_mark(_frame, _by), operators.versions.BucketedTable.mark",
     "O-53": "groupBy + max (plans.gold.inherit_credit_note_group)", "O-54": "operators.aggregates.group_sum",
     "O-55": "DataFrame.distinct", "O-56": "operators.dedup.keep_first (map-side WindowGroupLimit; salted two-phase fallback)",
     "O-57": "plans.silver.first_request_per_invoice", "O-58": "plans.gold.dim_invoices (sale type pick)",
@@ -68,7 +68,7 @@ IMPL = {
     "O-88": "Column.isNotNull", "O-89": "operators.keys.dense_keys / stable_keys",
     "O-90": "operators.transforms.chain", "O-91": "every transform is a plain DataFrame -> DataFrame function",
     "O-92": "native Column expressions (no Python UDF)", "O-93": "plans.q_merge.incremental_refresh, streaming.incremental",
-    "O-94": "operators.quality.unique_failures", "O-95": "operators.quality.not_null_failures",
+    "O-94": "operators.quality.unique_failures", "O-95": "operators.quality.not_null_failures / write_counting_nulls",
     "O-96": "operators.quality.relationship_failures", "O-97": "operators.quality.run_checks / enforce, plans.checks",
     "O-98": "guards: merge.persist, transforms.require_columns / union_by_name",
     "M-01": "plans.silver.requests", "M-02": "plans.silver.articles", "M-03": "plans.silver.customers",
