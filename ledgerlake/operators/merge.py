@@ -203,7 +203,18 @@ def latest_rows(batched: DataFrame, keys: Sequence[str]) -> DataFrame:
             .unionByName(batched.where(~_present(keys)).drop(SEQ, BATCH)))
 
 
-def resolve_batches(source: DataFrame, keys: Sequence[str], order: Sequence[Column],
+def last_by_columns(source: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The last row of each key by ascending ``order`` columns (NULLs first), and all rows with a NULL
+    key.  A partial aggregate: one row a key and task is shuffled, and no row is numbered."""
+    lead = [c for c in order if c not in keys]
+    rest = [c for c in source.columns if c not in (*keys, *lead)]
+    last = (source.where(_present(keys)).groupBy(*keys)
+            .agg(F.max(F.struct(*[F.col(f"`{c}`") for c in (*lead, *rest)])).alias("__ll_row")))
+    return (last.select(*[F.col(f"`{c}`") if c in keys else F.col("__ll_row").getField(c).alias(c) for c in source.columns])
+            .unionByName(source.where(~_present(keys))))
+
+
+def resolve_batches(source: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                     batch_size: int = 10_000, num_partitions: int | None = None) -> DataFrame:
     """Reproduce the batched loader in one plan (O-21): rows are cut into batches of
     ``batch_size`` in extract ``order`` (a total order); a key repeated inside one batch
@@ -212,8 +223,14 @@ def resolve_batches(source: DataFrame, keys: Sequence[str], order: Sequence[Colu
 
     A row with a NULL in its key never conflicts (a UNIQUE constraint treats NULLs as
     distinct, T-12): such rows are numbered with the others, so the batch boundaries do
-    not move, and then bypass the duplicate check and the keep-last."""
+    not move, and then bypass the duplicate check and the keep-last.
+
+    ``order`` may be column names (ascending, NULLs first).  Batches of one row then need no numbers:
+    the last row of a key is its greatest by those columns (all columns must be orderable)."""
     keys = list(keys)
+    if batch_size == 1 and all(isinstance(c, str) for c in order):
+        return last_by_columns(source, keys, order)      # no batch can hold a key twice
+    order = [F.col(c).asc() if isinstance(c, str) else c for c in order]
     batched = number_batches(source, order, batch_size, num_partitions)
     last = latest_rows(batched, keys)
     if batch_size == 1:                     # no batch can hold a key twice
@@ -226,7 +243,7 @@ def resolve_batches(source: DataFrame, keys: Sequence[str], order: Sequence[Colu
 
 def persist(target: DataFrame | None, source: DataFrame, mode: PersistMode | str,
             keys: Sequence[str] | None = None, update_cols: Sequence[str] | None = None,
-            load_ts=None, audit: bool = False, order: Sequence[Column] | None = None,
+            load_ts=None, audit: bool = False, order: Sequence[Column | str] | None = None,
             batch_size: int = 10_000) -> DataFrame:
     """One entry point for the three persistence modes with the loader's guards
     (O-20, O-98): bad mode, missing conflict columns -> ValueError; NaN -> NULL first.

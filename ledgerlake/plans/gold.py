@@ -288,9 +288,16 @@ FACT_COLUMNS = ("id_factura", "fecha_emision", "id_cliente", "id_vendedor", "id_
                 "grupo_vendedor", "descuento_articulo", "subtotal_articulo", "total_iva", "fecha_emision_fenix")
 
 
-def fact_billing(stg: DataFrame) -> DataFrame:
-    """M-14 tail: credit-note inheritance -> cents allocation -> VAT per line."""
-    x = allocate_cents(inherit_credit_note_group(stg))
+def fact_billing(stg: DataFrame, buckets: int | None = None) -> DataFrame:
+    """M-14 tail: credit-note inheritance -> cents allocation -> VAT per line.
+
+    With ``buckets`` the lines are dealt to that many partitions by invoice first: the invoice
+    sums and their re-attachment then need no exchange, and the result is in the layout of a
+    table bucketed by ``id_factura``."""
+    x = inherit_credit_note_group(stg)
+    if buckets:
+        x = x.repartition(buckets, "id_factura")
+    x = allocate_cents(x)
     vat = numeric.round_half_up(F.col("subtotal_articulo") * F.col("porcentaje_iva")
                                 * F.lit(CENT), 2).cast("decimal(18,2)")
     return x.withColumn("total_iva", vat).select(*FACT_COLUMNS)

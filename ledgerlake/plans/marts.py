@@ -67,8 +67,8 @@ def sales(fact: DataFrame, dco: DataFrame, dinv: DataFrame, dart: DataFrame,
                     F.col("familia_producto").alias("__dc_fam"), F.col("plan").alias("__dc_plan"),
                     F.col("concepto_1").alias("__dc_c1"))
     d = dinv.select(F.col("id_factura").alias("__df_id"))
-    sf_invoices = (fact.join(dc, fact.id_codigo == F.col("__dc_id")).join(d, fact.id_factura == F.col("__df_id"))
-                   .where(F.col("__dc_fam") == BILLING_FAMILY)
+    sf_invoices = (fact.join(dc.where(F.col("__dc_fam") == BILLING_FAMILY), fact.id_codigo == F.col("__dc_id"))
+                   .join(d, fact.id_factura == F.col("__df_id"), "left_semi")
                    .select(F.col("id_factura").alias("__sf_id"), "__dc_vig", "__dc_fam", "__dc_plan", "__dc_c1")
                    .distinct())
     sf_with_article = sf_invoices.join(

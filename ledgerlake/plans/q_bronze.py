@@ -12,7 +12,7 @@ from ledgerlake.plans import bronze, standins
 from ledgerlake.plans.registry import query
 from ledgerlake.plans.tables import Tables
 from ledgerlake.plans.warehouse_sql import STANDINS
-from ledgerlake.session import scratch_path
+from ledgerlake.session import cut_lineage, scratch_path
 
 # --- fixed values (query parameters) ------------------------------------------------
 FIRST_LOAD_TS = dt.datetime(2024, 1, 1)
@@ -97,12 +97,12 @@ def bronze_requests_load(spark, sf_dir):
 
 
 def _two_runs(table: str, first, second, load_order=None):
-    """Snapshot after an initial run of ``first`` and an incremental run of ``second``."""
+    """Snapshot after an initial run of ``first`` and an incremental run of ``second``.  The first
+    snapshot is stored, as between two scheduled runs, and its mark and rows are read from there."""
     spec = bronze.LOAD_SPECS[table]
-    order = None if load_order is None else [F.col(c).asc() for c in load_order]
-    empty = merge.with_audit_columns(first.where(F.lit(False)), FIRST_LOAD_TS)
-    one = bronze.incremental_load(empty, first, spec, "INICIAL", FIRST_LOAD_TS, order, 1)
-    return bronze.incremental_load(one, second, spec, "INCREMENTAL", SECOND_LOAD_TS, order, 1)
+    empty = first.sparkSession.createDataFrame([], merge.with_audit_columns(first, FIRST_LOAD_TS).schema)
+    one = cut_lineage(bronze.incremental_load(empty, first, spec, "INICIAL", FIRST_LOAD_TS, load_order, 1), "bronze-" + table)
+    return bronze.incremental_load(one, second, spec, "INCREMENTAL", SECOND_LOAD_TS, load_order, 1)
 
 
 def _sql(select: str) -> str:

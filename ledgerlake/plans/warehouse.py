@@ -94,6 +94,8 @@ class Warehouse:
         self.seeds = _Seeds(dict(seeds), self._written if cut else None)
         self.cut = cut
         self._memo: dict = {}
+        #: Partitions by invoice that the fact is dealt to (None: as Spark plans it).
+        self.fact_buckets: int | None = None
         #: NULLs of (model, column), counted when the model was written.
         self.null_counts: dict[tuple[str, str], int] = {}
 
@@ -210,7 +212,7 @@ class Warehouse:
 
     @layer
     def fact(self):
-        return gold.fact_billing(self.staging())
+        return gold.fact_billing(self.staging(), self.fact_buckets)
 
     @layer
     def d_dates(self):
@@ -249,7 +251,7 @@ TABLES = (("s_requests", "silver_camunda_operatividad", None), ("s_articles", "s
           ("d_sellers", "gold_dim_vendedores", None), ("d_codes", "gold_dim_codigos", None),
           ("d_invoices", "gold_dim_facturas", "codigo_factura"), ("d_dates", "gold_dim_fecha", None),
           ("commercial_docs", "gold_documentos_comerciales", None), ("agent_docs", "gold_documentos_agentes", None),
-          ("staging", "gold_fact_staging", None), ("fact", "gold_fact_facturacion", None))
+          ("staging", "gold_fact_staging", None), ("fact", "gold_fact_facturacion", "id_factura"))
 
 
 #: Dimensions with surrogate keys: layer -> (natural key, id), for the key registry.
@@ -273,7 +275,9 @@ def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets:
     Silver invoice headers, lines and the invoice dimension are stored bucketed by the
     invoice key with the same bucket count, so the header x line x invoice-dimension
     joins of the fact read all three in place (co-located, no shuffle of the largest
-    table).  ``buckets`` defaults to about 1 GB of lines a bucket.  Marts stay views over the fact.
+    table).  The fact is stored bucketed by its invoice id, in the layout its cents allocation
+    leaves, so the marts join it to the invoice dimension in place: only the dimension's ids move.
+    ``buckets`` defaults to about 1 GB of lines a bucket.  Marts stay views over the fact.
 
     Surrogate ids come from the key registry in ``out_dir``: known natural keys keep theirs, also
     after years away.  ``previous`` maps dimension layers to (id, natural key) snapshots that take
@@ -289,6 +293,7 @@ def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets:
                       previous=known | (previous or {}))
         w.seeds = _Seeds(w.seeds._lazy, w._written)
         buckets = buckets or bucket_count(w.s_lines())
+        w.fact_buckets = buckets
         tables: dict[str, dict] = {}
         for layer_name, name, key in TABLES:
             df = getattr(w, layer_name)()
@@ -298,8 +303,9 @@ def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets:
                 continue
             folder = log.folder(name)
             stored = f"{database}.{folder.split('/')[1].replace('-', '_')}"
-            # one writer task per bucket, so each bucket is one file
-            (df.repartition(buckets, key).write.option("path", log.path(folder))
+            # one writer task per bucket, so each bucket is one file; the fact is in that layout
+            laid = df if layer_name == "fact" else df.repartition(buckets, key)
+            (laid.write.option("path", log.path(folder))
              .bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(stored))
             tables[name] = {"folders": [folder], "stored": stored}
             w._memo[layer_name] = spark.table(stored)

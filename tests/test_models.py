@@ -1,6 +1,7 @@
 """Warehouse models on hand-made bronze rows (the edge cases of FIXTURES §7)."""
 
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
@@ -150,6 +151,14 @@ def test_materialize_job_equals_lazy_fact(spark, tmp_dir):
         j = inv.join(lns, "codigo_factura").join(dinv, F.col("codigo_factura") == F.col("df_cf"))
         plan = j._jdf.queryExecution().executedPlan().toString()
         assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan
+        # the fact is one file a bucket and meets the dimension where it lies: only ids of that move
+        assert len([f for f in os.listdir(paths["gold_fact_facturacion"]) if f.endswith(".parquet")]) <= 4
+        for mart in ("mart_fact_facturacion_convenios", "mart_dim_facturas_convenios"):
+            plan = spark.table(mart)._jdf.queryExecution().executedPlan().toString()
+            moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+            assert "SortMergeJoin" in plan and moved and not any("__f_id" in line for line in moved), plan
+            if mart == "mart_fact_facturacion_convenios":
+                assert len(moved) == 1 and "__df_id" in moved[0]
     finally:
         for k, v in saved.items():
             if v is None:

@@ -265,3 +265,16 @@ def test_registry_never_reuses_an_id(spark, tmp_dir, monkeypatch):
             assert given.setdefault(r.k, r.id) == r.id
     assert given == {"A": 1, "B": 2, "C": 3, "D": 4, "E": 5, "Z": 6}
     assert len(reg._folders(reg.log.version())) <= 4
+
+
+def test_one_row_batches_need_no_numbers(spark):
+    """Order names with batches of one row: the greatest row of a key, as by numbered batches."""
+    data = [("a", 1, "x"), ("a", 3, "y"), ("a", None, "z"), (None, 1, "n"), (None, 1, "n"), ("b", None, None), ("b", 2, "w")]
+    src = spark.createDataFrame(data, "k string, seq int, v string")
+    by_name = merge.resolve_batches(src, ["k"], ["seq", "v"], 1)
+    numbered = merge.resolve_batches(src, ["k"], [F.col("seq").asc(), F.col("v").asc()], 1)
+    key = lambda r: str(tuple(r))
+    assert sorted(by_name.collect(), key=key) == sorted(numbered.collect(), key=key)
+    assert sorted(map(tuple, by_name.where("k is not null").collect())) == [("a", 3, "y"), ("b", 2, "w")]
+    assert "Window" not in by_name._jdf.queryExecution().executedPlan().toString()
+    assert merge.resolve_batches(src.limit(0), ["k"], ["seq"], 1).count() == 0
