@@ -48,6 +48,8 @@ SEGMENT = 1 << 18
 SHALLOW = 64
 #: Suffixes sorted together in a task.
 CHUNK_ROWS = 16384
+#: Contexts and texts a sending task remembers; then it starts anew and sends a few rows more.
+MEMO_ROWS = 1 << 18
 
 _MULT = 0x9E3779B97F4A7C15 | 1
 _U = np.uint64
@@ -345,8 +347,8 @@ def _has(packed: np.ndarray, slot: np.ndarray) -> np.ndarray:
     return (packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
 
 
-def _send(repeated, crowded):
-    """Anchors that may repeat, with their contexts.  Within a task a context is sent once, and
+def _send(repeated, crowded, memo_rows: int):
+    """Anchors that may repeat, with their contexts.  While a task remembers it, a context is sent once, and
     once more without its bytes when it occurs again; further occurrences are settled here.  A
     text with copies in the task is settled by one row."""
     def run(batches):
@@ -366,6 +368,9 @@ def _send(repeated, crowded):
                             texts_seen[key] = True
                             _settle(cols, task, key, 0, len(text))
                         continue
+                    # forgetting is exact: what occurs again is sent again and counted there
+                    if len(texts_seen) >= memo_rows:
+                        texts_seen.clear()
                     texts_seen[key] = False
                     some = _has(may, _slot(h, FILTER_BITS))
                     at, h = at[some], h[some]
@@ -376,6 +381,8 @@ def _send(repeated, crowded):
                         cid = hashlib.blake2b(ctx, digest_size=16, key=bytes([p - a])).digest()
                         times = seen.get(cid, 0)
                         if times < 2:
+                            if len(seen) >= memo_rows:
+                                seen.clear()
                             seen[cid] = times + 1
                             g = int.from_bytes(cid[:8], "little", signed=True) if crowd else x
                             _row(cols, CROWDED if crowd else GROUPED, g, x, cid, ctx if not times else None, p - a, key, p)
@@ -405,23 +412,38 @@ _FOUND = pa.schema([("pending", pa.bool_()), ("tkey", pa.binary()), ("start", pa
                     ("pos", pa.int32()), ("alone", pa.bool_())])
 
 
+def _whole_groups(batches, keys: list[str]):
+    """Tables of at least CHUNK_ROWS rows (but for the last) that cut no group of equal ``keys``, from
+    batches sorted by them.  Each batch is looked at once, however many a group goes through."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(batch.num_rows, bool)               # a row that starts a group
+        for c in cols:
+            new[1:] |= c[1:] != c[:-1]
+        if held:
+            last = held[-1]
+            new[0] = any(last.column(last.schema.get_field_index(k))[-1].as_py() != c[0] for k, c in zip(keys, cols, strict=True))
+        starts = np.flatnonzero(new)
+        if starts.size and n + int(starts[-1]) >= CHUNK_ROWS:      # the last group may go on
+            cut = int(starts[-1])
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held, n = [], 0
+            batch = batch.slice(cut)
+        held.append(batch)
+        n += batch.num_rows
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _sort_groups(batches):
     """Rows sorted by kind, group and context: settles grouped anchors by deep-shallow sorting,
     crowded ones by their whole contexts; a crowded context that is alone stays pending."""
-    held: pa.Table | None = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        held = table if held is None else pa.concat_tables([held, table])
-        if held.num_rows >= CHUNK_ROWS:
-            kind, g = held["kind"].to_numpy(), held["g"].to_numpy()
-            cut = held.num_rows - 1                   # the last group may go on in the next batch
-            while cut and kind[cut - 1] == kind[cut] and g[cut - 1] == g[cut]:
-                cut -= 1
-            if cut:
-                yield from _sort_chunk(held.slice(0, cut))
-                held = held.slice(cut).combine_chunks()
-    if held is not None and held.num_rows:
-        yield from _sort_chunk(held)
+    for rows in _whole_groups(batches, ["kind", "g"]):
+        yield from _sort_chunk(rows)
 
 
 def _sort_chunk(rows: pa.Table):
@@ -507,7 +529,6 @@ def _halves(batches):
 
 def _sort_cores(batches):
     """Deep-shallow sorting of different contexts, rows sorted by ``g``: (tkey, pos, lo, hi)."""
-    held: pa.Table | None = None
 
     def settle(rows: pa.Table):
         group = np.unique(rows["g"].to_numpy(), return_inverse=True)[1]
@@ -520,17 +541,8 @@ def _sort_cores(batches):
              pa.array(least[keep].astype(np.int32)), pa.array(greatest[keep].astype(np.int32))],
             names=["tkey", "pos", "lo", "hi"])
 
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        held = table if held is None else pa.concat_tables([held, table])
-        if held.num_rows >= CHUNK_ROWS:
-            g = held["g"].to_numpy()
-            cut = int(np.searchsorted(g, g[-1]))          # the last group may go on
-            if cut:
-                yield settle(held.slice(0, cut))
-                held = held.slice(cut).combine_chunks()
-    if held is not None and held.num_rows:
-        yield settle(held)
+    for rows in _whole_groups(batches, ["g"]):
+        yield settle(rows)
 
 
 def _crowded_spans(pending: DataFrame, group_cap: int) -> DataFrame:
@@ -591,7 +603,7 @@ def _cut(batches):
 
 
 def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                        group_cap: int = GROUP_CAP) -> DataFrame:
+                        group_cap: int = GROUP_CAP, memo_rows: int = MEMO_ROWS) -> DataFrame:
     """One row per document: ``id_col``, n_bytes, n_removed, removed (maximal runs [start, end) of
     removed bytes) and kept_sha256 of the bytes that stay.
 
@@ -608,7 +620,7 @@ def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     counted = cut_lineage(counted, "substr-anchors")
     may = sc.broadcast(_filter(counted.select("h"), FILTER_BITS))
     many = sc.broadcast(_filter(counted.where(F.col("n") > group_cap).select("h"), CROWDED_BITS))
-    sent = rows.select("t").mapInArrow(_send(may, many), SENT)
+    sent = rows.select("t").mapInArrow(_send(may, many, memo_rows), SENT)
     found = cut_lineage(sent.repartition("g").sortWithinPartitions("kind", "g", "cid")
                         .mapInArrow(_sort_groups, FOUND), "substr-found")
     spans = found.where("not pending").select("tkey", "start", "stop")

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -175,15 +176,30 @@ def corpus():
     return [d.decode() for d in docs]
 
 
-@pytest.mark.parametrize("cap", [4096, 3])
-def test_removed_bytes(spark, cap):
+@pytest.mark.parametrize("cap, memo", [(4096, 1 << 18), (3, 1 << 18), (4096, 2), (3, 2)])
+def test_removed_bytes(spark, cap, memo):
     texts = corpus()
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, n_removed int").repartition(3)
     got = {r.doc_id: (r.n_bytes, r.n_removed, len(r.removed), r.kept_sha256)
-           for r in substring_dedup.repeated_substrings(df, group_cap=cap).collect()}
+           for r in substring_dedup.repeated_substrings(df, group_cap=cap, memo_rows=memo).collect()}
     assert got == dict(enumerate(plain_cut([t.encode() for t in texts])))
 
 
+@pytest.mark.parametrize("chunk", [1, 5, 40])
+def test_tables_of_whole_groups(monkeypatch, chunk):
+    monkeypatch.setattr(substring_dedup, "CHUNK_ROWS", chunk)
+    rng = np.random.default_rng(chunk)
+    g = np.sort(np.concatenate([rng.integers(0, 20, 60), np.full(50, 7)]))
+    kind = (g > 9).astype(np.int8)
+    rows = pa.record_batch({"kind": kind, "g": g, "n": np.arange(g.size)})
+    batches = [rows.slice(a, 4) for a in range(0, g.size, 4)] + [rows.slice(0, 0)]
+    tables = list(substring_dedup._whole_groups(batches, ["kind", "g"]))
+    assert np.concatenate([t["n"].to_numpy() for t in tables]).tolist() == list(range(g.size))
+    for one, two in zip(tables, tables[1:], strict=False):
+        assert one.num_rows >= chunk and one["g"][-1].as_py() < two["g"][0].as_py()
+    assert list(substring_dedup._whole_groups([], ["g"])) == []
+
+
 def test_long_texts_are_cut_into_segments():
     rng = np.random.default_rng(1)
     text = bytes(rng.integers(97, 100, 3 * substring_dedup.SEGMENT + 77).astype(np.uint8))
