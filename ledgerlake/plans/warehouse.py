@@ -113,13 +113,41 @@ class Warehouse:
              ("staging",),
              ("fact",))
 
-    def build(self, workers: int = 8) -> "Warehouse":
-        """Write every layer once.  Layers of one wave are independent Spark jobs submitted
-        from a few driver threads, so small writes overlap instead of queueing.  The
-        caller's job group / scheduler pool are carried into the worker threads."""
+    #: What a layer reads of the seeds ("seed:...") and of other layers that are written.
+    NEEDS = {
+        "s_articles": ("seed:fenix_articulos_corregidos",),
+        "s_first_requests": ("s_requests",),
+        "s_invoices": ("s_requests", "s_first_requests", "seed:puntos_emision", "seed:reasignacion_islas_temporales"),
+        "d_articles": ("s_articles", "seed:articulos_comercial"),
+        "d_invoices": ("s_invoices", "s_requests", "s_first_requests", "d_codes", "seed:facturas_excluidas"),
+        "commercial_docs": ("s_invoices", "d_articles", "d_customers", "d_sellers", "seed:vendedores_comercial",
+                            "seed:reasignacion_articulos_comercial", "seed:reasignacion_comercial"),
+        "agent_docs": ("s_invoices", "d_sellers", "seed:vendedores_agentes"),
+        "staging": ("s_invoices", "d_invoices", "d_customers", "d_sellers", "d_articles", "d_codes", "commercial_docs",
+                    "agent_docs", "seed:facturas_excluidas", "seed:reasignacion_distribuidores",
+                    "seed:reasignacion_periodo_fiscal", "seed:reasignacion_subtotal", "seed:reasignacion_grupo_vendedor"),
+        "fact": ("staging",),
+    }
+
+    def _needed(self, layers) -> set[str]:
+        """The layers and all that they read, directly or not."""
+        found, open_ = set(), list(layers)
+        while open_:
+            name = open_.pop()
+            if name not in found:
+                found.add(name)
+                open_.extend(self.NEEDS.get(name, ()))
+        return found
+
+    def build(self, *layers: str, workers: int = 8) -> "Warehouse":
+        """Write every layer once; with ``layers`` only these and what they read.  Layers of one
+        wave are independent Spark jobs submitted from a few driver threads, so small writes overlap
+        instead of queueing.  The caller's job group / scheduler pool are carried into the worker
+        threads."""
         sc = self.spark.sparkContext
         props = {k: sc.getLocalProperty(k) for k in ("spark.jobGroup.id", "spark.job.description",
                                                       "spark.scheduler.pool")}
+        needed = self._needed(layers) if layers else None
 
         def run(name):
             for k, v in props.items():
@@ -132,7 +160,7 @@ class Warehouse:
         with ThreadPoolExecutor(max_workers=workers) as pool:
             for wave in self.WAVES:
                 tasks = [t for w in wave for t in ([f"seed:{s}" for s in self.seeds] if w == "seeds" else [w])]
-                list(pool.map(run, tasks))
+                list(pool.map(run, [t for t in tasks if needed is None or t in needed]))
         return self
 
     # silver -------------------------------------------------------------------------

@@ -26,3 +26,30 @@ def test_articles_whose_codes_share_six_digits_all_load(spark, tmp_dir):
     assert len(rows) == len(parts)
     assert digest(found.columns, rows)[0] == digest(rel.columns, rel.fetchall())[0]
     assert {r.creation_date for r in found.collect()} == {dt.datetime(2024, 1, 1)}       # found again, not inserted anew
+
+
+def test_a_query_builds_the_layers_it_reads(spark, tmp_dir):
+    from ledgerlake.plans import q_models
+    for t in os.listdir("/root/testdata/sf0.001"):
+        os.symlink(f"/root/testdata/sf0.001/{t}", os.path.join(tmp_dir, t))
+    built = lambda: set(q_models.warehouse(spark, tmp_dir, "s_codes")._memo)          # noqa: E731
+    assert q_models.silver_codes(spark, tmp_dir).count() > 0 and q_models.silver_lines(spark, tmp_dir).count() > 0
+    assert built() == {"s_codes", "s_lines"}
+    assert q_models.request_classification(spark, tmp_dir).count() > 0
+    assert built() == {"s_codes", "s_lines", "s_requests"}
+    assert q_models.article_classification(spark, tmp_dir).count() > 0 and q_models.dim_article(spark, tmp_dir).count() > 0
+    assert q_models.invoice_silver(spark, tmp_dir).count() > 0
+    assert not built() & {"d_invoices", "commercial_docs", "agent_docs", "staging", "fact"}
+
+
+def test_needs_name_all_that_a_layer_reads(spark):
+    # with its needs built, a layer writes nothing but itself
+    from ledgerlake.plans.warehouse import Warehouse
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    scanned = {"s_articles", "s_codes", "s_lines", "s_customers", "s_sellers"}      # never written
+    there = lambda: ({f"seed:{n}" for n in dict.keys(w.seeds)} | set(w._memo)) - scanned      # noqa: E731
+    for layer in (name for wave in w.WAVES for name in wave if name in w.NEEDS and name not in scanned):
+        w.build(*w.NEEDS[layer])
+        before = there()
+        getattr(w, layer)()
+        assert there() == before | {layer}
