@@ -29,6 +29,9 @@ from ledgerlake.session import cut_lineage
 from ledgerlake.sources import fs
 
 BUCKET = "__ll_bucket"
+PIECE = "__ll_piece"
+#: Stored bytes that one task of a merge writes, about.
+TASK_BYTES = 16 << 20
 
 
 class VersionConflict(RuntimeError):
@@ -144,6 +147,12 @@ def _mark_value(text, kind: T.DataType):
     return text
 
 
+def _stored_bytes(df: DataFrame) -> int:
+    """Bytes of the files a frame scans, by the optimizer's estimate (0: none)."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if df.inputFiles() else 0
+
+
 class BucketedTable:
     """A merge target cut into ``buckets`` by a hash of its conflict keys.
 
@@ -232,11 +241,19 @@ class BucketedTable:
         touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())          # at most ``buckets`` numbers
         entry = {}
         if touched:
-            merged = merge.upsert(self.read(touched, since), src.drop(BUCKET), self.keys, update_cols, **audit)
+            stored = self.read(touched, since)
+            merged = merge.upsert(stored, src.drop(BUCKET), self.keys, update_cols, **audit)
             folder = self.log.folder(self.name)
-            # one task a bucket, one file a bucket
-            (merged.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]).withColumn(BUCKET, self.bucket_of())
-             .repartition(len(touched), BUCKET).write.partitionBy(BUCKET).parquet(self.log.path(folder)))
+            # a task and a file a bucket; a large bucket is cut into pieces of about TASK_BYTES
+            pieces = max(1, -(-sum(_stored_bytes(df) for df in (stored, src)) // (len(touched) * TASK_BYTES)))
+            out = merged.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]).withColumn(BUCKET, self.bucket_of())
+            if pieces > 1:
+                row = F.xxhash64(*[F.col(f.name) for f in self.schema.fields])
+                out = (out.withColumn(PIECE, F.pmod(row, F.lit(pieces)))
+                       .repartition(len(touched) * pieces, BUCKET, PIECE).drop(PIECE))
+            else:
+                out = out.repartition(len(touched), BUCKET)
+            out.write.partitionBy(BUCKET).parquet(self.log.path(folder))
             entry = {self.name: {"count": self.buckets, "buckets": held | {str(b): folder for b in touched},
                                  **self._bucket_marks(folder, touched, marked)}}
         if touched or notes:

@@ -53,3 +53,19 @@ def test_needs_name_all_that_a_layer_reads(spark):
         before = there()
         getattr(w, layer)()
         assert there() == before | {layer}
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_dir, monkeypatch):
+    from pyspark.sql import functions as F
+    from ledgerlake.operators import versions
+    from ledgerlake.sources import fs
+    monkeypatch.setattr(versions, "TASK_BYTES", 4000)
+    log = versions.VersionLog(spark, tmp_dir)
+    rows = spark.range(6000).select("id", F.md5(F.col("id").cast("string")).alias("a"))
+    table = versions.BucketedTable(log, "t", rows.schema, ["id"], 2, [versions.Mark("id")])
+    assert table.merge(rows) == [0, 1]
+    for bucket, folder in log.read()["tables"]["t"]["buckets"].items():
+        assert sum(n.endswith(".parquet") for n in fs.names(spark, f"{log.path(folder)}/{versions.BUCKET}={bucket}")) > 2
+    assert table.merge(rows.where("id % 2 = 0").withColumn("a", F.lit("new"))) == [0, 1]
+    assert table.read().count() == 6000 and table.read().where("a = 'new'").count() == 3000
+    assert table.read().select(table.mark(table.marks[0])).first()[0] == 5999
