@@ -347,7 +347,7 @@ def _has(packed: np.ndarray, slot: np.ndarray) -> np.ndarray:
     return (packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
 
 
-def _send(repeated, crowded, memo_rows: int):
+def _send(repeated, crowded, memo_rows: int = MEMO_ROWS):
     """Anchors that may repeat, with their contexts.  While a task remembers it, a context is sent once, and
     once more without its bytes when it occurs again; further occurrences are settled here.  A
     text with copies in the task is settled by one row."""
