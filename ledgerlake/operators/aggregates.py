@@ -39,9 +39,11 @@ def conditional_min_over(df: DataFrame, keys: Sequence[str], value: Column, cond
     return join_back_aggregate(df, keys, [F.min(F.when(condition, value)).alias(alias)])
 
 
-def sum_over(df: DataFrame, keys: Sequence[str], value: Column, alias: str) -> DataFrame:
-    """``SUM(value) OVER (PARTITION BY keys)`` re-attached to each row (O-60)."""
-    return join_back_aggregate(df, keys, [F.sum(value).alias(alias)])
+def sum_over(df: DataFrame, keys: Sequence[str], value: Column, alias: str,
+             summed: DataFrame | None = None) -> DataFrame:
+    """``SUM(value) OVER (PARTITION BY keys)`` re-attached to each row (O-60).  ``summed``: the same
+    keys and values in a frame that is cheaper to read."""
+    return join_back_aggregate(df, keys, [F.sum(value).alias(alias)], aggregated=summed)
 
 
 def after_watermark(column: str, hwm, inclusive: bool = False) -> Column:

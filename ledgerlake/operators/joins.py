@@ -182,15 +182,16 @@ def attach_default_row(df: DataFrame, lookup: DataFrame, key_col: str, key_value
 
 
 def join_back_aggregate(detail: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
-                        null_safe: bool = True) -> DataFrame:
+                        null_safe: bool = True, aggregated: DataFrame | None = None) -> DataFrame:
     """Per-group aggregates re-attached to every detail row (O-51, O-60).
 
     Equivalent to ``agg(..) OVER (PARTITION BY keys)`` (NULL keys form one group when
     ``null_safe``), but the aggregate is computed with map-side partial aggregation and
-    the re-attach is an equi join that AQE can split when one key is hot.
+    the re-attach is an equi join that AQE can split when one key is hot.  ``aggregated``: a frame
+    with the same keys and values as ``detail`` that is cheaper to read.
     """
     keys = list(keys)
-    g = detail.groupBy(*keys).agg(*aggs)
+    g = (detail if aggregated is None else aggregated).groupBy(*keys).agg(*aggs)
     renamed = g.select(*[F.col(k).alias(f"__ll_k_{i}") for i, k in enumerate(keys)],
                        *[c for c in g.columns if c not in keys])
     cond = [(detail[k].eqNullSafe(renamed[f"__ll_k_{i}"]) if null_safe

@@ -63,26 +63,34 @@ def _report_row(ch: Check, failures_col):
             F.lit(ch.severity).alias("severity"), failures_col.cast("long").alias("failures")]
 
 
-def _repeated_values(df: DataFrame, column: str) -> DataFrame:
+def _n_rows(df: DataFrame, copies: str | None, condition=None):
+    """Rows (where a condition holds), each counted as often as its ``copies`` say."""
+    if copies is None:
+        return F.count(F.lit(1)) if condition is None else F.count_if(condition)
+    return F.coalesce(F.sum(df[copies] if condition is None else F.when(condition, df[copies])), F.lit(0))
+
+
+def _repeated_values(df: DataFrame, column: str, copies: str | None = None) -> DataFrame:
     """One row: values of the column that occur more than once.  Only this column is read, and
     shuffled as the type it has."""
-    counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(_n_rows(df, copies).alias("n"))
     return counted.agg(F.count_if(F.col("n") > 1).alias("__ll_dup"))
 
 
-def _orphan_counts(child: DataFrame, checks: Sequence[Check], models: dict[str, DataFrame]) -> DataFrame:
-    """One row with a count per relationship of one child: left joins to the distinct parent keys
-    in one pass over the child."""
-    out = child.select(*dict.fromkeys(ch.column for ch in checks))
-    for i, ch in enumerate(checks):
-        parent = models[ch.parent].select(F.col(ch.parent_column).alias(f"__ll_k{i}")).distinct()
-        out = out.join(parent, F.col(ch.column) == F.col(f"__ll_k{i}"), "left")
-    return out.agg(*[F.count_if(F.col(ch.column).isNotNull() & F.col(f"__ll_k{i}").isNull()).alias(f"__ll_n{i}")
-                     for i, ch in enumerate(checks)])
+def _orphan_rows(child: DataFrame, ch: Check, models: dict[str, DataFrame], copies: str | None = None) -> DataFrame:
+    """One row: child rows without a parent.  The different values of the child's column meet the
+    parent, not its rows."""
+    values = (child.where(F.col(ch.column).isNotNull()).groupBy(F.col(ch.column).alias("__ll_value"))
+              .agg(_n_rows(child, copies).alias("n")))
+    parent = models[ch.parent].select(F.col(ch.parent_column).alias("__ll_key"))
+    orphans = values.join(parent, F.col("__ll_value") == F.col("__ll_key"), "left_anti")
+    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("__ll_orphans"))
 
 
-def write_counting_nulls(df: DataFrame, columns: Sequence[str], name: str) -> tuple[DataFrame, dict[str, int]]:
-    """``cut_lineage`` and the number of NULLs of some columns, counted while the rows are written.
+def write_counting_nulls(df: DataFrame, columns: Sequence[str], name: str,
+                         copies: str | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """``cut_lineage`` and the number of NULLs of some columns, counted while the rows are written
+    (a row as often as its column ``copies`` says).
 
     The count sits right before the write, in the job's last stage, where Spark takes the figures
     of one finished attempt a task: a lost executor does not make it higher.
@@ -91,37 +99,40 @@ def write_counting_nulls(df: DataFrame, columns: Sequence[str], name: str) -> tu
     if not columns:
         return cut_lineage(df, name), {}
     seen = Observation(f"nulls-{uuid.uuid4().hex}")
-    out = cut_lineage(df.observe(seen, *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]), name)
+    out = cut_lineage(df.observe(seen, *[_n_rows(df, copies, F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]), name)
     found = seen.get
     return out, {c: found[f"n{i}"] for i, c in enumerate(columns)}
 
 
 def run_checks(checks: Sequence[Check], models: dict[str, DataFrame],
-               null_counts: dict[tuple[str, str], int] | None = None) -> DataFrame:
-    """One report row per check.  All not-null checks of a model share one scan, and so do all
-    relationships of a child; a unique check reads its own column alone.  ``null_counts`` holds the
-    NULLs of (model, column) known from writing the model: those checks read nothing."""
-    known = null_counts or {}
+               null_counts: dict[tuple[str, str], int] | None = None,
+               copies: dict[str, str] | None = None) -> DataFrame:
+    """One report row per check.  All not-null checks of a model share one scan; a unique check or a
+    relationship reads its own column alone.  ``null_counts`` holds the NULLs of (model, column)
+    known from writing the model: those checks read nothing.  ``copies``: the column of a model that
+    says how many equal rows a row stands for."""
+    known, copies = null_counts or {}, copies or {}
     by_model: dict[str, list[Check]] = {}
-    relations: dict[str, list[Check]] = {}
+    relations: list[Check] = []
     for ch in checks:
         if ch.kind not in ("unique", "not_null", "relationships"):
             raise ValueError(f"unknown check {ch.kind}")
-        (relations if ch.kind == "relationships" else by_model).setdefault(ch.model, []).append(ch)
+        (relations if ch.kind == "relationships" else by_model.setdefault(ch.model, [])).append(ch)
     frames = []
     for model, chs in by_model.items():
         unique = list(dict.fromkeys(ch.column for ch in chs if ch.kind == "unique"))
         filled = list(dict.fromkeys(ch.column for ch in chs if ch.kind == "not_null" and (model, ch.column) not in known))
+        df, n = models[model], copies.get(model)
         for column in unique:
             rows = [F.struct(*_report_row(ch, F.col("__ll_dup"))) for ch in chs if ch.kind == "unique" and ch.column == column]
-            frames.append(_repeated_values(models[model], column).select(F.inline(F.array(*rows))))
+            frames.append(_repeated_values(df, column, n).select(F.inline(F.array(*rows))))
         if filled:
-            counts = models[model].agg(*[F.count_if(F.col(c).isNull()).alias(f"__ll_{c}") for c in filled])
+            counts = df.agg(*[_n_rows(df, n, F.col(c).isNull()).alias(f"__ll_{c}") for c in filled])
             rows = [F.struct(*_report_row(ch, F.col(f"__ll_{ch.column}"))) for ch in chs if ch.kind == "not_null" and ch.column in filled]
             frames.append(counts.select(F.inline(F.array(*rows))))
-    for model, chs in relations.items():
-        counts = _orphan_counts(models[model], chs, models)
-        frames.append(counts.select(F.inline(F.array(*[F.struct(*_report_row(ch, F.col(f"__ll_n{i}"))) for i, ch in enumerate(chs)]))))
+    for ch in relations:
+        counts = _orphan_rows(models[ch.model], ch, models, copies.get(ch.model))
+        frames.append(counts.select(*_report_row(ch, F.col("__ll_orphans"))))
     written = [F.struct(*_report_row(ch, F.lit(known[ch.model, ch.column])))
                for ch in checks if ch.kind == "not_null" and (ch.model, ch.column) in known]
     if written:

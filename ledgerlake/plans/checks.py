@@ -8,6 +8,7 @@ relationship of the fact = error, seed and bronze checks = error (the tool's def
 from __future__ import annotations
 
 from ledgerlake.operators.quality import ERROR, WARN, Check
+from ledgerlake.plans import gold
 
 
 def _key(model, col, null_sev=WARN, uniq_sev=ERROR):
@@ -63,12 +64,16 @@ WAREHOUSE_CHECKS = [
 ]
 
 
+#: Models that are checked in their compact form, with the column that counts a row's copies.
+COPIES = {"fact": gold.COPIES}
+
+
 def models(w) -> dict:
-    """Model name -> DataFrame, from a built ``Warehouse``."""
+    """Model name -> DataFrame, from a built ``Warehouse`` (the fact in its compact form)."""
     out = {"s_articles": w.s_articles(), "s_invoices": w.s_invoices(), "s_customers": w.s_customers(),
            "s_lines": w.s_lines(), "s_sellers": w.s_sellers(), "s_codes": w.s_codes(),
            "d_sellers": w.d_sellers(), "d_articles": w.d_articles(), "d_invoices": w.d_invoices(),
-           "d_customers": w.d_customers(), "d_codes": w.d_codes(), "fact": w.fact(),
+           "d_customers": w.d_customers(), "d_codes": w.d_codes(), "fact": w.billed(),
            "bronze_vendedores": w.bronze["fenix_vendedores"], "bronze_clientes": w.bronze["fenix_clientes"],
            "bronze_tranfac": w.bronze["fenix_tranfac"],
            "bronze_facturas": w.bronze["fenix_facturas"], "bronze_articulos": w.bronze["fenix_articulos"]}

@@ -22,9 +22,15 @@ THIRD_PARTY_GROUP = "GRUPO TERCEROS"
 DISTRIBUTOR_GROUP = "GRUPO DISTRIBUIDORES"
 AGENT_GROUP = "GRUPO AGENTES"
 THIRD_PARTY_FAMILIES = ("FIRMAS ELECTRONICAS", "SISTEMA DE FACTURACION")
+LICENCE_FAMILY = "LICENCIAS"
 VOIDED, INVOICED = "ANULADO", "FACTURADO"
 # -----------------------------------------------------------------------------------
 
+#: Column of the compact staging and fact: how many equal rows a row stands for.
+COPIES = "__copies"
+#: Family classes that the seller group rules tell apart: (rows of a code in the class, third party, licence).
+FAMILY_CLASSES = (("__third_rows", True, False), ("__licence_rows", False, True), ("__other_rows", False, False))
+
 
 def dim_articles(art: DataFrame, commercial: DataFrame, lns: DataFrame,
                  previous: DataFrame | None = None) -> DataFrame:
@@ -119,15 +125,44 @@ def _prefixed(df: DataFrame, prefix: str, *columns: str) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in columns])
 
 
+def copies_of(df: DataFrame):
+    """Rows that a row stands for: its ``COPIES``, or one."""
+    return F.col(COPIES) if COPIES in df.columns else F.lit(1)
+
+
+def expand(df: DataFrame) -> DataFrame:
+    """Every row as often as its ``COPIES`` say; a frame without the column stays as it is."""
+    if COPIES not in df.columns:
+        return df
+    kept = [c for c in df.columns if c != COPIES]
+    return df.select(*kept, F.explode(F.sequence(F.lit(1).cast("long"), F.col(COPIES))).alias(COPIES)).select(*kept)
+
+
+def article_rules(dart: DataFrame) -> DataFrame:
+    """One row an article code: which of the commercial rules one of its dimension rows satisfies."""
+    code, checked = F.col("is_codigo_comercial"), F.col("verificacion_vendedor")
+    return dart.groupBy("codigo_articulo").agg(
+        F.bool_or(code & ~checked).alias("__sold_by_all"), F.bool_or(code & checked).alias("__sold_by_some"),
+        F.bool_or(~checked).alias("__unchecked"), F.bool_or(checked).alias("__checked"))
+
+
+def article_classes(dart: DataFrame) -> DataFrame:
+    """One row an article code and id with the number of its dimension rows in each family class:
+    rows of one code differ for the fact in nothing else, so lines meet a code once."""
+    third, licence = any_of([F.col("familia").isin(*THIRD_PARTY_FAMILIES)]), any_of([F.col("familia") == LICENCE_FAMILY])
+    return dart.groupBy("codigo_articulo", "id_articulo").agg(
+        *[F.count_if((third == F.lit(is_third)) & (licence == F.lit(is_licence))).alias(name)
+          for name, is_third, is_licence in FAMILY_CLASSES])
+
+
 def sold_lines(inv, lns, dart, dcli, dven) -> DataFrame:
-    """Invoice lines whose article, customer and seller are in their dimensions, with the
-    article's commercial flags (no surrogate keys)."""
+    """Invoice lines whose article, customer and seller are in their dimensions, with what the
+    commercial rules ask of the article (no surrogate keys)."""
     headers = (inv.join(dcli.select("codigo_cliente"), "codigo_cliente", "left_semi")
                .join(dven.select("codigo_vendedor"), "codigo_vendedor", "left_semi")
                .select("codigo_factura", "codigo_documento", "codigo_cliente", "codigo_vendedor", "fecha_emision",
                        "comentario_2", "comentario_3"))
-    flags = dart.select("codigo_articulo", "is_codigo_comercial", "verificacion_vendedor")
-    return (lns.select("codigo_factura", "codigo_articulo").join(flags, "codigo_articulo")
+    return (lns.select("codigo_factura", "codigo_articulo").join(article_rules(dart), "codigo_articulo")
             .join(headers, "codigo_factura"))
 
 
@@ -146,14 +181,13 @@ def commercial_documents(inv, lns, dart, dcli, dven, seeds, cfg: WarehouseConfig
     flagged = (sold.join(periods, F.col("codigo_vendedor") == F.col("__period_codigo_vendedor"), "left")
                .join(since, F.col("codigo_articulo") == F.col("__since_article"), "left")
                .join(by_hand, F.col("codigo_documento") == F.col("__hand_document"), "left"))
-    code, checked = F.col("is_codigo_comercial"), F.col("verificacion_vendedor")
     renewal = F.col("comentario_2").contains("RENOVACION")
     marked = F.col("comentario_3") == COMMERCIAL_GROUP
-    rules = [code & ~checked,
-             code & checked & at.between(F.col("__period_fecha_inicio"), F.col("__period_fecha_fin")) & ~renewal,
+    rules = [F.col("__sold_by_all"),
+             F.col("__sold_by_some") & at.between(F.col("__period_fecha_inicio"), F.col("__period_fecha_fin")) & ~renewal,
              *[(F.col("codigo_cliente") == customer) & (at >= F.lit(day)) for customer, day in cfg.commercial_customers],
              F.col("comentario_3") == "F.E.F.A.V.",
-             marked & ~checked, marked & checked & ~renewal,
+             marked & F.col("__unchecked"), marked & F.col("__checked") & ~renewal,
              at >= F.col("__since"),
              F.col("__hand_document").isNotNull()]
     return flagged.where(any_of(rules)).select("codigo_documento").distinct()
@@ -208,14 +242,15 @@ def invoice_headers(inv, dinv, dcli, dven, dco, seeds, commercial, agents, cfg:
                   & (F.col("fecha_emision") >= F.col("__change_fecha_cambio")), "left"))
 
 
-def seller_group_rules(cfg: WarehouseConfig) -> list:
-    """(label, condition) in order; the first that holds names a line's seller group."""
-    third = F.col("comentario_3").contains("TERCER") & F.col("familia").isin(*THIRD_PARTY_FAMILIES)
+def seller_group_rules(cfg: WarehouseConfig, third_family, licence) -> list:
+    """(label, condition) in order; the first that holds names the seller group of a line whose
+    article has a third-party or licence family (columns)."""
+    third = F.col("comentario_3").contains("TERCER") & third_family
     reassigned = F.col("__change_grupo_vendedor_reasignado")
     return [(F.col("grupo_asignado"), F.col("__assigned")),
             (AGREEMENT_GROUP, any_of([_mentions("codigo_descuento", AGREEMENT_MARKERS), F.col("atencion") == "CONVENIOS"])),
             (reassigned, reassigned.isNotNull() & third),
-            (cfg.corporate_group, (F.col("familia") == "LICENCIAS") & F.col("is_same_corporate_group")),
+            (cfg.corporate_group, licence & F.col("is_same_corporate_group")),
             (THIRD_PARTY_GROUP, third),
             (DISTRIBUTOR_GROUP, F.col("comentario_3").contains("DISTRIBUI")),
             (AGENT_GROUP, F.col("__agent")),
@@ -224,10 +259,24 @@ def seller_group_rules(cfg: WarehouseConfig) -> list:
             (F.col("grupo_vendedor_temp"), F.col("grupo_vendedor_temp").isNotNull())]
 
 
-def fact_staging(inv, lns, dinv, dcli, dven, dart, dco, seeds, cfg: WarehouseConfig,
+def _grouped_copies(labels, counts):
+    """Array of (grupo_vendedor, COPIES): equal labels together, with the sum of their counts (zero
+    for a label that an earlier one took up)."""
+    entries = []
+    for i, label in enumerate(labels):
+        total = functools.reduce(lambda a, b: a + b, [counts[i]] + [F.when(label.eqNullSafe(labels[j]), counts[j]).otherwise(0)
+                                                                    for j in range(i + 1, len(labels))])
+        taken = any_of([label.eqNullSafe(labels[j]) for j in range(i)] or [F.lit(False)])
+        entries.append(F.struct(label.alias("grupo_vendedor"), F.when(taken, F.lit(0).cast("long")).otherwise(total).alias(COPIES)))
+    return F.array(*entries)
+
+
+def staged_lines(inv, lns, dinv, dcli, dven, dart, dco, seeds, cfg: WarehouseConfig,
                  commercial: DataFrame | None = None, agents: DataFrame | None = None,
                  expect_unique: bool = False) -> DataFrame:
-    """Wide line staging: enriched headers joined once with the lines and their articles.
+    """``fact_staging`` with equal rows kept once: ``COPIES`` is the number of article rows that give
+    a line and seller group.  A code that many articles share (T-07) does not multiply what is
+    joined, written and shuffled.
 
     ``commercial`` / ``agents`` are the precomputed document lists (a caller that
     materialises them once passes them in)."""
@@ -236,48 +285,70 @@ def fact_staging(inv, lns, dinv, dcli, dven, dart, dco, seeds, cfg: WarehouseCon
     if agents is None:
         agents = agent_documents(inv, dven, seeds)
     headers = invoice_headers(inv, dinv, dcli, dven, dco, seeds, commercial, agents, cfg, expect_unique)
-    sold = headers.join(lns, "codigo_factura").join(dart.select("codigo_articulo", "id_articulo", "familia"),
-                                                    "codigo_articulo")
     manual_code = joins.lookup_default(dco, "codigo", cfg.manual_code, "id_codigo")
-    cent = F.lit(CENT)
-    qty, price, disc = F.col("cantidad_articulos"), F.col("valor_unitario"), F.col("porcentaje_descuento")
-    return sold.select(
-        "id_factura", "codigo_documento", "is_nc", F.col("fecha_emision").alias("fecha_emision_fenix"),
+    labels = [f"__group{i}" for i in range(len(FAMILY_CLASSES))]
+    # all that a line takes from its header, the seller group of each family class included
+    headers = headers.select(
+        "codigo_factura", "id_factura", "codigo_documento", "is_nc", F.col("fecha_emision").alias("fecha_emision_fenix"),
         F.when(F.col("__earlier"), dates.month_shift("fecha_emision")).otherwise(F.col("fecha_emision"))
          .alias("fecha_emision"),
-        "id_cliente", "id_vendedor", "id_articulo", "id_sucursal",
+        "id_cliente", "id_vendedor", "id_sucursal",
         F.coalesce("__code", "__agreement_code", manual_code).alias("id_codigo"),
-        qty, price, disc,
+        (F.col("total") - F.col("total_iva")).cast("decimal(18,2)").alias("total_sin_iva"),
+        F.col("__as_is").alias("excluir_ajuste_centavos"),
+        *[first_label(seller_group_rules(cfg, F.lit(is_third), F.lit(is_licence)), F.lit(cfg.default_group)).alias(label)
+          for label, (_, is_third, is_licence) in zip(labels, FAMILY_CLASSES)])
+    cent = F.lit(CENT)
+    qty, price, disc = F.col("cantidad_articulos"), F.col("valor_unitario"), F.col("porcentaje_descuento")
+    # the narrow lines meet their articles first, then each header row once
+    sold = lns.drop("unico").join(article_classes(dart), "codigo_articulo").join(headers, "codigo_factura")
+    staged = sold.select(
+        "id_factura", "codigo_documento", "is_nc", "fecha_emision_fenix", "fecha_emision", "id_cliente", "id_vendedor",
+        "id_articulo", "id_sucursal", "id_codigo", qty, price, disc,
         (qty * price * (100 - disc) * cent).cast("decimal(18,4)").alias("subtotal_articulo"),
         (qty * price * disc * cent).cast("decimal(18,4)").alias("descuento_articulo"),
-        (F.col("total") - F.col("total_iva")).cast("decimal(18,2)").alias("total_sin_iva"),
-        "porcentaje_iva", F.col("__as_is").alias("excluir_ajuste_centavos"),
-        first_label(seller_group_rules(cfg), F.lit(cfg.default_group)).alias("grupo_vendedor"))
+        "total_sin_iva", "porcentaje_iva", "excluir_ajuste_centavos",
+        F.inline(_grouped_copies([F.col(c) for c in labels], [F.col(c) for c, *_ in FAMILY_CLASSES])))
+    return staged.where(F.col(COPIES) > 0)
+
+
+def fact_staging(inv, lns, dinv, dcli, dven, dart, dco, seeds, cfg: WarehouseConfig,
+                 commercial: DataFrame | None = None, agents: DataFrame | None = None,
+                 expect_unique: bool = False) -> DataFrame:
+    """Wide line staging: enriched headers joined once with the lines and their articles."""
+    return expand(staged_lines(inv, lns, dinv, dcli, dven, dart, dco, seeds, cfg, commercial, agents, expect_unique))
 
 
 def inherit_credit_note_group(stg: DataFrame) -> DataFrame:
-    """Credit notes take MAX(group) of their document's invoices for the same article."""
+    """Credit notes take MAX(group) of their document's invoices for the same article; the lines of
+    invoices stay where they are."""
+    is_note = F.coalesce("is_nc", F.lit(False))
     orig = (stg.where(~F.col("is_nc")).groupBy("codigo_documento", "id_articulo")
             .agg(F.max("grupo_vendedor").alias("__gvo"))
             .select(F.col("codigo_documento").alias("__gvo_doc"), F.col("id_articulo").alias("__gvo_art"), "__gvo"))
-    j = stg.join(orig, (F.col("codigo_documento") == F.col("__gvo_doc"))
-                 & (F.col("id_articulo") == F.col("__gvo_art")), "left")
-    return j.withColumn("grupo_vendedor", F.when(F.col("is_nc") & F.col("__gvo").isNotNull(), F.col("__gvo"))
-                        .otherwise(F.col("grupo_vendedor"))).drop("__gvo_doc", "__gvo_art", "__gvo")
+    notes = (stg.where(is_note)
+             .join(orig, (F.col("codigo_documento") == F.col("__gvo_doc")) & (F.col("id_articulo") == F.col("__gvo_art")), "left")
+             .withColumn("grupo_vendedor", F.coalesce("__gvo", "grupo_vendedor")).select(*stg.columns))
+    return stg.where(~is_note).unionByName(notes)
 
 
-def allocate_cents(stg: DataFrame) -> DataFrame:
+def allocate_cents(stg: DataFrame, summed: DataFrame | None = None) -> DataFrame:
     """Spread ``total_sin_iva - Σ subtotal`` over the invoice's lines in proportion, each
     adjusted line rounded half-up to cents; exact integer arithmetic (T-08):
     ``ROUND(s + s/Σ·(H-Σ), 2) = ROUND(s·H/Σ, 2)``, computed in 1e-4 units as
     ``round_half_up(s4·H4 / (Σ4·100))`` with 38-digit integers.  Σ = 0 -> NULL (T-09);
-    un-adjusted lines keep their unrounded value (T-10)."""
-    x = aggregates.sum_over(stg, ["id_factura"], F.col("subtotal_articulo"), "suma_subtotales")
+    un-adjusted lines keep their unrounded value (T-10).  ``summed``: the same lines in a frame
+    that is cheaper to read for the sums."""
+    value = F.col("subtotal_articulo")
+    if COPIES in stg.columns:
+        value = value * F.col(COPIES).cast("decimal(19,0)")
+    x = aggregates.sum_over(stg, ["id_factura"], value, "suma_subtotales", summed)
+    total = F.col("suma_subtotales").cast("decimal(28,4)")
     s4 = (F.col("subtotal_articulo") * 10000).cast("decimal(38,0)")
-    sum4 = (F.col("suma_subtotales") * 10000).cast("decimal(38,0)")
+    sum4 = (total * 10000).cast("decimal(38,0)")
     h4 = (F.col("total_sin_iva") * 10000).cast("decimal(38,0)")
     cents = numeric.div_round_half_up(s4 * h4, sum4 * 100)
-    diff = F.col("total_sin_iva") - F.col("suma_subtotales")
+    diff = F.col("total_sin_iva") - total
     adjusted = (cents.cast("decimal(18,0)") * F.lit(CENT)).cast("decimal(18,4)")
     return x.withColumn("subtotal_articulo", F.when((diff != 0) & ~F.col("excluir_ajuste_centavos"), adjusted)
                         .otherwise(F.col("subtotal_articulo")).cast("decimal(18,4)"))
@@ -293,11 +364,11 @@ def fact_billing(stg: DataFrame, buckets: int | None = None) -> DataFrame:
 
     With ``buckets`` the lines are dealt to that many partitions by invoice first: the invoice
     sums and their re-attachment then need no exchange, and the result is in the layout of a
-    table bucketed by ``id_factura``."""
+    table bucketed by ``id_factura``.  A compact staging gives a compact fact (``COPIES``)."""
     x = inherit_credit_note_group(stg)
     if buckets:
         x = x.repartition(buckets, "id_factura")
-    x = allocate_cents(x)
+    x = allocate_cents(x, None if buckets else stg)
     vat = numeric.round_half_up(F.col("subtotal_articulo") * F.col("porcentaje_iva")
                                 * F.lit(CENT), 2).cast("decimal(18,2)")
-    return x.withColumn("total_iva", vat).select(*FACT_COLUMNS)
+    return x.withColumn("total_iva", vat).select(*FACT_COLUMNS, *[c for c in stg.columns if c == COPIES])

@@ -1,4 +1,5 @@
-"""Reporting marts (M-15..M-19), views over the fact and its dimensions."""
+"""Reporting marts (M-15..M-19), views over the fact and its dimensions.  The fact may be compact
+(``gold.COPIES``); the marts' rows never are."""
 
 from __future__ import annotations
 
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import dedup, joins
 from ledgerlake.plans.config import WarehouseConfig
-from ledgerlake.plans.gold import AGREEMENT_GROUP, INVOICED
+from ledgerlake.plans.gold import AGREEMENT_GROUP, INVOICED, copies_of, expand
 
 # --- fixed values ------------------------------------------------------------------
 BILLING_FAMILY = "SISTEMA DE FACTURACION"
@@ -42,14 +43,14 @@ def indirect_channel(fact: DataFrame, dco: DataFrame, dinv: DataFrame, cfg: Ware
     d = dinv.select(F.col("id_factura").alias("__df_id"))
     lines = fact.where(~F.col("grupo_vendedor").isin(*cfg.direct_groups))
     j = lines.join(c, F.col("id_codigo") == F.col("__dc_id")).join(d, F.col("id_factura") == F.col("__df_id"))
-    return _with_total(j.select(*fact.columns))
+    return expand(_with_total(j.select(*fact.columns)))
 
 
 def agreements_fact(fact: DataFrame, dinv: DataFrame) -> DataFrame:
     """M-18."""
     d = dinv.select(F.col("id_factura").alias("__df_id"))
     j = fact.join(d, fact.id_factura == F.col("__df_id")).where(F.col("grupo_vendedor") == AGREEMENT_GROUP)
-    return _with_total(j.select(*fact.columns))
+    return expand(_with_total(j.select(*fact.columns)))
 
 
 def sales(fact: DataFrame, dco: DataFrame, dinv: DataFrame, dart: DataFrame,
@@ -81,6 +82,6 @@ def sales(fact: DataFrame, dco: DataFrame, dinv: DataFrame, dart: DataFrame,
            .join(sf_with_article, fact.id_factura == F.col("__sf_id"), "left"))
     pre = pre.withColumn("id_articulo", F.when(F.col("__sf_id").isNotNull() & (F.col("__fam") == BILLING_FAMILY),
                                                F.col("id_articulo_sf")).otherwise(F.col("id_articulo")))
-    return pre.groupBy(*SALES_KEYS).agg(
-        F.sum("valor_unitario").cast("decimal(38,4)").alias("valor_unitario"),
-        F.sum("subtotal_articulo").cast("decimal(38,4)").alias("subtotal_articulo"))
+    copies = copies_of(fact).cast("decimal(19,0)")
+    return pre.groupBy(*SALES_KEYS).agg(*[F.sum(F.col(c) * copies).cast("decimal(38,4)").alias(c)
+                                          for c in ("valor_unitario", "subtotal_articulo")])

@@ -80,57 +80,57 @@ def dim_seller(spark, sf_dir):
 @query("seller_group", "M-14 O-37 O-42 O-48c O-48g O-48i", sql=with_warehouse(
     "SELECT id_factura, codigo_documento, id_articulo, is_nc, grupo_vendedor FROM f_stg"))
 def seller_group(spark, sf_dir):
-    return warehouse(spark, sf_dir, "staging").staging().select("id_factura", "codigo_documento", "id_articulo", "is_nc",
-                                                     "grupo_vendedor")
+    return warehouse(spark, sf_dir, "staged").staging().select("id_factura", "codigo_documento", "id_articulo", "is_nc",
+                                                               "grupo_vendedor")
 
 
 @query("credit_note_inheritance", "M-14 O-51 O-53", sql=with_warehouse(
     "SELECT id_factura, codigo_documento, id_articulo, is_nc, grupo_vendedor FROM f_nc"))
 def credit_note_inheritance(spark, sf_dir):
-    stg = warehouse(spark, sf_dir, "staging").staging()
-    return gold.inherit_credit_note_group(stg).select("id_factura", "codigo_documento", "id_articulo", "is_nc",
-                                                      "grupo_vendedor")
+    stg = warehouse(spark, sf_dir, "staged").staged()
+    return gold.expand(gold.inherit_credit_note_group(stg).select("id_factura", "codigo_documento", "id_articulo", "is_nc",
+                                                                  "grupo_vendedor", gold.COPIES))
 
 
 @query("cents_allocation", "M-14 O-60 O-80 O-81 O-82 T-08 T-09", sql=with_warehouse(
     "SELECT id_factura, id_articulo, CAST(suma_subtotales AS DECIMAL(38, 4)) AS suma_subtotales, total_sin_iva, "
     "excluir_ajuste_centavos, subtotal_articulo FROM f_sub"))
 def cents_allocation(spark, sf_dir):
-    stg = warehouse(spark, sf_dir, "staging").staging()
-    x = gold.allocate_cents(gold.inherit_credit_note_group(stg))
-    return x.select("id_factura", "id_articulo", F.col("suma_subtotales").cast("decimal(38,4)").alias("suma_subtotales"),
-                    "total_sin_iva", "excluir_ajuste_centavos", "subtotal_articulo")
+    stg = warehouse(spark, sf_dir, "staged").staged()
+    x = gold.allocate_cents(gold.inherit_credit_note_group(stg), stg)
+    return gold.expand(x.select("id_factura", "id_articulo", F.col("suma_subtotales").cast("decimal(38,4)").alias("suma_subtotales"),
+                                "total_sin_iva", "excluir_ajuste_centavos", "subtotal_articulo", gold.COPIES))
 
 
 @query("fact_billing", "M-14", sql=with_warehouse("SELECT * FROM fact"))
 def fact_billing(spark, sf_dir):
-    return warehouse(spark, sf_dir, "fact").fact()
+    return warehouse(spark, sf_dir, "billed").fact()
 
 
 @query("mart_agreements_customers", "M-15 O-48 O-55", sql=with_warehouse("SELECT * FROM m_agr_cust"))
 def mart_agreements_customers(spark, sf_dir):
-    return warehouse(spark, sf_dir, "fact", "d_invoices", "d_customers").m_agreements_customers()
+    return warehouse(spark, sf_dir, "billed", "d_invoices", "d_customers").m_agreements_customers()
 
 
 @query("mart_agreements_invoices", "M-16 O-48 O-55", sql=with_warehouse("SELECT * FROM m_agr_inv"))
 def mart_agreements_invoices(spark, sf_dir):
-    return warehouse(spark, sf_dir, "fact", "d_invoices").m_agreements_invoices()
+    return warehouse(spark, sf_dir, "billed", "d_invoices").m_agreements_invoices()
 
 
 @query("mart_indirect", "M-17 O-38 O-46", sql=with_warehouse("SELECT * FROM m_indirect"))
 def mart_indirect(spark, sf_dir):
-    return warehouse(spark, sf_dir, "fact", "d_codes", "d_invoices").m_indirect().withColumn("total_factura", F.col("total_factura").cast("decimal(20,4)"))
+    return warehouse(spark, sf_dir, "billed", "d_codes", "d_invoices").m_indirect().withColumn("total_factura", F.col("total_factura").cast("decimal(20,4)"))
 
 
 @query("mart_agreements_fact", "M-18 O-46", sql=with_warehouse("SELECT * FROM m_agr_fact"))
 def mart_agreements_fact(spark, sf_dir):
-    return warehouse(spark, sf_dir, "fact", "d_invoices").m_agreements_fact().withColumn("total_factura",
+    return warehouse(spark, sf_dir, "billed", "d_invoices").m_agreements_fact().withColumn("total_factura",
                                                                    F.col("total_factura").cast("decimal(20,4)"))
 
 
 @query("mart_sales", "M-19 O-48e O-54 O-55 O-58b", sql=with_warehouse("SELECT * FROM m_sales"))
 def mart_sales(spark, sf_dir):
-    return warehouse(spark, sf_dir, "fact", "d_codes", "d_invoices", "d_articles").m_sales()
+    return warehouse(spark, sf_dir, "billed", "d_codes", "d_invoices", "d_articles").m_sales()
 
 
 @query("silver_customers", "M-03 O-38 O-69 O-71", sql=with_warehouse("SELECT * FROM s_customers"))
@@ -163,4 +163,4 @@ def dq_warehouse(spark, sf_dir):
     seeds are those counted while they were written."""
     w = warehouse(spark, sf_dir)
     models = _checks.models(w)
-    return _dq.run_checks(_checks.WAREHOUSE_CHECKS, models, w.null_counts)
+    return _dq.run_checks(_checks.WAREHOUSE_CHECKS, models, w.null_counts, _checks.COPIES)

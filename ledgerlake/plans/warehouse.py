@@ -20,18 +20,19 @@ from ledgerlake.sources import calendar
 from ledgerlake.session import run_folder
 
 
-def layer(fn=None, *, cut: bool = True):
+def layer(fn=None, *, cut: bool = True, model: str | None = None):
     """Build a layer once per warehouse.  Layers with joins, windows or key numbering are
     written as Parquet into the shared ``spark.checkpoint.dir`` and read back, so
     downstream plans start from files and a lost executor recomputes one layer only;
     single-scan projections (``cut=False``) are cheaper to recompute than to write.  The NULLs that
-    the declared checks ask for are counted on the way (``Warehouse.null_counts``)."""
+    the declared checks ask for are counted on the way (``Warehouse.null_counts``); ``model`` is the
+    name the checks know the layer by, where it is another one."""
     def deco(f):
         @functools.wraps(f)
         def wrapper(self):
             if f.__name__ not in self._memo:
                 df = f(self)
-                self._memo[f.__name__] = self._written(df, f.__name__, f.__name__) if (self.cut and cut) else df
+                self._memo[f.__name__] = self._written(df, f.__name__, model or f.__name__) if (self.cut and cut) else df
             return self._memo[f.__name__]
         return wrapper
     return deco(fn) if fn is not None else deco
@@ -101,7 +102,7 @@ class Warehouse:
 
     def _written(self, df: DataFrame, name: str, model: str) -> DataFrame:
         columns = [ch.column for ch in checks.WAREHOUSE_CHECKS if ch.kind == "not_null" and ch.model == model]
-        out, nulls = write_counting_nulls(df, columns, name)
+        out, nulls = write_counting_nulls(df, columns, name, checks.COPIES.get(model))
         self.null_counts.update({(model, c): n for c, n in nulls.items()})
         return out
 
@@ -110,8 +111,8 @@ class Warehouse:
              ("s_first_requests", "d_articles", "d_dates"),
              ("s_invoices",),
              ("d_invoices", "commercial_docs", "agent_docs"),
-             ("staging",),
-             ("fact",))
+             ("staged",),
+             ("billed",))
 
     #: What a layer reads of the seeds ("seed:...") and of other layers that are written.
     NEEDS = {
@@ -123,10 +124,10 @@ class Warehouse:
         "commercial_docs": ("s_invoices", "d_articles", "d_customers", "d_sellers", "seed:vendedores_comercial",
                             "seed:reasignacion_articulos_comercial", "seed:reasignacion_comercial"),
         "agent_docs": ("s_invoices", "d_sellers", "seed:vendedores_agentes"),
-        "staging": ("s_invoices", "d_invoices", "d_customers", "d_sellers", "d_articles", "d_codes", "commercial_docs",
-                    "agent_docs", "seed:facturas_excluidas", "seed:reasignacion_distribuidores",
-                    "seed:reasignacion_periodo_fiscal", "seed:reasignacion_subtotal", "seed:reasignacion_grupo_vendedor"),
-        "fact": ("staging",),
+        "staged": ("s_invoices", "d_invoices", "d_customers", "d_sellers", "d_articles", "d_codes", "commercial_docs",
+                   "agent_docs", "seed:facturas_excluidas", "seed:reasignacion_distribuidores",
+                   "seed:reasignacion_periodo_fiscal", "seed:reasignacion_subtotal", "seed:reasignacion_grupo_vendedor"),
+        "billed": ("staged",),
     }
 
     def _needed(self, layers) -> set[str]:
@@ -232,15 +233,27 @@ class Warehouse:
         return gold.agent_documents(self.s_invoices(), self.d_sellers(), self.seeds)
 
     @layer
-    def staging(self):
-        return gold.fact_staging(self.s_invoices(), self.s_lines(), self.d_invoices(), self.d_customers(),
+    def staged(self):
+        """The staging with equal rows kept once (``gold.COPIES``)."""
+        return gold.staged_lines(self.s_invoices(), self.s_lines(), self.d_invoices(), self.d_customers(),
                                  self.d_sellers(), self.d_articles(), self.d_codes(), self.seeds, self.config,
                                  commercial=self.commercial_docs(), agents=self.agent_docs(),
                                  expect_unique=self.strict)
 
-    @layer
+    @layer(model="fact")
+    def billed(self):
+        """The fact with equal rows kept once."""
+        return gold.fact_billing(self.staged(), self.fact_buckets)
+
+    def staging(self):
+        return self._memo["staging"] if "staging" in self._memo else gold.expand(self.staged())
+
     def fact(self):
-        return gold.fact_billing(self.staging(), self.fact_buckets)
+        return self._memo["fact"] if "fact" in self._memo else gold.expand(self.billed())
+
+    def _billing(self):
+        """What the marts read: the stored fact, or the compact one."""
+        return self._memo["fact"] if "fact" in self._memo else self.billed()
 
     @layer
     def d_dates(self):
@@ -248,19 +261,19 @@ class Warehouse:
 
     # marts --------------------------------------------------------------------------
     def m_agreements_customers(self):
-        return marts.agreements_customers(self.d_invoices(), self.fact(), self.d_customers())
+        return marts.agreements_customers(self.d_invoices(), self._billing(), self.d_customers())
 
     def m_agreements_invoices(self):
-        return marts.agreements_invoices(self.d_invoices(), self.fact())
+        return marts.agreements_invoices(self.d_invoices(), self._billing())
 
     def m_indirect(self):
-        return marts.indirect_channel(self.fact(), self.d_codes(), self.d_invoices(), self.config)
+        return marts.indirect_channel(self._billing(), self.d_codes(), self.d_invoices(), self.config)
 
     def m_agreements_fact(self):
-        return marts.agreements_fact(self.fact(), self.d_invoices())
+        return marts.agreements_fact(self._billing(), self.d_invoices())
 
     def m_sales(self):
-        return marts.sales(self.fact(), self.d_codes(), self.d_invoices(), self.d_articles(),
+        return marts.sales(self._billing(), self.d_codes(), self.d_invoices(), self.d_articles(),
                            expect_unique=self.strict)
 
 
@@ -324,6 +337,8 @@ def materialize(spark: SparkSession, sf_dir: str | None, out_dir: str, buckets:
         w.fact_buckets = buckets
         tables: dict[str, dict] = {}
         for layer_name, name, key in TABLES:
+            if layer_name == "staging":         # written once in its compact form, for both tables of lines
+                w._memo["staged"] = w._written(w.staged(), "staged", "staged")
             df = getattr(w, layer_name)()
             if key is None:
                 tables[name] = log.write(name, df)

@@ -69,3 +69,55 @@ def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_dir, monkeypatch)
     assert table.merge(rows.where("id % 2 = 0").withColumn("a", F.lit("new"))) == [0, 1]
     assert table.read().count() == 6000 and table.read().where("a = 'new'").count() == 3000
     assert table.read().select(table.mark(table.marks[0])).first()[0] == 5999
+
+
+MODELS = ("seller_group", "credit_note_inheritance", "cents_allocation", "fact_billing", "mart_indirect", "mart_agreements_fact",
+          "mart_sales", "dq_warehouse")
+
+
+def test_a_code_of_many_articles_does_not_multiply_what_is_written(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from ledgerlake.plans import q_models
+    small = "/root/testdata/sf0.001"
+    for t in os.listdir(small):
+        if t not in ("part.parquet", "lineitem.parquet"):
+            os.symlink(f"{small}/{t}", os.path.join(tmp_dir, t))
+    for t, key in (("part", "p_partkey"), ("lineitem", "l_partkey")):      # ten keys share their first six digits
+        spark.read.parquet(f"{small}/{t}.parquet").withColumn(key, F.col(key) + 1000000).write.parquet(f"{tmp_dir}/{t}.parquet")
+    con = duckdb.connect()
+    for t in ("customer", "orders", "lineitem", "events", "nation", "region", "supplier", "part"):
+        path = os.path.join(tmp_dir, f"{t}.parquet")
+        con.execute(f"CREATE VIEW {t} AS FROM read_parquet('{path}{'/*.parquet' if os.path.isdir(path) else ''}')")
+    for name in MODELS:
+        found = registry.QUERIES[name](spark, tmp_dir)
+        rel = con.sql(registry.ORACLE_SQL[name])
+        assert digest(found.columns, [tuple(r) for r in found.collect()])[0] == digest(rel.columns, rel.fetchall())[0], name
+    w = q_models.warehouse(spark, tmp_dir, "s_lines")
+    lines = w.s_lines().count()
+    assert w.fact().count() > 3 * lines
+    assert max(df.count() for df in w._memo.values()) < 2 * lines
+
+
+def test_seller_groups_of_a_line_keep_their_number_of_rows(spark):
+    from pyspark.sql import functions as F
+    from ledgerlake.plans import gold
+    rows = [("A", "B", "A", 2, 3, 4), ("A", "A", "A", 1, 1, 1), (None, "B", None, 5, 0, 1), ("A", "B", "C", 0, 1, 0)]
+    df = spark.createDataFrame(rows, "a string, b string, c string, x long, y long, z long")
+    out = df.select(F.inline(gold._grouped_copies([F.col(c) for c in "abc"], [F.col(c) for c in "xyz"]))).where(F.col(gold.COPIES) > 0)
+    assert sorted(((r[0] or "-", r[1]) for r in out.collect())) == [("-", 6), ("A", 3), ("A", 6), ("B", 1), ("B", 3)]
+    assert gold.expand(out).groupBy("grupo_vendedor").count().orderBy("grupo_vendedor").collect()[0][1] == 6
+    assert gold.expand(df) is df
+
+
+def test_checks_count_a_row_as_often_as_it_stands(spark):
+    from ledgerlake.operators import quality
+    child = spark.createDataFrame([("a", 2), ("b", 1), (None, 5), ("z", 3), ("z", 4)], "p string, n long")
+    parent = spark.createDataFrame([("a",), ("b",), ("b",)], "p string")
+    checks = [quality.Check("unique", "child", "p"), quality.Check("not_null", "child", "p"),
+              quality.Check("relationships", "child", "p", quality.WARN, "parent", "p")]
+    models = {"child": child, "parent": parent}
+    found = lambda **k: {r["check"]: r["failures"] for r in quality.run_checks(checks, models, **k).collect()}      # noqa: E731
+    assert found() == {"unique": 1, "not_null": 1, "relationships": 2}
+    assert found(copies={"child": "n"}) == {"unique": 2, "not_null": 5, "relationships": 7}
+    assert quality.write_counting_nulls(child, ["p"], "copies", "n")[1] == {"p": 5}
+    assert quality.write_counting_nulls(child.where("n > 9"), ["p"], "copies", "n")[1] == {"p": 0}
