@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import dates, numeric
@@ -28,6 +28,8 @@ VOIDED, INVOICED = "ANULADO", "FACTURADO"
 
 #: Column of the compact staging and fact: how many equal rows a row stands for.
 COPIES = "__copies"
+#: The invoice's sum of subtotals, staged with its lines.
+SUM = "suma_subtotales"
 #: Family classes that the seller group rules tell apart: (rows of a code in the class, third party, licence).
 FAMILY_CLASSES = (("__third_rows", True, False), ("__licence_rows", False, True), ("__other_rows", False, False))
 
@@ -217,7 +219,6 @@ def invoice_headers(inv, dinv, dcli, dven, dco, seeds, commercial, agents, cfg:
     and the distributor changes of a customer multiply headers on repeated keys, as in the
     source model (T-07); ``expect_unique=True`` makes the query fail there instead."""
     kept = joins.anti_join(inv, seeds["facturas_excluidas"], [("codigo_factura", "codigo_factura")])
-    numbers = dinv.select("codigo_factura", "id_factura", F.col("codigo_documento").alias("__dim_document"))
     agreement = (dinv.where(F.col("codigo_descuento").contains("ALIANZA"))
                  .select(F.col("codigo_documento").alias("__agreement_document"), "id_factura",
                          joins.lookup_default(dco, "codigo", cfg.agreement_code, "id_codigo").alias("__agreement_code"))
@@ -227,17 +228,26 @@ def invoice_headers(inv, dinv, dcli, dven, dco, seeds, commercial, agents, cfg:
     if expect_unique:
         agreement = joins.expect_unique(agreement, ["__agreement_document"], "agreement codes per document")
         changes = joins.expect_unique(changes, ["__change_codigo_cliente"], "distributor reassignments")
-    out = (kept.join(numbers, "codigo_factura")
-           .join(dcli.select("codigo_cliente", "id_cliente", "is_same_corporate_group"), "codigo_cliente")
-           .join(dven.select("codigo_vendedor", "id_vendedor"), "codigo_vendedor"))
+    numbers = (dinv.select("codigo_factura", "id_factura", F.col("codigo_documento").alias("__dim_document"))
+               .join(agreement, F.col("__dim_document") == F.col("__agreement_document"), "left")
+               .select("codigo_factura", "id_factura", "__agreement_code"))
+    # texts become flags before the headers move, and lookups by one key follow each other
+    out = _flag(kept, "comentario_3", dco, "codigo", "__coded", F.col("id_codigo").alias("__code"), "atencion")
+    out = out.select(
+        "codigo_factura", "codigo_documento", "codigo_cliente", "codigo_vendedor", "numero_factura", "fecha_emision", "is_nc",
+        "id_sucursal", "grupo_vendedor_temp", "__code", (F.col("total") - F.col("total_iva")).cast("decimal(18,2)").alias("total_sin_iva"),
+        any_of([_mentions("codigo_descuento", AGREEMENT_MARKERS), F.col("atencion") == "CONVENIOS"]).alias("__agreed"),
+        any_of([F.col("comentario_3").contains("TERCER")]).alias("__third"),
+        any_of([F.col("comentario_3").contains("DISTRIBUI")]).alias("__distributor"))
+    out = out.join(dven.select("codigo_vendedor", "id_vendedor"), "codigo_vendedor").drop("codigo_vendedor")
+    out = out.join(numbers, "codigo_factura")
     out = _flag(out, "numero_factura", seeds["reasignacion_periodo_fiscal"], "numero_factura", "__earlier")
-    out = _flag(out, "numero_factura", seeds["reasignacion_subtotal"], "numero_factura", "__as_is")
+    out = _flag(out, "numero_factura", seeds["reasignacion_subtotal"], "numero_factura", "__as_is").drop("numero_factura")
     out = _flag(out, "codigo_documento", seeds["reasignacion_grupo_vendedor"], "codigo_documento", "__assigned",
                 "grupo_asignado")
     out = _flag(out, "codigo_documento", commercial, "codigo_documento", "__commercial")
     out = _flag(out, "codigo_documento", agents, "codigo_documento", "__agent")
-    out = _flag(out, "comentario_3", dco, "codigo", "__coded", F.col("id_codigo").alias("__code"), "atencion")
-    return (out.join(agreement, F.col("__dim_document") == F.col("__agreement_document"), "left")
+    return (out.join(dcli.select("codigo_cliente", "id_cliente", "is_same_corporate_group"), "codigo_cliente")
             .join(changes, (F.col("codigo_cliente") == F.col("__change_codigo_cliente"))
                   & (F.col("fecha_emision") >= F.col("__change_fecha_cambio")), "left"))
 
@@ -245,14 +255,14 @@ def invoice_headers(inv, dinv, dcli, dven, dco, seeds, commercial, agents, cfg:
 def seller_group_rules(cfg: WarehouseConfig, third_family, licence) -> list:
     """(label, condition) in order; the first that holds names the seller group of a line whose
     article has a third-party or licence family (columns)."""
-    third = F.col("comentario_3").contains("TERCER") & third_family
+    third = F.col("__third") & third_family
     reassigned = F.col("__change_grupo_vendedor_reasignado")
     return [(F.col("grupo_asignado"), F.col("__assigned")),
-            (AGREEMENT_GROUP, any_of([_mentions("codigo_descuento", AGREEMENT_MARKERS), F.col("atencion") == "CONVENIOS"])),
+            (AGREEMENT_GROUP, F.col("__agreed")),
             (reassigned, reassigned.isNotNull() & third),
             (cfg.corporate_group, licence & F.col("is_same_corporate_group")),
             (THIRD_PARTY_GROUP, third),
-            (DISTRIBUTOR_GROUP, F.col("comentario_3").contains("DISTRIBUI")),
+            (DISTRIBUTOR_GROUP, F.col("__distributor")),
             (AGENT_GROUP, F.col("__agent")),
             (cfg.special_group, F.col("codigo_cliente").isin(*cfg.special_customers)),
             (COMMERCIAL_GROUP, F.col("__commercial")),
@@ -294,18 +304,22 @@ def staged_lines(inv, lns, dinv, dcli, dven, dart, dco, seeds, cfg: WarehouseCon
          .alias("fecha_emision"),
         "id_cliente", "id_vendedor", "id_sucursal",
         F.coalesce("__code", "__agreement_code", manual_code).alias("id_codigo"),
-        (F.col("total") - F.col("total_iva")).cast("decimal(18,2)").alias("total_sin_iva"),
-        F.col("__as_is").alias("excluir_ajuste_centavos"),
+        "total_sin_iva", F.col("__as_is").alias("excluir_ajuste_centavos"),
         *[first_label(seller_group_rules(cfg, F.lit(is_third), F.lit(is_licence)), F.lit(cfg.default_group)).alias(label)
           for label, (_, is_third, is_licence) in zip(labels, FAMILY_CLASSES)])
     cent = F.lit(CENT)
     qty, price, disc = F.col("cantidad_articulos"), F.col("valor_unitario"), F.col("porcentaje_descuento")
     # the narrow lines meet their articles first, then each header row once
     sold = lns.drop("unico").join(article_classes(dart), "codigo_articulo").join(headers, "codigo_factura")
-    staged = sold.select(
+    subtotal = (qty * price * (100 - disc) * cent).cast("decimal(18,4)")
+    rows = sum((F.col(c) for c, *_ in FAMILY_CLASSES), F.lit(0)).cast("decimal(19,0)")
+    # an invoice's lines lie together here, so its sum needs no exchange later on
+    of_invoice = Window.partitionBy("codigo_factura")
+    staged = sold.withColumn("subtotal_articulo", subtotal).withColumn(
+        SUM, F.sum(F.col("subtotal_articulo") * rows).over(of_invoice).cast("decimal(28,4)")).select(
         "id_factura", "codigo_documento", "is_nc", "fecha_emision_fenix", "fecha_emision", "id_cliente", "id_vendedor",
         "id_articulo", "id_sucursal", "id_codigo", qty, price, disc,
-        (qty * price * (100 - disc) * cent).cast("decimal(18,4)").alias("subtotal_articulo"),
+        "subtotal_articulo", SUM,
         (qty * price * disc * cent).cast("decimal(18,4)").alias("descuento_articulo"),
         "total_sin_iva", "porcentaje_iva", "excluir_ajuste_centavos",
         F.inline(_grouped_copies([F.col(c) for c in labels], [F.col(c) for c, *_ in FAMILY_CLASSES])))
@@ -316,7 +330,7 @@ def fact_staging(inv, lns, dinv, dcli, dven, dart, dco, seeds, cfg: WarehouseCon
                  commercial: DataFrame | None = None, agents: DataFrame | None = None,
                  expect_unique: bool = False) -> DataFrame:
     """Wide line staging: enriched headers joined once with the lines and their articles."""
-    return expand(staged_lines(inv, lns, dinv, dcli, dven, dart, dco, seeds, cfg, commercial, agents, expect_unique))
+    return expand(staged_lines(inv, lns, dinv, dcli, dven, dart, dco, seeds, cfg, commercial, agents, expect_unique)).drop(SUM)
 
 
 def inherit_credit_note_group(stg: DataFrame) -> DataFrame:
@@ -332,18 +346,15 @@ def inherit_credit_note_group(stg: DataFrame) -> DataFrame:
     return stg.where(~is_note).unionByName(notes)
 
 
-def allocate_cents(stg: DataFrame, summed: DataFrame | None = None) -> DataFrame:
+def allocate_cents(stg: DataFrame) -> DataFrame:
     """Spread ``total_sin_iva - Σ subtotal`` over the invoice's lines in proportion, each
     adjusted line rounded half-up to cents; exact integer arithmetic (T-08):
     ``ROUND(s + s/Σ·(H-Σ), 2) = ROUND(s·H/Σ, 2)``, computed in 1e-4 units as
     ``round_half_up(s4·H4 / (Σ4·100))`` with 38-digit integers.  Σ = 0 -> NULL (T-09);
-    un-adjusted lines keep their unrounded value (T-10).  ``summed``: the same lines in a frame
-    that is cheaper to read for the sums."""
-    value = F.col("subtotal_articulo")
-    if COPIES in stg.columns:
-        value = value * F.col(COPIES).cast("decimal(19,0)")
-    x = aggregates.sum_over(stg, ["id_factura"], value, "suma_subtotales", summed)
-    total = F.col("suma_subtotales").cast("decimal(28,4)")
+    un-adjusted lines keep their unrounded value (T-10).  Lines that were staged with their sum
+    (``staged_lines``) are not summed again."""
+    x = stg if SUM in stg.columns else aggregates.sum_over(stg, ["id_factura"], F.col("subtotal_articulo"), SUM)
+    total = F.col(SUM)
     s4 = (F.col("subtotal_articulo") * 10000).cast("decimal(38,0)")
     sum4 = (total * 10000).cast("decimal(38,0)")
     h4 = (F.col("total_sin_iva") * 10000).cast("decimal(38,0)")
@@ -360,15 +371,14 @@ FACT_COLUMNS = ("id_factura", "fecha_emision", "id_cliente", "id_vendedor", "id_
 
 
 def fact_billing(stg: DataFrame, buckets: int | None = None) -> DataFrame:
-    """M-14 tail: credit-note inheritance -> cents allocation -> VAT per line.
-
-    With ``buckets`` the lines are dealt to that many partitions by invoice first: the invoice
-    sums and their re-attachment then need no exchange, and the result is in the layout of a
-    table bucketed by ``id_factura``.  A compact staging gives a compact fact (``COPIES``)."""
-    x = inherit_credit_note_group(stg)
-    if buckets:
-        x = x.repartition(buckets, "id_factura")
-    x = allocate_cents(x, None if buckets else stg)
+    """M-14 tail: cents allocation -> VAT per line -> credit-note inheritance (which reads no amounts,
+    so only the fact's columns move to it).
+
+    With ``buckets`` the lines are dealt to that many partitions by invoice, the layout of a table
+    bucketed by ``id_factura``.  A compact staging gives a compact fact (``COPIES``)."""
+    x = allocate_cents(stg)
     vat = numeric.round_half_up(F.col("subtotal_articulo") * F.col("porcentaje_iva")
                                 * F.lit(CENT), 2).cast("decimal(18,2)")
-    return x.withColumn("total_iva", vat).select(*FACT_COLUMNS, *[c for c in stg.columns if c == COPIES])
+    columns = [*FACT_COLUMNS, *[c for c in stg.columns if c == COPIES]]
+    x = inherit_credit_note_group(x.withColumn("total_iva", vat).select(*columns, "codigo_documento", "is_nc")).select(*columns)
+    return x.repartition(buckets, "id_factura") if buckets else x

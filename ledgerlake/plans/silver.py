@@ -178,9 +178,16 @@ def invoices(fac: DataFrame, req: DataFrame, cod: DataFrame, points: DataFrame,
     doc_group = (cleaned.where(~F.col("is_nc")).join(first_req, "numero_factura")
                  .groupBy("codigo_documento").agg(F.max("grupo_vendedor").alias("grupo_vendedor_temp")))
     c3 = F.col("comentario_3")
-    parsed = (cleaned.join(doc_group, "codigo_documento", "left")
-              .withColumn("codigo_documento", F.when(F.col("codigo_documento") == "", F.col("codigo_factura"))
-                          .otherwise(F.col("codigo_documento")))
+    # the one group of blank documents is a value of its own, so that invoices move by the document
+    # that all later lookups use
+    of_blank = doc_group.where(F.col("codigo_documento") == "").select("grupo_vendedor_temp").scalar()
+    named = doc_group.select(F.col("codigo_documento").alias("__grp_doc"), F.col("grupo_vendedor_temp").alias("__grp"))
+    blank = F.coalesce(F.col("codigo_documento") == "", F.lit(False))
+    parsed = (cleaned.withColumn("__blank", blank)
+              .withColumn("codigo_documento", F.when(F.col("__blank"), F.col("codigo_factura")).otherwise(F.col("codigo_documento")))
+              .join(named, (F.col("codigo_documento") == F.col("__grp_doc")) & ~F.col("__blank"), "left")
+              .withColumn("grupo_vendedor_temp", F.when(F.col("__blank"), of_blank).otherwise(F.col("__grp")))
+              .drop("__blank", "__grp_doc", "__grp")
               .withColumn("comentario_3", F.when(
                   c3.like(COMMERCIAL_COMMENT_PREFIXES[0] + "%") | c3.like(COMMERCIAL_COMMENT_PREFIXES[1] + "%"),
                   "COMERCIAL").otherwise(c3))

@@ -20,19 +20,18 @@ from ledgerlake.sources import calendar
 from ledgerlake.session import run_folder
 
 
-def layer(fn=None, *, cut: bool = True, model: str | None = None):
+def layer(fn=None, *, cut: bool = True):
     """Build a layer once per warehouse.  Layers with joins, windows or key numbering are
     written as Parquet into the shared ``spark.checkpoint.dir`` and read back, so
     downstream plans start from files and a lost executor recomputes one layer only;
     single-scan projections (``cut=False``) are cheaper to recompute than to write.  The NULLs that
-    the declared checks ask for are counted on the way (``Warehouse.null_counts``); ``model`` is the
-    name the checks know the layer by, where it is another one."""
+    the declared checks ask for are counted on the way (``Warehouse.null_counts``)."""
     def deco(f):
         @functools.wraps(f)
         def wrapper(self):
             if f.__name__ not in self._memo:
                 df = f(self)
-                self._memo[f.__name__] = self._written(df, f.__name__, model or f.__name__) if (self.cut and cut) else df
+                self._memo[f.__name__] = self._written(df, f.__name__, f.__name__) if (self.cut and cut) else df
             return self._memo[f.__name__]
         return wrapper
     return deco(fn) if fn is not None else deco
@@ -102,7 +101,7 @@ class Warehouse:
 
     def _written(self, df: DataFrame, name: str, model: str) -> DataFrame:
         columns = [ch.column for ch in checks.WAREHOUSE_CHECKS if ch.kind == "not_null" and ch.model == model]
-        out, nulls = write_counting_nulls(df, columns, name, checks.COPIES.get(model))
+        out, nulls = write_counting_nulls(df, columns, name)
         self.null_counts.update({(model, c): n for c, n in nulls.items()})
         return out
 
@@ -240,13 +239,13 @@ class Warehouse:
                                  commercial=self.commercial_docs(), agents=self.agent_docs(),
                                  expect_unique=self.strict)
 
-    @layer(model="fact")
+    @layer(cut=False)
     def billed(self):
-        """The fact with equal rows kept once."""
+        """The fact with equal rows kept once; its lines lie in the staging, only credit notes move."""
         return gold.fact_billing(self.staged(), self.fact_buckets)
 
     def staging(self):
-        return self._memo["staging"] if "staging" in self._memo else gold.expand(self.staged())
+        return self._memo["staging"] if "staging" in self._memo else gold.expand(self.staged()).drop(gold.SUM)
 
     def fact(self):
         return self._memo["fact"] if "fact" in self._memo else gold.expand(self.billed())

@@ -119,5 +119,17 @@ def test_checks_count_a_row_as_often_as_it_stands(spark):
     found = lambda **k: {r["check"]: r["failures"] for r in quality.run_checks(checks, models, **k).collect()}      # noqa: E731
     assert found() == {"unique": 1, "not_null": 1, "relationships": 2}
     assert found(copies={"child": "n"}) == {"unique": 2, "not_null": 5, "relationships": 7}
-    assert quality.write_counting_nulls(child, ["p"], "copies", "n")[1] == {"p": 5}
-    assert quality.write_counting_nulls(child.where("n > 9"), ["p"], "copies", "n")[1] == {"p": 0}
+
+
+def test_a_staged_sum_is_the_sum_of_the_rows(spark):
+    # the sum of a line's copies and header rows, as a grouping of the full rows gives it
+    from pyspark.sql import functions as F
+    from ledgerlake.plans import gold
+    from ledgerlake.plans.warehouse import Warehouse
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    full = w.staging()
+    assert gold.SUM not in full.columns and gold.COPIES not in full.columns
+    key = ["id_factura", "id_articulo", gold.SUM, "subtotal_articulo"]
+    want = gold.allocate_cents(full).select(*key)
+    got = gold.expand(gold.allocate_cents(w.staged())).select(*key)
+    assert want.count() == got.count() > 0 and want.exceptAll(got).count() == 0 == got.exceptAll(want).count()
