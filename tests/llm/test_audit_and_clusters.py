@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import orchard, queries, source_audit
 
@@ -88,6 +89,52 @@ def test_divergence_by_brute_force(spark, monkeypatch, block, size):
     assert source_audit.divergence(df.limit(0)).collect() == []
 
 
+def test_keys_are_read_once_a_depth(monkeypatch):
+    read, key = Counter(), source_audit.Pointers.key
+
+    def counting(self, p, depth):
+        read[depth] += p.size
+        return key(self, p, depth)
+
+    monkeypatch.setattr(source_audit.Pointers, "key", counting)
+    monkeypatch.setattr(source_audit, "SHORT_SLICE", 64)        # a slice is split many times
+    rng = np.random.default_rng(8)
+    made = ["".join(rng.choice(list("abcd"), rng.integers(2, 9))) for _ in range(900)] + ["ninebytes", "ninebytez"]
+    words = rng.choice(made, 20_000)
+    text = pa.array([" ".join(words)], pa.string())
+    got = source_audit.count_slice(text, pa.array(["en"]), pa.array(["s"]))
+    assert dict(zip(got[2].to_pylist(), np.array(got[4]).tolist(), strict=True)) == Counter(words.tolist())
+    assert read[0] == words.size and read[8] <= np.char.startswith(words, "ninebyte").sum()
+
+
+@pytest.mark.parametrize("rows", [1, 5, 1 << 16])
+def test_words_that_run_over_blocks_are_kept_whole(monkeypatch, rows):
+    monkeypatch.setattr(source_audit, "OUT_ROWS", rows)
+    rng = np.random.default_rng(9)
+    cells = [(lang, g, term, int(rng.integers(1, 3)), int(rng.integers(3, 9)))
+             for term in ["a", "b", "bb", "é"] for lang in (-7, 2) for g in range(int(rng.integers(1, 30)))]
+    table = pa.table(list(zip(*cells, strict=True)), names=["lang", "source", "term", "docs", "n"])
+    for size in (1, 4, 100):
+        got = pa.Table.from_batches(source_audit._kept_words(iter(table.to_batches(max_chunksize=size)), 4)).to_pylist()
+        want = {}
+        for lang, g, term, docs, n in cells:
+            held = want.setdefault((lang, term), [0, 0, []])
+            want[lang, term] = [held[0] + docs, held[1] + n, held[2] + [(g, n)]]
+        assert {(r["l"], r["term"]): (r["lang_n"], [(x["g"], x["n"]) for x in r["at"]]) for r in got} == {
+            k: (n, at) for k, (docs, n, at) in want.items() if docs >= 4}
+    assert list(source_audit._kept_words(iter([]), 4)) == []
+
+
+def test_a_hash_that_confuses_names_is_not_used(spark, monkeypatch):
+    numbers = source_audit._numbers
+    for same in (0, 1):             # languages, then groups of one number
+        monkeypatch.setattr(source_audit, "_numbers", lambda lang, source, seed, same=same: [
+            F.lit(5).cast("long").alias("lg"[i]) if seed == 0 and i == same else c for i, c in enumerate(numbers(lang, source, seed))])
+        rows = [("en", s, f"one two {w}") for s in "abc" for w in ("three", "four") for _ in range(2)] + [("de", "a", "one one")] * 3
+        df = spark.createDataFrame(rows, "lang string, source string, text string")
+        assert Counter(tuple(r) for r in source_audit.divergence(df).collect()) == brute(rows)
+
+
 def test_counts_beyond_a_long_stay_exact(spark):
     df = spark.range(1).selectExpr("cast(12345678901234567 as bigint) as n", "cast(98765432109876543 as bigint) as t", "1000L as v")
     got = df.selectExpr(source_audit._share("n", "t", "v") + " as p").first().p
