@@ -2,22 +2,28 @@
 
 Each check is a small aggregation; ``run_checks`` unions them into one report frame
 ``(check, model, column, severity, failures)`` — one row per check, so collecting it is
-bounded by the number of checks, not by the data.
+bounded by the number of checks, not by the data.  ``report_in_steps`` gives the same report of many
+checks: it runs a few of them at a time.
 """
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgerlake.session import cut_lineage
+from ledgerlake.session import cut_lineage, measured_broadcasts
 
 ERROR = "error"
 WARN = "warn"
+#: Steps of ``report_in_steps`` under way at a time.
+AT_ONCE = 3
 
 
 def unique_failures(df: DataFrame, column: str) -> DataFrame:
@@ -125,7 +131,9 @@ def run_checks(checks: Sequence[Check], models: dict[str, DataFrame],
             rows = [F.struct(*_report_row(ch, F.col("__ll_dup"))) for ch in chs if ch.kind == "unique" and ch.column == column]
             frames.append(_repeated_values(df, column, n).select(F.inline(F.array(*rows))))
         if filled:
-            counts = df.agg(*[_n_rows(df, n, F.col(c).isNull()).alias(f"__ll_{c}") for c in filled])
+            # only rows with a NULL are counted, so the condition goes below joins and down to the scan
+            some = df.where(functools.reduce(lambda a, b: a | b, [F.col(c).isNull() for c in filled]))
+            counts = some.agg(*[_n_rows(some, n, F.col(c).isNull()).alias(f"__ll_{c}") for c in filled])
             rows = [F.struct(*_report_row(ch, F.col(f"__ll_{ch.column}"))) for ch in chs if ch.kind == "not_null" and ch.column in filled]
             frames.append(counts.select(F.inline(F.array(*rows))))
     for ch in relations:
@@ -142,6 +150,36 @@ def run_checks(checks: Sequence[Check], models: dict[str, DataFrame],
     return out
 
 
+def steps(checks: Sequence[Check], null_counts: dict[tuple[str, str], int] | None = None) -> list[list[Check]]:
+    """Checks in the groups that ``run_checks`` counts by one query: those with known NULLs, the other
+    not-null checks of a model, the unique checks of a column, a relationship."""
+    out: dict[tuple, list[Check]] = {}
+    for ch in checks:
+        if ch.kind == "not_null":
+            key = ("known",) if (ch.model, ch.column) in (null_counts or {}) else (ch.kind, ch.model)
+        else:
+            key = (ch.kind, ch.model, ch.column, ch.parent, ch.parent_column)
+        out.setdefault(key, []).append(ch)
+    return list(out.values())
+
+
+def report_in_steps(checks: Sequence[Check], models: dict[str, DataFrame],
+                    null_counts: dict[tuple[str, str], int] | None = None,
+                    copies: dict[str, str] | None = None) -> DataFrame:
+    """``run_checks``, counted while the report is set up: ``AT_ONCE`` steps run at a time and the report
+    holds their counts (one row a check).
+
+    As one plan, all checks start their stages and broadcasts together, and every finished stage posts the
+    whole plan anew: the driver holds all of that.  Here it holds what a few checks need, and no side of a
+    join is broadcast by an estimate (``measured_broadcasts``)."""
+    spark = next(iter(models.values())).sparkSession
+    count = inheritable_thread_target(spark)(lambda step: run_checks(step, models, null_counts, copies).collect())
+    with measured_broadcasts(spark), ThreadPoolExecutor(AT_ONCE) as pool:
+        found = [r for rows in pool.map(count, steps(checks, null_counts)) for r in rows]
+    rows = [F.struct(*_report_row(Check(r["check"], r["model"], r["column"], r["severity"]), F.lit(r["failures"]))) for r in found]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
 def enforce(report: DataFrame) -> list:
     """Raise if any error-severity check failed; return warn rows (bounded collect)."""
     rows = report.where(F.col("failures") > 0).collect()

@@ -163,4 +163,4 @@ def dq_warehouse(spark, sf_dir):
     seeds are those counted while they were written."""
     w = warehouse(spark, sf_dir)
     models = _checks.models(w)
-    return _dq.run_checks(_checks.WAREHOUSE_CHECKS, models, w.null_counts, _checks.COPIES)
+    return _dq.report_in_steps(_checks.WAREHOUSE_CHECKS, models, w.null_counts, _checks.COPIES)

@@ -84,6 +84,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or target
 
 
+@contextmanager
+def measured_broadcasts(spark: SparkSession) -> Iterator[None]:
+    """Joins that run inside broadcast a side by the size it has when it is there, never by an estimate.
+
+    The estimate is a share of the compressed files: of a table of keys it is a small part of what the
+    rows take in the driver, which collects them and builds their hash table."""
+    planned, measured = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = {k: spark.conf.get(k, None) for k in (planned, measured)}
+    spark.conf.set(measured, before[measured] or spark.conf.get(planned))
+    spark.conf.set(planned, "-1")
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 #: Folders of the runs under way, innermost last.
 _RUNS: list[str] = []
 

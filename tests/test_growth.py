@@ -4,6 +4,7 @@ import datetime as dt
 import os
 
 import duckdb
+from pyspark.sql import functions as F
 
 from ledgerlake.plans import load_all, registry
 from tools.check_queries import digest
@@ -133,3 +134,64 @@ def test_a_staged_sum_is_the_sum_of_the_rows(spark):
     want = gold.allocate_cents(full).select(*key)
     got = gold.expand(gold.allocate_cents(w.staged())).select(*key)
     assert want.count() == got.count() > 0 and want.exceptAll(got).count() == 0 == got.exceptAll(want).count()
+
+
+def test_a_report_in_steps_is_that_of_one_plan_and_leaves_no_plan_of_checks(spark, tmp_dir):
+    from ledgerlake.operators import quality
+    child = spark.createDataFrame([("a", 2), ("b", 1), (None, 5), ("z", 3), ("z", 4)], "p string, n long")
+    for name, df in (("child", child), ("parent", spark.createDataFrame([("a",), ("b",), ("b",)], "p string"))):
+        df.write.parquet(f"{tmp_dir}/{name}")
+    models = {name: spark.read.parquet(f"{tmp_dir}/{name}") for name in ("child", "parent")}
+    checks = [quality.Check("unique", "child", "p"), quality.Check("unique", "child", "p", quality.WARN),
+              quality.Check("not_null", "child", "p"), quality.Check("not_null", "child", "n"), quality.Check("not_null", "parent", "p"),
+              quality.Check("relationships", "child", "p", quality.WARN, "parent", "p"), quality.Check("unique", "parent", "p")]
+    for known, copies in ((None, None), ({("child", "p"): 1, ("parent", "p"): 0}, None), ({}, {"child": "n"})):
+        want = quality.run_checks(checks, models, known, copies)
+        got = quality.report_in_steps(checks, models, known, copies)
+        assert got.dtypes == want.dtypes
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == len(checks)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan and "Relation [" not in plan
+
+
+def test_dq_warehouse_holds_no_plan_of_all_checks(spark):
+    plan = registry.QUERIES["dq_warehouse"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Relation [" not in plan
+
+
+def test_checks_broadcast_a_side_by_its_measured_size(spark, tmp_dir):
+    # keys in files take a small part of what their hash table takes in the driver
+    from ledgerlake.operators import quality
+    from ledgerlake.session import measured_broadcasts
+    planned, measured = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    spark.range(300000, numPartitions=1).write.parquet(f"{tmp_dir}/parent")
+    spark.range(0, 400000, 2, numPartitions=1).write.parquet(f"{tmp_dir}/child")
+    models = {name: spark.read.parquet(f"{tmp_dir}/{name}") for name in ("parent", "child")}
+
+    def plan():
+        report = quality.run_checks([quality.Check("relationships", "child", "id", "warn", "parent", "id")], models)
+        assert report.collect()[0]["failures"] == 50000
+        return report._jdf.queryExecution().executedPlan().toString()
+
+    before = {k: spark.conf.get(k, None) for k in (planned, measured)}
+    spark.conf.set(planned, str(3 << 20))
+    try:
+        assert "BroadcastHashJoin" in plan()
+        with measured_broadcasts(spark):
+            assert spark.conf.get(planned) == "-1" and spark.conf.get(measured) == str(3 << 20)
+            assert "BroadcastHashJoin" not in plan()
+        assert spark.conf.get(planned) == str(3 << 20) and spark.conf.get(measured, None) == before[measured]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_null_check_reads_only_rows_with_a_null_below_a_join(spark, tmp_dir):
+    from ledgerlake.operators import quality
+    spark.range(50).selectExpr("id", "IF(id % 10 = 0, NULL, id) AS v").write.parquet(f"{tmp_dir}/l")
+    spark.range(40).selectExpr("id AS k").write.parquet(f"{tmp_dir}/r")
+    both = spark.read.parquet(f"{tmp_dir}/l").join(spark.read.parquet(f"{tmp_dir}/r"), F.col("id") == F.col("k"))
+    report = quality.run_checks([quality.Check("not_null", "m", "v"), quality.Check("not_null", "m", "k")], {"m": both})
+    assert {r["column"]: r["failures"] for r in report.collect()} == {"v": 4, "k": 0}
+    single = quality.run_checks([quality.Check("not_null", "m", "v")], {"m": both})
+    assert "PushedFilters: [IsNull(v)" in single._jdf.queryExecution().executedPlan().toString()
